@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from . import chat_format, hilbert_shards, line_dedup, quality_rules
+from . import (
+    chat_format,
+    cross_polytope,
+    hilbert_shards,
+    kk_packing,
+    line_dedup,
+    quality_lm,
+    quality_rules,
+    sentencepiece_viterbi,
+    suffix_dedup,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op2_cross_polytope": cross_polytope.op2_cross_polytope,
+        "op3_sentencepiece": sentencepiece_viterbi.op3_sentencepiece,
+        "op4_quality_lm": quality_lm.op4_quality_lm,
         "op5_chat_format": chat_format.op5_chat_format,
+        "op7_kk_packing": kk_packing.op7_kk_packing,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_hilbert_shards": hilbert_shards.op9_hilbert_shards,
         "op10_quality_rules": quality_rules.op10_quality_rules,
