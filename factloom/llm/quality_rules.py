@@ -26,8 +26,11 @@ MAX_REPEAT_PERCENT = 30
 MIN_CHARS_FOR_CLASSES = 100
 MIN_WORDS_FOR_COMMON = 60
 MIN_DOCS = 20
-MAX_CLASS_DISTANCE = 0.16
-MAX_WORD_DISTANCE = 0.55
+FIRST_CLASS_DISTANCE = 0.25
+MAX_CLASS_DISTANCE = 0.08
+CLASS_SLACK = 2.4
+MAX_WORD_DISTANCE = 0.24
+WORD_SLACK = 1.0
 
 #: Frequent function words of each language.
 COMMON_WORDS = {
@@ -126,7 +129,7 @@ def _js(p: str, q: str) -> Column:
 
 
 def references(features: DataFrame) -> DataFrame:
-    """ref_lang, n_docs, ref_classes, ref_common: counts over all documents of a language, summed before the shuffle."""
+    """ref_lang, n_docs, ref_classes, ref_common: counts over the documents of a language, summed before the shuffle."""
     k = len(CLASSES) + 1
     w = max(len(x) for x in COMMON_WORDS.values()) + 1
     sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(k)] + [F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(w)]
@@ -138,14 +141,26 @@ def references(features: DataFrame) -> DataFrame:
     )
 
 
+def _measured(features: DataFrame, refs: DataFrame) -> DataFrame:
+    j = features.join(refs, features.lang.eqNullSafe(refs.ref_lang), "left")
+    j = j.withColumn("class_distance", F.when(F.col("n_chars") >= MIN_CHARS_FOR_CLASSES, _js("classes", "ref_classes")))
+    return j.withColumn("word_distance", F.when(F.col("n_words") >= MIN_WORDS_FOR_COMMON, _js("common", "ref_common")))
+
+
 def judge(docs: DataFrame) -> DataFrame:
-    """base_features plus class_distance, word_distance and kept."""
+    """base_features plus class_distance, word_distance and kept.
+
+    The reference is taken twice: over all documents, then over those of them that the base rules pass and that are
+    not far from the first reference, so that junk does not pull it.
+    """
     f = written(base_features(docs), "quality-features")
-    r = references(f)
-    j = f.join(r, f.lang.eqNullSafe(r.ref_lang), "left")
-    j = j.withColumn("class_distance", F.when(F.col("n_chars") >= MIN_CHARS_FOR_CLASSES, _js("classes", "ref_classes")))
-    j = j.withColumn("word_distance", F.when(F.col("n_words") >= MIN_WORDS_FOR_COMMON, _js("common", "ref_common")))
-    far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
+    near = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= FIRST_CLASS_DISTANCE)
+    first = _measured(f, references(f)).where(near)
+    j = _measured(f, references(first.select(f.columns)))
+    # A histogram of few characters or words lies farther from any reference: the bounds are wider for short texts.
+    class_bound = MAX_CLASS_DISTANCE + CLASS_SLACK / F.sqrt("n_chars")
+    word_bound = MAX_WORD_DISTANCE + WORD_SLACK / F.sqrt("n_words")
+    far = (F.coalesce("class_distance", F.lit(0.0)) > class_bound) | (F.coalesce("word_distance", F.lit(0.0)) > word_bound)
     return j.withColumn("kept", ~F.col("base_failed") & ~far)
 
 
