@@ -8,6 +8,7 @@ from . import (
     hilbert_shards,
     kk_packing,
     line_dedup,
+    parity_join,
     quality_lm,
     quality_rules,
     sentencepiece_viterbi,
@@ -22,6 +23,7 @@ def queries() -> dict:
         "op3_sentencepiece": sentencepiece_viterbi.op3_sentencepiece,
         "op4_quality_lm": quality_lm.op4_quality_lm,
         "op5_chat_format": chat_format.op5_chat_format,
+        "op6_parity_join": parity_join.op6_parity_join,
         "op7_kk_packing": kk_packing.op7_kk_packing,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_hilbert_shards": hilbert_shards.op9_hilbert_shards,
