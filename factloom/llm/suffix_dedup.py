@@ -10,11 +10,12 @@ seed form a context of at most 2 * MIN_BYTES bytes:
 
 1. each block of documents (bounded bytes, dealt by id) sends its distinct seeds, four bytes each, to seed shards, which
    answer with the bits of the seeds that more than one document holds;
-2. the block sends the distinct contexts of these seeds, each with its smallest document, and each shard sorts the
-   windows of contexts that share a seed, and answers with the smallest document of each window;
+2. the block names the distinct contexts of these seeds, each with its smallest document; where several contexts share
+   a seed, the shard asks one block for the bytes of each, sorts their windows, and tells every block that holds them
+   the smallest document of each window;
 3. the block covers the windows that a smaller document holds and digests what is left.
 
-The three steps read one shuffle of the texts. A line or a document that a third of all rows hold is one request a
+All steps read one shuffle of the texts, and no context's bytes are sent twice. A line or a document that a third of all rows hold is one request a
 block, so no shard gets a row for each copy.
 
 Defined results
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 from .common import blocks_for, table
 
 MIN_BYTES = 50
-SEED_BYTES = 16
-BLOCK_BYTES = 4_000_000
-SHARD_BYTES = 16_000_000
-SLAB = 1 << 23
+SEED_BYTES = 20
+BLOCK_BYTES = 3_000_000
+SHARD_BYTES = 12_000_000
+SLAB = 1 << 15
 NO_ID = -(1 << 63)
 
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -67,8 +68,8 @@ class Prefixes:
     def of(self, at: np.ndarray, n) -> np.ndarray:
         return mixed((self.sums[at + n] - self.sums[at]) * self.scale[at])
 
-    def every(self, n: int) -> np.ndarray:
-        return mixed((self.sums[n:] - self.sums[:-n]) * self.scale[: len(self.sums) - n])
+    def equal(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (self.sums[a + n] - self.sums[a]) * self.scale[a] == (self.sums[b + n] - self.sums[b]) * self.scale[b]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -78,13 +79,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def common_extension(p: Prefixes, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """How many bytes the suffixes at a and b share, up to `most`: binary search over equal prefix hashes."""
-    low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
+    out = most.astype(np.int64).copy()
+    open_ = np.flatnonzero(~p.equal(a, b, out))  # the others agree all the way
+    low, high = np.zeros(len(open_), np.int64), out[open_] - 1
+    a, b = a[open_], b[open_]
     while (low < high).any():
         mid = (low + high + 1) >> 1
-        same = p.of(a, mid) == p.of(b, mid)
+        same = p.equal(a, b, mid)
         low = np.where(same, mid, low)
         high = np.where(same, high, mid - 1)
-    return low
+    out[open_] = low
+    return out
 
 
 def suffix_sort(data: np.ndarray, starts: np.ndarray, group: np.ndarray, limit: int | None = None, p: Prefixes | None = None) -> np.ndarray:
@@ -153,30 +158,40 @@ class Contexts:
 
     def __init__(self, data: np.ndarray, begin: np.ndarray, length: np.ndarray, docs: np.ndarray, min_bytes: int, seed_bytes: int):
         p = self.p = Prefixes(data)
-        per_window = min_bytes - seed_bytes + 1
-        parts = []
-        for lo in range(0, max(0, len(data) - min_bytes + 1), SLAB):
-            hi = min(len(data), lo + SLAB + min_bytes - 1)
-            h = p.of(np.arange(lo, hi - seed_bytes + 1), seed_bytes)
-            parts.append(_least(h, per_window) + lo)
-        seed_at = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(begin)), np.maximum(0, length - min_bytes + 1))
-        ends = np.cumsum(np.maximum(0, length - min_bytes + 1))
-        at = np.arange(len(doc)) - np.repeat(ends - np.maximum(0, length - min_bytes + 1), np.maximum(0, length - min_bytes + 1)) + begin[doc]
-        s = seed_at[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (s[1:] != s[:-1]) | (doc[1:] != doc[:-1])
-        first = np.flatnonzero(new)
-        self.begin = at[first]
-        self.count = np.diff(np.concatenate([first, [len(at)]]))
-        self.seed_at = s[first]
+        last = length - min_bytes  # the last window of each document, from its begin
+        row = np.flatnonzero(last >= 0)
+        low, high = begin[row], (begin + last)[row]
+        seed_at = _seeds_of_windows(p, len(data), min_bytes, seed_bytes)
+        turns = np.flatnonzero(seed_at[1:] != seed_at[:-1]) + 1
+        # A context begins where the seed changes within a document's windows, and at the document's first window.
+        owner = np.searchsorted(low, turns, "right") - 1
+        inside = (owner >= 0) & (turns > low[owner]) & (turns <= high[owner]) if len(low) else np.zeros(len(turns), bool)
+        first = np.concatenate([low, turns[inside]])
+        who = np.concatenate([np.arange(len(low)), owner[inside]])
+        order = np.argsort(first, kind="stable")
+        self.begin, who = first[order], who[order]
+        after = np.concatenate([self.begin[1:], [0]])
+        ends = np.concatenate([who[1:] != who[:-1], [True]])[: len(who)]
+        self.count = np.where(ends, high[who] + 1, after[: len(who)]) - self.begin
+        self.seed_at = seed_at[self.begin].astype(np.int64)
         self.seed = p.of(self.seed_at, seed_bytes)
-        self.row = doc[first]
-        self.doc = docs[self.row]
+        self.doc = docs[row[who]]
         whole = p.of(self.begin, self.count + min_bytes - 1)
         self.key = mixed(whole + self.count.astype(np.uint64) * np.uint64(0x94D049BB133111EB) + (self.seed_at - self.begin).astype(np.uint64))
 
 
+def _seeds_of_windows(p: Prefixes, size: int, min_bytes: int, seed_bytes: int) -> np.ndarray:
+    """Where the seed of the window at each place lies, over all places, slab by slab so that the work stays in cache."""
+    windows = max(0, size - min_bytes + 1)
+    out = np.zeros(windows, np.int32)
+    for lo in range(0, windows, SLAB):
+        hi = min(windows, lo + SLAB)
+        end = hi + min_bytes - seed_bytes  # seeds begin in lo to end - 1
+        h = mixed((p.sums[lo + seed_bytes : end + seed_bytes] - p.sums[lo:end]) * p.scale[lo:end])
+        out[lo:hi] = _least(h, min_bytes - seed_bytes + 1) + lo
+    return out
+
+
 def _least(h: np.ndarray, width: int) -> np.ndarray:
     """Where the least of each `width` successive hashes lies; of equal ones (by their upper bits) the first."""
     low = np.uint64((SLAB << 1) - 1)
@@ -188,7 +203,7 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     rest = width - done
     if rest:
         m = np.minimum(m[: len(m) - rest], m[rest:])
-    return (m & low).astype(np.int64)
+    return (m & low).astype(np.int32)
 
 
 def _read_block(f: pd.DataFrame):
@@ -234,7 +249,7 @@ def _window_minima(data, begin, count, offset, seed, doc, min_bytes):
     p = Prefixes(data)
     order = suffix_sort(data, at, group, min_bytes, p)
     a, b = order[:-1], order[1:]
-    same = (group[a] == group[b]) & (p.of(at[a], min_bytes) == p.of(at[b], min_bytes))
+    same = (group[a] == group[b]) & p.equal(at[a], at[b], np.full(len(a), min_bytes))
     near = np.flatnonzero(same)
     view = np.lib.stride_tricks.sliding_window_view(data, min_bytes)
     for lo in range(0, len(near), 200_000):  # what the hashes call equal must be equal
@@ -280,7 +295,7 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
 
     def contexts(f: pd.DataFrame, bits: pd.DataFrame) -> pd.DataFrame:
         if not len(f):
-            return pd.DataFrame({"shard": [], "block": [], "head": [], "bytes": []})
+            return pd.DataFrame({"shard": [], "block": [], "head": []})
         _, data, begin, length, ids = _read_block(f)
         c = Contexts(data, begin, length, ids, min_bytes, seed_bytes)
         seed, _, _, _, which = _least_doc(c.seed, c.doc)
@@ -296,23 +311,51 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
         rows = []
         for s in np.unique(to).tolist():
             m = at[to == s]
-            n = c.count[m] + min_bytes - 1
-            place = np.repeat(c.begin[m] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             head = np.zeros(len(m), HEAD)
             head["seed"], head["key"], head["doc"] = c.seed[m], key[to == s], least[to == s]
             head["count"], head["offset"] = c.count[m], c.seed_at[m] - c.begin[m]
-            rows.append((s, head.tobytes(), data[place].tobytes()))
-        return pd.DataFrame({"shard": [r[0] for r in rows], "block": f["block"].iloc[0], "head": [r[1] for r in rows], "bytes": [r[2] for r in rows]})
+            rows.append((s, head.tobytes()))
+        return pd.DataFrame({"shard": [r[0] for r in rows], "block": f["block"].iloc[0], "head": [r[1] for r in rows]})
 
-    def minima(f: pd.DataFrame) -> pd.DataFrame:
+    def asks(f: pd.DataFrame) -> pd.DataFrame:
+        """Of the contexts that share their seed with another context, each from the first block that has it."""
+        f = f.sort_values("block")
+        heads = [np.frombuffer(h, HEAD) for h in f["head"]]
+        head = np.concatenate(heads)
+        source = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+        key, first = np.unique(head["key"], return_index=True)
+        seeds, n = np.unique(head["seed"][first], return_counts=True)
+        pick = first[n[np.searchsorted(seeds, head["seed"][first])] > 1]
+        rows = [(f["block"].iloc[b], head["key"][pick[source[pick] == b]].tobytes()) for b in np.unique(source[pick]).tolist()]
+        return pd.DataFrame({"block": [r[0] for r in rows], "shard": f["shard"].iloc[0], "keys": [r[1] for r in rows]})
+
+    def gives(f: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"shard": asked["shard"], "keys": asked["keys"]})
+        if not len(f) or not len(asked):
+            return out.iloc[:0].assign(bytes=[])
+        _, data, begin, length, ids = _read_block(f)
+        c = Contexts(data, begin, length, ids, min_bytes, seed_bytes)
+        key, first = np.unique(c.key, return_index=True)
+        texts = []
+        for k in asked["keys"]:
+            m = first[np.searchsorted(key, np.frombuffer(k, "<u8"))]
+            n = c.count[m] + min_bytes - 1
+            texts.append(data[np.repeat(c.begin[m] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].tobytes())
+        return out.assign(bytes=texts)
+
+    def minima(f: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        if not len(f):
+            return pd.DataFrame(columns=["block", "keys", "per", "runs", "docs"])
         heads = [np.frombuffer(h, HEAD) for h in f["head"]]
         head = np.concatenate(heads)
-        data = np.frombuffer(b"".join(f["bytes"]), np.uint8)
-        n = head["count"].astype(np.int64) + min_bytes - 1
-        begin = np.cumsum(n) - n
         key, first, least, _, which = _least_doc(head["key"], head["doc"])
         count = head["count"][first].astype(np.int64)
-        windows = _window_minima(data, begin[first], count, head["offset"][first].astype(np.int64), head["seed"][first], least, min_bytes)
+        data = np.frombuffer(b"".join(given["bytes"]), np.uint8)
+        there = np.searchsorted(key, np.frombuffer(b"".join(given["keys"]), "<u8"))
+        n = count[there] + min_bytes - 1
+        begin = np.full(len(key), -1)
+        begin[there] = np.cumsum(n) - n
+        windows = _window_minima(data, begin, count, head["offset"][first].astype(np.int64), head["seed"][first], least, min_bytes)
         start = np.cumsum(count) - count
         lowest = np.minimum.reduceat(windows, start) if len(count) else windows
         source = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
@@ -388,8 +431,10 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
     schema += ", edges array<long>, kept binary, text_sha256 string" if with_text else ""
     asked = d.groupBy("block").applyInPandas(seeds, "shard long, block int, seeds binary")
     bits = asked.groupBy("shard").applyInPandas(shared, "block int, shard long, bits binary")
-    sent = d.groupBy("block").cogroup(bits.groupBy("block")).applyInPandas(contexts, "shard long, block int, head binary, bytes binary")
-    told = sent.groupBy("shard").applyInPandas(minima, "block int, keys binary, per binary, runs binary, docs binary")
+    sent = d.groupBy("block").cogroup(bits.groupBy("block")).applyInPandas(contexts, "shard long, block int, head binary")
+    wanted = sent.groupBy("shard").applyInPandas(asks, "block int, shard long, keys binary")
+    given = d.groupBy("block").cogroup(wanted.groupBy("block")).applyInPandas(gives, "shard long, keys binary, bytes binary")
+    told = sent.groupBy("shard").cogroup(given.groupBy("shard")).applyInPandas(minima, "block int, keys binary, per binary, runs binary, docs binary")
     return d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(cover, schema)
 
 
