@@ -125,7 +125,8 @@ def _js(p: str, q: str) -> Column:
     total = lambda a: f"aggregate({a}, 0D, (s, x) -> s + x)"
     term = "if(x > 0, x * log2(2 * x / (x + y)), 0D) + if(y > 0, y * log2(2 * y / (x + y)), 0D)"
     norm = lambda a: f"transform({a}, x -> x / nullif({total(a)}, 0D))"
-    return F.expr(f"sqrt(greatest(0D, aggregate(zip_with({norm(p)}, {norm(q)}, (x, y) -> {term}), 0D, (s, x) -> s + x) / 2))")
+    half = F.expr(f"aggregate(zip_with({norm(p)}, {norm(q)}, (x, y) -> {term}), 0D, (s, x) -> s + x) / 2")
+    return F.sqrt(F.when(half < 0, F.lit(0.0)).otherwise(half))
 
 
 def references(features: DataFrame) -> DataFrame:
