@@ -21,13 +21,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks_for, table, written
 
 ORDER = 3
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 10_000_000
 MIN_TRUSTED = 20
 BANDS = (160, 320, 640, 1280, 2560)
 QUANTILE = 0.005
@@ -64,27 +65,46 @@ def _by_lang(f: pd.DataFrame):
         yield name, part
 
 
-def _count(frames):
+def _packed(frames):
+    """A batch's documents by block, each block's as one compressed blob: what the one shuffle of the texts carries."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
     for f in frames:
-        for lang, part in _by_lang(f):
-            gram, n = np.unique(_grams([t for t in part["text"] if t])[0] if (part["text"] != "").any() else np.zeros(0, np.int64), return_counts=True)
-            yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
+        t = pa.Table.from_pandas(f[["doc_id", "lang", "text", "row_hash"]].astype({"doc_id": "Int64"}), preserve_index=False)
+        for block, at in f.groupby("block").indices.items():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, t.schema, options=options) as w:
+                w.write_table(t.take(pa.array(at)))
+            yield pd.DataFrame({"block": [block], "blob": [sink.getvalue().to_pybytes()]})
+
+
+def _unpacked(f: pd.DataFrame) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(b).read_all().to_pandas() for b in f["blob"]]
+    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=["doc_id", "lang", "text", "row_hash"])
+
+
+def _count(f: pd.DataFrame, trusted: pd.DataFrame) -> pd.DataFrame:
+    """The n-gram counts of the block's trusted documents."""
+    out = [pd.DataFrame({"lang": pd.Series([], dtype=object), "gram": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})]
+    docs = _unpacked(f)
+    for lang, part in _by_lang(docs[docs["doc_id"].isin(trusted["doc_id"])]):
+        gram, n = np.unique(_grams(part["text"].tolist())[0], return_counts=True)
+        out.append(pd.DataFrame({"lang": lang, "gram": gram, "n": n}))
+    return pd.concat(out[1:] or out)
 
 
 def _sum(*columns):
     return reduce(lambda a, b: a + b, columns)
 
 
-def train(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1 up: (n-grams with probability `p`, without the lower orders' share; contexts with `back`,
+def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """From counts of n-grams of the highest order (lang, gram, n), for each order from 1 up: (n-grams with probability `p`, without the lower orders' share; contexts with `back`,
     the weight of the lower order). Probabilities of order n: p, or nothing, plus back times order n - 1."""
-    counts = trusted.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
-    counts = written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ngrams")
     out = []
     for order in range(ORDER, 0, -1):
         if order < ORDER:  # continuation counts: how many n-grams of the next order end in this one
             mask = (1 << (16 * order)) - 1
-            counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n"))
+            seen = F.count_if(F.col("n") > 0)  # names n, so that all branches read one and the same shuffle of the counts
+            counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(seen.alias("n"))
         k = lambda i: F.count_if(F.col("n") == i).cast("double")
         spread = counts.groupBy("lang").agg(k(1).alias("k1"), k(2).alias("k2"), k(3).alias("k3"), k(4).alias("k4"))
         y = F.col("k1") / F.greatest(F.lit(1.0), F.col("k1") + 2 * F.col("k2"))
@@ -121,16 +141,23 @@ def log_probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]
     return a.select("lang", "gram", F.log(total).alias("logp"))
 
 
-def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """doc_id, row_hash, lang, n_chars, log_perplexity (a character; null without text or model)."""
+def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """doc_id, row_hash, lang, n_chars, log_perplexity (a character; null without text or model).
+
+    Counting, asking and scoring are one plan over one shuffle of the texts by block.
+    """
     text = F.coalesce("text", F.lit(""))
-    d = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text")).withColumn("row_hash", F.xxhash64("text"))
-    blocks = blocks_for(d, F.octet_length("text"), BLOCK_BYTES, 4)
-    d = d.select("doc_id", "lang", "text", "row_hash", F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(blocks)).cast("int").alias("block"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text"))
+    blocks = blocks_for(d, F.octet_length("text"), BLOCK_BYTES, 12)
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
+    d = d.select("doc_id", "lang", "text", F.xxhash64("text").alias("row_hash"), block).mapInPandas(_packed, "block int, blob binary")
+    t = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).select("doc_id", block)
+    counts = d.groupBy("block").cogroup(t.groupBy("block")).applyInPandas(_count, "lang string, gram long, n long")
+    model = train(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
     def ask(f: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"block": np.zeros(0, np.int32), "lang": [], "gram": np.zeros(0, np.int64)})]
-        for lang, part in _by_lang(f):
+        for lang, part in _by_lang(_unpacked(f)):
             gram = np.unique(_grams(part["text"].tolist())[0])
             out.append(pd.DataFrame({"block": f["block"].iloc[0], "lang": lang, "gram": gram}))
         return pd.concat(out[1:] or out)
@@ -141,7 +168,7 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
     def score(f: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
         out = []
         tables = {lang: part.sort_values("gram") for lang, part in a.groupby("lang")} if len(a) else {}
-        for lang, part in _by_lang(f):
+        for lang, part in _by_lang(_unpacked(f)):
             texts = part["text"].tolist()
             grams, lengths = _grams(texts)
             value = np.full(len(texts), np.nan)
@@ -170,9 +197,7 @@ def _band():
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, row_hash, lang, n_chars, log_perplexity, low, high, kept."""
     told = labels.groupBy(F.col("doc_id").alias("l_doc")).agg(F.min("quality").alias("quality")).where("quality = 1").select("l_doc")
-    trusted = docs.join(told, docs.doc_id == told.l_doc, "left_semi").where("text is not null")
-    model = [(written(g, "kn-grams"), written(c, "kn-contexts")) for g, c in train(trusted)]
-    scored = written(perplexities(docs, model).withColumn("band", _band()), "perplexities")
+    scored = written(perplexities(docs, told.select(F.col("l_doc").alias("doc_id"))).withColumn("band", _band()), "perplexities")
     t = scored.join(told, scored.doc_id == told.l_doc, "left_semi").where("log_perplexity is not null")
     q = lambda x: F.percentile_approx("log_perplexity", x, 10_000)
     cut = [F.count("*").alias("n"), q(QUANTILE).alias("low"), q(1 - QUANTILE).alias("high")]
