@@ -4,8 +4,8 @@ A document's set is its distinct word shingles. Sets of similar size meet in siz
 differ in at most t shingles, a sketch has P > t words; each shingle's hash is XORed into the one word that it falls to,
 so the number of words in which two sketches differ is at most the symmetric difference of the sets. Linked sets hence
 agree in at least P - t words, and joining sketches on single words finds every linked pair. Words without shingles say
-nothing: P leaves room for `spare` of them, and a document with more of them is also joined on sets of spare + 1 empty
-words, which keeps the search exact.
+nothing: P leaves room for `spare` of them, and a document with more of them is sketched again under other seeds, like
+every document that it could meet on empty words alone, which keeps the search exact.
 
 A word that many documents share gives a star, not all pairs: the leader of each batch of documents goes to the word's
 shard, and the least leader there is the centre. Stars only connect candidates. Each connected group of candidates is
@@ -21,7 +21,6 @@ Defined results
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import exp, log, sqrt
 
 import numpy as np
@@ -36,8 +35,10 @@ SHINGLE = 4
 PERCENT = 85
 SHARD_BYTES = 16_000_000
 BLOCK_MEMBERS = 2048
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 1_500_000
 PIVOTS = 16
+SEEDS = 8
+BATCH = 2048
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -58,11 +59,13 @@ class Bands:
         if band not in self.made:
             most = self.ratio ** (band + 1) * (1 + 1e-9)
             differ = int((1 - self.similar) / (1 + self.similar) * 2 * most + 1e-9)
+            least = self.ratio**band * self.similar  # the smallest set that meets a partner in this band
             spare = 0
-            while differ and spare < 3 + differ // 8:
+            while differ and spare < 3 + differ // 6:
                 words = differ + 1 + spare
-                empty = words * exp(-most * 0.85 / words)
-                if spare >= empty + 2.5 * sqrt(empty):
+                share = least / words
+                empty = words * exp(-share)
+                if spare >= empty + 1.5 * sqrt(empty * (1 - (1 + share) * exp(-share))):
                     break
                 spare += 1
             self.made[band] = (differ + 1 + spare, spare)
@@ -102,96 +105,123 @@ def shingle_sets(texts: list[str], k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def sketch_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """The join keys of a set: one for each word of its sketches that has shingles, and those of empty words."""
-    keys = []
+def portions(texts: list, most: int = 1_000_000):
+    """(from, to) of runs of texts of about `most` bytes, at least one text each, to bound what is hashed at a time."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if isinstance(t, str) else 0
+        if size >= most:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
+def sketch_keys(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of a set, and the band of each: one key for each word of its sketches that has shingles.
+
+    If more words than the band's spare ones are empty, the set is sketched again under another seed, as is every set
+    that can be linked with it on empty words alone; sets that SEEDS seeds don't help meet under one key.
+    """
+    keys, of = [], []
     for band in bands.of(len(s)):
+        before = len(keys)
         words, spare = bands.sketch(band)
-        at = (s % np.uint64(words)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        sorted_at = at[order]
-        head = np.flatnonzero(np.concatenate([[True], sorted_at[1:] != sorted_at[:-1]]))
-        xor = np.bitwise_xor.reduceat(s[order], head)
-        full = sorted_at[head]
-        tag = np.uint64((band * 0x9E3779B97F4A7C15) % (1 << 64))
-        keys.append(mixed(mixed(xor + tag) + full.astype(np.uint64) * MIX))
-        if len(full) < words - spare:
-            empty = np.setdiff1d(np.arange(words), full).tolist()
-            own = [hash((band, *c)) % (1 << 64) for c in combinations(empty, spare + 1)]
-            keys.append(mixed(np.array(own, np.uint64) + np.uint64(1)))
-    return np.unique(np.concatenate(keys))
-
-
-def _stars(key: np.ndarray, doc: np.ndarray):
-    """Of (key, doc) rows: each distinct key with its least doc, and the distinct edges from least docs to the others."""
+        for seed in range(SEEDS):
+            own = mixed(s + np.uint64(seed * int(MIX) % (1 << 64))) if seed else s
+            at = (own % np.uint64(words)).astype(np.int64)
+            order = np.argsort(at, kind="stable")
+            sorted_at = at[order]
+            head = np.flatnonzero(np.concatenate([[True], sorted_at[1:] != sorted_at[:-1]]))
+            xor = np.bitwise_xor.reduceat(own[order], head)
+            tag = np.uint64(((band * SEEDS + seed + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
+            keys.append(mixed(mixed(xor + tag) + sorted_at[head].astype(np.uint64) * MIX))
+            if len(head) >= words - spare:
+                break
+        else:
+            keys.append(mixed(np.array([tag], np.uint64)))
+        of += [np.full(len(k), band, np.uint8) for k in keys[before:]]
+    return np.concatenate(keys), np.concatenate(of)
+
+
+def _stars(key: np.ndarray, band: np.ndarray, doc: np.ndarray):
+    """Of (key, band, doc) rows: each distinct key with its band and least doc, and the distinct edges (band, least doc,
+    other doc)."""
     order = np.lexsort((doc, key))
-    k, d = key[order], doc[order]
+    k, d, g = key[order], doc[order], band[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     head = np.flatnonzero(new)
     centre = np.repeat(d[head], np.diff(np.concatenate([head, [len(k)]])))
     other = centre != d
-    edges = np.unique(np.stack([centre[other], d[other]], axis=1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return k[head], d[head], edges
+    edges = np.stack([g[other].astype(np.int64), centre[other], d[other]], axis=1)
+    return k[head], g[head], d[head], np.unique(edges, axis=0) if len(edges) else edges
 
 
 def candidate_edges(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """a, b: stars over all documents that share a word of a sketch."""
+    """a, b (band and document): stars over all documents that share a word of a sketch, in each band for itself, so that
+    what documents of quite different sizes share does not join their groups."""
     shards = blocks_for(docs, F.octet_length("text"), SHARD_BYTES, 4)
 
     def sketch(frames):
         bands = Bands(percent)
-        for f in frames:
-            keys, docs_ = [], []
-            seen: dict[bytes, int] = {}
-            copies = []
-            for lo in range(0, len(f), 1024):
-                part = f.iloc[lo : lo + 1024]
-                for d, s in zip(part["doc_id"].tolist(), shingle_sets(part["text"].tolist(), shingle), strict=True):
-                    if not len(s):
-                        continue
-                    digest = s.tobytes() if len(s) < 8 else np.array([len(s), s.sum(), np.bitwise_xor.reduce(s)], np.uint64).tobytes()
-                    if digest in seen:  # one of equal sets stands for all of the batch
-                        copies.append((seen[digest], d))
-                        continue
-                    seen[digest] = d
-                    k = sketch_keys(s, bands)
-                    keys.append(k)
-                    docs_.append(np.full(len(k), d, np.int64))
-            if not keys:
-                continue
-            key, doc, edges = _stars(np.concatenate(keys), np.concatenate(docs_))
-            edges = np.concatenate([edges, np.array(copies, np.int64).reshape(-1, 2)])
-            shard = (key % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            names, where = np.unique(doc, return_inverse=True)
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
-                own = order[cut[s] : cut[s + 1]]
-                if not len(own) and not (s == 0 and len(edges)):
+        for whole in frames:
+            for lo in range(0, len(whole), BATCH):
+                yield from sketch_batch(whole.iloc[lo : lo + BATCH], bands)
+
+    def sketch_batch(f, bands):
+        keys, levels, docs_ = [], [], []
+        seen: dict[bytes, int] = {}
+        copies = []
+        for lo, hi in portions(f["text"].tolist()):
+            part = f.iloc[lo:hi]
+            for d, s in zip(part["doc_id"].tolist(), shingle_sets(part["text"].tolist(), shingle), strict=True):
+                if not len(s):
                     continue
-                # Documents are named once a row; keys carry a 32-bit index into the names.
-                used, index = np.unique(where[own], return_inverse=True)
-                yield pd.DataFrame({
-                    "shard": [s], "keys": [key[own].tobytes()], "index": [index.astype("<u4").tobytes()], "names": [names[used].tobytes()],
-                    "edges": [edges.tobytes() if s == 0 else b""],
-                })
+                digest = s.tobytes() if len(s) < 8 else np.array([len(s), s.sum(), np.bitwise_xor.reduce(s)], np.uint64).tobytes()
+                if digest in seen:  # one of equal sets stands for all of the batch
+                    copies.append((bands.of(len(s))[0], seen[digest], d))
+                    continue
+                seen[digest] = d
+                k, band = sketch_keys(s, bands)
+                keys.append(k)
+                levels.append(band)
+                docs_.append(np.full(len(k), d, np.int64))
+        if not keys:
+            return
+        key, level, doc, edges = _stars(np.concatenate(keys), np.concatenate(levels), np.concatenate(docs_))
+        edges = np.concatenate([edges, np.array(copies, np.int64).reshape(-1, 3)])
+        shard = (key % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        names, where = np.unique(doc, return_inverse=True)
+        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        for s in range(shards):
+            own = order[cut[s] : cut[s + 1]]
+            if not len(own) and not (s == 0 and len(edges)):
+                continue
+            # Documents are named once a row; keys carry a 32-bit index into the names.
+            used, index = np.unique(where[own], return_inverse=True)
+            yield pd.DataFrame({
+                "shard": [s], "keys": [key[own].tobytes()], "levels": [level[own].tobytes()], "index": [index.astype("<u4").tobytes()],
+                "names": [names[used].tobytes()], "edges": [edges.tobytes() if s == 0 else b""],
+            })
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        key = np.frombuffer(b"".join(f["keys"]), "<u8")
+        key, level = np.frombuffer(b"".join(f["keys"]), "<u8"), np.frombuffer(b"".join(f["levels"]), np.uint8)
         doc = np.concatenate([np.frombuffer(n, "<i8")[np.frombuffer(i, "<u4")] for n, i in zip(f["names"], f["index"], strict=True)])
-        _, _, edges = _stars(key, doc)
-        edges = np.concatenate([edges, np.frombuffer(b"".join(f["edges"]), "<i8").reshape(-1, 2)])
-        return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+        *_, edges = _stars(key, level, doc)
+        edges = np.concatenate([edges, np.frombuffer(b"".join(f["edges"]), "<i8").reshape(-1, 3)])
+        return pd.DataFrame({"band": edges[:, 0], "a": edges[:, 1], "b": edges[:, 2]})
 
-    dealt = docs.mapInPandas(sketch, "shard long, keys binary, index binary, names binary, edges binary")
-    return dealt.groupBy("shard").applyInPandas(meet, "a long, b long").distinct()
+    dealt = docs.mapInPandas(sketch, "shard long, keys binary, levels binary, index binary, names binary, edges binary")
+    found = dealt.groupBy("shard").applyInPandas(meet, "band long, a long, b long").distinct()
+    return found.select(F.struct("band", F.col("a").alias("doc")).alias("a"), F.struct("band", F.col("b").alias("doc")).alias("b"))
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, label (least node reachable) for the nodes of the edges a, b: least labels of neighbours, then a jump to
     the label's label, until nothing changes; each round is a written table."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
+    both = edges.select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct()
     e = written(both, f"{name}-edges")
     labels = written(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), f"{name}-labels")
     while True:
@@ -201,7 +231,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         new = new.join(up, "label").select("node", "old", F.least("label", "up").alias("label"))
         new = written(new, f"{name}-labels")
-        changed = new.where("old <> label").limit(1).count()
+        changed = new.where(F.col("old") != F.col("label")).limit(1).count()
         labels = new.select("node", "label")
         if not changed:
             return labels
@@ -270,22 +300,23 @@ def _unpacked(docs: bytes, sizes: bytes, values: bytes):
 def verified_edges(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: links that connect all linked sets of each candidate group (comp, doc_id, n, shingles)."""
     sizes = sets.groupBy("comp").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
-    sizes = sizes.where("members > 1").withColumn("large", (F.col("members") > BLOCK_MEMBERS) | (F.col("total") > BLOCK_SHINGLES))
-    grouped = written(sets.join(sizes, "comp"), "candidate-sets")
-    bins = blocks_for(grouped.where("not large"), F.col("n"), BLOCK_SHINGLES, 4)
+    large = sizes.where((F.col("members") > BLOCK_MEMBERS) | (F.col("total") > BLOCK_SHINGLES))
+    bins = blocks_for(sets, F.col("n"), BLOCK_SHINGLES, 4)
 
     def small(f: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in f.groupby("comp", sort=False):
+            if len(g) == 1:
+                continue
             s = [np.frombuffer(x, "<u8") for x in g["shingles"]]
             out += forest(linked(s, percent), g["doc_id"].to_numpy())
         return pd.DataFrame(out, columns=["a", "b"])
 
-    binned = grouped.where("not large").withColumn("bin", F.pmod(F.xxhash64("comp"), F.lit(bins)))
+    binned = sets.join(large.select("comp"), "comp", "left_anti").withColumn("bin", F.pmod(F.xxhash64("comp"), F.lit(bins)))
     edges = binned.select("bin", "comp", "doc_id", "shingles").groupBy("bin").applyInPandas(small, "a long, b long")
-    big = grouped.where("large")
-    if big.limit(1).count():
-        edges = written(edges, "small-edges").union(_large_edges(big, percent))
+    large = written(large, "large-groups")
+    if large.limit(1).count():
+        edges = written(edges, "small-edges").union(_large_edges(sets.join(large, "comp"), percent))
     return edges
 
 
@@ -336,7 +367,6 @@ def _large_edges(members: DataFrame, percent: int) -> DataFrame:
         blocks = written(_blocked(again), "blocks")
     # Block pairs, each once; a pair of finished blocks has nothing to find.
     others = blocks.groupBy("comp").agg(F.collect_list(F.struct("block", "done")).alias("others"))
-    paired = blocks.join(others, "comp").select("comp", "block", "done", "docs", "sizes", "values", F.explode("others").alias("o"))
     alone = (F.col("o.block") != F.col("block")) | (F.size("others") == 1)
     paired = blocks.join(others, "comp").select("*", F.explode("others").alias("o")).where(alone & ~(F.col("done") & F.col("o.done")))
     pair = paired.select(
@@ -364,26 +394,27 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """doc_id, row_hash, n_shingles, component_id for every row."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     edges = written(candidate_edges(d.where("doc_id is not null"), shingle, percent), "candidate-edges")
-    groups = components(edges, "candidates").select(F.col("node").alias("g_doc"), F.col("label").alias("comp"))
+    labels = components(edges, "candidates").select("node.doc", F.xxhash64("label").alias("comp"))
+    groups = labels.groupBy(F.col("doc").alias("g_doc")).agg(F.collect_set("comp").alias("comps"))  # one or two bands
 
     def measure(frames):
         for f in frames:
-            for lo in range(0, len(f), 1024):
-                part = f.iloc[lo : lo + 1024]
+            for lo, hi in portions(f["text"].tolist()):
+                part = f.iloc[lo:hi]
                 s = shingle_sets(part["text"].tolist(), shingle)
-                keep = part["comp"].notna().to_numpy()
+                keep = part["comps"].notna().to_numpy()
                 fold = lambda x, by: int(by(x)) if len(x) else 0
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "n": [len(x) for x in s],
-                    "comp": part["comp"].astype("Int64").array, "shingles": [x.tobytes() if k else None for x, k in zip(s, keep, strict=True)],
+                    "comps": part["comps"].array, "shingles": [x.tobytes() if k else None for x, k in zip(s, keep, strict=True)],
                     "d1": np.array([fold(x, np.sum) for x in s], np.uint64).astype(np.int64),
                     "d2": np.array([fold(mixed(x), np.bitwise_xor.reduce) for x in s], np.uint64).astype(np.int64),
                 })
 
-    joined = d.withColumn("row_hash", F.xxhash64("text")).join(groups, d.doc_id == groups.g_doc, "left").select("doc_id", "row_hash", "text", "comp")
-    schema = "doc_id long, row_hash long, n long, comp long, shingles binary, d1 long, d2 long"
+    joined = d.withColumn("row_hash", F.xxhash64("text")).join(groups, d.doc_id == groups.g_doc, "left").select("doc_id", "row_hash", "text", "comps")
+    schema = "doc_id long, row_hash long, n long, comps array<long>, shingles binary, d1 long, d2 long"
     measured = written(joined.mapInPandas(measure, schema), "shingle-sets")
-    held = measured.where("comp is not null and n > 0")
+    held = measured.where("n > 0").select("doc_id", "n", "shingles", "d1", "d2", F.explode("comps").alias("comp"))
     same = ["comp", "n", "d1", "d2"]
     classes = held.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.first("shingles").alias("shingles"))
     classes = written(classes, "classes")
