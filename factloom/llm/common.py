@@ -52,3 +52,15 @@ def blocks_for(df: DataFrame, size: Column, per_block: int, least: int = 1) -> i
     """How many blocks hold df's rows at about per_block of size each; grows with the data."""
     total = df.agg(F.sum(size)).first()[0] or 0
     return max(least, -(-int(total) // per_block))
+
+
+def portions(texts: list, most: int = 1_000_000):
+    """(from, to) of runs of texts of about `most` bytes, at least one text each, to bound what is hashed at a time."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if isinstance(t, str) else 0
+        if size >= most:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, table, written
+from .common import blocks_for, portions, table, written
 from .suffix_dedup import Prefixes, mixed
 
 SHINGLE = 4
@@ -105,18 +105,6 @@ def shingle_sets(texts: list[str], k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def portions(texts: list, most: int = 1_000_000):
-    """(from, to) of runs of texts of about `most` bytes, at least one text each, to bound what is hashed at a time."""
-    lo, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if isinstance(t, str) else 0
-        if size >= most:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def sketch_keys(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """The join keys of a set, and the band of each: one key for each word of its sketches that has shingles.
 
@@ -161,7 +149,7 @@ def _stars(key: np.ndarray, band: np.ndarray, doc: np.ndarray):
 def candidate_edges(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """a, b (band and document): stars over all documents that share a word of a sketch, in each band for itself, so that
     what documents of quite different sizes share does not join their groups."""
-    shards = blocks_for(docs, F.octet_length("text"), SHARD_BYTES, 4)
+    per_band = -(-blocks_for(docs, F.octet_length("text"), SHARD_BYTES, 4) // 8)
 
     def sketch(frames):
         bands = Bands(percent)
@@ -191,19 +179,17 @@ def candidate_edges(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             return
         key, level, doc, edges = _stars(np.concatenate(keys), np.concatenate(levels), np.concatenate(docs_))
         edges = np.concatenate([edges, np.array(copies, np.int64).reshape(-1, 3)])
-        shard = (key % np.uint64(shards)).astype(np.int64)
+        # A band's keys have few shards, since a pair that shares many words is an edge in each of its shards.
+        shard = level.astype(np.int64) * per_band + (key % np.uint64(per_band)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         names, where = np.unique(doc, return_inverse=True)
-        cut = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in range(shards):
-            own = order[cut[s] : cut[s + 1]]
-            if not len(own) and not (s == 0 and len(edges)):
-                continue
+        there, cut = np.unique(shard[order], return_index=True)
+        for i, (s, own) in enumerate(zip(there.tolist(), np.split(order, cut[1:]), strict=True)):
             # Documents are named once a row; keys carry a 32-bit index into the names.
             used, index = np.unique(where[own], return_inverse=True)
             yield pd.DataFrame({
                 "shard": [s], "keys": [key[own].tobytes()], "levels": [level[own].tobytes()], "index": [index.astype("<u4").tobytes()],
-                "names": [names[used].tobytes()], "edges": [edges.tobytes() if s == 0 else b""],
+                "names": [names[used].tobytes()], "edges": [edges.tobytes() if i == 0 else b""],
             })
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
