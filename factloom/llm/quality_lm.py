@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, table, written
+from .common import blocks_for, portions, table, written
 
 ORDER = 3
 BLOCK_BYTES = 10_000_000
@@ -87,11 +87,21 @@ def _count(f: pd.DataFrame, trusted: pd.DataFrame) -> pd.DataFrame:
     out = [pd.DataFrame({"lang": pd.Series([], dtype=object), "gram": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})]
     docs = _unpacked(f)
     for lang, part in _by_lang(docs[docs["doc_id"].isin(trusted["doc_id"])]):
-        gram, n = np.unique(_grams(part["text"].tolist())[0], return_counts=True)
+        gram, n = _distinct(part["text"].tolist())
         out.append(pd.DataFrame({"lang": lang, "gram": gram, "n": n}))
     return pd.concat(out[1:] or out)
 
 
+def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the texts and their counts, some texts at a time, so that only the distinct ones are held."""
+    gram, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for lo, hi in portions(texts):
+        own, k = np.unique(_grams(texts[lo:hi])[0], return_counts=True)
+        gram, at = np.unique(np.concatenate([gram, own]), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([n, k]), minlength=len(gram)).astype(np.int64)
+    return gram, n
+
+
 def _sum(*columns):
     return reduce(lambda a, b: a + b, columns)
 
@@ -103,8 +113,7 @@ def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     for order in range(ORDER, 0, -1):
         if order < ORDER:  # continuation counts: how many n-grams of the next order end in this one
             mask = (1 << (16 * order)) - 1
-            seen = F.count_if(F.col("n") > 0)  # names n, so that all branches read one and the same shuffle of the counts
-            counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(seen.alias("n"))
+            counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n"))
         k = lambda i: F.count_if(F.col("n") == i).cast("double")
         spread = counts.groupBy("lang").agg(k(1).alias("k1"), k(2).alias("k2"), k(3).alias("k3"), k(4).alias("k4"))
         y = F.col("k1") / F.greatest(F.lit(1.0), F.col("k1") + 2 * F.col("k2"))
@@ -153,12 +162,14 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     d = d.select("doc_id", "lang", "text", F.xxhash64("text").alias("row_hash"), block).mapInPandas(_packed, "block int, blob binary")
     t = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).select("doc_id", block)
     counts = d.groupBy("block").cogroup(t.groupBy("block")).applyInPandas(_count, "lang string, gram long, n long")
-    model = train(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    # No filter or column pruning gets past a Python map: every branch of the model reads the same shuffle of the counts.
+    summed = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).mapInPandas(lambda frames: frames, "lang string, gram long, n long")
+    model = train(summed)
 
     def ask(f: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"block": np.zeros(0, np.int32), "lang": [], "gram": np.zeros(0, np.int64)})]
         for lang, part in _by_lang(_unpacked(f)):
-            gram = np.unique(_grams(part["text"].tolist())[0])
+            gram, _ = _distinct(part["text"].tolist())
             out.append(pd.DataFrame({"block": f["block"].iloc[0], "lang": lang, "gram": gram}))
         return pd.concat(out[1:] or out)
 
@@ -170,14 +181,16 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         tables = {lang: part.sort_values("gram") for lang, part in a.groupby("lang")} if len(a) else {}
         for lang, part in _by_lang(_unpacked(f)):
             texts = part["text"].tolist()
-            grams, lengths = _grams(texts)
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             value = np.full(len(texts), np.nan)
-            if lang in tables and len(grams):
+            if lang in tables:
                 keys, logp = tables[lang]["gram"].to_numpy(), tables[lang]["logp"].to_numpy()
-                sums = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(keys, grams)])])
-                end = np.cumsum(lengths)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    value = -(sums[end] - sums[end - lengths]) / lengths
+                for lo, hi in portions(texts):
+                    grams, n = _grams(texts[lo:hi])
+                    sums = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(keys, grams)])]) if len(grams) else np.zeros(1)
+                    end = np.cumsum(n)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        value[lo:hi] = -(sums[end] - sums[end - n]) / n
             blank = np.array([not t.strip() for t in texts], bool)
             out.append(pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "lang": lang, "n_chars": lengths,
