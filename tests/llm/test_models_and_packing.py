@@ -59,6 +59,42 @@ def test_fewer_candidates_than_asked_for(spark):
     assert got == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
 
 
+def test_recall_when_norms_differ(spark):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(60, 64))
+    x = centres[np.arange(3000) % 60] + 0.4 * r.normal(size=(3000, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    tables = {"one long": unit.copy(), "log-normal": unit * np.exp(0.5 * r.normal(size=(3000, 1)))}
+    tables["one long"][7] *= 100
+    for name, v in tables.items():
+        rows = [(i, [float(c) for c in row]) for i, row in enumerate(v)]
+        got = {}
+        for g in cross_polytope.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), small_band=0).collect():
+            got.setdefault(g.query_id, set()).add(g.vec_id)
+        score = v[::20] @ v.T
+        score[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+        want = np.argsort(-score, axis=1)[:, :20]
+        assert set(got) == set(range(0, 3000, 20)) and {len(g) for g in got.values()} == {20}, name
+        recall = np.mean([len(got[20 * i] & set(w.tolist())) / 20 for i, w in enumerate(want)])
+        print(name, recall)
+        assert recall >= 0.98, name
+
+
+@pytest.mark.parametrize("small_band", [0, 2000])
+def test_tiny_tables_are_answered_whole(spark, small_band):
+    r = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in (50.0 if i == 3 else 1.0) * r.normal(size=64)]) for i in range(30)]
+    got = {}
+    for g in cross_polytope.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), small_band=small_band, tables=1, probes=1).collect():
+        got.setdefault(g.query_id, []).append((-g.score, g.vec_id))
+    all_ = dict(rows)
+    for q in (0, 20):
+        want = sorted((-float(np.dot(all_[q], v)), i) for i, v in rows if i != q)[:20]
+        assert len(got[q]) == 20
+        if small_band:
+            assert [i for _, i in sorted(got[q])] == [i for _, i in want]
+
+
 def test_hadamard_keeps_lengths_and_axes_are_the_nearest():
     x = np.random.default_rng(0).normal(size=(5, 32))
     y = cross_polytope.rotated(x, cross_polytope.table_signs(0, 32))
