@@ -16,6 +16,7 @@ Defined results
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 
 import numpy as np
@@ -29,6 +30,9 @@ CAPACITY = 2048
 END_ID = 1
 BLOCK = 1024
 CACHED_WORDS = 1_200_000
+# str.split() and \s of `re` also count U+001C to U+001F as white space, which the tokenizer does not.
+_NOT_WHITE = re.compile(r"[\x1c-\x1f]")
+_WORD = re.compile(r"[\S\x1c-\x1f]+")
 
 
 def default_tokenizer() -> str:
@@ -113,12 +117,13 @@ def pack_items(sizes: list[int], capacity: int = CAPACITY, cut: bool = True) ->
 
 
 class _Words:
-    """Token ids of white-space-separated words, kept between batches; no token spans white space."""
+    """Token ids of words between what the tokenizer counts as white space, kept between batches; no token spans it."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
@@ -161,7 +166,7 @@ class _Words:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by END_ID, and where each text's ids begin (and the end of all)."""
-        split = [_fold(t).split() for t in texts]
+        split = [_split(self._fold(t)) for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = [w for s in split for w in s]
         del split
@@ -182,14 +187,19 @@ class _Words:
         out[body] = self.ids[source]
         return out, np.concatenate([[0], text_of_end])
 
+    def _fold(self, text: str) -> str:
+        """Lower case where that changes no id: within Latin-1 the tokenizer's own folding does the same, but after it has
+        found added tokens, so a text that would hold one of them only when folded stays as it is."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        folded = text.lower()
+        return text if any(t in folded for t in self.added) else folded
 
-def _fold(text: str) -> str:
-    """Lower case where that changes no id: within Latin-1 the tokenizer's own folding does the same."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+
+def _split(text: str) -> list[str]:
+    return _WORD.findall(text) if _NOT_WHITE.search(text) else text.split()
 
 
 _words: dict[str, _Words] = {}

@@ -208,6 +208,7 @@ def test_word_cache_agrees_with_the_tokenizer():
     path = kk_packing.default_tokenizer()
     t, w = Tokenizer.from_file(path), kk_packing._Words(path)
     texts = ["It's Stop. a.b, c., ... x!. ,. 12,5. É, ÀB. don't", "Σίσυφος ΑΣ", "a<|endoftext|>b, c", " wide space.", "İstanbul", "", " \n"]
+    texts += ["one\x1ctwo", "a\x1d \x1e b\x1f\x85c\u2028d\u3000\x1c.", "x<|ENDOFTEXT|>y <|EndOfText|>. <|endoftext|> Z.", "<|STARTOFTEXT|> Ab, É"]
     ids, begin = w.encode(texts)
     for i, x in enumerate(texts):
         assert ids[begin[i] : begin[i + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [1], x
