@@ -1,18 +1,20 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of characters, trained on trusted text.
 
-Trusted documents are those whose label says quality 1. Character n-grams of each language are counted over all of
+Trusted documents are those whose label says quality 1 and not toxic. Character n-grams of each language are counted over all of
 them, and counts, continuation counts, discounts and back-off weights are DataFrames keyed by language and n-gram that
 meet in sharded joins; nothing of the model is broadcast. To score, documents are dealt into blocks of bounded size,
 each block asks once for each n-gram that it holds, the asked n-grams are joined with the model's shards, and the
 answers go back to the block, which adds up its documents. A frequent n-gram is thus one row a block, not one an
 occurrence. Perplexity bounds are quantiles of the trusted documents of the same language and length band; text that is
-far less or far more predictable than those is rejected.
+far less or far more predictable than those is rejected. So is text that repeats itself far more than those do, such as
+one word over and over, which is as predictable as any: its distinct n-grams a character (`log_variety`) have a lower
+quantile of the same kind. Toxic text is only not trusted; well-written toxic text is no matter of perplexity, and stays.
 
 Defined results
 * null or blank text has no perplexity and is rejected; a null language is a language of its own.
 * a language with fewer than MIN_TRUSTED trusted documents cannot be judged: its documents are kept, without bounds.
 * rows that repeat an id are judged one by one; labels that repeat are read once (trusted if any says so, and none
-  says quality 0). Other columns of the input are ignored; an empty table gives an empty result.
+  says quality 0 or toxic). Other columns of the input are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -151,7 +153,7 @@ def log_probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """doc_id, row_hash, lang, n_chars, log_perplexity (a character; null without text or model).
+    """doc_id, row_hash, lang, n_chars, log_perplexity (a character; null without text or model), log_variety.
 
     Counting, asking and scoring are one plan over one shuffle of the texts by block.
     """
@@ -182,7 +184,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         for lang, part in _by_lang(_unpacked(f)):
             texts = part["text"].tolist()
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-            value = np.full(len(texts), np.nan)
+            value, variety = np.full(len(texts), np.nan), np.zeros(len(texts))
+            for lo, hi in portions(texts):
+                grams, n = _grams(texts[lo:hi])
+                variety[lo:hi] = [len(np.unique(g)) for g in np.split(grams, np.cumsum(n)[:-1])]
             if lang in tables:
                 keys, logp = tables[lang]["gram"].to_numpy(), tables[lang]["logp"].to_numpy()
                 for lo, hi in portions(texts):
@@ -194,11 +199,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
             blank = np.array([not t.strip() for t in texts], bool)
             out.append(pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "lang": lang, "n_chars": lengths,
-                "log_perplexity": np.where(blank, np.nan, value), "blank": blank,
+                "log_perplexity": np.where(blank, np.nan, value), "log_variety": np.log(np.maximum(variety, 1) / np.maximum(lengths, 1)), "blank": blank,
             }))
-        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "row_hash", "lang", "n_chars", "log_perplexity", "blank"])
+        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "row_hash", "lang", "n_chars", "log_perplexity", "log_variety", "blank"])
 
-    schema = "doc_id long, row_hash long, lang string, n_chars long, log_perplexity double, blank boolean"
+    schema = "doc_id long, row_hash long, lang string, n_chars long, log_perplexity double, log_variety double, blank boolean"
     p = d.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
     return p.withColumn("log_perplexity", F.when(~F.isnan("log_perplexity"), F.col("log_perplexity")))
 
@@ -209,18 +214,21 @@ def _band():
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, row_hash, lang, n_chars, log_perplexity, low, high, kept."""
-    told = labels.groupBy(F.col("doc_id").alias("l_doc")).agg(F.min("quality").alias("quality")).where("quality = 1").select("l_doc")
+    told = labels.groupBy(F.col("doc_id").alias("l_doc")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    told = told.where("quality = 1 and coalesce(toxic, 0) = 0").select("l_doc")
     scored = written(perplexities(docs, told.select(F.col("l_doc").alias("doc_id"))).withColumn("band", _band()), "perplexities")
     t = scored.join(told, scored.doc_id == told.l_doc, "left_semi").where("log_perplexity is not null")
-    q = lambda x: F.percentile_approx("log_perplexity", x, 10_000)
-    cut = [F.count("*").alias("n"), q(QUANTILE).alias("low"), q(1 - QUANTILE).alias("high")]
-    wide = t.groupBy("lang").agg(*cut).where(F.col("n") >= MIN_TRUSTED).select("lang", F.col("low").alias("low_all"), F.col("high").alias("high_all"))
+    q = lambda x, of="log_perplexity": F.percentile_approx(of, x, 10_000)
+    cut = [F.count("*").alias("n"), q(QUANTILE).alias("low"), q(1 - QUANTILE).alias("high"), q(QUANTILE, "log_variety").alias("varied")]
+    wide = t.groupBy("lang").agg(*cut).where(F.col("n") >= MIN_TRUSTED)
+    wide = wide.select("lang", F.col("low").alias("low_all"), F.col("high").alias("high_all"), F.col("varied").alias("varied_all"))
     narrow = t.groupBy("lang", "band").agg(*cut).where(F.col("n") >= MIN_TRUSTED).drop("n")
     j = scored.join(wide, "lang", "left").join(narrow, ["lang", "band"], "left")
     # A band with too few trusted documents has the bounds of its whole language, eased as it is more varied.
     j = j.withColumn("low", F.coalesce(F.col("low") - MARGIN, F.col("low_all") - 4 * MARGIN))
     j = j.withColumn("high", F.coalesce(F.col("high") + MARGIN, F.col("high_all") + 4 * MARGIN))
-    judged = F.col("log_perplexity").isNull() | F.col("high_all").isNull() | F.col("log_perplexity").between(F.col("low"), F.col("high"))
+    repeats = F.col("log_variety") < F.coalesce(F.col("varied") - MARGIN, F.col("varied_all") - 4 * MARGIN)
+    judged = F.col("log_perplexity").isNull() | F.col("high_all").isNull() | (F.col("log_perplexity").between(F.col("low"), F.col("high")) & ~repeats)
     return j.select("doc_id", "row_hash", "lang", "n_chars", "log_perplexity", "low", "high", (~F.col("blank") & judged).alias("kept"))
 
 

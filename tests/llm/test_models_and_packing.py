@@ -286,6 +286,18 @@ def test_classifier_on_the_given_tables(spark, tiny):
     assert rate[1] > 0.95 and rate[0] < 0.3
 
 
+def test_repeated_words_and_toxic_examples_are_not_trusted_text(spark):
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(3, 7))) for _ in range(80)]
+    rows = [(i, " ".join(r.choices(words, k=60)), "en") for i in range(60)]
+    rows += [(100 + i, " ".join([r.choice(words)] * 60), "en") for i in range(20)]
+    rows += [(200 + i, " ".join("".join(r.choices("zyxwvutsrq", k=5)) for _ in range(60)), "en") for i in range(20)]
+    labels = [(i, 1, 0) for i in range(60)] + [(200 + i, 1, 1) for i in range(20)]
+    out = quality_lm.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    kept = {x.doc_id for x in out.where("kept").collect()}
+    assert kept >= {i for i in range(60)} and not any(i >= 100 for i in kept)
+
+
 def test_classifier_edges(docs, empty, spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(30)] + [(3, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     out = {r.doc_id: r for r in quality_lm.classify(docs, labels).collect()}
