@@ -345,11 +345,12 @@ def _large_edges(members: DataFrame, percent: int) -> DataFrame:
     star = written(blocks.join(pivots, "comp").select("docs", "sizes", "values", "pivot").mapInPandas(against, "a long, b long"), "pivot-edges")
     edges = star
     if star.limit(1).count():
+        # A document can be in two groups (two size bands); it is done only in the one whose largest family holds it.
         labels = components(star, "pivots").select(F.col("node").alias("doc_id"), "label")
         known = members.select("comp", "doc_id").join(labels, "doc_id")
         most = known.groupBy("comp", "label").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max(F.struct("k", "label")).alias("m"))
-        done = known.join(most, "comp").where("label = m.label").select("doc_id", F.lit(True).alias("is_done"))
-        again = members.join(done, "doc_id", "left").withColumn("done", F.coalesce("is_done", F.lit(False)))
+        done = known.join(most, "comp").where("label = m.label").select("comp", "doc_id", F.lit(True).alias("is_done"))
+        again = members.join(done, ["comp", "doc_id"], "left").withColumn("done", F.coalesce("is_done", F.lit(False)))
         blocks = written(_blocked(again), "blocks")
     # Block pairs, each once; a pair of finished blocks has nothing to find.
     others = blocks.groupBy("comp").agg(F.collect_list(F.struct("block", "done")).alias("others"))

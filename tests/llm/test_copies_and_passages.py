@@ -101,6 +101,39 @@ def test_large_groups_are_compared_in_blocks(docs, rows, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4, 85)
 
 
+def test_families_of_two_large_groups(spark, monkeypatch):
+    """Two groups share documents: the largest family of the first, x, is no pivot's in the second, where family y is the
+    largest; links of x with y's members have only the second group to be found in."""
+    monkeypatch.setattr(parity_join, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(parity_join, "PIVOTS", 1)
+    rng = np.random.default_rng(3)
+    new = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for _ in range(4):
+        x = new(100)
+        link = np.concatenate([x[:92], new(8)])  # like x
+        bridge = np.concatenate([x[8:92], link[92:], new(8)])  # like `link`, and less like x
+        sets = {i: x + 0 for i in range(1)}
+        sets |= {i: np.concatenate([x[:99], new(1)]) for i in range(1, 8)} | {20: link, 21: bridge}
+        sets |= {i: np.concatenate([bridge[:92], new(8)]) for i in range(22, 34)}
+        rows = [("first", i, sets[i]) for i in range(8)] + [("second", i, s) for i, s in sets.items()]
+        rows = [(7 if c == "first" else 9, i, len(s), np.unique(s).tobytes()) for c, i, s in rows]
+        df = spark.createDataFrame(rows, "comp long, doc_id long, n long, shingles binary")
+        root = {i: i for i in sets}
+
+        def find(a, root=root):
+            while root[a] != a:
+                a = root[a]
+            return a
+
+        want, got = dict(root), dict(root)
+        for pairs, to in ((None, want), ([(r.a, r.b) for r in parity_join.verified_edges(df, 85).collect()], got)):
+            linked = pairs if pairs is not None else [(i, j) for i in sets for j in sets if i < j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
+            for a, b in linked:
+                lo, hi = sorted((find(a, to), find(b, to)))
+                to[hi] = lo
+        assert {i: find(i, got) for i in sets} == {i: find(i, want) for i in sets}
+
+
 def test_keep_first(docs, rows, empty):
     out = parity_join.keep_first(docs, 4, 85)
     first = {c for (d, n, c) in brute_components(rows, 4, 85)}
