@@ -6,6 +6,7 @@ ledgers and messages, embeddings for chunks, pages for markup, labels for verdic
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -728,11 +729,18 @@ def _streamed(spark, sf_dir):
 
 
 def _drained(df: DataFrame, mode: str) -> DataFrame:
-    """All results of a stream over what is there, in a memory table."""
-    name = f"drained_{uuid.uuid4().hex}"
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)
+    """All results of a stream over what is there, written by the executors to a table in the folder they share."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="factloom-")
+    path = f"{shared.rstrip('/')}/drained-{uuid.uuid4().hex}"
+    spark.createDataFrame([], df.schema).write.parquet(path)  # what a stream without input leaves
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        w = w.format("parquet").option("path", path)
+    else:  # each batch is the whole result
+        w = w.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+    w.start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @query("select distinct event_id, event_type from events")

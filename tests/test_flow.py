@@ -215,3 +215,11 @@ def test_html_text():
 
     assert render_html("<title>t</title><p>a  b</p><table><tr><td>x</td><td> </td><th>y</th></tr></table><script>s</script>") == "a b\n\nx | y\n"
     assert render_html(None) is None and parse.CELL
+
+
+@pytest.mark.parametrize("name", ["event_dedupe", "stream_events_available_now"])
+def test_streams_end_in_files_and_not_in_the_driver(spark, tiny, name):
+    from factloom.plans import catalogue
+
+    out = catalogue.queries()[name](spark, tiny)
+    assert len(out.inputFiles()) and all(f.endswith(".parquet") for f in out.inputFiles()) and out.count()
