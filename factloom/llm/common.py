@@ -16,10 +16,13 @@ WHITE_CLASS = "[\\x20\\x09-\\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the setting is absent, as in tests, a temporary folder is made and set once.
+    Where the setting is absent in a local session, as in tests, a temporary folder is made and set once; on a cluster its
+    absence is an error, since no folder of one machine would do.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -30,7 +33,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` gave and that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,17 +1,25 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set is its distinct word shingles. Sets of similar size meet in size bands. In a band whose linked sets
-differ in at most t shingles, a sketch has P > t words; each shingle's hash is XORed into the one word that it falls to,
-so the number of words in which two sketches differ is at most the symmetric difference of the sets. Linked sets hence
-agree in at least P - t words, and joining sketches on single words finds every linked pair. Words without shingles say
-nothing: P leaves room for `spare` of them, and a document with more of them is sketched again under other seeds, like
-every document that it could meet on empty words alone, which keeps the search exact.
-
-A word that many documents share gives a star, not all pairs: the leader of each batch of documents goes to the word's
-shard, and the least leader there is the centre. Stars only connect candidates. Each connected group of candidates is
-verified exactly, set by set: equal sets are one, small groups share a task, and a large group is cut into blocks whose
-members are compared with a few pivots first; then blocks are compared pair by pair, but for pairs of blocks in which
-all are already linked through pivots. Every task emits at most a spanning forest of what it found linked.
+A document's set is its distinct word shingles; equal sets are one class, and one document of each class is sketched.
+Each shingle toggles one bit of a parity sketch, so the number of bits in which two sketches differ is at most the
+symmetric difference of the sets, and of linked sets at most a bound that their sizes give.
+
+Sets of similar size meet in size bands. In a band whose linked sets differ in at most t shingles, a very wide sketch is
+cut into P > t segments, each known by the XOR of its shingles' hashes. Linked sets agree in at least P - t segments, so
+joining on single segments finds every linked pair. Segments without shingles say nothing: P leaves room for `spare` of
+them, and a set with more of them is sketched again under other seeds, like every set that it could meet on empty
+segments alone, which keeps the search exact. Segments that only one set has go no farther than their shard.
+
+Pairs are then decided, never whole groups:
+
+1. each set is paired with the one leader (the least set of a segment) that it shares most segments with; a folded sketch
+   of about 16 bits a tolerated difference tests the Hamming distance, and what passes is verified on the sets. Most
+   copies of a large group end in one family here.
+2. segments whose sets are not all of one family yet are searched for pairs across families that pass the Hamming test;
+   the NEAREST such pairs of a set and a family are verified, and more in a next round if there were more. A segment that
+   many sets share is dealt into cells: its largest family stays in place, once in all, and only the others meet it.
+
+A set travels once for all its pairs in a bin, and a pair that fails the Hamming test moves no set.
 
 Defined results
 * no words or no text: an empty set, linked with nothing. Fewer words than a shingle: the whole sequence is one.
@@ -28,18 +36,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, portions, table, written
+from .common import blocks_for, discard, portions, table, written
 from .suffix_dedup import Prefixes, mixed
 
 SHINGLE = 4
 PERCENT = 85
 SHARD_BYTES = 16_000_000
-BLOCK_MEMBERS = 2048
-BLOCK_SHINGLES = 1_500_000
-PIVOTS = 16
 SEEDS = 8
 BATCH = 2048
+STAR = 256  # pairs of one leader that are verified in one bin
+CELL = 8192  # sets of one segment in a cell
+NEAREST = 4
+BITS_PER_DIFFERENCE = 16
 MIX = np.uint64(0xD6E8FEB86659FD93)
+KEY_BYTES = 6
 
 
 class Bands:
@@ -105,15 +115,14 @@ def shingle_sets(texts: list[str], k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def sketch_keys(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """The join keys of a set, and the band of each: one key for each word of its sketches that has shingles.
+def sketch_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
+    """The join keys of a set: one key for each segment of its sketches that has shingles.
 
     If more words than the band's spare ones are empty, the set is sketched again under another seed, as is every set
     that can be linked with it on empty words alone; sets that SEEDS seeds don't help meet under one key.
     """
-    keys, of = [], []
+    keys = []
     for band in bands.of(len(s)):
-        before = len(keys)
         words, spare = bands.sketch(band)
         for seed in range(SEEDS):
             own = mixed(s + np.uint64(seed * int(MIX) % (1 << 64))) if seed else s
@@ -128,85 +137,127 @@ def sketch_keys(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
                 break
         else:
             keys.append(mixed(np.array([tag], np.uint64)))
-        of += [np.full(len(k), band, np.uint8) for k in keys[before:]]
-    return np.concatenate(keys), np.concatenate(of)
+    return np.concatenate(keys)
+
+
+def differ_at_most(a, b, percent: int):
+    """The largest symmetric difference of linked sets of sizes a and b."""
+    return (a + b) * (100 - percent) // (100 + percent)
+
+
+def folded_sketch(s: np.ndarray, percent: int) -> np.ndarray:
+    """The parity sketch of a set in 64-bit words; a power of two of bits, so that a longer one folds into a shorter."""
+    bits = 64
+    while bits < BITS_PER_DIFFERENCE * differ_at_most(len(s), len(s), percent):
+        bits *= 2
+    at = mixed(s ^ MIX) & np.uint64(bits - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    return sketch if len(sketch) == words else np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+
+def hamming(a: bytes, b: bytes) -> int:
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(fold(x, words) ^ fold(y, words)).sum())
+
 
+def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, row_hash, n, d1, d2 (size and digests of the set) and its folded sketch, for every row of (doc_id, text)."""
 
-def _stars(key: np.ndarray, band: np.ndarray, doc: np.ndarray):
-    """Of (key, band, doc) rows: each distinct key with its band and least doc, and the distinct edges (band, least doc,
-    other doc)."""
-    order = np.lexsort((doc, key))
-    k, d, g = key[order], doc[order], band[order]
-    new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
-    head = np.flatnonzero(new)
-    centre = np.repeat(d[head], np.diff(np.concatenate([head, [len(k)]])))
-    other = centre != d
-    edges = np.stack([g[other].astype(np.int64), centre[other], d[other]], axis=1)
-    return k[head], g[head], d[head], np.unique(edges, axis=0) if len(edges) else edges
+    def measure(frames):
+        for f in frames:
+            for lo, hi in portions(f["text"].tolist()):
+                part = f.iloc[lo:hi]
+                sets = shingle_sets(part["text"].tolist(), shingle)
+                total = lambda x: int(np.sum(x, dtype=np.uint64)) if len(x) else 0
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "n": [len(x) for x in sets],
+                    "d1": np.array([total(x) for x in sets], np.uint64).astype(np.int64),
+                    "d2": np.array([total(mixed(x)) for x in sets], np.uint64).astype(np.int64),
+                    "sketch": [folded_sketch(x, percent).tobytes() if len(x) else None for x in sets],
+                })
+
+    return docs.mapInPandas(measure, "doc_id long, row_hash long, n long, d1 long, d2 long, sketch binary")
 
 
-def candidate_edges(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """a, b (band and document): stars over all documents that share a word of a sketch, in each band for itself, so that
-    what documents of quite different sizes share does not join their groups."""
-    per_band = -(-blocks_for(docs, F.octet_length("text"), SHARD_BYTES, 4) // 8)
+def shared_segments(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """key, cid: the segments that more than one class has, and the classes that have them, of (cid, text)."""
+    shards = min(1 << 15, blocks_for(texts, F.octet_length("text"), SHARD_BYTES, 8))
 
     def sketch(frames):
         bands = Bands(percent)
         for whole in frames:
             for lo in range(0, len(whole), BATCH):
-                yield from sketch_batch(whole.iloc[lo : lo + BATCH], bands)
-
-    def sketch_batch(f, bands):
-        keys, levels, docs_ = [], [], []
-        seen: dict[bytes, int] = {}
-        copies = []
-        for lo, hi in portions(f["text"].tolist()):
-            part = f.iloc[lo:hi]
-            for d, s in zip(part["doc_id"].tolist(), shingle_sets(part["text"].tolist(), shingle), strict=True):
-                if not len(s):
-                    continue
-                digest = s.tobytes() if len(s) < 8 else np.array([len(s), s.sum(), np.bitwise_xor.reduce(s)], np.uint64).tobytes()
-                if digest in seen:  # one of equal sets stands for all of the batch
-                    copies.append((bands.of(len(s))[0], seen[digest], d))
-                    continue
-                seen[digest] = d
-                k, band = sketch_keys(s, bands)
-                keys.append(k)
-                levels.append(band)
-                docs_.append(np.full(len(k), d, np.int64))
+                part = whole.iloc[lo : lo + BATCH]
+                yield from sketch_batch(part["cid"].to_numpy(np.int64), part["text"].tolist(), bands)
+
+    def sketch_batch(cids, texts, bands):
+        keys, rows = [], []
+        for lo, hi in portions(texts):
+            for i, s in enumerate(shingle_sets(texts[lo:hi], shingle), lo):
+                if len(s):
+                    keys.append(sketch_keys(s, bands))
+                    rows.append(np.full(len(keys[-1]), i, np.uint16))
         if not keys:
             return
-        key, level, doc, edges = _stars(np.concatenate(keys), np.concatenate(levels), np.concatenate(docs_))
-        edges = np.concatenate([edges, np.array(copies, np.int64).reshape(-1, 3)])
-        # A band's keys have few shards, since a pair that shares many words is an edge in each of its shards.
-        shard = level.astype(np.int64) * per_band + (key % np.uint64(per_band)).astype(np.int64)
+        key, row = np.concatenate(keys), np.concatenate(rows)
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], row[order]
+        again = np.zeros(len(key), bool)
+        again[1:] = key[1:] == key[:-1]
+        several = again.copy()
+        several[:-1] |= again[1:]
+        # Of the sets of this batch that share a segment one goes on to the shard; all are known to share it.
+        shard = _shard_of(key, shards)
+        more = np.stack([_named(key[several], shard[several]), cids[row[several]]], axis=1).astype("<i8").tobytes()
+        key, row, shard = key[~again], row[~again], shard[~again]
         order = np.argsort(shard, kind="stable")
-        names, where = np.unique(doc, return_inverse=True)
         there, cut = np.unique(shard[order], return_index=True)
         for i, (s, own) in enumerate(zip(there.tolist(), np.split(order, cut[1:]), strict=True)):
-            # Documents are named once a row; keys carry a 32-bit index into the names.
-            used, index = np.unique(where[own], return_inverse=True)
+            # Classes are named once a row; a key is six bytes (its shard says the rest) and an index into the names.
+            used, index = np.unique(row[own], return_inverse=True)
+            short = key[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY_BYTES :]
             yield pd.DataFrame({
-                "shard": [s], "keys": [key[own].tobytes()], "levels": [level[own].tobytes()], "index": [index.astype("<u4").tobytes()],
-                "names": [names[used].tobytes()], "edges": [edges.tobytes() if i == 0 else b""],
+                "shard": [s], "keys": [short.tobytes()], "index": [index.astype("<u2").tobytes()],
+                "names": [cids[used].astype("<i8").tobytes()], "more": [more if i == 0 else b""],
             })
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        key, level = np.frombuffer(b"".join(f["keys"]), "<u8"), np.frombuffer(b"".join(f["levels"]), np.uint8)
-        doc = np.concatenate([np.frombuffer(n, "<i8")[np.frombuffer(i, "<u4")] for n, i in zip(f["names"], f["index"], strict=True)])
-        *_, edges = _stars(key, level, doc)
-        edges = np.concatenate([edges, np.frombuffer(b"".join(f["edges"]), "<i8").reshape(-1, 3)])
-        return pd.DataFrame({"band": edges[:, 0], "a": edges[:, 1], "b": edges[:, 2]})
+        flat = np.frombuffer(b"".join(f["keys"]), np.uint8).reshape(-1, KEY_BYTES)
+        wide = np.zeros((len(flat), 8), np.uint8)
+        wide[:, 8 - KEY_BYTES :] = flat
+        key = wide.reshape(-1).view("<u8")
+        cid = np.concatenate([np.frombuffer(n, "<i8")[np.frombuffer(i, "<u2")] for n, i in zip(f["names"], f["index"], strict=True)])
+        order = np.argsort(key, kind="stable")
+        key, cid = key[order], cid[order]
+        same = np.zeros(len(key), bool)
+        same[1:] = key[1:] == key[:-1]
+        same[:-1] |= same[1:]
+        more = np.frombuffer(b"".join(f["more"]), "<i8").reshape(-1, 2)
+        name = _named(key[same], np.full(int(same.sum()), f["shard"].iloc[0], np.int64))
+        return pd.DataFrame({"key": np.concatenate([name, more[:, 0]]), "cid": np.concatenate([cid[same], more[:, 1]])})
 
-    dealt = docs.mapInPandas(sketch, "shard long, keys binary, levels binary, index binary, names binary, edges binary")
-    found = dealt.groupBy("shard").applyInPandas(meet, "band long, a long, b long").distinct()
-    return found.select(F.struct("band", F.col("a").alias("doc")).alias("a"), F.struct("band", F.col("b").alias("doc")).alias("b"))
+    dealt = texts.select("cid", "text").mapInPandas(sketch, "shard int, keys binary, index binary, names binary, more binary")
+    return dealt.groupBy("shard").applyInPandas(meet, "key long, cid long")
+
+
+def _shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    """By the lower two bytes of the key, which are not sent."""
+    return ((key & np.uint64(0xFFFF)).astype(np.int64) * shards) >> 16
+
+
+def _named(key: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """What a segment is called from here on: the six bytes that are sent, and its shard."""
+    return ((key & ~np.uint64(0xFFFF)) | shard.astype(np.uint64)).view(np.int64)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, label (least node reachable) for the nodes of the edges a, b: least labels of neighbours, then a jump to
-    the label's label, until nothing changes; each round is a written table."""
+    the label's label, until nothing changes; each round is a written table, of which only the last is left."""
     both = edges.select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct()
     e = written(both, f"{name}-edges")
     labels = written(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), f"{name}-labels")
@@ -215,201 +266,201 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         near = e.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("m").alias("m"))
         new = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = new.join(up, "label").select("node", "old", F.least("label", "up").alias("label"))
-        new = written(new, f"{name}-labels")
+        new = written(new.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), f"{name}-labels")
         changed = new.where(F.col("old") != F.col("label")).limit(1).count()
-        labels = new.select("node", "label")
+        discard(labels)
+        labels = new
         if not changed:
-            return labels
-
-
-def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which sets are linked: a boolean matrix, by exact intersection sizes."""
-    m = len(sets)
-    n = np.fromiter(map(len, sets), np.int64, m)
-    value = np.concatenate(sets)
-    member = np.repeat(np.arange(m), n)
-    order = np.argsort(value, kind="stable")
-    value, member = value[order], member[order]
-    head = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
-    count = np.diff(np.concatenate([head, [len(value)]]))
-    which = np.repeat(np.arange(len(count)), count)
-    many = count >= max(32, m // 20)
-    shared = np.zeros((m, m), np.float32)
-    if many.any():  # what much of the group holds: a product of incidence matrices, some columns at a time
-        column = np.cumsum(many) - 1
-        pick = many[which]
-        for lo in range(0, int(many.sum()), 2048):
-            here = pick & (column[which] >= lo) & (column[which] < lo + 2048)
-            held = np.zeros((m, min(2048, int(many.sum()) - lo)), np.float32)
-            held[member[here], column[which[here]] - lo] = 1
-            shared += held @ held.T
-    rare = ~many[which] & (count[which] > 1)
-    w, x = which[rare], member[rare]
-    for step in range(1, int(count[~many].max(initial=1))):
-        same = w[step:] == w[:-step]
-        if same.any():
-            flat = np.bincount(x[:-step][same] * m + x[step:][same], minlength=m * m) if m <= 512 else None
-            if flat is not None:
-                flat = flat.reshape(m, m).astype(np.float32)
-                shared += flat + flat.T
-            else:
-                pair, times = np.unique(x[:-step][same] * m + x[step:][same], return_counts=True)
-                shared[pair // m, pair % m] += times
-                shared[pair % m, pair // m] += times
-    np.fill_diagonal(shared, n)
-    return 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
-
-
-def forest(adjacent: np.ndarray, docs: np.ndarray) -> list[tuple[int, int]]:
-    """Edges from the first member of each connected group to its others."""
-    left = np.ones(len(docs), bool)
-    out = []
-    for i in range(len(docs)):
-        if not left[i]:
-            continue
-        left[i] = False
-        front = np.array([i])
-        while len(front):
-            near = np.flatnonzero(adjacent[front].any(axis=0) & left)
-            left[near] = False
-            out += [(int(docs[i]), int(docs[j])) for j in near]
-            front = near
-    return out
-
-
-def _unpacked(docs: bytes, sizes: bytes, values: bytes):
-    n = np.frombuffer(sizes, "<i8")
-    return np.frombuffer(docs, "<i8"), np.split(np.frombuffer(values, "<u8"), np.cumsum(n)[:-1])
-
-
-def verified_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that connect all linked sets of each candidate group (comp, doc_id, n, shingles)."""
-    sizes = sets.groupBy("comp").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
-    large = sizes.where((F.col("members") > BLOCK_MEMBERS) | (F.col("total") > BLOCK_SHINGLES))
-    bins = blocks_for(sets, F.col("n"), BLOCK_SHINGLES, 4)
-
-    def small(f: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in f.groupby("comp", sort=False):
-            if len(g) == 1:
-                continue
-            s = [np.frombuffer(x, "<u8") for x in g["shingles"]]
-            out += forest(linked(s, percent), g["doc_id"].to_numpy())
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    binned = sets.join(large.select("comp"), "comp", "left_anti").withColumn("bin", F.pmod(F.xxhash64("comp"), F.lit(bins)))
-    edges = binned.select("bin", "comp", "doc_id", "shingles").groupBy("bin").applyInPandas(small, "a long, b long")
-    large = written(large, "large-groups")
-    if large.limit(1).count():
-        edges = written(edges, "small-edges").union(_large_edges(sets.join(large, "comp"), percent))
-    return edges
+            discard(e)
+            out = labels.select("node", "label")
+            out.written_at = labels.written_at
+            return out
 
 
-def _blocked(members: DataFrame) -> DataFrame:
-    """comp, block, docs, sizes, values: members packed into blocks; `done` says that all are linked already."""
-    share = F.ceil(F.greatest(F.col("members") / F.lit(BLOCK_MEMBERS), F.col("total") / F.lit(BLOCK_SHINGLES)))
-    block = F.when(F.col("done"), F.lit(0)).otherwise(F.lit(1)).cast("long") + 2 * F.pmod(F.xxhash64("doc_id"), share)
-    m = members.withColumn("block", block)
+def close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those that pass the Hamming test, with the sizes of both sets."""
+    side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
 
-    def packed(f: pd.DataFrame) -> pd.DataFrame:
-        values = [np.frombuffer(x, "<u8") for x in f["shingles"]]
-        row = {c: f[c].iloc[0] for c in ("comp", "block", "done")}
-        row |= {"docs": f["doc_id"].to_numpy("<i8").tobytes(), "sizes": np.array([len(v) for v in values], "<i8").tobytes(), "values": b"".join(f["shingles"])}
-        return pd.DataFrame([row])
+    def test(frames):
+        for f in frames:
+            apart = np.fromiter((hamming(a, b) for a, b in zip(f["s_a"], f["s_b"], strict=True)), np.int64, len(f))
+            keep = apart <= differ_at_most(f["n_a"].to_numpy(np.int64), f["n_b"].to_numpy(np.int64), percent)
+            yield f.loc[keep, ["a", "b", "n_a", "n_b"]]
 
-    m = m.select("comp", "block", "done", "doc_id", "shingles")
-    return m.groupBy("comp", "block").applyInPandas(packed, "comp long, block long, done boolean, docs binary, sizes binary, values binary")
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInPandas(test, "a long, b long, n_a long, n_b long")
 
 
-def _large_edges(members: DataFrame, percent: int) -> DataFrame:
-    blocks = written(_blocked(members.withColumn("done", F.lit(False))), "blocks")
-    # A few pivots of each group, from its first blocks, against all blocks of the group.
-    first = F.col("block") == F.min("block").over(_over("comp"))
-    pivots = blocks.withColumn("first", first).where("first").select("comp", F.struct("docs", "sizes", "values").alias("pivot"))
+def linked_pairs(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """a, b: the pairs (a, b, n_a, n_b; a written table) that are linked, by exact sizes of intersections.
 
-    def against(frames):
+    A leader's pairs are dealt into bins some at a time; each set goes once to each bin that needs it.
+    """
+    bins = blocks_for(pairs, (F.col("n_a") + F.col("n_b")) * 8, SHARD_BYTES, 8)
+    stars = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts"))
+    binned = pairs.join(stars, "a").select(F.pmod(F.xxhash64("a", part), F.lit(bins)).cast("int").alias("bin"), "a", "b")
+    ask = binned.select("bin", F.col("a").alias("cid")).union(binned.select("bin", F.col("b").alias("cid")))
+    ask = ask.groupBy("cid").agg(F.collect_set("bin").alias("bins"))
+    ask = written(rows.join(ask, "cid").select("cid", "rep_doc", "rep_row", "bins"), "join-asks")
+
+    def ship(frames):
         for f in frames:
-            out = []
-            for r in f.itertuples():
-                docs, sets = _unpacked(r.docs, r.sizes, r.values)
-                p_docs, p_sets = _unpacked(r.pivot["docs"], r.pivot["sizes"], r.pivot["values"])
-                typical = np.argsort([len(s) for s in p_sets], kind="stable")
-                take = typical[np.linspace(0, len(typical) - 1, min(PIVOTS, len(typical))).astype(int)]
-                adjacent = linked([p_sets[i] for i in take] + sets, percent)
-                own = np.concatenate([p_docs[take], docs])
-                adjacent[len(take) :, len(take) :] = False
-                out += [e for e in forest(adjacent, own) if e[0] != e[1]]
-            yield pd.DataFrame(out, columns=["a", "b"])
-
-    star = written(blocks.join(pivots, "comp").select("docs", "sizes", "values", "pivot").mapInPandas(against, "a long, b long"), "pivot-edges")
-    edges = star
-    if star.limit(1).count():
-        # A document can be in two groups (two size bands); it is done only in the one whose largest family holds it.
-        labels = components(star, "pivots").select(F.col("node").alias("doc_id"), "label")
-        known = members.select("comp", "doc_id").join(labels, "doc_id")
-        most = known.groupBy("comp", "label").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max(F.struct("k", "label")).alias("m"))
-        done = known.join(most, "comp").where("label = m.label").select("comp", "doc_id", F.lit(True).alias("is_done"))
-        again = members.join(done, ["comp", "doc_id"], "left").withColumn("done", F.coalesce("is_done", F.lit(False)))
-        blocks = written(_blocked(again), "blocks")
-    # Block pairs, each once; a pair of finished blocks has nothing to find.
-    others = blocks.groupBy("comp").agg(F.collect_list(F.struct("block", "done")).alias("others"))
-    alone = (F.col("o.block") != F.col("block")) | (F.size("others") == 1)
-    paired = blocks.join(others, "comp").select("*", F.explode("others").alias("o")).where(alone & ~(F.col("done") & F.col("o.done")))
-    pair = paired.select(
-        "comp", F.least("block", "o.block").alias("x"), F.greatest("block", "o.block").alias("y"), "docs", "sizes", "values"
+            for lo, hi in portions(f["text"].tolist()):
+                part = f.iloc[lo:hi]
+                for cid, to, s in zip(part["cid"].tolist(), part["bins"], shingle_sets(part["text"].tolist(), shingle), strict=True):
+                    yield pd.DataFrame({"bin": to, "cid": cid, "shingles": [s.tobytes()] * len(to)})
+
+    sent = docs.join(ask, (docs.doc_id == ask.rep_doc) & (docs.row_hash == ask.rep_row)).select("cid", "text", "bins")
+    sent = sent.mapInPandas(ship, "bin int, cid long, shingles binary")
+
+    def verify(p: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        held = {c: np.frombuffer(s, "<u8") for c, s in zip(sets["cid"].tolist(), sets["shingles"], strict=True)}
+        keep = []
+        for a, g in p.groupby("a", sort=False):
+            keep.append(g[linked_with(held[a], [held[b] for b in g["b"].tolist()], percent)])
+        return pd.concat(keep)[["a", "b"]] if keep else pd.DataFrame({"a": [], "b": []})
+
+    found = written(binned.groupBy("bin").cogroup(sent.groupBy("bin")).applyInPandas(verify, "a long, b long"), "join-links")
+    discard(ask)
+    return found
+
+
+def linked_with(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets are linked with the one, in whole numbers."""
+    n = np.fromiter(map(len, others), np.int64, len(others))
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    both = np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum(n) - n)
+    return 100 * both >= percent * (len(one) + n - both)
+
+
+def across_families(members: DataFrame, classes: DataFrame, nearest: int, percent: int) -> DataFrame:
+    """a, b, n_a, n_b, more: pairs of different families (key, cid, family) in one segment that pass the Hamming test, the
+    `nearest` of each set and family; `more` says that there were others."""
+    sizes = members.groupBy("key", "family").agg(F.count("*").alias("k"))
+    keys = sizes.groupBy("key").agg(F.count("*").alias("families"), F.sum("k").alias("all"), F.max(F.struct("k", "family")).alias("largest"))
+    keys = keys.where("families > 1")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(CELL)))
+    keys = keys.select(
+        "key", F.col("largest.family").alias("main"), blocks(F.col("largest.k")).alias("mains"), blocks(F.col("all") - F.col("largest.k")).alias("others")
     )
+    live = members.join(keys, "key").withColumn("rest", F.col("family") != F.col("main"))
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("rest"), F.col("others")).otherwise(F.col("mains")))
+    live = live.withColumn("own", own)
+    # A cell (x, y): block x of the others against block y of the main family, or, with y from `mains` on, of the others.
+    to = F.expr(
+        """case when mains = 1 and others = 1 then array(struct(0L as x, 0L as y))
+           when not rest then transform(sequence(0L, others - 1), x -> struct(x as x, own as y))
+           else concat(transform(sequence(0L, mains - 1), y -> struct(own as x, y as y)),
+                       transform(sequence(0L, others - 1), o -> struct(least(own, o) as x, mains + greatest(own, o) as y))) end"""
+    )
+    cells = live.select("key", "cid", "family", "rest", "own", F.explode(to).alias("cell"))
+    cells = written(cells.select(F.xxhash64("key", "cell").alias("cell"), "cid", "family", "rest"), "join-cells")
+    rows = cells.join(classes.select("cid", "n", "sketch"), "cid")
+    bins = blocks_for(cells.join(classes.select("cid", F.length("sketch").alias("size")), "cid"), F.col("size") + 64, SHARD_BYTES, 8)
+
+    def search(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["cell", "cid"]).drop_duplicates(["cell", "cid"])
+        cid, family, n = f["cid"].to_numpy(np.int64), f["family"].to_numpy(np.int64), f["n"].to_numpy(np.int64)
+        rest = f["rest"].to_numpy(bool)
+        sketches = [np.frombuffer(s, "<u8") for s in f["sketch"]]
+        cell = f["cell"].to_numpy(np.int64)
+        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        parts = []
+        for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(cell)).tolist(), strict=True):
+            words = min(map(len, sketches[lo:hi]))
+            bits = np.stack([fold(s, words) for s in sketches[lo:hi]])
+            near = _near(bits, n[lo:hi], family[lo:hi], rest[lo:hi], nearest, percent)
+            if near is not None:
+                parts.append([cid[lo + near[0]], cid[lo + near[1]], n[lo + near[0]], n[lo + near[1]], near[2]])
+        columns = ["a", "b", "n_a", "n_b", "more"]
+        return pd.DataFrame({c: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i, c in enumerate(columns)}).astype({"more": bool})
+
+    found = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInPandas(search, "a long, b long, n_a long, n_b long, more boolean")
+    ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+                           F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"), "more")
+    out = written(ordered.groupBy("a", "b", "n_a", "n_b").agg(F.bool_or("more").alias("more")), "join-near")
+    discard(cells)
+    return out
 
-    def compare(f: pd.DataFrame) -> pd.DataFrame:
-        docs, sets = [], []
-        for r in f.itertuples():
-            d, s = _unpacked(r.docs, r.sizes, r.values)
-            docs.append(d)
-            sets += s
-        return pd.DataFrame(forest(linked(sets, percent), np.concatenate(docs)), columns=["a", "b"])
-
-    return edges.union(pair.groupBy("comp", "x", "y").applyInPandas(compare, "a long, b long"))
-
-
-def _over(*by):
-    from pyspark.sql import Window
 
-    return Window.partitionBy(*by)
+def _near(bits: np.ndarray, n: np.ndarray, family: np.ndarray, rest: np.ndarray, nearest: int, percent: int):
+    """(row, other row, whether there were more): of each row outside the main family and each family the nearest sets that
+    pass the Hamming test; some rows at a time."""
+    who = np.flatnonzero(rest)
+    step = max(1, 2_000_000 // len(n))
+    found = []
+    for lo in range(0, len(who), step):
+        r = who[lo : lo + step]
+        apart = np.zeros((len(r), len(n)), np.int32)
+        for w in range(bits.shape[1]):
+            apart += np.bitwise_count(bits[r, None, w] ^ bits[None, :, w])
+        ok = apart <= differ_at_most(n[r, None], n[None, :], percent)
+        ok &= (family[r, None] != family[None, :]) & ~(rest[None, :] & (np.arange(len(n))[None, :] <= r[:, None]))
+        i, j = np.nonzero(ok)
+        if not len(i):
+            continue
+        order = np.lexsort((apart[i, j], family[j], i))
+        i, j = i[order], j[order]
+        head = np.concatenate([[True], (i[1:] != i[:-1]) | (family[j[1:]] != family[j[:-1]])])
+        first = np.flatnonzero(head)
+        size = np.diff(np.append(first, len(i)))
+        keep = np.arange(len(i)) - np.repeat(first, size) < nearest
+        found.append((r[i[keep]], j[keep], np.repeat(size > nearest, size)[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else None
 
 
 def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id for every row."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    edges = written(candidate_edges(d.where("doc_id is not null"), shingle, percent), "candidate-edges")
-    labels = components(edges, "candidates").select("node.doc", F.xxhash64("label").alias("comp"))
-    groups = labels.groupBy(F.col("doc").alias("g_doc")).agg(F.collect_set("comp").alias("comps"))  # one or two bands
-
-    def measure(frames):
-        for f in frames:
-            for lo, hi in portions(f["text"].tolist()):
-                part = f.iloc[lo:hi]
-                s = shingle_sets(part["text"].tolist(), shingle)
-                keep = part["comps"].notna().to_numpy()
-                fold = lambda x, by: int(by(x)) if len(x) else 0
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "n": [len(x) for x in s],
-                    "comps": part["comps"].array, "shingles": [x.tobytes() if k else None for x, k in zip(s, keep, strict=True)],
-                    "d1": np.array([fold(x, np.sum) for x in s], np.uint64).astype(np.int64),
-                    "d2": np.array([fold(mixed(x), np.bitwise_xor.reduce) for x in s], np.uint64).astype(np.int64),
-                })
-
-    joined = d.withColumn("row_hash", F.xxhash64("text")).join(groups, d.doc_id == groups.g_doc, "left").select("doc_id", "row_hash", "text", "comps")
-    schema = "doc_id long, row_hash long, n long, comps array<long>, shingles binary, d1 long, d2 long"
-    measured = written(joined.mapInPandas(measure, schema), "shingle-sets")
-    held = measured.where("n > 0").select("doc_id", "n", "shingles", "d1", "d2", F.explode("comps").alias("comp"))
-    same = ["comp", "n", "d1", "d2"]
-    classes = held.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.first("shingles").alias("shingles"))
-    classes = written(classes, "classes")
-    copies = held.select(*same, F.col("doc_id").alias("b")).join(classes.select(*same, F.col("doc_id").alias("a")), same).where("a <> b").select("a", "b")
-    found = copies.union(verified_edges(classes.select("comp", "doc_id", "n", "shingles"), percent))
-    labels = components(found, "links").select(F.col("node").alias("l_doc"), "label")
-    out = measured.select("doc_id", "row_hash", F.col("n").alias("n_shingles")).join(labels, F.col("doc_id") == labels.l_doc, "left")
-    return out.select("doc_id", "row_hash", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+    d = d.withColumn("row_hash", F.xxhash64("text"))
+    rows = written(measured(d, shingle, percent), "join-rows")
+    held = rows.where("n > 0 and doc_id is not null")
+    same = ["n", "d1", "d2"]
+    first = F.min(F.struct("doc_id", "row_hash")).alias("least")
+    classes = held.groupBy(*same).agg(first).select(F.monotonically_increasing_id().alias("cid"), *same, F.col("least.doc_id").alias("rep_doc"), F.col("least.row_hash").alias("rep_row"))
+    classes = written(classes, "join-classes")
+    reps = classes.select("cid", "rep_doc", "rep_row")
+    chosen = held.join(reps, (held.doc_id == reps.rep_doc) & (held.row_hash == reps.rep_row)).select("cid", "n", "sketch").dropDuplicates(["cid"])
+    texts = d.join(reps, (d.doc_id == reps.rep_doc) & (d.row_hash == reps.rep_row)).select("cid", "text")
+    segments = written(shared_segments(texts, shingle, percent), "join-segments")
+    members = segments.select("cid").distinct()
+    sketches = written(chosen.join(members, "cid", "left_semi"), "join-sketches")
+
+    # Each set with the leader that it shares most segments with.
+    leaders = segments.groupBy("key").agg(F.min("cid").alias("a"))
+    led = segments.withColumnRenamed("cid", "b").join(leaders, "key").where("a < b").groupBy("a", "b").agg(F.count("*").alias("k"))
+    led = led.groupBy("b").agg(F.max(F.struct("k", -F.col("a"))).alias("m")).select((-F.col("m.col2")).alias("a"), "b")
+    tried = written(close_pairs(led, sketches, percent), "join-led")
+    links = linked_pairs(tried, reps, d, shingle, percent)
+    nearest = NEAREST
+    while True:
+        families = components(links, "join-families")
+        now = segments.join(families, segments.cid == families.node, "left").select("key", "cid", F.coalesce("label", "cid").alias("family"))
+        near = across_families(now, sketches, nearest, percent)
+        new = near.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        more = near.where("more").limit(1).count()
+        new = written(new.select("a", "b", "n_a", "n_b"), "join-new")
+        found = linked_pairs(new, reps, d, shingle, percent)
+        discard(families, near)
+        merged = written(links.union(found), "join-links")
+        seen = written(tried.union(new), "join-tried")
+        discard(links, found, tried, new)
+        links, tried, nearest = merged, seen, nearest * 8
+        if not more:
+            break
+    # Rows of one id are one document.
+    of_doc = held.join(classes.select("cid", *same), same).select("doc_id", "cid")
+    several = of_doc.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("doc_id", "a")
+    links = links.union(of_doc.join(several, "doc_id").where("a < cid").select("a", F.col("cid").alias("b")))
+    families = components(links, "join-families")
+    named = of_doc.join(families, of_doc.cid == families.node, "left").select("doc_id", F.coalesce("label", "cid").alias("family")).distinct()
+    least = named.groupBy("family").agg(F.min("doc_id").alias("component_id"))
+    least = written(named.join(least, "family").select(F.col("doc_id").alias("l_doc"), "component_id"), "join-components")
+    slim = written(rows.select("doc_id", "row_hash", F.col("n").alias("n_shingles")), "join-sizes")
+    discard(rows, classes, segments, sketches, merged, tried, families)
+    out = slim.join(least, F.col("doc_id") == least.l_doc, "left")
+    return out.select("doc_id", "row_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

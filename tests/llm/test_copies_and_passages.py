@@ -94,44 +94,40 @@ def test_components(docs, rows, k, percent):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, k, percent)
 
 
-def test_large_groups_are_compared_in_blocks(docs, rows, monkeypatch):
-    monkeypatch.setattr(parity_join, "BLOCK_MEMBERS", 3)
-    monkeypatch.setattr(parity_join, "PIVOTS", 1)
+def test_hot_segments_are_dealt_into_cells_and_more_rounds_follow(docs, rows, monkeypatch):
+    monkeypatch.setattr(parity_join, "CELL", 2)
+    monkeypatch.setattr(parity_join, "STAR", 1)
+    monkeypatch.setattr(parity_join, "NEAREST", 1)
     got = parity_join.join_components(docs, 4, 85).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4, 85)
 
 
-def test_families_of_two_large_groups(spark, monkeypatch):
-    """Two groups share documents: the largest family of the first, x, is no pivot's in the second, where family y is the
-    largest; links of x with y's members have only the second group to be found in."""
-    monkeypatch.setattr(parity_join, "BLOCK_MEMBERS", 2)
-    monkeypatch.setattr(parity_join, "PIVOTS", 1)
-    rng = np.random.default_rng(3)
-    new = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
-    for _ in range(4):
-        x = new(100)
-        link = np.concatenate([x[:92], new(8)])  # like x
-        bridge = np.concatenate([x[8:92], link[92:], new(8)])  # like `link`, and less like x
-        sets = {i: x + 0 for i in range(1)}
-        sets |= {i: np.concatenate([x[:99], new(1)]) for i in range(1, 8)} | {20: link, 21: bridge}
-        sets |= {i: np.concatenate([bridge[:92], new(8)]) for i in range(22, 34)}
-        rows = [("first", i, sets[i]) for i in range(8)] + [("second", i, s) for i, s in sets.items()]
-        rows = [(7 if c == "first" else 9, i, len(s), np.unique(s).tobytes()) for c, i, s in rows]
-        df = spark.createDataFrame(rows, "comp long, doc_id long, n long, shingles binary")
-        root = {i: i for i in sets}
-
-        def find(a, root=root):
-            while root[a] != a:
-                a = root[a]
-            return a
-
-        want, got = dict(root), dict(root)
-        for pairs, to in ((None, want), ([(r.a, r.b) for r in parity_join.verified_edges(df, 85).collect()], got)):
-            linked = pairs if pairs is not None else [(i, j) for i in sets for j in sets if i < j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
-            for a, b in linked:
-                lo, hi = sorted((find(a, to), find(b, to)))
-                to[hi] = lo
-        assert {i: find(i, got) for i in sets} == {i: find(i, want) for i in sets}
+@pytest.mark.parametrize("nearest", [1, 4])
+def test_grey_group(spark, monkeypatch, nearest):
+    """Copies of one text at all distances from it, many of them just under and just over the bound to each other."""
+    monkeypatch.setattr(parity_join, "NEAREST", nearest)
+    monkeypatch.setattr(parity_join, "CELL", 64)
+    r = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for at in r.choice(150, int(r.integers(1, 9)), replace=False):
+            w[at] = f"x{r.integers(1 << 40)}"
+        rows.append((int(1000 - i), " ".join(w)))
+    got = parity_join.join_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = brute_components(rows, 4, 85)
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == want
+    assert len({c for *_, c in want}) > 3
+
+
+def test_long_sets_are_verified_in_whole_numbers():
+    """At 671,089 common shingles and more, single precision gets the bound wrong."""
+    rng = np.random.default_rng(2)
+    both = np.unique(rng.integers(0, 1 << 62, 17_000_000 // 20, dtype=np.uint64))
+    for extra, linked in ((0, True), (1, False)):
+        own = np.arange(1, 1 + 150 * len(both) // 850 + extra, dtype=np.uint64) | np.uint64(1 << 63)
+        assert parity_join.linked_with(np.concatenate([both, own]), [both], 85).tolist() == [linked]
 
 
 def test_keep_first(docs, rows, empty):
@@ -153,14 +149,24 @@ def test_every_linked_pair_shares_a_key():
                     b = np.concatenate([a[drop - add :], rng.integers(0, 1 << 63, add, dtype=np.uint64)]) if drop else a
                     x, y = np.unique(a), np.unique(b)
                     if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)):
-                        assert len(np.intersect1d(parity_join.sketch_keys(x, bands)[0], parity_join.sketch_keys(y, bands)[0]))
+                        assert len(np.intersect1d(parity_join.sketch_keys(x, bands), parity_join.sketch_keys(y, bands)))
 
 
-def test_linked_matrix():
+def test_exact_verification():
     rng = np.random.default_rng(1)
-    for m in (3, 60, 700):
-        base = rng.integers(0, 1 << 40, 80, dtype=np.uint64)
-        sets = [np.unique(np.concatenate([rng.choice(base, 60, replace=False), rng.integers(0, 1 << 40, 5, dtype=np.uint64)])) for _ in range(m)]
-        got = parity_join.linked(sets, 60)
-        pick = range(0, m, max(1, m // 40))
-        assert all(got[i, j] == (100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j]))) for i in pick for j in pick)
+    base = rng.integers(0, 1 << 40, 80, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 60, replace=False), rng.integers(0, 1 << 40, 5, dtype=np.uint64)])) for _ in range(60)]
+    for x in sets[:8]:
+        assert parity_join.linked_with(x, sets, 60).tolist() == [100 * len(np.intersect1d(x, y)) >= 60 * len(np.union1d(x, y)) for y in sets]
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 9, 70, 500, 3000):
+        for apart in (0, 1, n // 6, n // 3, n):
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            b = np.concatenate([a[apart // 2 :], rng.integers(0, 1 << 63, apart - apart // 2, dtype=np.uint64)])
+            x, y = (parity_join.folded_sketch(np.unique(s), 85).tobytes() for s in (a, b))
+            assert parity_join.hamming(x, y) <= len(np.setxor1d(a, b))
+            if apart >= max(2, n // 3):
+                assert parity_join.hamming(x, y) > parity_join.differ_at_most(len(a), len(b), 85)
