@@ -15,9 +15,10 @@ Pairs are then decided, never whole groups:
 1. each set is paired with the one leader (the least set of a segment) that it shares most segments with; a folded sketch
    of about 16 bits a tolerated difference tests the Hamming distance, and what passes is verified on the sets. Most
    copies of a large group end in one family here.
-2. segments whose sets are not all of one family yet are searched for pairs across families that pass the Hamming test;
-   the NEAREST such pairs of a set and a family are verified, and more in a next round if there were more. A segment that
-   many sets share is dealt into cells: its largest family stays in place, once in all, and only the others meet it.
+2. segments whose sets are not all of one family yet are searched for pairs across families that pass the Hamming test.
+   The nearest one of each set is verified first, which joins most families; then MORE times as many of what is across
+   families still, and so on, until no pair is left. A segment that many sets share is dealt into cells: its largest
+   family stays in place, once in all, and only the others meet it.
 
 A set travels once for all its pairs in a bin, and a pair that fails the Hamming test moves no set.
 
@@ -33,7 +34,7 @@ from math import exp, log, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks_for, discard, portions, table, written
@@ -46,7 +47,8 @@ SEEDS = 8
 BATCH = 2048
 STAR = 256  # pairs of one leader that are verified in one bin
 CELL = 8192  # sets of one segment in a cell
-NEAREST = 4
+SMALL_CELL = 64
+MORE = 8  # times as many of the nearest sets in each next round
 BITS_PER_DIFFERENCE = 16
 MIX = np.uint64(0xD6E8FEB86659FD93)
 KEY_BYTES = 6
@@ -334,9 +336,9 @@ def linked_with(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.n
     return 100 * both >= percent * (len(one) + n - both)
 
 
-def across_families(members: DataFrame, classes: DataFrame, nearest: int, percent: int) -> DataFrame:
-    """a, b, n_a, n_b, more: pairs of different families (key, cid, family) in one segment that pass the Hamming test, the
-    `nearest` of each set and family; `more` says that there were others."""
+def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int, percent: int) -> tuple[DataFrame, bool]:
+    """a, b, n_a, n_b (written): pairs of different families (key, cid, family) in one segment that pass the Hamming test and
+    are not among the tried ones, the `nearest` of each set; and whether there may be others."""
     sizes = members.groupBy("key", "family").agg(F.count("*").alias("k"))
     keys = sizes.groupBy("key").agg(F.count("*").alias("families"), F.sum("k").alias("all"), F.max(F.struct("k", "family")).alias("largest"))
     keys = keys.where("families > 1")
@@ -362,52 +364,108 @@ def across_families(members: DataFrame, classes: DataFrame, nearest: int, percen
     def search(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["cell", "cid"]).drop_duplicates(["cell", "cid"])
         cid, family, n = f["cid"].to_numpy(np.int64), f["family"].to_numpy(np.int64), f["n"].to_numpy(np.int64)
-        rest = f["rest"].to_numpy(bool)
-        sketches = [np.frombuffer(s, "<u8") for s in f["sketch"]]
+        rest, sketches = f["rest"].to_numpy(bool), f["sketch"].tolist()
         cell = f["cell"].to_numpy(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-        parts = []
-        for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(cell)).tolist(), strict=True):
-            words = min(map(len, sketches[lo:hi]))
-            bits = np.stack([fold(s, words) for s in sketches[lo:hi]])
-            near = _near(bits, n[lo:hi], family[lo:hi], rest[lo:hi], nearest, percent)
-            if near is not None:
-                parts.append([cid[lo + near[0]], cid[lo + near[1]], n[lo + near[0]], n[lo + near[1]], near[2]])
-        columns = ["a", "b", "n_a", "n_b", "more"]
-        return pd.DataFrame({c: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i, c in enumerate(columns)}).astype({"more": bool})
-
-    found = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInPandas(search, "a long, b long, n_a long, n_b long, more boolean")
-    ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-                           F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"), "more")
-    out = written(ordered.groupBy("a", "b", "n_a", "n_b").agg(F.bool_or("more").alias("more")), "join-near")
-    discard(cells)
-    return out
-
-
-def _near(bits: np.ndarray, n: np.ndarray, family: np.ndarray, rest: np.ndarray, nearest: int, percent: int):
-    """(row, other row, whether there were more): of each row outside the main family and each family the nearest sets that
-    pass the Hamming test; some rows at a time."""
+        size = np.diff(np.append(begin, len(cell)))
+        found = [_close_in_small(np.repeat(begin + size, size), np.repeat(size, size) <= SMALL_CELL, n, family, sketches, percent)]
+        for lo, k in zip(begin[size > SMALL_CELL].tolist(), size[size > SMALL_CELL].tolist(), strict=True):
+            found += [x + np.array([[lo], [lo], [0]]) for x in _close_in_large(sketches[lo : lo + k], n[lo : lo + k], family[lo : lo + k], rest[lo : lo + k], nearest, percent)]
+        i, j, apart = np.concatenate(found, axis=1)
+        # A pair that several cells have counts once; of each set the nearest of each family, then the nearest of all.
+        pick = np.unique(np.stack([cid[i], cid[j]], axis=1), axis=0, return_index=True)[1]
+        i, j, apart = i[pick], j[pick], apart[pick]
+        keep = _first(cid[i], family[j], apart, a_family(nearest))
+        more = len(keep) < len(i)
+        i, j, apart = i[keep], j[keep], apart[keep]
+        keep = _first(cid[i], np.zeros(len(i), np.int64), apart, nearest)
+        more |= len(keep) < len(i)
+        i, j, apart = i[keep], j[keep], apart[keep]
+        return pd.DataFrame({"r": cid[i], "f": cid[j], "n_r": n[i], "n_f": n[j], "apart": apart, "more": more})
+
+    schema = "r long, f long, n_r long, n_f long, apart long, more boolean"
+    found = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInPandas(search, schema)
+    found = written(found.groupBy("r", "f", "n_r", "n_f", "apart").agg(F.bool_or("more").alias("more")), "join-near")
+    r_first = F.col("r") < F.col("f")
+    pair = [F.least("r", "f").alias("a"), F.greatest("r", "f").alias("b")]
+    new = found.select("*", *pair).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    new = new.withColumn("place", F.row_number().over(Window.partitionBy("r").orderBy("apart", "f"))).where(F.col("place") <= nearest + 1)
+    out = new.select("a", "b", F.when(r_first, F.col("n_r")).otherwise(F.col("n_f")).alias("n_a"), F.when(r_first, F.col("n_f")).otherwise(F.col("n_r")).alias("n_b"), "place")
+    out = written(out.groupBy("a", "b", "n_a", "n_b").agg(F.min("place").alias("place")), "join-new")
+    more = found.where("more").limit(1).count() or out.where(F.col("place") > nearest).limit(1).count()
+    discard(cells, found)
+    new = written(out.where(F.col("place") <= nearest).drop("place"), "join-new")
+    discard(out)
+    return new, bool(more)
+
+
+def a_family(nearest: int) -> int:
+    """How many of the nearest sets may be of one family."""
+    return -(-nearest // 4)
+
+
+def _first(one: np.ndarray, two: np.ndarray, value: np.ndarray, most: int) -> np.ndarray:
+    """Places of the `most` rows of least value of each (one, two)."""
+    order = np.lexsort((value, two, one))
+    o, t = one[order], two[order]
+    head = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (t[1:] != t[:-1])])[: len(o)])
+    size = np.diff(np.append(head, len(o)))
+    return order[np.arange(len(o)) - np.repeat(head, size) < most]
+
+
+def _may_link(n_i, n_j, percent: int):
+    return np.abs(n_i - n_j) * (100 + percent) <= (n_i + n_j) * (100 - percent)
+
+
+def _close_in_small(end: np.ndarray, small: np.ndarray, n: np.ndarray, family: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """(row, other row, Hamming distance), both ways, of all close pairs of different families in the small cells at once; `end`
+    is where each row's cell ends."""
+    left, right = [], []
+    at = np.flatnonzero(small)
+    step = 1
+    while len(at):
+        at = at[at + step < end[at]]
+        ok = (family[at] != family[at + step]) & _may_link(n[at], n[at + step], percent)
+        left.append(at[ok])
+        right.append(at[ok] + step)
+        step += 1
+    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    words = np.fromiter(map(len, sketches), np.int64, len(sketches)) // 8
+    offset = np.cumsum(words) - words
+    flat = np.frombuffer(b"".join(sketches), "<u8")
+    low = np.minimum(words[i], words[j])
+    apart = np.zeros(len(i), np.int64)
+    for w in np.unique(low).tolist():
+        for a, b in np.unique(np.stack([words[i], words[j]], axis=1)[low == w], axis=0).tolist():
+            pick = np.flatnonzero((words[i] == a) & (words[j] == b))
+            for lo in range(0, len(pick), 4_000_000 // (a + b)):
+                part = pick[lo : lo + 4_000_000 // (a + b)]
+                x = np.bitwise_xor.reduce(flat[offset[i[part], None] + np.arange(a)].reshape(len(part), -1, w), axis=1)
+                y = np.bitwise_xor.reduce(flat[offset[j[part], None] + np.arange(b)].reshape(len(part), -1, w), axis=1)
+                apart[part] = np.bitwise_count(x ^ y).sum(axis=1)
+    ok = apart <= differ_at_most(n[i], n[j], percent)
+    i, j, apart = i[ok], j[ok], apart[ok]
+    return np.stack([np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([apart, apart])])
+
+
+def _close_in_large(sketches: list[bytes], n: np.ndarray, family: np.ndarray, rest: np.ndarray, nearest: int, percent: int):
+    """The same of one large cell, from its sets outside the main family to all, some rows at a time; of each set and family
+    only one more than `nearest`."""
+    parts = [np.frombuffer(s, "<u8") for s in sketches]
+    words = min(map(len, parts))
+    bits = np.stack([fold(s, words) for s in parts])
     who = np.flatnonzero(rest)
     step = max(1, 2_000_000 // len(n))
-    found = []
     for lo in range(0, len(who), step):
         r = who[lo : lo + step]
         apart = np.zeros((len(r), len(n)), np.int32)
-        for w in range(bits.shape[1]):
+        for w in range(words):
             apart += np.bitwise_count(bits[r, None, w] ^ bits[None, :, w])
-        ok = apart <= differ_at_most(n[r, None], n[None, :], percent)
-        ok &= (family[r, None] != family[None, :]) & ~(rest[None, :] & (np.arange(len(n))[None, :] <= r[:, None]))
-        i, j = np.nonzero(ok)
-        if not len(i):
-            continue
-        order = np.lexsort((apart[i, j], family[j], i))
-        i, j = i[order], j[order]
-        head = np.concatenate([[True], (i[1:] != i[:-1]) | (family[j[1:]] != family[j[:-1]])])
-        first = np.flatnonzero(head)
-        size = np.diff(np.append(first, len(i)))
-        keep = np.arange(len(i)) - np.repeat(first, size) < nearest
-        found.append((r[i[keep]], j[keep], np.repeat(size > nearest, size)[keep]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else None
+        i, j = np.nonzero((apart <= differ_at_most(n[r, None], n[None, :], percent)) & (family[r, None] != family[None, :]))
+        if len(i):
+            h = apart[i, j].astype(np.int64)
+            keep = _first(i, family[j], h, nearest + 1)
+            yield np.stack([r[i[keep]], j[keep], h[keep]])
 
 
 def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -433,32 +491,33 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     led = led.groupBy("b").agg(F.max(F.struct("k", -F.col("a"))).alias("m")).select((-F.col("m.col2")).alias("a"), "b")
     tried = written(close_pairs(led, sketches, percent), "join-led")
     links = linked_pairs(tried, reps, d, shingle, percent)
-    nearest = NEAREST
-    while True:
-        families = components(links, "join-families")
+    families, nearest, more = components(links, "join-families"), 1, True
+    while more:
         now = segments.join(families, segments.cid == families.node, "left").select("key", "cid", F.coalesce("label", "cid").alias("family"))
-        near = across_families(now, sketches, nearest, percent)
-        new = near.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        more = near.where("more").limit(1).count()
-        new = written(new.select("a", "b", "n_a", "n_b"), "join-new")
-        found = linked_pairs(new, reps, d, shingle, percent)
-        discard(families, near)
-        merged = written(links.union(found), "join-links")
-        seen = written(tried.union(new), "join-tried")
-        discard(links, found, tried, new)
-        links, tried, nearest = merged, seen, nearest * 8
-        if not more:
-            break
+        new, more = across_families(now, sketches, tried, nearest, percent)
+        if new.limit(1).count():
+            found = linked_pairs(new, reps, d, shingle, percent)
+            seen = written(tried.union(new), "join-tried")
+            if found.limit(1).count():
+                merged = written(links.union(found), "join-links")
+                discard(links, families)
+                links, families = merged, components(merged, "join-families")
+            discard(found, tried)
+            tried = seen
+        discard(new)
+        nearest *= MORE
     # Rows of one id are one document.
     of_doc = held.join(classes.select("cid", *same), same).select("doc_id", "cid")
     several = of_doc.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("doc_id", "a")
-    links = links.union(of_doc.join(several, "doc_id").where("a < cid").select("a", F.col("cid").alias("b")))
-    families = components(links, "join-families")
+    several = written(of_doc.join(several, "doc_id").where("a < cid").select("a", F.col("cid").alias("b")), "join-several")
+    if several.limit(1).count():
+        discard(families)
+        families = components(links.union(several), "join-families")
     named = of_doc.join(families, of_doc.cid == families.node, "left").select("doc_id", F.coalesce("label", "cid").alias("family")).distinct()
     least = named.groupBy("family").agg(F.min("doc_id").alias("component_id"))
     least = written(named.join(least, "family").select(F.col("doc_id").alias("l_doc"), "component_id"), "join-components")
     slim = written(rows.select("doc_id", "row_hash", F.col("n").alias("n_shingles")), "join-sizes")
-    discard(rows, classes, segments, sketches, merged, tried, families)
+    discard(rows, classes, segments, sketches, links, tried, families, several)
     out = slim.join(least, F.col("doc_id") == least.l_doc, "left")
     return out.select("doc_id", "row_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -97,15 +97,16 @@ def test_components(docs, rows, k, percent):
 def test_hot_segments_are_dealt_into_cells_and_more_rounds_follow(docs, rows, monkeypatch):
     monkeypatch.setattr(parity_join, "CELL", 2)
     monkeypatch.setattr(parity_join, "STAR", 1)
-    monkeypatch.setattr(parity_join, "NEAREST", 1)
+    monkeypatch.setattr(parity_join, "SMALL_CELL", 2)
     got = parity_join.join_components(docs, 4, 85).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4, 85)
 
 
-@pytest.mark.parametrize("nearest", [1, 4])
-def test_grey_group(spark, monkeypatch, nearest):
+@pytest.mark.parametrize("small", [2, 64])
+def test_grey_group(spark, monkeypatch, small):
     """Copies of one text at all distances from it, many of them just under and just over the bound to each other."""
-    monkeypatch.setattr(parity_join, "NEAREST", nearest)
+    monkeypatch.setattr(parity_join, "SMALL_CELL", small)
+    monkeypatch.setattr(parity_join, "MORE", 3)
     monkeypatch.setattr(parity_join, "CELL", 64)
     r = np.random.default_rng(11)
     base = [f"w{i}" for i in range(150)]
