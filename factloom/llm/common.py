@@ -57,7 +57,7 @@ def ascii_lower(c: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text, in order (null or blank text: no words)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{WHITE_CLASS}+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WHITE_CLASS}+"), "")
 
 
 def blocks_for(df: DataFrame, size: Column, per_block: int, least: int = 1) -> int:

@@ -103,14 +103,13 @@ def distance(p, q):
     return np.sqrt(max(0, (half(p) + half(q)) / 2))
 
 
-def test_quality_rules(docs, rows, empty, monkeypatch):
+def test_quality_rules(docs, rows, empty):
     text = {**{d: t for d, t, *_ in rows}}
     f = quality_rules.base_features(docs).collect()
     assert len(f) == len(rows)
     for r in f:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(text[r.doc_id])
         assert sum(r.classes) == len(text[r.doc_id] or "")
-    monkeypatch.setattr(quality_rules, "MIN_DOCS", 2)
     j = quality_rules.judge(docs).collect()
     near = [r for r in j if r.lang == "de" and r.class_distance is not None]
     assert near and all(r.class_distance == pytest.approx(distance(r.classes, r.ref_classes), abs=1e-9) for r in near)
@@ -119,6 +118,44 @@ def test_quality_rules(docs, rows, empty, monkeypatch):
     assert quality_rules.judge(empty).count() == 0
 
 
+def plain_classes(text):
+    import unicodedata
+
+    of = {"Ll": 0, "Lu": 2, "Nd": 4}
+    out = [0] * 7
+    for c in text:
+        kind = unicodedata.category(c)
+        out[1 if c in " \t\n\x0b\x0c\r" else 3 if c in ".,;:'\"?!-" else 5 if c in "#*$%&|<>" else of.get(kind, 6)] += 1
+    return out
+
+
+def test_verdicts_against_plain_python(spark, tiny):
+    docs, labels = spark.read.parquet(f"{tiny}/documents.parquet"), spark.read.parquet(f"{tiny}/labels.parquet")
+    good = {r.doc_id for r in labels.collect() if r.quality == 1 and not r.toxic}
+    rows = docs.collect()
+    base = {r.doc_id: brute_rules(r.text) for r in rows}
+    classes = {r.doc_id: plain_classes(r.text or "") for r in rows}
+    words = {r.doc_id: re.findall(r"[^ \t-\r]+", r.text or "") for r in rows}
+    common = {r.doc_id: [*(words[r.doc_id].count(w) for w in quality_rules.COMMON_WORDS[r.lang]), sum(w not in quality_rules.COMMON_WORDS[r.lang] for w in words[r.doc_id])] for r in rows}
+    of = lambda table, lang: np.sum([table[r.doc_id] for r in rows if r.lang == lang and r.doc_id in good and not base[r.doc_id][-1]], axis=0)
+    langs = {r.lang for r in rows}
+    pooled = sum(of(classes, x) for x in langs)
+    got = {r.doc_id: r for r in quality_rules.judge(docs, labels).collect()}
+    for r in rows:
+        n, chars, lang = len(words[r.doc_id]), len(r.text or ""), r.lang
+        ref, ref_words = of(classes, lang), of(common, lang)
+        far = False
+        if chars >= quality_rules.MIN_CHARS_FOR_CLASSES:
+            d = distance(classes[r.doc_id], ref + pooled * quality_rules.PRIOR_CHARS / pooled.sum())
+            assert got[r.doc_id].class_distance == pytest.approx(d, abs=1e-9)
+            far |= d > quality_rules.MAX_CLASS_DISTANCE + quality_rules.CLASS_SLACK * (chars**-0.5 + (ref.sum() + quality_rules.PRIOR_CHARS) ** -0.5)
+        if n >= quality_rules.MIN_WORDS_FOR_COMMON:
+            d = distance(common[r.doc_id], ref_words)
+            assert got[r.doc_id].word_distance == pytest.approx(d, abs=1e-9)
+            far |= d > quality_rules.MAX_WORD_DISTANCE + quality_rules.WORD_SLACK * (n**-0.5 + ref_words.sum() ** -0.5)
+        assert got[r.doc_id].kept == (not base[r.doc_id][-1] and not far)
+
+
 def test_common_words_are_counted(spark):
     text = "the the cat the of of\tthe Then the, of"
     r = quality_rules.base_features(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")).first()
@@ -127,8 +164,8 @@ def test_common_words_are_counted(spark):
 
 
 def test_junk_is_rejected_on_the_given_tables(spark, tiny):
-    judged = quality_rules.judge(spark.read.parquet(f"{tiny}/documents.parquet"))
     labels = spark.read.parquet(f"{tiny}/labels.parquet")
+    judged = quality_rules.judge(spark.read.parquet(f"{tiny}/documents.parquet"), labels)
     rate = {r.quality: r.rate for r in judged.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("rate")).collect()}
     assert rate[1] > 0.85 and rate[0] < 0.2
 
