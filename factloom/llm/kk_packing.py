@@ -2,10 +2,11 @@
 
 Tokenising and packing happen in one pass over the documents, without a shuffle: every task packs the documents that
 it reads. A document longer than a window gives whole windows by itself; what is left of BLOCK documents is partitioned
-into the fewest windows that can hold it. Differencing starts with one partial partition an item and always merges the
-two with the largest imbalances, largest sums against smallest, which gives near-equal windows. Windows that exceed the
-capacity are cut at it, and the cut-off tails go where there is room (documents may be cut freely); with cut=False the
-number of windows rises until none exceeds the capacity.
+into windows. Differencing starts with one partial partition an item and always merges the two with the largest
+imbalances, largest sums against smallest, which gives near-equal windows. The number of windows starts with the fewest
+that could hold the block and rises while one of them exceeds the capacity, as long as at most MAX_PADDING is padding;
+what exceeds the capacity at that number is cut off and goes where there is room (documents may be cut freely). Without
+a bound on the padding nothing is cut.
 
 Defined results
 * null or empty text: only the end id; every document, repeated ids and null ids included, is packed as its own.
@@ -29,7 +30,12 @@ from .common import table
 CAPACITY = 2048
 END_ID = 1
 BLOCK = 1024
-CACHED_WORDS = 1_200_000
+MAX_PADDING = 0.02
+CACHED_BYTES = 200_000_000
+ENTRY_BYTES = 160
+RUN_WORDS = 512
+RUN_CHARS = 64
+WORD_END = "</w>"
 # str.split() and \s of `re` also count U+001C to U+001F as white space, which the tokenizer does not.
 _NOT_WHITE = re.compile(r"[\x1c-\x1f]")
 _WORD = re.compile(r"[\S\x1c-\x1f]+")
@@ -78,17 +84,22 @@ def difference(sizes: list[int], k: int) -> np.ndarray:
     return out
 
 
-def pack_items(sizes: list[int], capacity: int = CAPACITY, cut: bool = True) -> list[list[tuple[int, int, int]]]:
-    """Windows of (item, start, length) pieces; every unit of every item is in exactly one piece."""
+def pack_items(sizes: list[int], capacity: int = CAPACITY, max_padding: float | None = MAX_PADDING) -> list[list[tuple[int, int, int]]]:
+    """Windows of (item, start, length) pieces; every unit of every item is in exactly one piece.
+
+    The number of windows rises while one of them exceeds the capacity, up to that whose padding is max_padding (None: as
+    far as it takes, for items of at most the capacity); only what exceeds the capacity then is cut.
+    """
     if not sizes:
         return []
-    k = max(1, -(-sum(sizes) // capacity))
+    total = sum(sizes)
+    k = least = max(1, -(-total // capacity))
+    most = len(sizes) if max_padding is None else max(least, int(total / (capacity * (1 - max_padding))))
     while True:
         window = difference(sizes, k)
-        sums = np.bincount(window, weights=sizes, minlength=k)
-        if cut or sums.max() <= capacity:
+        if k >= most or np.bincount(window, weights=sizes, minlength=k).max() <= capacity:
             break
-        k += 1
+        k = min(most, k + max(1, k // 100))
     windows: list[list[tuple[int, int, int]]] = [[] for _ in range(k)]
     for i, w in enumerate(window.tolist()):
         windows[w].append((i, 0, sizes[i]))
@@ -124,45 +135,51 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith(WORD_END)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        self.start = np.zeros(1 << 16, np.int64)  # where each word's ids begin, and where the last one's end
+        self.size = 0  # bytes that the words take, about
 
-    def _append(self, words: list[str], pieces: list) -> None:
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.fromiter((x for p in pieces for x in p), np.uint32, int(lengths.sum()))
-        first = len(self.index)
-        end = int(self.start[-1])
+    def _append(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        first, end = len(self.index), int(self.start[len(self.index)])
         while end + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while first + len(words) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         self.ids[end : end + len(flat)] = flat
-        self.start = np.concatenate([self.start, end + np.cumsum(lengths)])
+        self.start[first + 1 : first + len(words) + 1] = end + np.cumsum(lengths)
         self.index.update(zip(words, range(first, first + len(words)), strict=True))
+        self.size += ENTRY_BYTES * len(words) + 4 * len(flat) + sum(map(len, words))
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.index]
-        # A word of letters and one full stop or comma is the letters' ids and the mark's.
-        stems, ended = [], []
-        for w in new:
-            (ended if w[-1] in ".," and w[:-1].isalpha() and w.isascii() else stems).append(w)
-        seen = set(stems)
-        for w in ended:
-            if (s := w[:-1]) not in self.index and s not in seen:
-                seen.add(s)
-                stems.append(s)
-        for m in ".,":
-            if m not in self.index and m not in seen:
-                seen.add(m)
-                stems.append(m)
-        if stems:
-            self._append(stems, [e.ids for e in self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)])
-        if ended:
-            get = lambda w: self.ids[self.start[i := self.index[w]] : self.start[i + 1]].tolist()
-            mark = {m: get(m) for m in ".,"}
-            self._append(ended, [get(w[:-1]) + mark[w[-1]] for w in ended])
+        # A word of letters is one token run, which ends with an end-of-word id; a full stop or comma after it is another.
+        # Such words are encoded many at a time, and the ends say which ids are whose.
+        plain = [w for w in new if w.isalpha() and len(w) <= RUN_CHARS]
+        ended = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and w.isascii() and len(w) <= RUN_CHARS]
+        kept = plain + ended
+        runs = np.ones(len(kept), np.int64)
+        runs[len(plain) :] = 2
+        parts = [kept[lo : lo + RUN_WORDS] for lo in range(0, len(kept), RUN_WORDS)]
+        odd = set(new).difference(kept)
+        for i, e in enumerate(self.tokenizer.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False)):
+            flat = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[flat])
+            last = np.cumsum(runs[i * RUN_WORDS : i * RUN_WORDS + len(parts[i])])
+            if len(ends) != last[-1]:  # a letter that the tokenizer takes apart: word by word
+                odd.update(parts[i])
+                continue
+            self._append(parts[i], flat, np.diff(ends[last - 1] + 1, prepend=0))
+        if odd:
+            odd = list(odd)
+            ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            self._append(odd, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by END_ID, and where each text's ids begin (and the end of all)."""
@@ -170,7 +187,7 @@ class _Words:
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = [w for s in split for w in s]
         del split
-        if len(self.index) > CACHED_WORDS:
+        if self.size > CACHED_BYTES:
             self.clear()
         self.learn(set(words))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
@@ -205,7 +222,7 @@ def _split(text: str) -> list[str]:
 _words: dict[str, _Words] = {}
 
 
-def _packer(path: str, capacity: int, cut: bool, with_ids: bool):
+def _packer(path: str, capacity: int, max_padding: float | None, with_ids: bool):
     schema = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
     def pack(frames):
@@ -236,7 +253,7 @@ def _packer(path: str, capacity: int, cut: bool, with_ids: bool):
                         sequence += 1
                     if n > whole:
                         rest.append((d, whole, n - whole))
-                for window in pack_items([r[2] for r in rest], capacity, cut):
+                for window in pack_items([r[2] for r in rest], capacity, max_padding):
                     offset = 0
                     for item, start, length in window:
                         put(rest[item][0], rest[item][1] + start, length, offset)
@@ -249,12 +266,12 @@ def _packer(path: str, capacity: int, cut: bool, with_ids: bool):
     return pack
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, cut: bool = True, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, max_padding: float | None = MAX_PADDING, with_ids: bool = True) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, the ids."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" if with_ids else ""
     d = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text")
-    return d.mapInPandas(_packer(tokenizer or default_tokenizer(), capacity, cut, with_ids), schema)
+    return d.mapInPandas(_packer(tokenizer or default_tokenizer(), capacity, max_padding, with_ids), schema)
 
 
 def op7_kk_packing(spark, sf_dir):
