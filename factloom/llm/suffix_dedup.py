@@ -449,14 +449,14 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES, seed_bytes: int
 
 def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """The documents with all their columns; text lacks the repeated spans, and the characters that a cut has split."""
-    cols = docs.columns
-    d = docs.select(*[F.col(f"`{c}`") for c in cols])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    text_hash = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    d = docs.select(row, F.col("doc_id").cast("long").alias("own_id"), text_hash.alias("own_hash"))
     spans = repeated_spans(docs, min_bytes).where("n_removed > 0")
-    spans = spans.select(F.col("doc_id").alias("s_doc"), F.col("text_sha256").alias("s_row"), "kept").dropDuplicates(["s_doc", "s_row"])
-    row = F.sha2(F.coalesce(d.text, F.lit("")).cast("binary"), 256)
-    j = d.join(spans, d.doc_id.eqNullSafe(spans.s_doc) & (row == spans.s_row), "left")
-    whole = F.when(F.col("kept").isNull(), F.col("text")).otherwise(_readable(F.col("kept")))
-    return j.select(*[whole.alias(c) if c == "text" else F.col(f"`{c}`") for c in cols])
+    spans = spans.select(F.col("doc_id").alias("cut_id"), F.col("text_sha256").alias("cut_hash"), F.col("kept").alias("left_over")).dropDuplicates(["cut_id", "cut_hash"])
+    j = d.join(spans, F.col("own_id").eqNullSafe(F.col("cut_id")) & (F.col("own_hash") == F.col("cut_hash")), "left")
+    text = F.when(F.col("left_over").isNull(), F.col("whole.text")).otherwise(_readable(F.col("left_over")))
+    return j.select(*[(text if c == "text" else F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _readable(kept):

@@ -40,6 +40,9 @@ def test_remove_repeats(docs, rows, empty):
     assert out.columns == docs.columns and out.count() == len(rows)
     text = {r.doc_id: r.text for r in out.collect()}
     assert text[80] is None and text[79] == "" and text[85] == next(r[1] for r in rows if r[0] == 85)
+    more = docs.selectExpr("*", *[f"'x' as {c}" for c in ("whole", "own_id", "own_hash", "cut_id", "cut_hash", "left_over", "s_doc", "s_row", "edges")])
+    assert suffix_dedup.remove_repeats(more).columns == more.columns
+    assert Counter(r.text for r in suffix_dedup.remove_repeats(more).collect()) == Counter(r.text for r in out.collect())
     assert suffix_dedup.remove_repeats(empty).count() == 0
     assert suffix_dedup.repeated_spans(empty).count() == 0
 
