@@ -68,18 +68,23 @@ def transform_numeric(text: Column, fmt: Column, scale: Column, sign: Column) ->
     clean = F.trim(F.translate(text, "   ", "   "))
     clean = F.regexp_replace(clean, r"^\s+|\s+$", "")
     local = F.replace(F.when(F.instr(fmt, ":") > 0, F.regexp_extract(fmt, r"^[^:]*:(.*)$", 1)).otherwise(fmt), F.lit("-"), F.lit(""))
-    dot = F.regexp_replace(clean, "[, ]", "")
-    comma = F.translate(F.regexp_replace(clean, "[. ]", ""), ",", ".")
-    known = fmt.isNull() | local.isin(*DOT_FORMATS, *COMMA_FORMATS, *ZERO_FORMATS)
-    digits = F.when(local.isin(*ZERO_FORMATS), F.lit("0")).when(local.isin(*COMMA_FORMATS), comma).otherwise(dot)
-    number = F.when(digits.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), digits)
-    # Moving the point is a change of the exponent, so that no power of ten is ever rounded.
-    scaled = F.concat(F.regexp_extract(number, r"^[^eE]+", 0), F.lit("E"), (F.coalesce(found(number, r"[eE]([+-]?\d+)$").cast("int"), F.lit(0)) + F.coalesce(scale.cast("int"), F.lit(0))).cast("string"))
-    value = scaled.try_cast(NUMERIC)
-    value = F.when(sign == "-", -value).otherwise(value)
-    empty = clean == ""
-    error = F.when(~known, F.lit("UnsupportedFormat")).when(~empty & number.isNull(), F.lit("UnsupportedFormat"))
-    return F.struct(F.when(known & ~empty, value).alias("value"), error.alias("error"))
+
+    def digits(x: Column) -> Column:
+        comma, dot = F.translate(x["clean"], ",. ", "."), F.translate(x["clean"], ", ", "")
+        plain = F.when(x["local"].isin(*ZERO_FORMATS), F.lit("0")).when(x["local"].isin(*COMMA_FORMATS), comma).otherwise(dot)
+        known = x["local"].isNull() | x["local"].isin(*DOT_FORMATS, *COMMA_FORMATS, *ZERO_FORMATS)
+        part = lambda i: F.regexp_extract(plain, r"^([+-]?(?:\d+\.?\d*|\.\d+))(?:[eE]([+-]?\d+))?$", i)
+        return let(F.struct(part(1).alias("mantissa"), part(2).alias("exponent"), known.alias("known"), (x["clean"] == "").alias("empty")), number)
+
+    def number(x: Column) -> Column:
+        # Moving the point is a change of the exponent, so that no power of ten is ever rounded.
+        exponent = F.coalesce(x["exponent"].try_cast("int"), F.lit(0)) + F.coalesce(scale.cast("int"), F.lit(0))
+        value = F.concat(x["mantissa"], F.lit("E"), exponent.cast("string")).try_cast(NUMERIC)
+        signed = F.when(sign == "-", -value).otherwise(value)
+        bad = ~x["known"] | (~x["empty"] & (x["mantissa"] == ""))
+        return F.struct(F.when(x["known"] & ~x["empty"], signed).alias("value"), F.when(bad, F.lit("UnsupportedFormat")).alias("error"))
+
+    return let(F.struct(clean.alias("clean"), local.alias("local")), digits)
 
 
 def normalise_number(raw: Column) -> Column:

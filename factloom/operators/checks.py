@@ -48,12 +48,14 @@ def values_complete(values: DataFrame, expected: int = 18) -> DataFrame:
 
 
 def extract_counts_match(extractions: DataFrame, quarantine: DataFrame, extract_runs: DataFrame) -> DataFrame:
-    """Succeeded runs whose counts differ from the rows of their batch."""
-    failed = quarantine.where("stage = 'extract' and reason <> 'LowConfidence'")
-    tagged = extractions.select("batch_id", F.lit("kept").alias("kind")).union(failed.select("batch_id", F.lit("failed")))
-    rows = tagged.groupBy("batch_id").agg(F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "failed").alias("failed"))
-    runs = extract_runs.where("status = 'succeeded'").groupBy("batch_id").agg(F.sum("extracted").alias("extracted"))
-    return runs.join(rows, "batch_id", "left").fillna(0, ["kept", "failed"]).where("extracted <> kept")
+    """Batches whose succeeded runs count other numbers of answers or failures than there are rows; an answer of low
+    confidence is a row of both kinds and counts in both."""
+    there = extractions.select("batch_id", F.lit(1).alias("kept"), F.lit(0).alias("failed"))
+    there = there.union(quarantine.where("stage = 'extract'").select("batch_id", F.lit(0), F.lit(1)))
+    there = there.groupBy("batch_id").agg(F.sum("kept").alias("rows_extracted"), F.sum("failed").alias("rows_quarantined"))
+    told = extract_runs.where("status = 'succeeded'").groupBy("batch_id").agg(F.sum("extracted").alias("extracted"), F.sum("quarantined").alias("quarantined"))
+    both = told.join(there, "batch_id", "left").fillna(0, ["rows_extracted", "rows_quarantined"])
+    return both.where("extracted <> rows_extracted or quarantined <> rows_quarantined")
 
 
 def fact_counts_match(documents: DataFrame, facts: DataFrame) -> DataFrame:

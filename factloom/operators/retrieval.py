@@ -2,38 +2,50 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import cosine_distance, fake_embedding
+from ..functions.exprs import cosine_distance, fake_embedding, let
 from ..schemas import CHUNK_CHARS, CHUNK_OVERLAP, EMBEDDING_DIMS
 
 
-def cut_lines(text: str, most: int, overlap: int) -> list[str]:
-    """Chunks of whole lines of at most `most` characters (a longer line is a chunk); the next one repeats `overlap` lines."""
-    lines = [x for x in (text or "").split("\n") if x.strip()]
-    out, start = [], 0
-    while start < len(lines):
-        end, size = start + 1, len(lines[start])
-        while end < len(lines) and size + 1 + len(lines[end]) <= most:
-            size += 1 + len(lines[end])
-            end += 1
-        out.append("\n".join(lines[start:end]))
-        if end == len(lines):
-            break
-        start = max(end - overlap, start + 1)
-    return out
+def line_chunks(text: Column, most: int, overlap: int) -> Column:
+    """The chunks of a text: whole lines, with a line break each, of at most `most` characters (a longer line is a chunk of its
+    own); a chunk repeats up to `overlap` lines of the one before it. Blank lines count for nothing.
 
+    A fold over the lines, whose sums of lengths are known: when a line has no room left, the chunk ends before it, and so
+    does every later start within the overlap from which there is no room either.
+    """
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike(r"(?U)\S"))
 
-def chunk_documents(documents: DataFrame, key: str = "document_id", most: int = CHUNK_CHARS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """key, chunk_index, text, chars."""
+    def cut(x: Column) -> Column:
+        sums = F.aggregate(x["lines"], F.array(F.lit(0).cast("long")), lambda s, y: F.concat(s, F.array(F.element_at(s, -1) + F.length(y) + 1)))
+        return let(F.struct(x["lines"].alias("lines"), sums.alias("sums")), chunks)
+
+    def chunks(x: Column) -> Column:
+        sums, n = x["sums"], F.size(x["lines"])
+        room = lambda start, i: F.get(sums, i + 1) - F.get(sums, start) <= most
+
+        def fold(state: Column, i: Column) -> Column:
+            start, done = state["start"], state["done"]
+            low = F.greatest(i - overlap, start + 1)
+            full = F.filter(F.when(low < i, F.sequence(low, i - 1)).otherwise(F.array().cast("array<int>")), lambda y: ~room(y, i))
+            ended = F.concat(F.array(F.struct(start.alias("first"), i.alias("end"))), F.transform(full, lambda y: F.struct(y.alias("first"), i.alias("end"))))
+            fits = room(start, i) | (i == start)
+            return F.struct(F.when(fits, start).otherwise(low + F.size(full)).alias("start"), F.when(fits, done).otherwise(F.concat(done, ended)).alias("done"))
 
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: cut_lines(t, most, overlap))
+        none = F.array().cast("array<struct<first:int,end:int>>")
+        state = F.aggregate(F.when(n > 0, F.sequence(F.lit(0), n - 1)), F.struct(F.lit(0).alias("start"), none.alias("done")), fold)
+        spans = let(state, lambda z: F.concat(z["done"], F.array(F.struct(z["start"].alias("first"), n.alias("end")))))
+        return F.transform(spans, lambda z: F.array_join(F.slice(x["lines"], z["first"] + 1, z["end"] - z["first"]), "\n"))
 
-    chunks = F.posexplode(F.pandas_udf(cut, "array<string>")("text")).alias("chunk_index", "text")
-    return documents.select(key, chunks).withColumn("chars", F.length("text"))
+    return F.coalesce(let(F.struct(lines.alias("lines")), cut), F.array().cast("array<string>"))
+
+
+def chunk_documents(documents: DataFrame, key: str = "document_id", most: int = CHUNK_CHARS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """key, chunk_index, text, chars."""
+    chunks = documents.select(key, F.posexplode(line_chunks(F.col("text"), most, overlap)).alias("chunk_index", "text"))
+    return chunks.withColumn("chars", F.length("text"))
 
 
 def embed(chunks: DataFrame, dims: int = EMBEDDING_DIMS) -> DataFrame:

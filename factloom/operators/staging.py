@@ -60,10 +60,10 @@ FACT_KEY = ("document_id", "concept", "taxonomy", "context_id")
 
 def stg_facts(occurrences: DataFrame) -> DataFrame:
     """One row a fact: occurrences of one concept in one context collapse, with every pick deterministic."""
-    least = ("value", "unit", "decimals", "format", "scale", "sign", "period_start", "period_end", "instant", "dimensions", "taxonomy_version")
+    least = ("namespace", "value", "unit", "decimals", "format", "scale", "sign", "period_start", "period_end", "instant", "dimensions", "taxonomy_version", "batch_id")
     number = F.when(F.col("is_numeric"), F.coalesce(F.col("value").cast("string"), F.lit("<nil>")))
+    # A fact has few occurrences: the sets of its texts and numbers are small, and one shuffle is enough for all of it.
     out = occurrences.groupBy(*FACT_KEY).agg(
-        F.min("namespace").alias("namespace"),
         *[F.min(c).alias(c) for c in least],
         F.bool_or("is_numeric").alias("is_numeric"),
         F.min_by("text", F.struct(~F.col("in_hidden"), F.col("text"))).alias("text"),
@@ -72,12 +72,11 @@ def stg_facts(occurrences: DataFrame) -> DataFrame:
         F.bool_and("in_hidden").alias("hidden_everywhere"),
         F.bool_or("dimensional").alias("dimensional"),
         F.count("*").alias("occurrences"),
-        F.count_distinct(number).alias("distinct_values"),
-        F.count_distinct("text").alias("distinct_texts"),
-        F.min("batch_id").alias("batch_id"),
+        F.size(F.collect_set(number)).cast("long").alias("distinct_values"),
+        F.size(F.collect_set("text")).cast("long").alias("distinct_texts"),
     )
     return out.withColumn("inconsistent", F.col("is_numeric") & (F.col("distinct_values") > 1)).withColumn(
-        "fact_key", F.concat_ws("|", *FACT_KEY)
+        "fact_key", F.concat("document_id", F.lit("|"), "taxonomy", F.lit(":"), "concept", F.lit("|"), "context_id")
     )
 
 

@@ -130,7 +130,7 @@ def occurrence_collapse(spark, sf_dir):
     )
 
 
-@query(COLLAPSE_SQL + " select document_id || '|' || concept || '|' || taxonomy || '|' || context_id as fact_key, distinct_values from g where is_numeric and distinct_values > 1")
+@query(COLLAPSE_SQL + " select document_id || '|' || taxonomy || ':' || concept || '|' || context_id as fact_key, distinct_values from g where is_numeric and distinct_values > 1")
 def inconsistent_facts(spark, sf_dir):
     f = staging.stg_facts(staging.stg_fact_occurrences(_facts(spark, sf_dir)))
     return checks.occurrences_agree(f).select("fact_key", "distinct_values")
@@ -270,7 +270,7 @@ def eval_metrics_by_size(spark, sf_dir):
 def report_pivot(spark, sf_dir):
     from .report import pivot_recall
 
-    return pivot_recall(eval_metrics_rollup(spark, sf_dir))
+    return pivot_recall(eval_metrics_rollup(spark, sf_dir), [f"m{i} / v1" for i in range(3)])
 
 
 # ---------------------------------------------------------------- batch control
@@ -437,15 +437,17 @@ def fact_counts_match(spark, sf_dir):
 
 
 @query(
-    """with r as (select user_id as batch_id, count(*) filter (where event_type in ('view', 'click')) as kept, count(*) filter (where event_type = 'error') as failed from events group by 1),
-    u as (select user_id as batch_id, count(*) as extracted from events where event_type = 'purchase' group by 1)
-    select u.batch_id, extracted::bigint as extracted, coalesce(kept, 0)::bigint as kept, coalesce(failed, 0)::bigint as failed from u left join r using (batch_id) where extracted <> coalesce(kept, 0)"""
+    """with r as (select user_id as batch_id, count(*) filter (where event_type in ('view', 'click')) as kept, count(*) filter (where event_type in ('error', 'click')) as failed from events group by 1),
+    u as (select user_id as batch_id, count(*) * 2 as extracted, count(*) as quarantined from events where event_type = 'purchase' group by 1)
+    select u.batch_id, extracted::bigint as extracted, quarantined::bigint as quarantined, coalesce(kept, 0)::bigint as rows_extracted, coalesce(failed, 0)::bigint as rows_quarantined
+    from u left join r using (batch_id) where extracted <> coalesce(kept, 0) or quarantined <> coalesce(failed, 0)"""
 )
 def ledger_vs_rows(spark, sf_dir):
+    """Clicks stand for answers of low confidence, which are kept and quarantined."""
     e = t(spark, sf_dir, "events").withColumn("batch_id", F.col("user_id"))
-    kept, failed = e.where("event_type in ('view', 'click')"), e.where("event_type = 'error'").withColumns({"stage": F.lit("extract"), "reason": F.lit("ModelCall")})
-    runs = e.where("event_type = 'purchase'").withColumns({"status": F.lit("succeeded"), "extracted": F.lit(1).cast("long")})
-    return checks.extract_counts_match(kept, failed, runs).select("batch_id", "extracted", "kept", "failed")
+    kept, failed = e.where("event_type in ('view', 'click')"), e.where("event_type in ('error', 'click')").withColumn("stage", F.lit("extract"))
+    runs = e.where("event_type = 'purchase'").withColumns({"status": F.lit("succeeded"), "extracted": F.lit(2).cast("long"), "quarantined": F.lit(1).cast("long")})
+    return checks.extract_counts_match(kept, failed, runs).select("batch_id", "extracted", "quarantined", "rows_extracted", "rows_quarantined")
 
 
 @query("select user_id as key, count(*)::bigint as n from events group by 1 having count(*) > 1")
@@ -640,7 +642,7 @@ def html_render_text(spark, sf_dir):
     """with recursive l as (select doc_id, line, row_number() over (partition by doc_id order by pos) as ln, length(line) + 1 as w from
       (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents) where trim(line, ' ' || chr(9)) <> ''),
     c as (select *, sum(w) over (partition by doc_id order by ln) as cum, count(*) over (partition by doc_id) as n from l),
-    nx as (select a.doc_id, a.ln as s, a.n, max(b.ln) as e from c a join c b on a.doc_id = b.doc_id and b.ln >= a.ln and (b.ln = a.ln or b.cum - a.cum + a.w <= 1501) group by all),
+    nx as (select a.doc_id, a.ln as s, a.n, max(b.ln) as e from c a join c b on a.doc_id = b.doc_id and b.ln >= a.ln and (b.ln = a.ln or b.cum - a.cum + a.w <= 1500) group by all),
     r as (select doc_id, s, e, n, 0 as i from nx where s = 1 union all
           select nx.doc_id, nx.s, nx.e, nx.n, r.i + 1 from r join nx on r.doc_id = nx.doc_id and nx.s = greatest(r.e - 3 + 1, r.s + 1) where r.e < r.n)
     select r.doc_id, r.i::int as chunk_index, sum(length(c.line) + 1)::bigint - 1 as chars from r join c on r.doc_id = c.doc_id and c.ln between r.s and r.e group by r.doc_id, r.i"""
@@ -717,8 +719,7 @@ def events_valid_deadletter(spark, sf_dir):
     broken = (F.col("body") == "not json") & (F.col("event_id") % 2 == 0)
     e = e.withColumn("data", F.when(broken, "%%%").otherwise(F.base64(F.col("body").cast("binary")))).select("event_id", "data")
     d = stream.decoded(e)
-    jobs = stream.plan(d).select("event_id", "job")
-    return d.select("event_id", "error").join(jobs, "event_id", "left")
+    return d.select("event_id", "error", stream.planned_job().alias("job"))
 
 
 def _streamed(spark, sf_dir):

@@ -14,45 +14,57 @@ from ..schemas import CONCEPTS
 START, END = "<!-- eval:start -->", "<!-- eval:end -->"
 
 
-def percent(x) -> str:
-    return "n/a" if x is None else f"{x * 100:.1f}%"
+CONFIG = "Model / prompt"
 
 
-def pivot_recall(metrics: DataFrame) -> DataFrame:
-    """One row a concept, one column of recall for each model and prompt."""
-    short = F.concat_ws(" / ", "model", F.substring_index("prompt_id", "-", 1))
-    return metrics.withColumn("config", short).groupBy("concept").pivot("config").agg(F.max("recall"))
+def _configured(df: DataFrame) -> DataFrame:
+    return df.withColumn(CONFIG, F.concat_ws(" / ", "model", F.substring_index("prompt_id", "-", 1)))
 
 
-def _table(head: list[str], rows: list[list[str]]) -> list[str]:
-    line = lambda cells: "| " + " | ".join(cells) + " |"
-    return [line(head), "|---|" + "---:|" * (len(head) - 1), *map(line, rows), ""]
+def _share(c: str):
+    return F.when(F.col(c).isNull(), "n/a").otherwise(F.format_string("%.1f%%", F.col(c) * 100))
 
 
-def render(metrics: DataFrame, by_size: DataFrame, on: date) -> str:
-    m, s = [r.asDict() for r in metrics.collect()], [r.asDict() for r in by_size.collect()]
-    overall = sorted((r for r in m if r["concept"] == "ALL"), key=lambda r: (-(r["recall"] or 0), r["model"]))
-    name = lambda r: f"{r['model']} / {r['prompt_id'].split('-')[0]}"
-    same = lambda a, b: (a["model"], a["prompt_id"]) == (b["model"], b["prompt_id"])
-    out = [START, f"Computed on {on.isoformat()}.", ""]
-    out += _table(
-        ["Model / prompt", "Documents", "Verifiable", "Recall", "Precision", "Unsupported", "Tag errors", "USD per 1,000", "Mean latency"],
-        [[name(r), str(r["documents"]), str(r["verifiable"]), percent(r["recall"]), percent(r["precision"]), str(r["unsupported"]), str(r["tag_error"]),
-          f"{r['usd_per_1000']:.2f}", f"{r['mean_latency_ms'] / 1000:.1f} s"] for r in overall],
+def pivot_recall(metrics: DataFrame, configs: list[str] | None = None) -> DataFrame:
+    """One row a concept, one column of recall for each model and prompt; with the configurations named, in one pass."""
+    return _configured(metrics).groupBy("concept").pivot(CONFIG, configs).agg(F.max("recall"))
+
+
+def tables(metrics: DataFrame, by_size: DataFrame) -> list[DataFrame]:
+    """The report's tables, worked out by Spark, every cell a text: totals, recall by concept, kinds of errors, recall by size."""
+    m = _configured(metrics)
+    total = m.where("concept = 'ALL'").orderBy(F.desc_nulls_last("recall"), "model")
+    text = lambda name, c: c.alias(name)
+    count = lambda name, c: F.col(c).cast("string").alias(name)
+    totals = total.select(
+        CONFIG, count("Documents", "documents"), count("Verifiable", "verifiable"), text("Recall", _share("recall")), text("Precision", _share("precision")),
+        count("Unsupported", "unsupported"), count("Tag errors", "tag_error"), text("USD per 1,000", F.format_string("%.2f", F.col("usd_per_1000").cast("double"))),
+        text("Mean latency", F.format_string("%.1f s", F.col("mean_latency_ms") / 1000)),
     )
-    rows = []
-    for concept in CONCEPTS.values():
-        found = [next((r for r in m if r["concept"] == concept and same(r, o)), None) for o in overall]
-        rows.append([concept, *(f"{percent(r['recall'])} (n={r['verifiable']})" if r else "n/a" for r in found)])
-    out += _table(["Concept", *map(name, overall)], rows)
-    out += _table(["Model / prompt", *ERROR_TYPES], [[name(r), *(str(r[k]) for k in ERROR_TYPES)] for r in overall])
-    bands = sorted({r["size_band"] for r in s})
-    rows = []
-    for o in overall:
-        found = [next((r for r in s if r["size_band"] == b and same(r, o)), None) for b in bands]
-        rows.append([name(o), *(f"{percent(r['recall'])} (n={r['documents']})" if r else "n/a" for r in found)])
-    out += _table(["Model / prompt", *(b.partition(": ")[2] for b in bands)], rows)
-    return "\n".join([*out, END])
+    configs = [r[0] for r in total.select(CONFIG).collect()]  # a column of the report each
+    shown = lambda n: F.first(F.concat(_share("recall"), F.lit(" (n="), F.col(n).cast("string"), F.lit(")")))
+    every = metrics.sparkSession.createDataFrame(list(enumerate(CONCEPTS.values())), "place int, Concept string")
+    concepts = every.join(m.withColumnRenamed("concept", "Concept").groupBy("Concept").pivot(CONFIG, configs).agg(shown("verifiable")), "Concept", "left")
+    sizes = _configured(by_size).withColumn("band", F.substring_index("size_band", ": ", -1))
+    bands = [r[0] for r in sizes.select("size_band", "band").distinct().orderBy("size_band").select("band").collect()]
+    order = total.select(CONFIG, F.monotonically_increasing_id().alias("place"))
+    by_band = order.join(sizes.groupBy(CONFIG).pivot("band", bands).agg(shown("documents")), CONFIG, "left").orderBy("place")
+    return [
+        totals,
+        concepts.orderBy("place").select("Concept", *[F.coalesce(F.col(f"`{c}`"), F.lit("n/a")).alias(c) for c in configs]),
+        total.select(CONFIG, *[count(e, e) for e in ERROR_TYPES]),
+        by_band.select(CONFIG, *[F.coalesce(F.col(f"`{b}`"), F.lit("n/a")).alias(b) for b in bands]),
+    ]
+
+
+def markdown(df: DataFrame) -> str:
+    """A small table of texts in Markdown, the first column to the left, the others to the right."""
+    rows = [df.columns, ["---", *["---:"] * (len(df.columns) - 1)], *df.collect()]
+    return "\n".join(f"| {' | '.join(r)} |" for r in rows)
+
+
+def render(metrics: DataFrame, by_size: DataFrame, on: date) -> str:
+    return "\n\n".join([f"{START}\nComputed on {on.isoformat()}.", *map(markdown, tables(metrics, by_size)), END])
 
 
 def splice(text: str, block: str) -> str:

@@ -46,14 +46,17 @@ def decoded(envelopes: DataFrame) -> DataFrame:
     return out.withColumn("error", F.when(F.col("data").isNotNull() & F.col("body").isNull(), "not base64").otherwise(lifecycle_error(F.col("body"))))
 
 
+def planned_job(extract_on_event: bool = False) -> Column:
+    """The job that a decoded event starts: parse after ingest, extract after parse if switched on; null for none."""
+    event = F.when(F.col("error").isNull(), F.get_json_object("body", "$.event"))
+    return F.when(event == "ingested", "parse").when(event.eqNullSafe("parsed") & F.lit(extract_on_event), "extract")
+
+
 def plan(events: DataFrame, extract_on_event: bool = False, cap: int = 300) -> DataFrame:
-    """The job that each valid event starts: parse after ingest, extract after parse if switched on, else none."""
-    e = F.from_json("body", LIFECYCLE)
-    job = F.when(e["event"] == "ingested", "parse")
-    if extract_on_event:
-        job = job.when(e["event"] == "parsed", "extract")
-    arg = F.when(e["event"] == "ingested", e["source_key"]).otherwise(F.lit(str(cap)))
-    return events.where("error is null").select("*", job.alias("job"), F.when(job.isNotNull(), arg).alias("argument"))
+    """The valid events with `job` and its `argument`: the source that was ingested, or the cap."""
+    job = planned_job(extract_on_event)
+    arg = F.when(job == "parse", F.get_json_object("body", "$.source_key")).when(job.isNotNull(), F.lit(str(cap)))
+    return events.where("error is null").select("*", job.alias("job"), arg.alias("argument"))
 
 
 def read_events(spark: SparkSession, path: str, schema) -> DataFrame:

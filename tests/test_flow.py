@@ -107,11 +107,15 @@ def test_extraction(spark):
 
 
 def test_chunks_and_citations(spark):
+    cut = lambda text, most, overlap: spark.createDataFrame([(text,)], "t string").select(retrieval.line_chunks(F.col("t"), most, overlap)).first()[0]
     lines = [f"Row {i:02d}: {'x' * 20}" for i in range(40)]
-    chunks = retrieval.cut_lines("\n\n".join(lines), 120, 2)
-    assert all(len(c) <= 120 for c in chunks) and set("\n".join(chunks).split("\n")) == set(lines)
+    chunks = cut("\n\n".join(lines), 120, 2)
+    assert all(len(c) < 120 for c in chunks) and set("\n".join(chunks).split("\n")) == set(lines)
     assert chunks[0].split("\n")[-2:] == chunks[1].split("\n")[:2]
-    assert retrieval.cut_lines("", 10, 1) == [] and retrieval.cut_lines("y" * 50, 10, 3) == ["y" * 50]
+    assert cut("", 10, 1) == [] and cut(None, 10, 1) == [] and cut("y" * 50, 10, 3) == ["y" * 50]
+    # Every line counts with its break: three lines of three fill twelve; a long line among short ones pushes starts on.
+    assert cut("aaa\nbbb\nccc\nddd", 12, 0) == ["aaa\nbbb\nccc", "ddd"] and cut("aaa\nbbb\nccc", 11, 0) == ["aaa\nbbb", "ccc"]
+    assert cut("a\nb\nc\nzzzzzzz\nd", 9, 2) == ["a\nb\nc", "b\nc", "c", "zzzzzzz", "d"]
     docs = spark.createDataFrame([("a", "l1\nl2"), ("b", None)], "document_id string, text string")
     assert [r.chunk_index for r in retrieval.chunk_documents(docs).collect()] == [0]
     a = "[SC041563_20251231#0] [NI715334_20260430#1] [SC041563_20251231#0] [x#1]"

@@ -9,16 +9,16 @@ from factloom.sources import archives
 
 def synthetic(body: str) -> bytes:
     return f"""<html xmlns="http://www.w3.org/1999/xhtml" xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:xbrli="http://www.xbrl.org/2003/instance"
- xmlns:xbrldi="http://xbrl.org/2006/xbrldi" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xmlns:core="http://example.test/2025-01-01/core">
-<head><title>no</title></head><body><ix:header><ix:hidden><ix:nonNumeric name="core:Name" contextRef="c1">A  Ltd</ix:nonNumeric></ix:hidden><ix:resources>
-<xbrli:context id="c1"><xbrli:entity><xbrli:identifier scheme="s">01234567</xbrli:identifier></xbrli:entity><xbrli:period><xbrli:instant>2025-12-31</xbrli:instant></xbrli:period></xbrli:context>
-<xbrli:context id="c2"><xbrli:entity><xbrli:identifier scheme="s">01234567</xbrli:identifier><xbrli:segment><xbrldi:explicitMember dimension="core:Dim">core:Member</xbrldi:explicitMember></xbrli:segment></xbrli:entity>
-<xbrli:period><xbrli:startDate>2025-01-01</xbrli:startDate><xbrli:endDate>2025-12-31</xbrli:endDate></xbrli:period></xbrli:context>
+ xmlns:xbrldi="http://xbrl.org/2006/xbrldi" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xmlns:own="http://example.test/2023-04-01/own">
+<head><title>no</title></head><body><ix:header><ix:hidden><ix:nonNumeric name="own:Name" contextRef="c1">Blue  Kite</ix:nonNumeric></ix:hidden><ix:resources>
+<xbrli:context id="c1"><xbrli:entity><xbrli:identifier scheme="s">NI902114</xbrli:identifier></xbrli:entity><xbrli:period><xbrli:instant>2024-03-31</xbrli:instant></xbrli:period></xbrli:context>
+<xbrli:context id="c2"><xbrli:entity><xbrli:identifier scheme="s">NI902114</xbrli:identifier><xbrli:segment><xbrldi:explicitMember dimension="own:Axis">own:Part</xbrldi:explicitMember></xbrli:segment></xbrli:entity>
+<xbrli:period><xbrli:startDate>2023-04-01</xbrli:startDate><xbrli:endDate>2024-03-31</xbrli:endDate></xbrli:period></xbrli:context>
 <xbrli:unit id="u"><xbrli:measure>iso4217:GBP</xbrli:measure></xbrli:unit></ix:resources></ix:header>{body}</body></html>""".encode()
 
 
-NAME = "Prod1_1_01234567_20251231.html"
-FACT = '<p>Equity <ix:nonFraction name="core:Equity" contextRef="c1" unitRef="u" format="ixt:numcommadot" decimals="0" scale="3" sign="-">1,234</ix:nonFraction></p>'
+NAME = "Prod1_1_NI902114_20240331.html"
+FACT = '<p>Equity <ix:nonFraction name="own:Equity" contextRef="c1" unitRef="u" format="ixt:numcommadot" decimals="0" scale="3" sign="-">7,005</ix:nonFraction></p>'
 
 
 def parsed(spark, body, name=NAME):
@@ -26,36 +26,36 @@ def parsed(spark, body, name=NAME):
 
 
 def test_facts_and_text(spark):
-    table = '<table><tr><td>Cash</td><td></td><td>2.00</td></tr></table><ix:nonNumeric name="core:Text" contextRef="c2">some\n text</ix:nonNumeric>'
+    table = '<table><tr><td>Cash</td><td></td><td>2.00</td></tr></table><ix:nonNumeric name="own:Text" contextRef="c2">some\n text</ix:nonNumeric>'
     p = parsed(spark, synthetic(FACT + table)).cache()
     row = p.first()
-    assert row.reason is None and row.entity_identifier == "01234567" and row.document_id == "01234567_20251231"
-    assert row.text == "Equity 1,234\n\nCash | 2.00\n\nsome\ntext\n"
+    assert row.reason is None and row.entity_identifier == "NI902114" and row.document_id == "NI902114_20240331"
+    assert row.text == "Equity 7,005\n\nCash | 2.00\n\nsome\ntext\n"
     facts = {f.concept: f for f in parse.fact_rows(p, "b").collect()}
     e = facts["Equity"]
-    assert (e.value, e.unit, e.namespace, str(e.instant), e.dimensional, e.in_hidden) == (-1234000, "GBP", "http://example.test/2025-01-01/core", "2025-12-31", False, False)
-    assert facts["Name"].in_hidden and facts["Name"].text == "A Ltd" and facts["Name"].value is None
-    assert facts["Text"].dimensions == "Dim=Member" and str(facts["Text"].period_start) == "2025-01-01"
-    assert parse.document_rows(p, "b", "2025-01-01").first().fact_count == 3
-    assert parse.quarantine_rows(p, "b", "2025-01-01").count() == 0
+    assert (e.value, e.unit, e.namespace, str(e.instant), e.dimensional, e.in_hidden) == (-7005000, "GBP", "http://example.test/2023-04-01/own", "2024-03-31", False, False)
+    assert facts["Name"].in_hidden and facts["Name"].text == "Blue Kite" and facts["Name"].value is None
+    assert facts["Text"].dimensions == "Axis=Part" and str(facts["Text"].period_start) == "2023-04-01"
+    assert parse.document_rows(p, "b", "2023-04-01").first().fact_count == 3
+    assert parse.quarantine_rows(p, "b", "2023-04-01").count() == 0
 
 
 @pytest.mark.parametrize(
     ("name", "body", "reason"),
     [
         (NAME, b"<html><p></html>", "MalformedDocumentError"), (NAME, b"<html/>", "NotInlineXbrlError"), ("notes/README.txt", b"x", "UnknownDocumentNameError"),
-        ("Prod1_1_01234567_20251231_CIC.zip", b"x", "nested_archive"), (NAME, synthetic(FACT.replace("numcommadot", "numwordsen")), "UnsupportedFormatError"),
+        ("Prod1_1_NI902114_20240331_CIC.zip", b"x", "nested_archive"), (NAME, synthetic(FACT.replace("numcommadot", "nosuchformat")), "UnsupportedFormatError"),
         (NAME, synthetic(FACT.replace('scale="3"', 'scale="x"')), "Unexpected:ValueError"),
     ],
 )
 def test_quarantine(spark, name, body, reason):
     p = parsed(spark, body, name)
-    q = parse.quarantine_rows(p, "b", "2025-01-01").collect()
+    q = parse.quarantine_rows(p, "b", "2023-04-01").collect()
     assert [r.reason for r in q] == [reason] and parse.fact_rows(p, "b").count() == 0
 
 
 def test_nil_is_kept_without_a_value(spark):
-    body = '<ix:nonFraction name="core:Equity" contextRef="c1" unitRef="u" xsi:nil="true">n/a</ix:nonFraction>'
+    body = '<ix:nonFraction name="own:Equity" contextRef="c1" unitRef="u" xsi:nil="true">n/a</ix:nonFraction>'
     f = [r for r in parse.fact_rows(parsed(spark, synthetic(body)), "b").collect() if r.concept == "Equity"]
     assert len(f) == 1 and f[0].value is None and f[0].is_numeric
 
@@ -64,7 +64,7 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("d/", b"")
         for i in range(6):
-            z.writestr(f"Prod1_1_0000000{i}_20251231.html", synthetic(FACT))
+            z.writestr(f"Prod1_1_0000000{i}_20240331.html", synthetic(FACT))
         z.writestr("z.txt", b"")
         z.writestr("a.txt", b"")
     (tmp_path / "broken.zip").write_bytes(b"PK no archive")
