@@ -336,9 +336,9 @@ def linked_with(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.n
     return 100 * both >= percent * (len(one) + n - both)
 
 
-def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int, percent: int) -> tuple[DataFrame, bool]:
-    """a, b, n_a, n_b (written): pairs of different families (key, cid, family) in one segment that pass the Hamming test and
-    are not among the tried ones, the `nearest` of each set; and whether there may be others."""
+def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """a, b, n_a, n_b: pairs of different families (key, cid, family) in one segment that pass the Hamming test and are not among
+    the tried ones, the `nearest` of each set; and cid: the sets that have more such pairs. Both are written tables."""
     sizes = members.groupBy("key", "family").agg(F.count("*").alias("k"))
     keys = sizes.groupBy("key").agg(F.count("*").alias("families"), F.sum("k").alias("all"), F.max(F.struct("k", "family")).alias("largest"))
     keys = keys.where("families > 1")
@@ -376,27 +376,26 @@ def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, ne
         pick = np.unique(np.stack([cid[i], cid[j]], axis=1), axis=0, return_index=True)[1]
         i, j, apart = i[pick], j[pick], apart[pick]
         keep = _first(cid[i], family[j], apart, a_family(nearest))
-        more = len(keep) < len(i)
-        i, j, apart = i[keep], j[keep], apart[keep]
-        keep = _first(cid[i], np.zeros(len(i), np.int64), apart, nearest)
-        more |= len(keep) < len(i)
+        keep = keep[_first(cid[i[keep]], np.zeros(len(keep), np.int64), apart[keep], nearest)]
+        left_out = np.ones(len(i), bool)
+        left_out[keep] = False
+        more = np.isin(cid[i[keep]], cid[i[left_out]])
         i, j, apart = i[keep], j[keep], apart[keep]
         return pd.DataFrame({"r": cid[i], "f": cid[j], "n_r": n[i], "n_f": n[j], "apart": apart, "more": more})
 
     schema = "r long, f long, n_r long, n_f long, apart long, more boolean"
     found = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInPandas(search, schema)
     found = written(found.groupBy("r", "f", "n_r", "n_f", "apart").agg(F.bool_or("more").alias("more")), "join-near")
-    r_first = F.col("r") < F.col("f")
     pair = [F.least("r", "f").alias("a"), F.greatest("r", "f").alias("b")]
-    new = found.select("*", *pair).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    new = new.withColumn("place", F.row_number().over(Window.partitionBy("r").orderBy("apart", "f"))).where(F.col("place") <= nearest + 1)
-    out = new.select("a", "b", F.when(r_first, F.col("n_r")).otherwise(F.col("n_f")).alias("n_a"), F.when(r_first, F.col("n_f")).otherwise(F.col("n_r")).alias("n_b"), "place")
-    out = written(out.groupBy("a", "b", "n_a", "n_b").agg(F.min("place").alias("place")), "join-new")
-    more = found.where("more").limit(1).count() or out.where(F.col("place") > nearest).limit(1).count()
-    discard(cells, found)
-    new = written(out.where(F.col("place") <= nearest).drop("place"), "join-new")
-    discard(out)
-    return new, bool(more)
+    size = lambda x, y: F.when(F.col("r") < F.col("f"), F.col(x)).otherwise(F.col(y))
+    new = found.select("r", *pair, size("n_r", "n_f").alias("n_a"), size("n_f", "n_r").alias("n_b"), "apart").join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("r").orderBy("apart", "a", "b"))
+    new = written(new.withColumn("place", place).where(F.col("place") <= nearest + 1), "join-ranked")
+    more = found.where("more").select(F.col("r").alias("cid")).union(new.where(F.col("place") > nearest).select("r")).distinct()
+    more = written(more, "join-more")
+    pairs = written(new.where(F.col("place") <= nearest).select("a", "b", "n_a", "n_b").distinct(), "join-new")
+    discard(cells, found, new)
+    return pairs, more
 
 
 def a_family(nearest: int) -> int:
@@ -491,9 +490,9 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     led = led.groupBy("b").agg(F.max(F.struct("k", -F.col("a"))).alias("m")).select((-F.col("m.col2")).alias("a"), "b")
     tried = written(close_pairs(led, sketches, percent), "join-led")
     links = linked_pairs(tried, reps, d, shingle, percent)
-    families, nearest, more = components(links, "join-families"), 1, True
-    while more:
-        now = segments.join(families, segments.cid == families.node, "left").select("key", "cid", F.coalesce("label", "cid").alias("family"))
+    families, nearest, live = components(links, "join-families"), 1, segments
+    while True:
+        now = live.join(families, live.cid == families.node, "left").select("key", "cid", F.coalesce("label", "cid").alias("family"))
         new, more = across_families(now, sketches, tried, nearest, percent)
         if new.limit(1).count():
             found = linked_pairs(new, reps, d, shingle, percent)
@@ -504,8 +503,13 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                 links, families = merged, components(merged, "join-families")
             discard(found, tried)
             tried = seen
-        discard(new)
-        nearest *= MORE
+        left = more.limit(1).count()
+        if left:  # only segments of sets that have more pairs can hold any
+            open_ = written(live.join(live.join(more, "cid").select("key").distinct(), "key", "left_semi"), "join-open")
+        discard(new, more, live)
+        if not left:
+            break
+        live, nearest = open_, nearest * MORE
     # Rows of one id are one document.
     of_doc = held.join(classes.select("cid", *same), same).select("doc_id", "cid")
     several = of_doc.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("doc_id", "a")
@@ -517,7 +521,7 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     least = named.groupBy("family").agg(F.min("doc_id").alias("component_id"))
     least = written(named.join(least, "family").select(F.col("doc_id").alias("l_doc"), "component_id"), "join-components")
     slim = written(rows.select("doc_id", "row_hash", F.col("n").alias("n_shingles")), "join-sizes")
-    discard(rows, classes, segments, sketches, links, tried, families, several)
+    discard(rows, classes, sketches, links, tried, families, several)
     out = slim.join(least, F.col("doc_id") == least.l_doc, "left")
     return out.select("doc_id", "row_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
