@@ -36,6 +36,23 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; in a local session without one, in a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="factloom-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a written table."""
+    path = _shared_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dec(c: str | Column, digits: int = 2) -> Column:
     return F.col(c).cast(f"decimal(38,{digits})") if isinstance(c, str) else c.cast(f"decimal(38,{digits})")
 
@@ -732,8 +749,7 @@ def _streamed(spark, sf_dir):
 def _drained(df: DataFrame, mode: str) -> DataFrame:
     """All results of a stream over what is there, written by the executors to a table in the folder they share."""
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="factloom-")
-    path = f"{shared.rstrip('/')}/drained-{uuid.uuid4().hex}"
+    path = _shared_path(spark, "drained")
     spark.createDataFrame([], df.schema).write.parquet(path)  # what a stream without input leaves
     w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
     if mode == "append":
@@ -778,3 +794,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
+
+
+from . import tagged  # noqa: E402, F401  (registers its queries)
