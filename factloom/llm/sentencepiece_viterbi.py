@@ -2,9 +2,11 @@
 
 The best segmentation into pieces is the one with the largest sum of scores (the unigram rule; the scores are those of
 the model file). Pieces never reach over the start of a run of word-boundary marks, so a text falls into words that are
-segmented once each: new words of equal length advance together, the hashes of their substrings probe the sorted piece
-keys, and a vectorised maximum at each place stores the back pointer. A character that no piece covers becomes its
-UTF-8 bytes. Encoding is a map over documents and shuffles nothing.
+segmented once each: new words of equal length advance together (long ones, as texts without spaces are, with others of
+about their length, each read back from its own end), the hashes of their substrings probe the sorted piece keys behind a
+table of their low bits, and a vectorised maximum at each place stores the back pointer. A character that no piece covers
+becomes its UTF-8 bytes. Encoding is a map over documents and shuffles nothing; the words that a task keeps are bounded in
+bytes.
 
 Sums are exact in double precision; of equal sums the longest last piece wins.
 
@@ -26,7 +28,12 @@ from .common import table
 
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 1_000_000
+CACHED_BYTES = 200_000_000
+ENTRY_BYTES = 260  # of a cached word besides its characters and ids
+SPREAD = 1.125  # the longest of the words that advance together, by the shortest
+TOGETHER = 4096  # words, and
+PLACES = 2_000_000  # places of all words that advance together
+PROBE_BITS = 20
 _SPLIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -70,13 +77,19 @@ class Model:
         keys = np.array([self._key(self.pieces[i]) for i in usable], np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_id = keys[order], np.array(usable, np.int64)[order]
+        self.probe = np.zeros(1 << PROBE_BITS, bool)
+        self.probe[keys & np.uint64((1 << PROBE_BITS) - 1)] = True
         if (np.diff(self.keys) == 0).any():
             raise ValueError("two pieces share a hash key")
         # What a piece reads as; decoding joins these.
         shown = [p.replace(MARK, " ") if p_ok else "" for p, p_ok in zip(self.pieces, np.isin(np.arange(len(self.pieces)), usable), strict=True)]
         self.shown = np.array(shown, dtype=object)
+        self.clear()
+
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self._store: list[np.ndarray] = []
+        self.size = 0
 
     @staticmethod
     def _key(piece: str) -> int:
@@ -85,40 +98,54 @@ class Model:
             h = (h * int(BASE) + ord(c) + 1) % (1 << 64)
         return h
 
-    def _segment(self, words: list[str], length: int) -> list[list[int]]:
-        """Viterbi over words of one length, all at once."""
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), length).astype(np.uint64)
+    def _segment(self, words: list[str]) -> list[list[int]]:
+        """Viterbi over words of about one length, the longest last, all at once."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        length = int(lengths[-1])
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.zeros((len(words), length), np.uint64)
+        codes[np.arange(length)[None, :] < lengths[:, None]] = flat  # what is past a word's end is never read back
         h = _prefix_hashes(codes)
         best = np.full((len(words), length + 1), -np.inf)
         best[:, 0] = 0
-        piece = np.full((len(words), length + 1), -1, np.int64)  # -1: a character that no piece covers
-        back = np.zeros((len(words), length + 1), np.int64)
+        piece = np.full((len(words), length + 1), -1, np.int32)  # -1: a character that no piece covers
+        back = np.zeros((len(words), length + 1), np.int16)
         rows = np.arange(len(words))
+        low = np.uint64((1 << PROBE_BITS) - 1)
         for end in range(1, length + 1):
             sizes = np.arange(min(end, self.longest), 0, -1)
-            begin = end - sizes
-            sub = h[:, [end]] - h[:, begin] * self.power[sizes]
+            begin = end - int(sizes[0])
+            sub = h[:, [end]] - h[:, begin:end] * self.power[sizes]
+            row, which = np.nonzero(self.probe[sub & low])
+            sub = sub[row, which]
             at = np.minimum(np.searchsorted(self.keys, sub), len(self.keys) - 1)
-            found = self.keys[at] == sub
-            ids = self.key_id[at]
-            total = np.where(found, best[:, begin] + self.score[ids], -np.inf)
-            single = found[:, -1]
-            total[:, -1] = np.where(single, total[:, -1], best[:, end - 1] + self.unknown)
+            hit = self.keys[at] == sub
+            row, which, ids = row[hit], which[hit], self.key_id[at[hit]]
+            total = np.full((len(words), len(sizes)), -np.inf)
+            total[:, -1] = best[:, end - 1] + self.unknown
+            found = np.full((len(words), len(sizes)), -1, np.int32)
+            total[row, which] = best[row, begin + which] + self.score[ids]
+            found[row, which] = ids
             pick = total.argmax(axis=1)
             best[:, end] = total[rows, pick]
-            piece[:, end] = np.where(found[rows, pick], ids[rows, pick], -1)
+            piece[:, end] = found[rows, pick]
             back[:, end] = sizes[pick]
-        piece_rows, back_rows = piece.tolist(), back.tolist()
         out = []
-        for word, p, b in zip(words, piece_rows, back_rows, strict=True):
-            ids, end = [], length
+        for word, p, b in zip(words, piece, back, strict=True):
+            end = len(word)
+            p, b = p[: end + 1].tolist(), b[: end + 1].tolist()
+            ids = []
             while end:
                 begin = end - b[end]
-                if p[end] >= 0 and self.pieces[p[end]] != word[begin:end]:
-                    return [self._plain(w) for w in words]  # two substrings share a hash: compare texts instead
-                ids.append([p[end]] if p[end] >= 0 else self.byte_id[list(word[begin:end].encode("utf-8", "surrogatepass"))].tolist())
+                if p[end] >= 0:
+                    if self.pieces[p[end]] != word[begin:end]:
+                        return [self._plain(w) for w in words]  # two substrings share a hash: compare texts instead
+                    ids.append(p[end])
+                else:
+                    ids.extend(self.byte_id[list(word[begin:end].encode("utf-8", "surrogatepass"))[::-1]].tolist())
                 end = begin
-            out.append([x for i in reversed(ids) for x in i])
+            ids.reverse()
+            out.append(ids)
         return out
 
     def _plain(self, word: str) -> list[int]:
@@ -143,24 +170,24 @@ class Model:
         return out
 
     def learn(self, words: set[str]) -> None:
-        if len(self.index) > CACHED_WORDS:
-            self.index, self._store = {}, []
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            if w not in self.index:
-                by_length.setdefault(len(w), []).append(w)
-        for length, group in by_length.items():
-            step = max(1, 400_000 // (length * self.longest))
-            for lo in range(0, len(group), step):
-                part = group[lo : lo + step]
-                for w, ids in zip(part, self._segment(part, length), strict=True):
-                    self.index[w] = len(self._store)
-                    self._store.append(np.array(ids, np.int32))
+        new = sorted((w for w in words if w not in self.index), key=len)
+        lo = 0
+        while lo < len(new):
+            shortest = len(new[lo])
+            hi = lo + 1
+            while hi < len(new) and hi - lo < TOGETHER and len(new[hi]) <= max(shortest, int(shortest * SPREAD)) and len(new[hi]) * (hi - lo) < PLACES:
+                hi += 1
+            part = new[lo:hi]
+            for w, ids in zip(part, self._segment(part), strict=True):
+                self.index[w] = len(self._store)
+                self._store.append(np.array(ids, np.int32))
+                self.size += ENTRY_BYTES + len(w) + 4 * len(ids)
+            lo = hi
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split = [_SPLIT.findall((MARK if self.dummy_prefix else "") + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.index) > CACHED_WORDS:
-            self.index, self._store = {}, []
+        if self.size > CACHED_BYTES:
+            self.clear()
         self.learn({w for s in split for w in s})
         get, store = self.index.__getitem__, self._store
         none = np.zeros(0, np.int32)

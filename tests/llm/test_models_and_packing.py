@@ -122,6 +122,54 @@ def test_round_trip_and_best_score(model):
         assert ids.tolist() == [i for w in parts for i in model._plain(w)]
 
 
+def plain_viterbi(word):
+    """By the model file alone: the best sum of scores over all segmentations, longest last piece among equals."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(viterbi.default_model(), "rb") as f:
+        proto.ParseFromString(f.read())
+    score = {p.piece: (p.score, i) for i, p in enumerate(proto.pieces) if p.type == 1}
+    byte = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
+    low, longest = min(x for x, _ in score.values()) - 10.0, max(map(len, score))
+    best = [(0.0, [])]
+    for end in range(1, len(word) + 1):
+        ways = []
+        for size in range(min(end, longest), 0, -1):
+            part = word[end - size : end]
+            if part in score:
+                ways.append((best[end - size][0] + score[part][0], [*best[end - size][1], score[part][1]]))
+            elif size == 1:
+                ways.append((best[end - 1][0] + low, [*best[end - 1][1], *(byte[b] for b in part.encode())]))
+        best.append(max(ways, key=lambda x: x[0]))
+    return best[-1][1]
+
+
+def test_texts_without_spaces_advance_together(model):
+    r = random.Random(8)
+    letters = "的一是不了人我在有他这中大来上个国𠀀aéß。"
+    texts = ["".join(r.choices(letters, k=r.randint(30, 220))) for _ in range(60)] + ["的" * 5000]
+    steps = []
+    plain = model._segment
+    model._segment = lambda words: steps.append((len(words), max(map(len, words)))) or plain(words)
+    try:
+        got = model.encode_batch(texts)
+    finally:
+        del model._segment
+    for t, ids in zip(texts[:-1], got, strict=False):
+        assert ids.tolist() == plain_viterbi("▁" + t) and model.decode(ids) == t
+    assert model.decode(got[-1]) == texts[-1]
+    assert len(steps) < 25 and all(n * k <= viterbi.PLACES for n, k in steps)
+
+
+def test_cached_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(viterbi, "CACHED_BYTES", 10_000)
+    m = viterbi.Model(viterbi.default_model())
+    for i in range(8):
+        m.encode_batch(["".join(random.Random(i).choices("abcdef", k=4000))])
+        assert m.size < 10_000 + 4000 * 6
+
+
 def test_best_of_the_library(model):
     import sentencepiece as sp
     from sentencepiece import sentencepiece_model_pb2 as pb
