@@ -3,9 +3,10 @@
 Metadata (language, source, text size) is quantised to a small grid, each document gets the index of its cell on the
 Hilbert curve through that grid, documents are sorted by it, and the order is cut into runs of equal row counts: a
 shard holds a compact box of the metadata space, and min/max statistics of its files prune on every dimension. Equal
-texts with equal metadata lie side by side.
+texts are one group: all have the cell of the least id among them and lie side by side, so that only the end of a run can
+part them.
 
-Only ids and numbers are shuffled, never texts. The global order is a range partitioning plus counts per partition
+Only ids, metadata and numbers are shuffled, never texts. The global order is a range partitioning plus counts per partition
 (one row a partition on the driver); no key has to be in one task, since the sort key ends with the id.
 
 Defined results
@@ -60,21 +61,26 @@ def _curve(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
 
 
 def curve_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and hilbert. Categories go to 2**BITS cells by hash; sizes to cells of equal ratio,
-    fixed and not fitted, so that a document's cell never depends on the other documents."""
+    """doc_id, lang, source, size, text_crc32, text_hash and hilbert. Categories go to 2**BITS cells by hash; sizes to cells of
+    equal ratio, fixed and not fitted, so that a cell never depends on other documents than those of equal text."""
     cells = 1 << BITS
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     bucket = lambda c: F.pmod(F.xxhash64(F.coalesce(F.col(c), F.lit("\0"))), F.lit(cells)).cast("int")
-    d = docs.select("doc_id", "lang", "source", size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    text = F.coalesce("text", F.lit(""))
+    d = docs.select("doc_id", "lang", "source", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"))
     level = F.least(F.floor(F.log2("size") * 2), F.lit(cells - 1)).cast("int")
-    return d.select("doc_id", "size", "text_crc32", F.pandas_udf(_curve, "long")(bucket("lang"), bucket("source"), level).alias("hilbert"))
+    d = written(d.select("*", F.pandas_udf(_curve, "long")(bucket("lang"), bucket("source"), level).alias("hilbert")), "curve-rows")
+    same = ["text_hash", "text_crc32", "size"]
+    groups = d.groupBy(*same).agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "hilbert")).alias("least")).where("copies > 1")
+    groups = groups.select(*same, F.col("least.hilbert").alias("of_group"))
+    return d.join(groups, same, "left").withColumn("hilbert", F.coalesce("of_group", "hilbert")).drop("of_group")
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """doc_id, size, text_crc32, hilbert, shard, slot: runs of the curve order whose row counts differ by one at most."""
+    """doc_id, size, text_crc32, hilbert, shard, slot, lang, source: runs of the curve order whose row counts differ by one at most."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["hilbert", "text_crc32", "doc_id", "size"]
+    keys = ["hilbert", "text_crc32", "text_hash", "doc_id", "size", "lang", "source"]
     ordered = curve_rows(docs).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     placed = ordered.withColumn("at", F.monotonically_increasing_id())
     placed = written(
@@ -88,16 +94,13 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     offsets = spark.createDataFrame(starts, "o_part int, ahead long")
     ranked = placed.join(F.broadcast(offsets), placed.part == offsets.o_part).withColumn("rank", F.col("ahead") + F.col("local"))
     # The shard of rank r is the largest s with floor(s * total / shards) <= r.
-    total = F.lit(ahead).cast("long")
     s = F.expr(f"cast(((rank + 1) * {shards} - 1) div {max(ahead, 1)} as int)")
-    first = F.floor(F.col("shard") * total / F.lit(shards)).cast("long")
-    return ranked.withColumn("shard", s).select(
-        "doc_id", "size", "text_crc32", "hilbert", "shard", (F.col("rank") - F.expr(f"(shard * {ahead}L) div {shards}")).alias("slot")
-    )
+    slot = (F.col("rank") - F.expr(f"(shard * {ahead}L) div {shards}")).alias("slot")
+    return ranked.withColumn("shard", s).select("doc_id", "size", "text_crc32", "hilbert", "shard", slot, "lang", "source")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> DataFrame:
-    """Write the documents' shard table as one folder a shard, each file in curve order."""
+    """Write the documents' shard table as one folder a shard, each file in curve order, with the metadata to prune on."""
     out = shard(docs, shards)
     out.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return out

@@ -191,6 +191,40 @@ def test_shards(docs, rows, empty):
     assert hilbert_shards.shard(empty).count() == 0 and sorted(r.shard for r in hilbert_shards.shard(docs.limit(3)).collect()) == sorted({r.shard for r in hilbert_shards.shard(docs.limit(3)).collect()})
 
 
+def test_equal_texts_are_torn_only_at_the_end_of_a_run(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    rows = hilbert_shards.shard(docs).collect()
+    last = Counter(r.shard for r in rows)
+    groups = {}
+    for r in rows:
+        groups.setdefault(text[r.doc_id], []).append((r.shard, r.slot))
+    assert any(len(g) > 1 for g in groups.values())
+    for g in groups.values():
+        order = sorted(g)
+        for (s, i), after in zip(order, order[1:], strict=False):
+            assert after == (s, i + 1) or (i == last[s] - 1 and after == (s + 1, 0))
+
+
+def test_files_of_shards_prune_on_metadata(spark, tiny, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    hilbert_shards.write_shards(docs, f"file://{tmp_path}/shards")
+    files = glob.glob(f"{tmp_path}/shards/shard=*/*.parquet")
+    found = []
+    for f in files:
+        meta = pq.ParquetFile(f).metadata.row_group(0)
+        columns = {meta.column(i).path_in_schema: meta.column(i).statistics for i in range(meta.num_columns)}
+        found.append({c: (columns[c].min, columns[c].max) for c in ("lang", "source", "size", "hilbert")})
+    assert len({f.split("shard=")[1].split("/")[0] for f in files}) == 8
+    wanted = docs.groupBy("lang").count().orderBy("count").first().lang
+    assert sum(f["lang"][0] <= wanted <= f["lang"][1] for f in found) < len(found)
+    assert spark.read.parquet(f"file://{tmp_path}/shards").count() == docs.count()
+
+
 def test_line_sql(spark, tiny):
     from duck import connect, same
 
