@@ -67,6 +67,14 @@ def render(metrics: DataFrame, by_size: DataFrame, on: date) -> str:
     return "\n\n".join([f"{START}\nComputed on {on.isoformat()}.", *map(markdown, tables(metrics, by_size)), END])
 
 
+def running_cost(usage: DataFrame) -> DataFrame:
+    """component, usd of a month, and their total as a row of its own: units (component, units, free, price) beyond the free ones
+    at their price; components of several rows are added up."""
+    usd = F.greatest(F.lit(0.0), F.col("units").cast("double") - F.col("free").cast("double")) * F.col("price").cast("double")
+    out = usage.withColumn("usd", usd).groupingSets([["component"], []], "component").agg(F.grouping("component").alias("all_"), F.sum("usd").alias("usd"))
+    return out.select(F.when(F.col("all_") == 1, "Total").otherwise(F.col("component")).alias("component"), F.coalesce("usd", F.lit(0.0)).alias("usd"))
+
+
 def splice(text: str, block: str) -> str:
     if START not in text or END not in text:
         raise ValueError("the text has no markers")

@@ -69,6 +69,9 @@ QUARANTINE = _struct(
     "document_id string, source_key string!, member_name string!, stage string!, reason string!, error string!, batch_id string!, "
     "quarantined_at timestamp!, model string, prompt_id string, released_at timestamp"
 )
+RELEASES = _struct(
+    "stage string!, source_key string!, member_name string!, batch_id string!, quarantined_at timestamp!, model string, prompt_id string, released_at timestamp!"
+)
 PARSE_RUNS = _struct(
     "run_id string!, source_key string!, batch_id string, status string!, cap long!, selected long!, parsed long!, quarantined long!, facts long!, "
     "started_at timestamp!, finished_at timestamp!, error string, members strings, parser_version long, reparse boolean"
@@ -98,7 +101,7 @@ DOCUMENT_EVENTS = _struct("subscription_name string, message_id string, publish_
 
 TABLES = {
     "documents": DOCUMENTS, "facts": FACTS, "quarantine": QUARANTINE, "parse_runs": PARSE_RUNS, "ingest_runs": INGEST_RUNS,
-    "extractions": EXTRACTIONS, "extract_runs": EXTRACT_RUNS, "chunks": CHUNKS, "index_runs": INDEX_RUNS, "document_events": DOCUMENT_EVENTS,
+    "extractions": EXTRACTIONS, "extract_runs": EXTRACT_RUNS, "releases": RELEASES, "chunks": CHUNKS, "index_runs": INDEX_RUNS, "document_events": DOCUMENT_EVENTS,
 }
 
 _AMOUNT = "struct<value:string,confidence:double,evidence:string>"

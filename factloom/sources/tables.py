@@ -30,20 +30,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def staged(df: DataFrame, root: str, name: str) -> DataFrame:
+    """df written aside once and read back, for results that are dear or read several times."""
+    path = f"{root}/_staging/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+ATTEMPTS = 5
+
+
 def load_batch(df: DataFrame, root: str, name: str, key: str) -> bool:
     """Append df to a table under a deterministic key; a key that is there already is a no-op (False).
 
-    Rows are written to a staging folder and renamed in one step, so that a crash leaves either all or nothing.
+    Rows are written to a staging folder of the attempt and renamed in one step, so that a crash leaves either all or
+    nothing; an attempt that fails is followed by up to ATTEMPTS others.
     """
     spark = df.sparkSession
     target = f"{root}/{name}/load_key={key}"
-    if exists(spark, target):
-        return False
-    staged = f"{root}/_staging/{name}-{key}"
-    df.select(*[f.name for f in TABLES[name]]).write.mode("overwrite").parquet(staged)
-    fs, p, path = _fs(spark, target)
-    fs.mkdirs(p.getParent())
-    return bool(fs.rename(path(staged), p))
+    for attempt in range(ATTEMPTS + 1):
+        if exists(spark, target):
+            return False
+        aside = f"{root}/_staging/{name}-{key}" + (f"-r{attempt}" if attempt else "")
+        try:
+            df.select(*[f.name for f in TABLES[name]]).write.mode("overwrite").parquet(aside)
+            fs, p, path = _fs(spark, target)
+            fs.mkdirs(p.getParent())
+            if fs.rename(path(aside), p):
+                return True
+        except Exception:
+            if attempt == ATTEMPTS:
+                raise
+    return False
 
 
 def append_ledger(spark: SparkSession, root: str, name: str, row: dict, key: str) -> bool:

@@ -64,17 +64,34 @@ def read_events(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
+DELIVERIES = 5
+
+
 def run_consumer(envelopes: DataFrame, out: str, checkpoint: str, start_job=None, extract_on_event: bool = False) -> None:
     """Consumes what is there: valid events to `<out>/events` and to start_job one after another, others to
-    `<out>/dead_letters`. Each micro-batch overwrites its own folder, so that a replayed batch changes nothing."""
+    `<out>/dead_letters`. Each micro-batch overwrites its own folder, so that a replayed batch changes nothing.
+
+    The envelopes of a job that fails go to `<out>/retries` with one more in `attempts` (none: 0), to be read again as a stream;
+    after DELIVERIES deliveries they are dead letters.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
-        d = decoded(df).persist()
+        known = df if "attempts" in df.columns else df.withColumn("attempts", F.lit(0))
+        d = decoded(known.withColumn("attempts", F.col("attempts") + 1)).persist()
         d.where("error is null").write.mode("overwrite").parquet(f"{out}/events/batch={number}")
-        d.where("error is not null").withColumn("attempts", F.lit(1)).write.mode("overwrite").parquet(f"{out}/dead_letters/batch={number}")
+        failed = []
         if start_job is not None:
             for row in plan(d, extract_on_event).where("job is not null").select("job", "argument").distinct().toLocalIterator():
-                start_job(row["job"], row["argument"])
+                try:
+                    start_job(row["job"], row["argument"])
+                except Exception as e:
+                    failed.append((row["job"], row["argument"], f"{type(e).__name__}: {e}"[:1000]))
+        lost = d.sparkSession.createDataFrame(failed, "job string, argument string, why string")  # of the batch's few jobs
+        again = plan(d, extract_on_event).join(lost, ["job", "argument"]).drop("job", "argument", "error").withColumnRenamed("why", "error")
+        over = F.col("attempts") >= DELIVERIES
+        again.where(~over).drop("error", "body").write.mode("overwrite").parquet(f"{out}/retries/batch={number}")
+        dead = d.where("error is not null").unionByName(again.where(over).select(*d.columns))
+        dead.write.mode("overwrite").parquet(f"{out}/dead_letters/batch={number}")
         d.unpersist()
 
     envelopes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
