@@ -67,12 +67,11 @@ def error_type(verdict: Column, extracted: Column, truth: Column, other: Column)
 
 def scores(values: DataFrame, truth: DataFrame) -> DataFrame:
     """The extracted cells with truth, the other period's truth, outcome and error_type."""
-    known = truth.where(~F.col("ambiguous"))
-    keys = ["document_id", "concept", "period"]
-    own = known.select(*keys, F.col("value").alias("truth"))
-    flipped = F.when(F.col("period") == "current", "prior").otherwise("current").alias("period")
-    other = known.select("document_id", "concept", flipped, F.col("value").alias("other_truth"))
-    j = values.withColumnRenamed("value", "extracted").join(own, keys, "left").join(other, keys, "left")
+    of = lambda period: F.max(F.when(F.col("period") == period, F.col("value"))).alias(period)
+    known = truth.where(~F.col("ambiguous")).groupBy("document_id", "concept").agg(of("current"), of("prior"))
+    j = values.withColumnRenamed("value", "extracted").join(known, ["document_id", "concept"], "left")
+    here = F.col("period") == "current"
+    j = j.withColumn("truth", F.when(here, F.col("current")).otherwise(F.col("prior"))).withColumn("other_truth", F.when(here, F.col("prior")).otherwise(F.col("current"))).drop("current", "prior")
     j = j.withColumn("outcome", outcome(F.col("extracted"), F.col("truth")))
     return j.withColumn("error_type", error_type(F.col("outcome"), F.col("extracted"), F.col("truth"), F.col("other_truth")))
 

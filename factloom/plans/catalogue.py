@@ -683,7 +683,7 @@ def fake_embed(spark, sf_dir):
 )
 def knn_cosine(spark, sf_dir):
     e = t(spark, sf_dir, "embeddings")
-    one = e.where("vec_id = 0").select(F.col("embedding").alias("query"))
+    one = e.where("vec_id = 0").agg(F.first("embedding").alias("query"))
     hits = retrieval.nearest(e.crossJoin(F.broadcast(one)), F.col("query"), 20, "vec_id")  # one query row
     return hits.select("vec_id", "label", F.round("distance", 6).alias("distance"))
 
@@ -711,7 +711,7 @@ def citations(spark, sf_dir):
 )
 def passages_render(spark, sf_dir):
     e, d = t(spark, sf_dir, "embeddings"), t(spark, sf_dir, "documents")
-    one = e.where("vec_id = 0").select(F.col("embedding").alias("query"))
+    one = e.where("vec_id = 0").agg(F.first("embedding").alias("query"))
     hits = retrieval.nearest(e.crossJoin(F.broadcast(one)), F.col("query"), 6, "vec_id")
     label = F.col("label").cast("string")
     p = retrieval.passage(F.lpad(label, 8, "0"), F.col("vec_id"), label, label, F.lit("2025-12-31"), F.col("source"))
