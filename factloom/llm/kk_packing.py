@@ -31,7 +31,7 @@ CAPACITY = 2048
 END_ID = 1
 BLOCK = 1024
 MAX_PADDING = 0.02
-CACHED_BYTES = 200_000_000
+CACHED_BYTES = 450_000_000
 ENTRY_BYTES = 160
 RUN_WORDS = 512
 RUN_CHARS = 64
