@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     chat_format,
     cross_polytope,
+    exact_dedup,
     hilbert_shards,
     kk_packing,
     line_dedup,
@@ -12,7 +13,9 @@ from . import (
     quality_lm,
     quality_rules,
     sentencepiece_viterbi,
+    structure_repair,
     suffix_dedup,
+    whitening,
 )
 
 
@@ -28,8 +31,11 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_hilbert_shards": hilbert_shards.op9_hilbert_shards,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_structure_repair": structure_repair.op11_structure_repair,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_exact_dedup": exact_dedup.op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": chat_format.OP5_SQL, "op8_line_dedup": line_dedup.OP8_SQL}
+    return {"op5_chat_format": chat_format.OP5_SQL, "op8_line_dedup": line_dedup.OP8_SQL, "op13_exact_dedup": exact_dedup.OP13_SQL}
