@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EMBEDDING_DIMS, NUMERIC, PRICES
@@ -87,24 +89,27 @@ def transform_numeric(text: Column, fmt: Column, scale: Column, sign: Column) ->
     return let(F.struct(clean.alias("clean"), local.alias("local")), digits)
 
 
+#: White space as text tools strip it, and what may follow a number's sign.
+_BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_AMOUNT = rf"[£$€]?{_BLANK}?(?:[0-9]+|[0-9]{{1,3}}(?:(?:,|{_BLANK})[0-9]{{3}})+)(?:\.[0-9]+)?"
+_WRITTEN = rf"^{_BLANK}*(?:\({_BLANK}*{_AMOUNT}{_BLANK}*\)|-?{_BLANK}*{_AMOUNT}){_BLANK}*$"
+
+
 def normalise_number(raw: Column) -> Column:
     """struct(value, error): a number as a model wrote it, as plain digits with an optional minus.
 
     Brackets or one dash mean negative, never both; thousands groups have exactly three digits; all else is an error.
     """
-    edge = r"^[\s\x1c-\x1f\x85\xa0]+|[\s\x1c-\x1f\x85\xa0]+$"
-    s = F.regexp_replace(raw, edge, "")
-    bracketed = s.rlike(r"(?s)^\(.*\)$")
-    inner = F.when(bracketed, F.regexp_replace(F.substring(s, F.lit(2), F.length(s) - 2), edge, "")).otherwise(s)
-    dashed = inner.startswith("-")
-    body = F.when(dashed, F.substring(inner, F.lit(2), F.length(inner))).otherwise(inner)
-    bad = (bracketed & dashed) | body.rlike(r"[-()]")
-    digits = F.regexp_replace(body, r"[£$€,\s]", "")
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"^[()]+|[()]+$", ""), r"^-+", ""), edge, "")
-    grouped = shape.rlike(r"^[£$€]?\s?(\d+|\d{1,3}([,\s]\d{3})+)(\.\d+)?$")
-    ok = ~bad & digits.rlike(r"^\d+(\.\d+)?$") & grouped
-    value = F.when(ok, F.concat(F.when(bracketed | dashed, F.lit("-")).otherwise(F.lit("")), digits))
-    return F.struct(value.alias("value"), F.when(raw.isNotNull() & value.isNull(), F.lit("not a number")).alias("error"))
+    minus = F.when(F.regexp_replace(raw, r"[^-(]", "") != "", F.lit("-")).otherwise(F.lit(""))
+    value = F.when(raw.rlike(_WRITTEN), F.concat(minus, F.regexp_replace(raw, r"[^0-9.]", "")))
+    return F.struct(value.alias("value"), F.when(raw.isNotNull() & ~raw.rlike(_WRITTEN), F.lit("not a number")).alias("error"))
+
+
+def written_number(raw: str) -> str | None:
+    """The same of one text, for code that has the text in hand; null if it is no number."""
+    if re.fullmatch(_WRITTEN[1:-1], raw) is None:
+        return None
+    return ("-" if "-" in raw or "(" in raw else "") + re.sub("[^0-9.]", "", raw)
 
 
 def label_value(c: Column) -> Column:
@@ -131,6 +136,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a further column that is worked out once a row, however often it is read: a generator of one row, which the
+    optimizer doesn't merge with what stands above it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def fake_embedding(text: Column, dims: int = EMBEDDING_DIMS) -> Column:
     """A deterministic embedding: words counted in buckets by their hash, scaled to length 1 (dims: a power of two)."""
     words = F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")

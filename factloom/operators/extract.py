@@ -1,39 +1,60 @@
-"""Model answers: validation against the closed schema, failures as quarantine rows, prices."""
+"""Model answers: calls, validation against the closed schema, failures as quarantine rows, prices."""
 
 from __future__ import annotations
 
 import hashlib
 import json
 import re
+import time
+from collections.abc import Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.exprs import cost_usd, normalise_number
-from ..schemas import ANSWER, CONCEPTS, HEADERS, MIN_CONFIDENCE, PERIODS
+from ..functions.exprs import cost_usd, written_number
+from ..schemas import CONCEPTS, HEADERS, MIN_CONFIDENCE, PERIODS
+from . import calls
+
+THREADS = 4
+CALL_ATTEMPTS = 4
+FIRST_WAIT = 2.0
+
+
+@dataclass(frozen=True)
+class Reply:
+    """What a model has said. `finish_reason` is why it stopped; None where it doesn't say."""
+
+    text: str | None
+    input_tokens: int
+    output_tokens: int
+    thinking_tokens: int = 0
+    finish_reason: str | None = "STOP"
 
 
 class Model(Protocol):
-    """The boundary to a language model: text in, (answer, tokens in, out, thinking, milliseconds) out."""
+    """The boundary to a language model: text in, a Reply out. It raises calls.ServiceError where the service turns a call down."""
 
     name: str
 
-    def answer(self, prompt: str) -> tuple[str, int, int, int, int]: ...
+    def answer(self, prompt: str) -> Reply: ...
 
 
 class FakeModel:
     """A deterministic model: it reads nothing, says one figure for each concept, and counts four characters a token."""
 
-    def __init__(self, name: str = "fake", confidence: float = 0.9):
-        self.name, self.confidence = name, confidence
+    def __init__(self, name: str = "fake", confidence: float = 0.9, seconds: float = 0.0):
+        self.name, self.confidence, self.seconds = name, confidence, seconds
 
-    def answer(self, prompt: str) -> tuple[str, int, int, int, int]:
+    def answer(self, prompt: str) -> Reply:
+        time.sleep(self.seconds)
         cell = lambda v: {"value": v, "confidence": self.confidence, "evidence": v or ""}
-        body = {h: None for h in HEADERS} | {f: {"current": cell(str(len(f))), "prior": cell(None)} for f in CONCEPTS}
+        body = {h: cell(None) for h in HEADERS} | {f: {"current": cell(str(len(f))), "prior": cell(None)} for f in CONCEPTS}
         text = json.dumps(body | {"overall_confidence": self.confidence})
-        return text, len(prompt) // 4, len(text) // 4, 0, 1
+        return Reply(text, len(prompt) // 4, len(text) // 4)
 
 
 def load_prompt(text: str) -> dict[str, str]:
@@ -49,68 +70,147 @@ def load_prompt(text: str) -> dict[str, str]:
     return {"version": version, "id": f"{version}-{digest}", "system": named.get("System", ""), "user": named["User"]}
 
 
-def _keys_match(c: Column, expected: tuple[str, ...]) -> Column:
-    return F.array_sort(F.json_object_keys(c)).eqNullSafe(F.array(*[F.lit(x) for x in sorted(expected)]))
+# ---------------------------------------------------------------- calls
 
+SAID = "answer string, input_tokens long, output_tokens long, thinking_tokens long, latency_ms long, finish_reason string, failure string"
+_SAID_ARROW = [pa.string(), *[pa.int64()] * 4, pa.string(), pa.string()]
 
-def answer_error(raw: Column) -> Column:
-    """Why an answer doesn't fit the closed schema; null if it does. Confidences lie in 0 to 1, numbers normalise."""
-    a = F.from_json(raw, ANSWER)
-    top = _keys_match(raw, (*HEADERS, *CONCEPTS, "overall_confidence"))
-    ok = top & a["overall_confidence"].between(0, 1)
-    for f in CONCEPTS:
-        ok = ok & _keys_match(F.get_json_object(raw, f"$.{f}"), PERIODS)
-        for p in PERIODS:
-            cell = a[f][p]
-            ok = ok & _keys_match(F.get_json_object(raw, f"$.{f}.{p}"), ("value", "confidence", "evidence"))
-            ok = ok & F.coalesce(cell["confidence"].between(0, 1), F.lit(False)) & cell["evidence"].isNotNull()
-            ok = ok & (cell["value"].isNull() | normalise_number(cell["value"])["error"].isNull())
-    return F.when(raw.isNull() | (F.trim(raw) == ""), "EmptyResponse").when(~F.coalesce(ok, F.lit(False)), "SchemaValidation")
-
-
-def normalised_answer(raw: Column) -> Column:
-    """The answer with every number as plain digits."""
-    a = F.from_json(raw, ANSWER)
-    cell = lambda c: F.struct(normalise_number(c["value"])["value"].alias("value"), c["confidence"].alias("confidence"), c["evidence"].alias("evidence"))
-    fields = [a[h].alias(h) for h in HEADERS]
-    fields += [F.struct(*[cell(a[f][p]).alias(p) for p in PERIODS]).alias(f) for f in CONCEPTS]
-    return F.to_json(F.struct(*fields, a["overall_confidence"].alias("overall_confidence")), {"ignoreNullFields": "false"})
-
-
-def ask(documents: DataFrame, model: Model, prompt: dict[str, str]) -> DataFrame:
-    """Calls the model once a document. Write the result before reading it twice: a model is paid for each call."""
+
+def called(model: Model, prompt: str, attempts: int = CALL_ATTEMPTS, first_wait: float = FIRST_WAIT) -> tuple:
+    """One call as a row of SAID: the answer, or why there is none."""
+    began = time.perf_counter()
+    try:
+        r = calls.with_patience(lambda: model.answer(prompt), attempts, first_wait)
+    except (calls.ServiceError, OSError) as e:
+        what = str(e) if isinstance(e, calls.ServiceError) else f"{type(e).__name__}: {e}"
+        return None, 0, 0, 0, 0, None, f"ModelCallError: {what}"[:1000]
+    except Exception as e:  # the provider's failures are rows, like every other failure
+        return None, 0, 0, 0, 0, None, f"Unexpected:{type(e).__name__}: {e}"[:1000]
+    failure = None
+    if not (r.text or "").strip():
+        failure = f"EmptyResponseError: finish_reason={r.finish_reason}"
+    elif r.finish_reason not in (None, "STOP"):
+        failure = f"TruncatedResponseError: finish_reason={r.finish_reason}"
+    return r.text, r.input_tokens, r.output_tokens, r.thinking_tokens, int((time.perf_counter() - began) * 1000), r.finish_reason, failure
+
+
+def ask(documents: DataFrame, model: Model, prompt: dict[str, str], threads: int = THREADS, attempts: int = CALL_ATTEMPTS, first_wait: float = FIRST_WAIT) -> DataFrame:
+    """Calls the model once a document: document_id, source_key and SAID, in the documents' order.
+
+    Each task has at most `threads` calls under way; a call that may pass later is tried again. Write the result before reading
+    it twice: a model is paid for each call.
+    """
     user = prompt["user"]
 
-    def call(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            try:
-                rows.append((*model.answer(user.replace("{text}", text or "")), None))
-            except Exception as e:  # the provider's failures are rows, like every other failure
-                kind = getattr(e, "reason", "ModelCall")
-                rows.append((None, 0, 0, 0, 0, f"{kind}: {e}"[:1000]))
-        return pd.DataFrame(rows, columns=["answer", "input_tokens", "output_tokens", "thinking_tokens", "latency_ms", "failure"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        answers = calls.in_order(rows, lambda r: called(model, user.replace("{text}", r[2] or ""), attempts, first_wait), threads)
+        for (document, source, _), said in answers:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip((document, source, *said), (pa.string(), pa.string(), *_SAID_ARROW), strict=True)],
+                names=["document_id", "source_key", *[x.split(" ")[0] for x in SAID.split(", ")]],
+            )
+
+    return documents.select("document_id", "source_key", "text").mapInArrow(run, f"document_id string, source_key string, {SAID}")
+
+
+# ---------------------------------------------------------------- validation
+
+_CELL_KEYS, _PAIR_KEYS = {"value", "confidence", "evidence"}, set(PERIODS)
+_ANSWER_KEYS = {*HEADERS, *CONCEPTS, "overall_confidence"}
+
+
+class _Misfit(Exception):
+    """Where an answer doesn't fit the schema, and why."""
+
+
+def _closed(x, keys: set[str], place: str) -> dict:
+    if not isinstance(x, dict) or x.keys() != keys:
+        raise _Misfit(f"{place}: not an object of {', '.join(sorted(keys))}")
+    return x
+
+
+def _sure(x, place: str) -> float:
+    try:
+        sure = float(x)
+    except (TypeError, ValueError):
+        sure = -1.0
+    if not 0 <= sure <= 1:
+        raise _Misfit(f"{place}: not in 0 to 1")
+    return sure
+
+
+def _cell(x, place: str, number: bool) -> dict:
+    value = _closed(x, _CELL_KEYS, place)["value"]
+    if not (value is None or isinstance(value, str)) or not isinstance(x["evidence"], str):
+        raise _Misfit(f"{place}: value or evidence is no text")
+    if number and value is not None:
+        value = written_number(value)
+        if value is None:
+            raise _Misfit(f"{place}: not a number")
+    return {"value": value, "confidence": _sure(x["confidence"], f"{place}.confidence"), "evidence": x["evidence"]}
+
+
+def fitted(answer: str) -> dict:
+    """An answer as the closed schema has it, with every number as plain digits; raises if it doesn't fit."""
+    try:
+        a = json.loads(answer)
+    except (ValueError, RecursionError) as e:
+        raise _Misfit(f"no JSON: {e}") from e
+    _closed(a, _ANSWER_KEYS, "answer")
+    out = {h: _cell(a[h], h, False) for h in HEADERS}
+    for f in CONCEPTS:
+        _closed(a[f], _PAIR_KEYS, f)
+        out[f] = {p: _cell(a[f][p], f"{f}.{p}", True) for p in PERIODS}
+    return out | {"overall_confidence": _sure(a["overall_confidence"], "overall_confidence")}
+
+
+def verdict(answer: str | None, failure: str | None) -> tuple:
+    """(extraction_json, overall_confidence, reason, error) of one call."""
+    if failure is not None:
+        return None, None, re.match(r"(?:Unexpected:)?[^:]*", failure)[0], failure
+    if answer is None or not answer.strip():
+        return None, None, "EmptyResponseError", None
+    try:
+        fit = fitted(answer)
+    except _Misfit as e:
+        return None, None, "SchemaValidationError", f"{e}\n---\n{answer[:500]}"
+    return json.dumps(fit, ensure_ascii=False, separators=(",", ":")), fit["overall_confidence"], None, None
+
+
+def judged(answers: DataFrame) -> DataFrame:
+    """Adds extraction_json, confidence, reason and error: every answer is parsed and validated once, in one streamed pass that the
+    optimizer can't copy into what reads its parts."""
+    kinds = [("extraction_json", pa.string()), ("confidence", pa.float64()), ("reason", pa.string()), ("error", pa.string())]
+    answer, failure = (answers.columns.index(c) for c in ("answer", "failure"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                found = zip(*map(verdict, b.column(answer).to_pylist(), b.column(failure).to_pylist()), strict=True)
+                more = [pa.array(list(v), t) for v, (_, t) in zip(found, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, *[n for n, _ in kinds]])
 
-    schema = "answer string, input_tokens long, output_tokens long, thinking_tokens long, latency_ms long, failure string"
-    return documents.withColumn("r", F.pandas_udf(call, schema)("text")).select("document_id", "source_key", "r.*")
+    more = T.StructType.fromDDL("extraction_json string, confidence double, reason string, error string")
+    return answers.mapInArrow(run, T.StructType([*answers.schema.fields, *more.fields]))
 
 
 def split_answers(answers: DataFrame, model: str, prompt: dict[str, str], batch: str, at, least: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """(extractions, quarantine). An answer of low confidence is kept and quarantined as well; failures only quarantined."""
-    failed = F.when(F.col("failure").isNotNull(), F.regexp_extract("failure", r"^[^:]+", 0)).otherwise(answer_error(F.col("answer")))
-    a = answers.withColumn("reason", failed).withColumn("confidence", F.get_json_object("answer", "$.overall_confidence").try_cast("double"))
+    a = judged(answers)
     when = F.lit(at).cast("timestamp")
     price = cost_usd(F.lit(model), F.col("input_tokens"), F.col("output_tokens"), F.col("thinking_tokens"))
+    low = F.col("reason").isNull() & (F.col("confidence") < least)
     kept = a.where("reason is null").select(
         "document_id", "source_key", F.lit(model).alias("model"), F.lit(prompt["id"]).alias("prompt_id"), F.lit(prompt["version"]).alias("prompt_version"),
-        F.lit("succeeded").alias("status"), F.col("confidence").alias("overall_confidence"), normalised_answer(F.col("answer")).alias("extraction_json"),
-        "input_tokens", "output_tokens", "thinking_tokens", F.coalesce(price, F.lit(0.0)).alias("cost_usd"), "latency_ms",
-        F.lit("STOP").alias("finish_reason"), F.lit(batch).alias("batch_id"), when.alias("extracted_at"),
+        F.when(low, "low_confidence").otherwise("ok").alias("status"), F.col("confidence").alias("overall_confidence"),
+        "extraction_json", "input_tokens", "output_tokens", "thinking_tokens",
+        F.round(F.coalesce(price, F.lit(0.0)), 8).alias("cost_usd"), "latency_ms", "finish_reason", F.lit(batch).alias("batch_id"), when.alias("extracted_at"),
     )
-    low = F.when(F.col("reason").isNull() & (F.col("confidence") < least), "LowConfidence").otherwise(F.col("reason"))
-    bad = a.withColumn("reason", low).where("reason is not null").select(
-        "document_id", "source_key", F.col("document_id").alias("member_name"), F.lit("extract").alias("stage"), "reason",
-        F.left(F.coalesce("failure", "answer", F.lit("")), F.lit(500)).alias("error"), F.lit(batch).alias("batch_id"), when.alias("quarantined_at"),
+    unsure = F.concat(F.lit("overall_confidence="), F.col("confidence").cast("string"), F.lit(f" < {least}"))
+    bad = a.withColumn("why", F.when(low, "LowConfidence").otherwise(F.col("reason"))).where("why is not null").select(
+        "document_id", "source_key", F.col("document_id").alias("member_name"), F.lit("extract").alias("stage"), F.col("why").alias("reason"),
+        F.left(F.coalesce(F.when(low, unsure), "error", "why"), F.lit(1000)).alias("error"), F.lit(batch).alias("batch_id"), when.alias("quarantined_at"),
         F.lit(model).alias("model"), F.lit(prompt["id"]).alias("prompt_id"), F.lit(None).cast("timestamp").alias("released_at"),
     )
     return kept, bad

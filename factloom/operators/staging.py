@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import found, safe_date, safe_decimal
+from ..functions.exprs import found, once, safe_date, safe_decimal
 from ..schemas import ANSWER, CONCEPTS, PERIODS
 
 
@@ -30,22 +30,24 @@ def stg_quarantine(quarantine: DataFrame) -> DataFrame:
 
 
 def stg_extractions(extractions: DataFrame) -> DataFrame:
-    a = F.from_json("extraction_json", ANSWER)
-    return extractions.withColumn("answer", a).select(
-        *extractions.columns, F.col("answer.company_name"), F.col("answer.company_number"),
-        safe_date(F.col("answer.period_end")).alias("period_end"), safe_date(F.col("answer.period_start")).alias("period_start"),
+    a = once(extractions, "answer_", F.from_json("extraction_json", ANSWER))
+    text = lambda c: F.col(f"answer_.{c}.value")
+    return a.select(
+        *extractions.columns, text("company_name").alias("company_name"), text("company_number").alias("company_number"),
+        safe_date(text("period_end")).alias("period_end"), safe_date(text("period_start")).alias("period_start"),
     )
 
 
 def stg_extraction_values(extractions: DataFrame) -> DataFrame:
-    """18 rows an extraction (field by period), in one pass over the parsed answer."""
+    """18 rows an extraction (field by period), in one pass over the answer, which is parsed once."""
     cell = lambda f, c, p: F.struct(
-        F.lit(f).alias("field"), F.lit(c).alias("concept"), F.lit(p).alias("period"),
-        safe_decimal(F.col(f"a.{f}.{p}.value")).alias("value"), F.col(f"a.{f}.{p}.confidence").alias("confidence"), F.col(f"a.{f}.{p}.evidence").alias("evidence"),
+        F.lit(f).alias("field"), F.lit(c).alias("concept"), F.lit(p).alias("period"), safe_decimal(F.col(f"a_.{f}.{p}.value")).alias("value"),
+        F.col(f"a_.{f}.{p}.value").isNotNull().alias("stated"), F.col(f"a_.{f}.{p}.confidence").alias("confidence"), F.col(f"a_.{f}.{p}.evidence").alias("evidence"),
     )
     cells = F.array(*[cell(f, c, p) for f, c in CONCEPTS.items() for p in PERIODS])
-    parsed = extractions.select("document_id", "model", "prompt_id", F.from_json("extraction_json", ANSWER).alias("a"))
-    return parsed.select("document_id", "model", "prompt_id", F.inline(cells))
+    keys = ["document_id", "model", "prompt_id"]
+    parsed = once(extractions.select(*keys, "batch_id", "extraction_json"), "a_", F.from_json("extraction_json", ANSWER))
+    return parsed.select(*keys, "batch_id", F.inline(cells)).select(*keys, "field", "concept", "period", "value", "stated", "confidence", "evidence", "batch_id")
 
 
 def stg_fact_occurrences(facts: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
-"""The parse, extract and index jobs: members pinned in the ledger before any data is written, a terminal row on every path,
-counts taken from the rows that were written, and runs that take up what an earlier one left open.
+"""The parse, extract and index jobs: members pinned before any data is written, a terminal row in the ledger on every path,
+counts taken while rows are written, and runs that take up what an earlier one left open.
 
-A pinned batch is a list bounded by the job's cap; everything that grows with the documents is a DataFrame.
+What a run has pinned is a table of its own, joined with what is there and anti-joined with what is done: a batch may be as
+large as its cap says, and no list of ids passes through the driver.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import batch_id, cost_usd
+from ..functions.exprs import cost_usd
 from ..operators import batches, extract, parse, retrieval
 from ..schemas import CHUNK_CHARS, CHUNK_OVERLAP, EXTRACT_CAP, PARSE_CAP, PARSER_VERSION, PRICES
 from ..sources import archives, tables
@@ -26,43 +27,55 @@ def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
-def _ids(spark: SparkSession, ids: list[str], name: str) -> DataFrame:
-    return spark.createDataFrame([(i,) for i in ids], f"{name} string")
+def set_id(ids: DataFrame, *salt: str) -> tuple[str, int]:
+    """(16 hex digits, count) of a set of ids (one column of distinct texts) and a salt, whatever the order: two sums over hashes."""
+    c = ids.columns[0]
+    sums = ids.agg(F.count("*").alias("n"), F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), F.col(c))).alias("x")).select(
+        F.left(F.sha2(F.concat_ws("\n", *[F.lit(x) for x in salt], "n", F.col("s").cast("string"), "x"), 256), F.lit(16)).alias("id"), "n"
+    )
+    return tuple(sums.first())
 
 
-def _batch_of(spark: SparkSession, ids: list[str], *salt: str) -> str:
-    return spark.range(1).select(batch_id(F.array(*[F.lit(i) for i in ids]), *[F.lit(s) for s in salt])).first()[0]
+def pinned(spark: SparkSession, root: str, ledger: str, batch: str, name: str) -> DataFrame:
+    """What a batch has pinned, as one column."""
+    return tables.read_table(spark, root, "pins", f"{ledger}/{batch}").select(F.col("item").alias(name))
 
 
 def _run(
-    spark: SparkSession, root: str, ledger: str, keys: dict[str, str], column: str, fixed: dict, choose: Callable[[], list[str]], work: Callable[[str, list[str], str, dict], None],
+    spark: SparkSession, root: str, ledger: str, keys: dict[str, str], item: str, fixed: dict, choose: Callable[[], DataFrame], work: Callable[[str, DataFrame, str, dict], None],
     salt: Callable[[str], list[str]], publish: Callable[[dict], None] | None, fresh: bool = False,
 ) -> str:
     """One run of a job: its terminal status. `work` fills the counts as it goes, so that a failed run has those of what is there."""
     run, started = uuid.uuid4().hex, _now()
-    batch, ids, counts = None, [], {}
+    batch, selected, counts = None, 0, {}
 
     def record(status: str, error: str | None = None) -> dict:
-        row = {"run_id": run, **keys, "batch_id": batch, "status": status, "selected": len(ids), "started_at": started, "finished_at": _now(), "error": error, column: ids}
-        row = dict.fromkeys((f.name for f in tables.TABLES[ledger] if f.dataType.simpleString() in ("bigint", "double")), 0) | fixed | row | counts
-        if ledger != "parse_runs" and isinstance(row.get("cost_usd"), int):
-            row["cost_usd"] = float(row["cost_usd"])
+        row = {"run_id": run, **keys, "batch_id": batch, "status": status, "selected": selected, "started_at": started, "finished_at": _now(), "error": error}
+        zeros = {f.name: 0 if f.dataType.simpleString() == "bigint" else 0.0 for f in tables.TABLES[ledger] if f.dataType.simpleString() in ("bigint", "double")}
+        row = zeros | fixed | row | {k: type(zeros[k])(v) for k, v in counts.items() if k in zeros}
         tables.append_ledger(spark, root, ledger, row, f"{run}-{status}")
         return row
 
     try:
-        mine = tables.read_table(spark, root, ledger).where(" and ".join(f"{k} = '{v}'" for k, v in keys.items()))
-        left_open = None if fresh else batches.open_batch(mine, list(keys)).select("batch_id", column).first()
+        mine = tables.read_table(spark, root, ledger)
+        for k, v in keys.items():
+            mine = mine.where(F.col(k) == F.lit(v))
+        left_open = None if fresh else batches.open_batch(mine, list(keys)).select("batch_id", "selected").first()
         if left_open is not None:
-            batch, ids = left_open[0], list(left_open[1])
+            batch, selected = left_open
         else:
-            ids = choose()
-            if not ids:
+            chosen = tables.staged(choose(), root, f"chosen-{run}")
+            id_, selected = set_id(chosen, *salt(run))
+            if not selected:
+                tables.unstage(spark, root, f"chosen-{run}")
                 record("skipped_existing")
                 return "skipped_existing"
-            batch = _batch_of(spark, ids, *salt(run))
+            batch = id_
+            at = f"{ledger}/{batch}"
+            tables.load_batch(chosen.select(F.lit(batch).alias("batch_id"), F.col(item).alias("item")), root, "pins", at, at)
+            tables.unstage(spark, root, f"chosen-{run}")
             record("started")
-        work(batch, ids, run, counts)
+        work(batch, pinned(spark, root, ledger, batch, item), run, counts)
         row = record("succeeded")
     except Exception as e:  # whatever went wrong, the ledger says so
         record("failed", f"{type(e).__name__}: {e}"[:1000])
@@ -105,45 +118,40 @@ def released_sources(spark: SparkSession, root: str) -> list[str]:
 
 def purge_source(spark: SparkSession, root: str, source_key: str) -> dict[str, int]:
     """Drops all that parsing a source has written; how many rows of each table that were."""
-    documents = tables.read_table(spark, root, "documents").where(F.col("source_key") == source_key)
-    facts = tables.read_table(spark, root, "facts").join(documents.select("document_id", "batch_id").distinct(), ["document_id", "batch_id"], "left_semi")
-    failed = tables.read_table(spark, root, "quarantine").where((F.col("source_key") == source_key) & (F.col("stage") == "parse"))
-    counts = {"facts": facts.count(), "documents": documents.count(), "quarantine": failed.count()}
-    for name in counts:
-        tables.purge(spark, root, name, f"{source_key}-")
+    counts = {}
+    for name in ("documents", "facts", "quarantine"):  # documents first: what is left of a crash is not taken for done
+        counts[name] = int(tables.counted(spark, root, name, source_key).get("rows", 0))
+        tables.purge(spark, root, name, source_key)
     return counts
 
 
 def parse_source(spark: SparkSession, root: str, path: str, source_key: str, cap: int = PARSE_CAP, reparse: bool = False, publish=None) -> str:
     """Parses the members of one archive under `path` that are not done yet; `reparse` drops what the source gave before."""
-    files = archives.archives(spark, path).where(F.col("source_key") == source_key)
     if reparse:
         purge_source(spark, root, source_key)
 
-    def choose() -> list[str]:
-        names = archives.members(files, with_content=False)
-        broken = names.where("error is not null").select("error").first()
+    def choose() -> DataFrame:
+        names = archives.members(spark, path, source_key, with_content=False)
+        broken = names.where("place is null").select("error").first()
         if broken is not None:
             raise ValueError(broken[0])
-        mine = F.col("source_key") == source_key
-        blocked = quarantine(spark, root).where(mine & F.expr("stage = 'parse' and released_at is null"))
-        done = tables.read_table(spark, root, "documents").where(mine).select("member_name").union(blocked.select("member_name"))
-        return [r[0] for r in archives.select_members(names, cap).select("member_name").join(done, "member_name", "left_anti").orderBy("member_name").collect()]
+        blocked = quarantine(spark, root).where((F.col("source_key") == source_key) & F.expr("stage = 'parse' and released_at is null"))
+        done = tables.read_table(spark, root, "documents", source_key).select("member_name").union(blocked.select("member_name"))
+        return archives.select_members(names, cap).select("member_name").join(done, "member_name", "left_anti").distinct()
 
-    def work(batch: str, members: list[str], run: str, counts: dict) -> None:
-        rows = archives.members(files).join(_ids(spark, members, "member_name"), "member_name", "left_semi")
+    def work(batch: str, members: DataFrame, run: str, counts: dict) -> None:
+        rows = archives.members(spark, path, source_key).join(members, "member_name", "left_semi")
         parsed = tables.staged(parse.parse_members(rows), root, f"parsed-{batch}-{run}")
         key, at = f"{source_key}-{batch}", _now().isoformat()
         # Documents last: they are what says that a member is done.
-        tables.load_batch(parse.quarantine_rows(parsed, batch, at), root, "quarantine", key)
-        tables.load_batch(parse.fact_rows(parsed, batch), root, "facts", key)
-        tables.load_batch(parse.document_rows(parsed, batch, at), root, "documents", key)
-        for name, table in (("quarantined", "quarantine"), ("facts", "facts"), ("parsed", "documents")):
-            counts[name] = tables.read_table(spark, root, table).where(F.col("batch_id") == batch).count()
+        for name, made, count in (("quarantine", parse.quarantine_rows(parsed, batch, at), "quarantined"), ("facts", parse.fact_rows(parsed, batch), "facts"), ("documents", parse.document_rows(parsed, batch, at), "parsed")):
+            tables.load_batch(made, root, name, key, source_key)
+            counts[count] = tables.counted(spark, root, name, source_key, key)["rows"]
+        tables.unstage(spark, root, f"parsed-{batch}-{run}")
 
     fixed = {"cap": cap, "parser_version": PARSER_VERSION, "reparse": reparse}
-    salt = lambda run: [f"parser={PARSER_VERSION}", run if reparse else ""]
-    return _run(spark, root, "parse_runs", {"source_key": source_key}, "members", fixed, choose, work, salt, publish, fresh=reparse)
+    salt = lambda run: [f"parser={PARSER_VERSION}", source_key, run if reparse else ""]
+    return _run(spark, root, "parse_runs", {"source_key": source_key}, "member_name", fixed, choose, work, salt, publish, fresh=reparse)
 
 
 def documents_by_id(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -156,67 +164,89 @@ def _priced(name: str) -> None:
         raise ValueError(f"no price for {name}")
 
 
-def extract_documents(spark: SparkSession, root: str, model: extract.Model, prompt: dict[str, str], cap: int = EXTRACT_CAP, publish=None) -> str:
-    """Asks the model about pending documents; a pinned document that is there no more is a failure of its own."""
+def _part_of(parts: int):
+    """The part of a document, so that each holds about as many."""
+    return F.pmod(F.xxhash64("document_id"), F.lit(parts))
+
+
+def extract_documents(
+    spark: SparkSession, root: str, model: extract.Model, prompt: dict[str, str], cap: int = EXTRACT_CAP, publish=None, flush: int = FLUSH_DOCUMENTS, threads: int = extract.THREADS
+) -> str:
+    """Asks the model about pending documents; a pinned document that is there no more is a failure of its own.
+
+    About `flush` documents are asked about at a time; their answers are stored before the next, and a run that takes up the batch
+    asks only about the others, so that a crash pays for no stored call again.
+    """
     mine = (F.col("model") == model.name) & (F.col("prompt_id") == prompt["id"])
     documents = lambda: tables.read_table(spark, root, "documents")
     answered = lambda: tables.read_table(spark, root, "extractions").where(mine)
 
-    def choose() -> list[str]:
+    def choose() -> DataFrame:
         _priced(model.name)
-        pending = batches.pending_documents(documents(), answered(), quarantine(spark, root), model.name, prompt["id"], cap)
-        return [r[0] for r in pending.select("document_id").collect()]
+        return batches.pending_documents(documents(), answered(), quarantine(spark, root), model.name, prompt["id"], cap).select("document_id")
 
-    def work(batch: str, ids: list[str], run: str, counts: dict) -> None:
+    def ask(batch: str, todo: DataFrame, run: str, selected: int) -> None:
+        docs = documents_by_id(documents(), todo).select("document_id", "source_key", "text")
+        parts = max(1, -(-selected // flush))
+        for part in range(parts):
+            said = extract.ask(docs.where(_part_of(parts) == part), model, prompt, threads)
+            own = {"model": F.lit(model.name), "prompt_id": F.lit(prompt["id"]), "batch_id": F.lit(batch)}
+            tables.load_batch(said.withColumns(own), root, "answers", f"{batch}-{run}-{part}", batch)
+
+    def work(batch: str, pins: DataFrame, run: str, counts: dict) -> None:
         blocked = quarantine(spark, root).where(mine & F.expr("stage = 'extract' and released_at is null"))
         done = answered().select("document_id").union(blocked.select("document_id"))
-        todo = _ids(spark, ids, "document_id").join(done, "document_id", "left_anti")
-        docs = documents_by_id(documents(), todo).select("document_id", "source_key", "text")
-        gone = batches.missing(todo, documents()).select("document_id", F.lit("").alias("source_key"))
-        said = extract.ask(docs, model, prompt)
+        todo = tables.staged(pins.join(done, "document_id", "left_anti"), root, f"todo-{batch}-{run}")
+        # Answers of this batch that an earlier run has paid for and not settled; one answer a document.
+        paid = lambda: tables.read_table(spark, root, "answers", batch)
+        unasked = todo.join(paid().select("document_id"), "document_id", "left_anti")
+        ask(batch, unasked, run, unasked.count())
+        said = paid().join(todo, "document_id", "left_semi")
+        gone = batches.missing(todo, documents()).join(paid().select("document_id"), "document_id", "left_anti")
         zero = F.lit(0).cast("long")
-        gone = gone.select("document_id", "source_key", F.lit(None).cast("string").alias("answer"), *[zero.alias(c) for c in ("input_tokens", "output_tokens", "thinking_tokens", "latency_ms")],
-                           F.lit("MissingDocument: the document is there no more").alias("failure"))
-        answers = tables.staged(said.unionByName(gone), root, f"answers-{batch}-{run}")  # a model is paid for each call
-        kept, bad = extract.split_answers(answers, model.name, prompt, batch, _now().isoformat())
+        none = F.lit(None).cast("string")
+        gone = gone.select("document_id", F.lit("").alias("source_key"), none.alias("answer"), *[zero.alias(c) for c in ("input_tokens", "output_tokens", "thinking_tokens", "latency_ms")],
+                           none.alias("finish_reason"), F.lit("MissingDocument: pinned to the batch but absent from documents").alias("failure"))
+        kept, bad = extract.split_answers(said.select(*gone.columns).unionByName(gone), model.name, prompt, batch, _now().isoformat())
         # What has no answer is written first: an answer is what says that a document is done.
-        tables.load_batch(bad, root, "quarantine", f"{batch}-{run}")
-        tables.load_batch(kept, root, "extractions", f"{batch}-{run}")
-        there = tables.read_table(spark, root, "extractions").where(F.col("batch_id") == batch)
-        sums = there.agg(F.count("*").alias("extracted"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("input_tokens", "output_tokens")], F.round(F.coalesce(F.sum("cost_usd"), F.lit(0.0)), 6).alias("cost_usd"))
-        counts |= sums.first().asDict()
-        counts["quarantined"] = tables.read_table(spark, root, "quarantine").where((F.col("batch_id") == batch) & (F.col("stage") == "extract")).count()
+        tables.load_batch(bad, root, "quarantine", f"{batch}-{run}", batch)
+        spent = {"input_tokens": F.sum("input_tokens"), "output_tokens": F.sum(F.col("output_tokens") + F.col("thinking_tokens")), "cost_usd": F.sum("cost_usd")}
+        tables.load_batch(kept, root, "extractions", f"{batch}-{run}", batch, spent)
+        there = tables.counted(spark, root, "extractions", batch)
+        counts |= there | {"extracted": there["rows"], "cost_usd": round(there["cost_usd"], 6), "quarantined": tables.counted(spark, root, "quarantine", batch)["rows"]}
+        tables.unstage(spark, root, f"todo-{batch}-{run}")
 
     keys = {"model": model.name, "prompt_id": prompt["id"]}
-    return _run(spark, root, "extract_runs", keys, "document_ids", {"cap": cap}, choose, work, lambda run: list(keys.values()), publish)
+    return _run(spark, root, "extract_runs", keys, "document_id", {"cap": cap}, choose, work, lambda run: list(keys.values()), publish)
 
 
 def index_documents(
     spark: SparkSession, root: str, cap: int, model: str = "fake", embed: Callable[[DataFrame], DataFrame] = retrieval.embed, flush: int = FLUSH_DOCUMENTS
 ) -> str:
-    """Chunks and embeds documents that the index lacks, `flush` documents a part, so that a crash keeps the parts before it."""
+    """Chunks and embeds documents that the index lacks, about `flush` documents a part, so that a crash keeps the parts before it."""
     documents = lambda: tables.read_table(spark, root, "documents")
     there = lambda: tables.read_table(spark, root, "chunks").where(F.col("embedding_model") == model)
     nothing = lambda: tables.read_table(spark, root, "quarantine").where("false")
 
-    def choose() -> list[str]:
+    def choose() -> DataFrame:
         _priced(model)
         as_done = there().select("document_id", F.lit(model).alias("model"), F.lit("").alias("prompt_id")).distinct()
-        return [r[0] for r in batches.pending_documents(documents().where("text rlike '\\\\S'"), as_done, nothing(), model, "", cap).select("document_id").collect()]
-
-    def work(batch: str, ids: list[str], run: str, counts: dict) -> None:
-        done = {r[0] for r in there().join(_ids(spark, ids, "document_id"), "document_id", "left_semi").select("document_id").distinct().collect()}  # of one batch
-        todo = [i for i in ids if i not in done]
-        for part, lo in enumerate(range(0, len(todo), flush)):
-            docs = documents_by_id(documents(), _ids(spark, todo[lo : lo + flush], "document_id"))
-            rows = embed(retrieval.chunk_documents(docs, "document_id", CHUNK_CHARS, CHUNK_OVERLAP))
+        return batches.pending_documents(documents().where("text rlike '\\\\S'"), as_done, nothing(), model, "", cap).select("document_id")
+
+    def work(batch: str, pins: DataFrame, run: str, counts: dict) -> None:
+        todo = tables.staged(pins.join(there().select("document_id"), "document_id", "left_anti"), root, f"index-{batch}-{run}")
+        parts = max(1, -(-todo.count() // flush))
+        docs = documents_by_id(documents(), todo)
+        for part in range(parts):
+            rows = embed(retrieval.chunk_documents(docs.where(_part_of(parts) == part), "document_id", CHUNK_CHARS, CHUNK_OVERLAP))
             rows = rows.select(
                 "document_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.lit(model).alias("embedding_model"), "text", F.col("chars").cast("long").alias("chars"), "tokens",
                 "embedding", F.lit(batch).alias("batch_id"), F.lit(_now().isoformat()).cast("timestamp").alias("indexed_at"),
             )
-            tables.load_batch(rows, root, "chunks", f"{batch}-{run}-{part}")
-            price = F.coalesce(cost_usd(F.lit(model), F.sum("tokens"), F.lit(0), F.lit(0)), F.lit(0.0))
-            own = there().where(F.col("batch_id") == batch).agg(F.count_distinct("document_id").alias("indexed"), F.count("*").alias("chunks"), F.sum("tokens").alias("tokens"), F.round(price, 6).alias("cost_usd"))
-            counts |= own.first().asDict()
+            measures = {"indexed": F.count_if(F.col("chunk_index") == 0), "tokens": F.sum("tokens"), "cost_usd": F.coalesce(cost_usd(F.lit(model), F.sum("tokens"), F.lit(0), F.lit(0)), F.lit(0.0))}
+            tables.load_batch(rows, root, "chunks", f"{batch}-{run}-{part}", batch, measures)
+            seen = tables.counted(spark, root, "chunks", batch)
+            counts |= seen | {"chunks": seen["rows"], "cost_usd": round(seen["cost_usd"], 6)}
+        tables.unstage(spark, root, f"index-{batch}-{run}")
 
-    return _run(spark, root, "index_runs", {"embedding_model": model}, "document_ids", {"cap": cap}, choose, work, lambda run: [model], None)
+    return _run(spark, root, "index_runs", {"embedding_model": model}, "document_id", {"cap": cap}, choose, work, lambda run: [model], None)

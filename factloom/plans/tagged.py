@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import once
 from ..operators import evaluate, extract, parse, staging
 from ..schemas import CONCEPTS, CREDITORS_WITHIN_ONE_YEAR, HEADERS, PERIODS
 from .catalogue import query, stored, t
@@ -166,13 +167,14 @@ MODEL = "gemini-3.1-flash-lite"
 PROMPT = {"id": "v1-0123456789ab", "version": "v1"}
 
 #: What is wrong with an order's answer, by its key modulo 29: 1 one key more, 2 a confidence above one, 3 a number in words,
-#: 4 nothing, 5 the call failed; 6 and 7 are of low confidence.
+#: 4 nothing, 5 the call failed, 8 cut off, 9 one key more in a cell, 10 something after its end; 6 and 7 are of low confidence.
 _SAID = "case ({k} + {i}) % 4 when 1 then '' || ({k} % 1000 + {i}) when 2 then '(' || ({k} % 1000 + {i}) || ')' when 3 then '£1,' || lpad('' || ({k} % 1000), 3, '0') end"
 
 
 def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a model has said about each order: document_id, source_key, answer, tokens, latency_ms, failure."""
     o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 29).alias("kind"))
+    o = o.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # keys alone, from which long answers are made
     cell = lambda v: F.struct(v.alias("value"), F.lit(0.75).alias("confidence"), F.lit("e").alias("evidence"))
     none = F.lit(None).cast("string")
     head = {"company_name": F.concat(F.lit("Co "), "k"), "company_number": F.lpad(F.col("k").cast("string"), 8, "0"), "period_start": none,
@@ -184,11 +186,15 @@ def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             value = F.when(F.col("kind") == 3, "twelve").otherwise(value)
         fields.append(F.struct(cell(value).alias("current"), cell(none).alias("prior")).alias(f))
     sure = F.when(F.col("kind") == 2, 1.5).when(F.col("kind").isin(6, 7), 0.25).otherwise(0.875)
-    text = F.to_json(F.struct(*[head[h].alias(h) for h in HEADERS], *fields, sure.alias("overall_confidence")), {"ignoreNullFields": "false"})
-    text = F.when(F.col("kind") == 1, F.regexp_replace(text, r"\}$", ',"more":1}')).when(F.col("kind") == 4, "").when(F.col("kind") != 5, text)
+    whole = F.to_json(F.struct(*[cell(head[h]).alias(h) for h in HEADERS], *fields, sure.alias("overall_confidence")), {"ignoreNullFields": "false"})
+    o = once(o, "whole", whole)
+    text = F.when(F.col("kind") == 1, F.regexp_replace("whole", r"\}$", ',"more":1}')).when(F.col("kind") == 4, "").when(F.col("kind") == 8, F.left("whole", F.lit(200)))
+    text = text.when(F.col("kind") == 9, F.regexp_replace("whole", '"cash":\\{"current":\\{', '"cash":{"current":{"guess":null,')).when(F.col("kind") == 10, F.concat("whole", F.lit(" {}")))
+    text = text.when(F.col("kind") != 5, F.col("whole"))
+    failure = F.when(F.col("kind") == 5, "ModelCallError: 429: too many calls").when(F.col("kind") == 8, "TruncatedResponseError: finish_reason=MAX_TOKENS")
     return o.select(
         F.col("k").cast("string").alias("document_id"), F.lit("s").alias("source_key"), text.alias("answer"), (F.col("k") % 5000).alias("input_tokens"), (F.col("k") % 700).alias("output_tokens"),
-        (F.col("k") % 11).alias("thinking_tokens"), (F.col("k") % 90).alias("latency_ms"), F.when(F.col("kind") == 5, "RateLimit: too many calls").alias("failure"),
+        (F.col("k") % 11).alias("thinking_tokens"), (F.col("k") % 90).alias("latency_ms"), F.when(F.col("kind") == 8, "MAX_TOKENS").otherwise("STOP").alias("finish_reason"), failure.alias("failure"),
     )
 
 
@@ -198,8 +204,8 @@ def _answers(spark, sf_dir):
 
 
 @query(
-    """select o_orderkey::varchar as document_id, case o_orderkey % 29 when 4 then 'EmptyResponse' when 5 then 'RateLimit' when 6 then 'LowConfidence' when 7 then 'LowConfidence' else 'SchemaValidation' end as reason
-    from orders where o_orderkey % 29 between 1 and 7"""
+    """select o_orderkey::varchar as document_id, case o_orderkey % 29 when 4 then 'EmptyResponseError' when 5 then 'ModelCallError' when 6 then 'LowConfidence' when 7 then 'LowConfidence'
+      when 8 then 'TruncatedResponseError' else 'SchemaValidationError' end as reason from orders where o_orderkey % 29 between 1 and 10"""
 )
 def extract_quarantine(spark, sf_dir):
     """Answers that the closed schema rejects, failed calls, and answers of low confidence, which are kept as well."""
@@ -209,19 +215,20 @@ def extract_quarantine(spark, sf_dir):
 @query(
     """select o_orderkey::varchar as document_id, 'Co ' || o_orderkey as company_name, lpad(o_orderkey::varchar, 8, '0') as company_number,
     case when o_orderkey % 3 <> 0 then '2025-03-' || lpad((o_orderkey % 28 + 1)::varchar, 2, '0') end as period_end, case when o_orderkey % 29 in (6, 7) then 0.25 else 0.875 end::double as overall_confidence,
-    round((o_orderkey % 5000 * 0.25 + (o_orderkey % 700 + o_orderkey % 11) * 1.5)::double / 1000000, 9) as cost_usd from orders where o_orderkey % 29 not between 1 and 5"""
+    case when o_orderkey % 29 in (6, 7) then 'low_confidence' else 'ok' end as status,
+    round((o_orderkey % 5000 * 0.25 + (o_orderkey % 700 + o_orderkey % 11) * 1.5)::double / 1000000, 8) as cost_usd from orders where o_orderkey % 29 not in (1, 2, 3, 4, 5, 8, 9, 10)"""
 )
 def extractions_kept(spark, sf_dir):
     """The answers that were kept, with their headers and prices."""
     e = staging.stg_extractions(_answers(spark, sf_dir)[0])
-    return e.select("document_id", "company_name", "company_number", _day("period_end"), "overall_confidence", F.round("cost_usd", 9).alias("cost_usd"))
+    return e.select("document_id", "company_name", "company_number", _day("period_end"), "overall_confidence", "status", F.round("cost_usd", 8).alias("cost_usd"))
 
 
 _VALUE = "case (k + {i}) % 4 when 1 then k % 1000 + {i} when 2 then -(k % 1000 + {i}) when 3 then 1000 + k % 1000 end"
 
 
 @query(
-    "with k as (select o_orderkey as k from orders where o_orderkey % 29 not between 1 and 5) "
+    "with k as (select o_orderkey as k from orders where o_orderkey % 29 not in (1, 2, 3, 4, 5, 8, 9, 10)) "
     + " union all ".join(
         f"select k::varchar as document_id, '{f}' as field, '{c}' as concept, '{p}' as period, ({_VALUE.format(i=i) if p == 'current' else 'null'})::double as value, 0.75::double as confidence from k"
         for i, (f, c) in enumerate(CONCEPTS.items())

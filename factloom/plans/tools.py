@@ -27,7 +27,8 @@ def ask(hits: DataFrame, question: str, model: Model) -> DataFrame:
     def call(passages):
         import pandas as pd
 
-        rows = [model.answer(f"{x}\n\n{question}")[:4] for x in passages]
+        said = [model.answer(f"{x}\n\n{question}") for x in passages]
+        rows = [(r.text, r.input_tokens, r.output_tokens, r.thinking_tokens) for r in said]
         return pd.DataFrame(rows, columns=["answer", "input_tokens", "output_tokens", "thinking_tokens"])
 
     schema = "answer string, input_tokens long, output_tokens long, thinking_tokens long"

@@ -41,72 +41,79 @@ CREDITORS_WITHIN_ONE_YEAR = "MaturitiesOrExpirationPeriodsDimension=WithinOneYea
 NUMERIC = "decimal(38,9)"
 
 
-def _struct(text: str) -> T.StructType:
-    """'name type!, ...' as a StructType; ! marks a required column."""
+_TYPES = {
+    "string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "decimal(38,9)": T.DecimalType(38, 9), "array<string>": T.ArrayType(T.StringType()), "array<double>": T.ArrayType(T.DoubleType()),
+}
+
+
+def _struct(ddl: str) -> T.StructType:
+    """The columns of a DDL text; StructType.fromDDL needs a session, which workers that import this don't have."""
     out = T.StructType()
-    for part in text.split(", "):
-        name, kind = part.split(" ", 1)
-        required = kind.endswith("!")
-        kind = kind.rstrip("!")
-        types = {
-            "string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(),
-            "timestamp": T.TimestampType(), "numeric": T.DecimalType(38, 9), "strings": T.ArrayType(T.StringType()), "vector": T.ArrayType(T.DoubleType()),
-        }
-        out.add(name, types[kind], nullable=not required)
+    for column in ddl.split(", "):
+        name, kind = column.removesuffix(" NOT NULL").split(" ")
+        out.add(name, _TYPES[kind], nullable=not column.endswith(" NOT NULL"))
     return out
 
 
+#: Fixed values from here on: the columns of the tables.
 DOCUMENTS = _struct(
-    "document_id string!, source_key string!, member_name string!, company_number string!, period_end date!, byte_count long!, sha256 string!, "
-    "ix_namespace string!, entity_identifier string, fact_count long!, text string!, batch_id string!, parsed_at timestamp!, parser_version long"
+    "document_id string NOT NULL, source_key string NOT NULL, member_name string NOT NULL, company_number string NOT NULL, period_end date NOT NULL, byte_count long NOT NULL, sha256 string NOT NULL, "
+    "ix_namespace string NOT NULL, entity_identifier string, fact_count long NOT NULL, text string NOT NULL, batch_id string NOT NULL, parsed_at timestamp NOT NULL, parser_version long"
 )
 FACTS = _struct(
-    "document_id string!, concept string!, namespace string!, context_id string!, is_numeric boolean!, value numeric, text string!, unit string, "
-    "decimals string, format string, scale long, sign string, in_hidden boolean!, period_start date, period_end date, instant date, "
-    "dimensional boolean!, batch_id string!, dimensions string"
+    "document_id string NOT NULL, concept string NOT NULL, namespace string NOT NULL, context_id string NOT NULL, is_numeric boolean NOT NULL, value decimal(38,9), text string NOT NULL, unit string, "
+    "decimals string, format string, scale long, sign string, in_hidden boolean NOT NULL, period_start date, period_end date, instant date, "
+    "dimensional boolean NOT NULL, batch_id string NOT NULL, dimensions string"
 )
 QUARANTINE = _struct(
-    "document_id string, source_key string!, member_name string!, stage string!, reason string!, error string!, batch_id string!, "
-    "quarantined_at timestamp!, model string, prompt_id string, released_at timestamp"
+    "document_id string, source_key string NOT NULL, member_name string NOT NULL, stage string NOT NULL, reason string NOT NULL, error string NOT NULL, batch_id string NOT NULL, "
+    "quarantined_at timestamp NOT NULL, model string, prompt_id string, released_at timestamp"
 )
 RELEASES = _struct(
-    "stage string!, source_key string!, member_name string!, batch_id string!, quarantined_at timestamp!, model string, prompt_id string, released_at timestamp!"
+    "stage string NOT NULL, source_key string NOT NULL, member_name string NOT NULL, batch_id string NOT NULL, quarantined_at timestamp NOT NULL, model string, prompt_id string, released_at timestamp NOT NULL"
 )
 PARSE_RUNS = _struct(
-    "run_id string!, source_key string!, batch_id string, status string!, cap long!, selected long!, parsed long!, quarantined long!, facts long!, "
-    "started_at timestamp!, finished_at timestamp!, error string, members strings, parser_version long, reparse boolean"
+    "run_id string NOT NULL, source_key string NOT NULL, batch_id string, status string NOT NULL, cap long NOT NULL, selected long NOT NULL, parsed long NOT NULL, quarantined long NOT NULL, facts long NOT NULL, "
+    "started_at timestamp NOT NULL, finished_at timestamp NOT NULL, error string, members array<string>, parser_version long, reparse boolean"
 )
 INGEST_RUNS = _struct(
-    "run_id string!, source_key string!, source_url string!, status string!, raw_uri string, sha256 string, byte_count long, error string, "
-    "started_at timestamp!, finished_at timestamp!"
+    "run_id string NOT NULL, source_key string NOT NULL, source_url string NOT NULL, status string NOT NULL, raw_uri string, sha256 string, byte_count long, error string, "
+    "started_at timestamp NOT NULL, finished_at timestamp NOT NULL"
 )
 EXTRACTIONS = _struct(
-    "document_id string!, source_key string!, model string!, prompt_id string!, prompt_version string!, status string!, overall_confidence double!, "
-    "extraction_json string!, input_tokens long!, output_tokens long!, thinking_tokens long!, cost_usd double!, latency_ms long!, "
-    "finish_reason string, batch_id string!, extracted_at timestamp!"
+    "document_id string NOT NULL, source_key string NOT NULL, model string NOT NULL, prompt_id string NOT NULL, prompt_version string NOT NULL, status string NOT NULL, overall_confidence double NOT NULL, "
+    "extraction_json string NOT NULL, input_tokens long NOT NULL, output_tokens long NOT NULL, thinking_tokens long NOT NULL, cost_usd double NOT NULL, latency_ms long NOT NULL, "
+    "finish_reason string, batch_id string NOT NULL, extracted_at timestamp NOT NULL"
 )
 EXTRACT_RUNS = _struct(
-    "run_id string!, model string!, prompt_id string!, batch_id string, status string!, cap long!, selected long!, extracted long!, quarantined long!, "
-    "input_tokens long!, output_tokens long!, cost_usd double!, started_at timestamp!, finished_at timestamp!, error string, document_ids strings"
+    "run_id string NOT NULL, model string NOT NULL, prompt_id string NOT NULL, batch_id string, status string NOT NULL, cap long NOT NULL, selected long NOT NULL, extracted long NOT NULL, quarantined long NOT NULL, "
+    "input_tokens long NOT NULL, output_tokens long NOT NULL, cost_usd double NOT NULL, started_at timestamp NOT NULL, finished_at timestamp NOT NULL, error string, document_ids array<string>"
 )
 CHUNKS = _struct(
-    "document_id string!, chunk_index long!, embedding_model string!, text string!, chars long!, tokens long!, embedding vector, batch_id string!, "
-    "indexed_at timestamp!"
+    "document_id string NOT NULL, chunk_index long NOT NULL, embedding_model string NOT NULL, text string NOT NULL, chars long NOT NULL, tokens long NOT NULL, embedding array<double>, batch_id string NOT NULL, "
+    "indexed_at timestamp NOT NULL"
 )
 INDEX_RUNS = _struct(
-    "run_id string!, embedding_model string!, batch_id string, status string!, cap long!, selected long!, indexed long!, chunks long!, tokens long!, "
-    "cost_usd double!, started_at timestamp!, finished_at timestamp!, error string, document_ids strings"
+    "run_id string NOT NULL, embedding_model string NOT NULL, batch_id string, status string NOT NULL, cap long NOT NULL, selected long NOT NULL, indexed long NOT NULL, chunks long NOT NULL, tokens long NOT NULL, "
+    "cost_usd double NOT NULL, started_at timestamp NOT NULL, finished_at timestamp NOT NULL, error string, document_ids array<string>"
+)
+ANSWERS = _struct(
+    "document_id string NOT NULL, source_key string NOT NULL, answer string, input_tokens long, output_tokens long, thinking_tokens long, latency_ms long, "
+    "finish_reason string, failure string, model string NOT NULL, prompt_id string NOT NULL, batch_id string NOT NULL"
 )
+PINS = _struct("batch_id string NOT NULL, item string NOT NULL")
 DOCUMENT_EVENTS = _struct("subscription_name string, message_id string, publish_time timestamp, data string, attributes string")
 
 TABLES = {
     "documents": DOCUMENTS, "facts": FACTS, "quarantine": QUARANTINE, "parse_runs": PARSE_RUNS, "ingest_runs": INGEST_RUNS,
-    "extractions": EXTRACTIONS, "extract_runs": EXTRACT_RUNS, "releases": RELEASES, "chunks": CHUNKS, "index_runs": INDEX_RUNS, "document_events": DOCUMENT_EVENTS,
+    "extractions": EXTRACTIONS, "extract_runs": EXTRACT_RUNS, "releases": RELEASES, "chunks": CHUNKS, "index_runs": INDEX_RUNS, "document_events": DOCUMENT_EVENTS, "answers": ANSWERS,
+    "pins": PINS,
 }
 
-_AMOUNT = "struct<value:string,confidence:double,evidence:string>"
+_SAID = "struct<value:string,confidence:double,evidence:string>"
 ANSWER = (
-    "struct<" + ",".join(f"{h}:string" for h in HEADERS)
-    + "".join(f",{f}:struct<current:{_AMOUNT},prior:{_AMOUNT}>" for f in CONCEPTS)
+    "struct<" + ",".join(f"{h}:{_SAID}" for h in HEADERS)
+    + "".join(f",{f}:struct<current:{_SAID},prior:{_SAID}>" for f in CONCEPTS)
     + ",overall_confidence:double>"
 )

@@ -1,68 +1,212 @@
-"""Archives of tagged documents: members of ZIP files as rows, validation, and create-only storage of raw files."""
+"""Archives of tagged documents: members of ZIP files as a data source, validation, a sink, and create-only storage of raw files.
+
+The data source reads the central directory of each archive and plans one partition a run of members that lie together in the
+file, so that a large archive is read by many tasks, each from its own range of bytes, and no row holds more than a member.
+What can't be read is a row with an error: an archive without a directory, a member whose bytes don't give its checksum.
+"""
 
 from __future__ import annotations
 
 import hashlib
-import io
-import os
+import struct
 import zipfile
+import zlib
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as stores
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.exprs import document_key, stable_rank
 from ..schemas import MAX_BYTES
+from . import tables
 
-MEMBERS = "source_key string, member_name string, content binary, error string"
+MEMBERS = "source_key string, place long, member_name string, byte_count long, content binary, error string"
+PARTITION_BYTES = 16_000_000
+BATCH_BYTES = 4_000_000
+DIRECTORIES = 16  # read at a time while partitions are planned
+LOCAL_HEADER = 30  # fixed value: bytes of a member's own header before its name
 
 
-def archives(spark: SparkSession, path: str) -> DataFrame:
-    """source_key, content, byte_count, sha256 of the ZIP files under a path."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return files.select(
-        F.substring_index("path", "/", -1).alias("source_key"), "content", F.col("length").alias("byte_count"), F.sha2("content", 256).alias("sha256")
-    )
+def _open(path: str):
+    """(file system, path there) of a URI or a local path."""
+    store, inner = stores.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+    return store, inner
 
 
-def members(files: DataFrame, with_content: bool = True) -> DataFrame:
-    """One row a member, folders left out; an archive that can't be read is one row with an error."""
+def _listed(path: str, name: str | None) -> list[tuple[str, int]]:
+    """(path with its scheme, size) of the ZIP files at a path: one file, or those of a folder."""
+    store, inner = _open(path)
+    info = store.get_file_info(inner)
+    found = [info] if info.type == stores.FileType.File else store.get_file_info(stores.FileSelector(inner, recursive=True))
+    scheme = path.partition(":/")[0] + "://" if ":/" in path else "file://"
+    zips = [f for f in found if f.type == stores.FileType.File and f.base_name.endswith(".zip") and name in (None, f.base_name)]
+    return sorted((scheme + f.path, f.size) for f in zips)
 
-    def read(frames):
-        for f in frames:
-            for key, content in zip(f["source_key"], f["content"], strict=True):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for name in z.namelist():
-                            if not name.endswith("/"):
-                                data = z.read(name) if with_content else None
-                                yield pd.DataFrame({"source_key": [key], "member_name": [name], "content": [data], "error": [None]})
-                except zipfile.BadZipFile as e:
-                    yield pd.DataFrame({"source_key": [key], "member_name": [None], "content": [None], "error": [str(e)]})
 
-    return files.select("source_key", "content").mapInPandas(read, MEMBERS)
+@dataclass
+class Run(InputPartition):
+    """Members of one archive that lie together: (place, name, offset, compressed size, size, checksum, method, flags)."""
 
+    path: str
+    key: str
+    members: list[tuple]
+    error: str | None = None
 
-def validated(files: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """source_key, members (count, null if broken), error: central directory and the CRC of every member."""
 
-    def test(keys: pd.Series, contents: pd.Series) -> pd.DataFrame:
-        rows = []
-        for content in contents:
-            try:
-                if len(content) > max_bytes:
-                    raise ValueError("Truncated: larger than the limit")
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    broken = z.testzip()
-                    rows.append((len(z.namelist()), f"Truncated: {broken}" if broken else None))
-            except (zipfile.BadZipFile, ValueError) as e:
-                rows.append((None, str(e)))
-        out = pd.DataFrame(rows, columns=["members", "error"])
-        out["members"] = out["members"].astype("Int64")
-        return out
+def directory(path: str) -> list[tuple]:
+    """What the central directory says of each member but folders, in the order of their bytes."""
+    store, inner = _open(path)
+    with store.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
+        entries = [(i, m.filename, m.header_offset, m.compress_size, m.file_size, m.CRC, m.compress_type, m.flag_bits) for i, m in enumerate(z.infolist()) if not m.is_dir()]
+    return sorted(entries, key=lambda m: m[2])
 
-    t = F.pandas_udf(test, "members long, error string")
-    return files.withColumn("t", t("source_key", "content")).select("source_key", "t.members", "t.error")
+
+def runs(path: str, size: int, most: int, limit: int) -> list[Run]:
+    key = path.rpartition("/")[2]
+    try:
+        if size > limit:
+            raise ValueError("Truncated: larger than the limit")
+        members = directory(path)
+    except (zipfile.BadZipFile, ValueError, OSError) as e:
+        return [Run(path, key, [], str(e) or type(e).__name__)]
+    out, held = [Run(path, key, [])], 0
+    for m in members:
+        if out[-1].members and held + m[3] > most:
+            out.append(Run(path, key, []))
+            held = 0
+        out[-1].members.append(m)
+        held += m[3]
+    return out if members else []
+
+
+def read_member(f, member: tuple) -> tuple[bytes | None, str | None]:
+    """(content, error) of one member, from its own range of bytes."""
+    _, name, offset, compressed, size, crc, method, flags = member
+    if flags & 1 or method not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        return None, f"Unsupported: {name}"
+    try:
+        f.seek(offset)
+        name_bytes, extra_bytes = struct.unpack("<HH", f.read(LOCAL_HEADER)[26:30])
+        f.seek(offset + LOCAL_HEADER + name_bytes + extra_bytes)
+        data = f.read(compressed)
+        if method == zipfile.ZIP_DEFLATED:
+            data = zlib.decompressobj(-15).decompress(data, size + 1)
+    except (struct.error, zlib.error, OSError) as e:
+        return None, f"Truncated: {name}: {e}"
+    return (data, None) if len(data) == size and zlib.crc32(data) == crc else (None, f"Truncated: {name}")
+
+
+class ZipReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.path = options["path"]
+        self.name = options.get("sourcekey")
+        self.content = options.get("content", "true").lower() == "true"
+        self.most, self.limit = int(options.get("partitionbytes", PARTITION_BYTES)), int(options.get("maxbytes", MAX_BYTES))
+
+    def partitions(self) -> list[Run]:
+        files = _listed(self.path, self.name)
+        with ThreadPoolExecutor(DIRECTORIES) as pool:
+            found = [r for of_file in pool.map(lambda f: runs(*f, self.most, self.limit), files) for r in of_file]
+        return found or [Run("", "", [])]
+
+    def read(self, run: Run) -> Iterator[pa.RecordBatch]:
+        if run.error is not None:
+            yield _batch([(run.key, None, None, None, None, run.error)])
+        if not run.members:
+            return
+        if not self.content:
+            yield _batch([(run.key, m[0], m[1], m[4], None, None) for m in run.members])
+            return
+        store, inner = _open(run.path)
+        rows, held = [], 0
+        with store.open_input_file(inner) as f:
+            for m in run.members:
+                data, error = read_member(f, m)
+                rows.append((run.key, m[0], m[1], m[4], data, error))
+                held += len(data or b"")
+                if held >= BATCH_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"source_key": pa.string(), "place": pa.int64(), "member_name": pa.string(), "byte_count": pa.int64(), "content": pa.binary(), "error": pa.string()}
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
+class ZipMembers(DataSource):
+    """spark.read.format("zipmembers").load(path): options sourceKey (one archive), content (false: names alone), partitionBytes, maxBytes."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipmembers"
+
+    def schema(self) -> str:
+        return MEMBERS
+
+    def reader(self, schema) -> ZipReader:
+        return ZipReader({k.lower(): v for k, v in self.options.items()})
+
+
+def members(spark: SparkSession, path: str, source_key: str | None = None, with_content: bool = True, partition_bytes: int = PARTITION_BYTES, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """One row a member, folders left out; an archive or a member that can't be read is a row with an error.
+
+    `place` is the member's place in the archive's directory.
+    """
+    spark.dataSource.register(ZipMembers)
+    r = spark.read.format("zipmembers").option("content", str(with_content).lower()).option("partitionBytes", partition_bytes).option("maxBytes", max_bytes)
+    return (r if source_key is None else r.option("sourceKey", source_key)).load(path)
+
+
+def validated(spark: SparkSession, path: str, source_key: str | None = None, max_bytes: int = MAX_BYTES, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+    """source_key, members (count, null if the archive can't be read), error: the first that can't be read, if any; the checksums of
+    all members are tested, run by run."""
+    m = members(spark, path, source_key, partition_bytes=partition_bytes, max_bytes=max_bytes)
+    first = F.min_by("error", F.when(F.col("error").isNotNull(), F.coalesce("place", F.lit(-1))))
+    return m.groupBy("source_key").agg(F.nullif(F.count("place"), F.lit(0)).alias("members"), first.alias("error"))
+
+
+def write_archives(rows: DataFrame, path: str) -> DataFrame:
+    """Writes (source_key, member_name, content) as ZIP files under a path that all executors share, each in the task that its key is
+    dealt to, member by member in the order of their names; source_key and members of what was written, when it is read."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        store, inner = _open(path)
+        store.create_dir(inner, recursive=True)
+        key = aside = z = raw = None
+        done: list[tuple[str, int]] = []
+
+        def close() -> None:
+            done.append((key, len(z.infolist())))
+            z.close()
+            raw.close()
+            store.move(aside, f"{inner}/{key}")  # a task that is run again writes the same members
+
+        for batch in batches:
+            for k, name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    if z is not None:
+                        close()
+                    key, aside = k, f"{inner}/{k}.{uuid.uuid4().hex}"
+                    raw = store.open_output_stream(aside)
+                    z = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
+                z.writestr(zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0)), data, zipfile.ZIP_DEFLATED)
+        if z is not None:
+            close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64())], names=["source_key", "members"])
+
+    dealt = rows.select("source_key", "member_name", "content").repartition("source_key").sortWithinPartitions("source_key", "member_name")
+    return dealt.mapInArrow(write, "source_key string, members long")
 
 
 def select_members(names: DataFrame, cap: int) -> DataFrame:
@@ -75,18 +219,30 @@ def select_members(names: DataFrame, cap: int) -> DataFrame:
     return known.unionByName(unknown)
 
 
-def store_once(path: str, content: bytes) -> tuple[bool, str]:
-    """Create-only write of a raw file: (written, sha256 of what is there). An existing file is never replaced."""
-    digest = hashlib.sha256(content).hexdigest()
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    try:
-        fd = os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-    except FileExistsError:
-        with open(path, "rb") as f:
-            return False, hashlib.sha256(f.read()).hexdigest()
-    with os.fdopen(fd, "wb") as f:
-        f.write(content)
-    return True, digest
+def store_once(spark: SparkSession, root: str, source_key: str, local: str) -> tuple[bool, str]:
+    """Create-only copy of a fetched file into the raw store: (written, sha256 of what is there). An existing one is never replaced.
+
+    The bytes go to a place of their own first; the source's manifest then names the place, if no other fetch was there before.
+    """
+    digest = hashlib.sha256()
+    with open(local, "rb") as f:
+        while part := f.read(1 << 20):
+            digest.update(part)
+    there = tables.manifest(spark, root, "raw", source_key)
+    if there is None:
+        place = tables.new_place(root, "raw", f"/{source_key}")
+        tables.copy_in(spark, local, place)
+        if tables.commit(spark, root, "raw", source_key, {"place": place, "sha256": digest.hexdigest()}):
+            return True, digest.hexdigest()
+        tables.remove(spark, place.rpartition("/")[0])
+        there = tables.manifest(spark, root, "raw", source_key)
+    return False, there["sha256"]
+
+
+def raw_place(spark: SparkSession, root: str, source_key: str) -> str | None:
+    """Where the raw store holds a source's archive."""
+    there = tables.manifest(spark, root, "raw", source_key)
+    return there and there["place"]
 
 
 def ingest_status(written: bool, stored: str, fetched: str, recorded: bool) -> str:

@@ -1,6 +1,8 @@
 from datetime import date
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from factloom.operators import evaluate, staging
 
 WITHIN = "MaturitiesOrExpirationPeriodsDimension=WithinOneYear"
@@ -77,8 +79,8 @@ def test_extraction_values_are_eighteen_rows(spark):
 
     from factloom.operators.extract import FakeModel
 
-    text = FakeModel().answer("x")[0]
-    df = spark.createDataFrame([("d", "m", "p", text)], "document_id string, model string, prompt_id string, extraction_json string")
+    text = FakeModel().answer("x").text
+    df = spark.createDataFrame([("d", "m", "p", text)], "document_id string, model string, prompt_id string, extraction_json string").withColumn("batch_id", F.lit("b"))
     v = staging.stg_extraction_values(df)
     assert v.count() == 18 and v.where("field = 'cash' and period = 'current'").first().value == len("cash")
     assert json.loads(text)["overall_confidence"] == 0.9

@@ -2,13 +2,14 @@
 
 import base64
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from factloom import schemas
-from factloom.operators import batches, checks, extract, parse, retrieval, staging
+from factloom.operators import batches, calls, checks, extract, parse, retrieval, staging
 from factloom.plans import report, tools
 from factloom.sources import tables
 from factloom.streaming import events
@@ -26,11 +27,11 @@ def frame(spark, name, rows):
 def test_loads_are_replay_safe(spark, tmp_path):
     root = f"file://{tmp_path}"
     docs = frame(spark, "documents", [{"document_id": "a"}, {"document_id": "b"}])
-    assert tables.load_batch(docs, root, "documents", "s-1") and not tables.load_batch(docs, root, "documents", "s-1")
-    assert tables.load_batch(docs, root, "documents", "t-1")
+    assert tables.load_batch(docs, root, "documents", "s-1", "s") and not tables.load_batch(docs, root, "documents", "s-1", "s")
+    assert tables.load_batch(docs, root, "documents", "t-1", "t")
     assert tables.read_table(spark, root, "documents").count() == 4
     assert tables.read_table(spark, root, "facts").count() == 0
-    assert tables.purge(spark, root, "documents", "s-") == 1 and tables.read_table(spark, root, "documents").count() == 2
+    assert tables.purge(spark, root, "documents", "s") == 1 and tables.read_table(spark, root, "documents").count() == 2
     row = {"run_id": "r", "source_key": "s", "status": "started", "cap": 1, "selected": 1, "parsed": 0, "quarantined": 0, "facts": 0, "started_at": AT, "finished_at": AT, "members": ["m"]}
     assert tables.append_ledger(spark, root, "parse_runs", row, "r") and not tables.append_ledger(spark, root, "parse_runs", row, "r")
     assert tables.read_table(spark, root, "parse_runs").first().members == ["m"]
@@ -79,29 +80,41 @@ class Flaky:
     name = "gemini-3.8-flash@t0"
 
     def answer(self, prompt):
-        text, *rest = extract.FakeModel(confidence=0.2 if "low" in prompt else 0.9).answer(prompt)
+        said = extract.FakeModel(confidence=0.2 if "low" in prompt else 0.9).answer(prompt)
         if "fail" in prompt:
-            raise RuntimeError("no model")
-        body = json.loads(text)
+            raise calls.ServiceError(400, "no model")
+        if "odd" in prompt:
+            raise KeyError("no key")
+        body = json.loads(said.text)
         if "extra" in prompt:
             body["cash"]["current"]["guess"] = 1
         if "number" in prompt:
             body["cash"]["current"]["value"] = "12k"
         if "sure" in prompt:
             body["equity"]["prior"]["confidence"] = 2
-        return ("" if "empty" in prompt else json.dumps(body), *rest)
+        if "header" in prompt:
+            del body["company_name"]["evidence"]
+        text = "" if "empty" in prompt else json.dumps(body)[: 100 if "cut" in prompt else None] + (" x" if "trail" in prompt else "")
+        return replace(said, text=text, finish_reason="MAX_TOKENS" if "cut" in prompt else "STOP")
 
 
 def test_extraction(spark):
     assert PROMPT["id"].startswith("v2-") and PROMPT["system"] == "Be strict."
     with pytest.raises(ValueError):
         extract.load_prompt("# User\nnothing\n")
-    words = ["ok", "low", "fail", "extra", "number", "sure", "empty"]
+    words = ["ok", "low", "fail", "extra", "number", "sure", "empty", "odd", "header", "cut", "trail"]
     docs = spark.createDataFrame([(w, "s", w) for w in words], "document_id string, source_key string, text string")
-    kept, bad = extract.split_answers(extract.ask(docs, Flaky(), PROMPT).cache(), Flaky.name, PROMPT, "b", "2025-01-01")
+    kept, bad = extract.split_answers(extract.ask(docs, Flaky(), PROMPT, first_wait=0.01).cache(), Flaky.name, PROMPT, "b", "2025-01-01")
     assert {r.document_id for r in kept.collect()} == {"ok", "low"}
     why = {r.document_id: r.reason for r in bad.collect()}
-    assert why == {"low": "LowConfidence", "fail": "ModelCall", "extra": "SchemaValidation", "number": "SchemaValidation", "sure": "SchemaValidation", "empty": "EmptyResponse"}
+    schema = dict.fromkeys(("extra", "number", "sure", "header", "trail"), "SchemaValidationError")
+    assert why == schema | {"low": "LowConfidence", "fail": "ModelCallError", "empty": "EmptyResponseError", "odd": "Unexpected:KeyError", "cut": "TruncatedResponseError"}
+    errors = {r.document_id: r.error for r in bad.collect()}
+    assert errors["number"].startswith("cash.current: not a number\n---\n{") and errors["sure"].startswith("equity.prior.confidence: ") and errors["low"] == "overall_confidence=0.2 < 0.5"
+    assert {r.document_id: r.status for r in kept.collect()} == {"ok": "ok", "low": "low_confidence"}
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for df, node, most in ((kept, "MapInArrow", 2), (bad, "MapInArrow", 2), (staging.stg_extraction_values(kept), "from_json", 1), (staging.stg_extractions(kept), "from_json", 1)):
+        assert 1 <= optimized(df).count(node) <= most  # the call and the verdict, or one parse
     assert kept.where("cost_usd > 0").count() == 2 and set(kept.columns) == {f.name for f in schemas.EXTRACTIONS}
     assert staging.stg_extraction_values(kept).where("value is not null").count() == 18
 
@@ -136,7 +149,7 @@ def test_tools(spark):
         name = "gemini-3.1-flash-lite"
 
         def answer(self, prompt):
-            return "It is 12 [00000001_20251231#0], not [00000009_20251231#3].", len(prompt), 10, 0, 1
+            return extract.Reply("It is 12 [00000001_20251231#0], not [00000009_20251231#3].", len(prompt), 10)
 
     a = tools.ask(hits, "how many?", Citing()).first()
     assert a.citations == ["00000001_20251231#0"] and a.unsupported_citations == ["00000009_20251231#3"] and a.cost_usd > 0

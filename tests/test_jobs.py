@@ -6,7 +6,6 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from factloom import schemas
 from factloom.operators import batches
 from factloom.plans import jobs, report
 from factloom.sources import tables
@@ -43,10 +42,10 @@ def test_parse_resume_and_start_over(spark, place, monkeypatch):
     said = []
     load = tables.load_batch
 
-    def crash(df, where, name, key):
+    def crash(df, where, name, key, *more):
         if name == "documents":
             raise OSError("store is down")
-        return load(df, where, name, key)
+        return load(df, where, name, key, *more)
 
     monkeypatch.setattr(jobs.tables, "load_batch", crash)
     assert jobs.parse_source(spark, root, str(raw), "a.zip", publish=said.append) == "failed" and not said
@@ -56,7 +55,7 @@ def test_parse_resume_and_start_over(spark, place, monkeypatch):
     archive(raw, "a.zip", range(7))  # what comes later waits for the open batch
     assert jobs.parse_source(spark, root, str(raw), "a.zip", publish=said.append) == "succeeded"
     row = tables.read_table(spark, root, "parse_runs").where("status = 'succeeded'").first()
-    assert (row.selected, row.parsed, row.quarantined, row.facts) == (5, 4, 1, 8) == (len(row.members), count(spark, root, "documents"), count(spark, root, "quarantine"), count(spark, root, "facts"))
+    assert (row.selected, row.parsed, row.quarantined, row.facts) == (5, 4, 1, 8) == (jobs.pinned(spark, root, "parse_runs", row.batch_id, "m").count(), count(spark, root, "documents"), count(spark, root, "quarantine"), count(spark, root, "facts"))
     assert row.batch_id == failed.batch_id and said[0]["batch_id"] == row.batch_id
     assert jobs.parse_source(spark, root, str(raw), "a.zip") == "succeeded" and count(spark, root, "documents") == 6
     assert jobs.parse_source(spark, root, str(raw), "a.zip") == "skipped_existing"
@@ -87,7 +86,7 @@ def documents(spark, root, ids, key):
     rows = [{"document_id": i, "text": f"Total {i}\nCash 1" if i != "blank" else " "} for i in ids]
     from test_flow import frame
 
-    tables.load_batch(frame(spark, "documents", rows), root, "documents", key)
+    tables.load_batch(frame(spark, "documents", rows), root, "documents", key, key)
 
 
 def test_extract_and_index(spark, tmp_path, monkeypatch):
@@ -96,10 +95,10 @@ def test_extract_and_index(spark, tmp_path, monkeypatch):
     documents(spark, root, ["gone"], "t-1")
     publish = jobs.publisher(root, "extracted")
     ask = jobs.extract.ask
-    monkeypatch.setattr(jobs.extract, "ask", lambda *a: 1 / 0)
+    monkeypatch.setattr(jobs.extract, "ask", lambda *a, **k: 1 / 0)
     assert jobs.extract_documents(spark, root, Model(), PROMPT, 10, publish) == "failed"
     monkeypatch.setattr(jobs.extract, "ask", ask)
-    assert tables.purge(spark, root, "documents", "t-") == 1  # a pinned document vanishes
+    assert tables.purge(spark, root, "documents", "t-1") == 1  # a pinned document vanishes
     documents(spark, root, ["c"], "u-1")
     assert jobs.extract_documents(spark, root, Model(), PROMPT, 10, publish) == "succeeded"
     row = tables.read_table(spark, root, "extract_runs").where("status = 'succeeded'").first()
@@ -125,28 +124,151 @@ def test_extract_and_index(spark, tmp_path, monkeypatch):
 
     assert jobs.index_documents(spark, root, 10, embed=second_fails, flush=1) == "failed"
     left = tables.read_table(spark, root, "index_runs").where("status = 'failed'").first()
-    assert (left.indexed, left.selected) == (1, 3) and left.tokens > 0  # what was paid for before the failure
+    first = spark.createDataFrame([(i,) for i in "abc"], "document_id string").where(jobs._part_of(3) == 0).count()
+    assert (left.indexed, left.selected) == (first, 3) and (left.tokens > 0) == (first > 0)  # what was paid for before the failure
     assert jobs.index_documents(spark, root, 10, flush=2) == "succeeded" and jobs.index_documents(spark, root, 10) == "skipped_existing"
     chunks = tables.read_table(spark, root, "chunks")
     assert {r.document_id for r in chunks.collect()} == {"a", "b", "c"} and chunks.select("document_id", "chunk_index").distinct().count() == chunks.count()
 
 
 def test_loads_are_tried_again(spark, tmp_path, monkeypatch):
+    """A write that fails leaves nothing behind that is read, and the load either is there or raises."""
     from test_flow import frame
 
     root, tries = f"file://{tmp_path}", []
-    exists = tables.exists
-    fs = tables._fs
-
-    def flaky(s, path):
-        tries.append(path)
-        if len(tries) == 2:
-            raise OSError("once")
-        return fs(s, path)
-
-    monkeypatch.setattr(tables, "_fs", flaky)
-    assert tables.load_batch(frame(spark, "documents", [{"document_id": "a"}]), root, "documents", "k") and exists(spark, f"{root}/documents/load_key=k")
-    assert tables.read_table(spark, root, "documents").count() == 1 and schemas.RELEASES is not None
+    place = tables.new_place
+
+    def flaky(r, n, file=""):
+        tries.append(n)
+        return "file:///proc/nowhere/x" if len(tries) < 3 else place(r, n, file)
+
+    monkeypatch.setattr(tables, "new_place", flaky)
+    df = frame(spark, "documents", [{"document_id": "a"}])
+    assert tables.load_batch(df, root, "documents", "k") and len(tries) == 3
+    assert tables.read_table(spark, root, "documents").count() == 1 and not tables.load_batch(df, root, "documents", "k")
+    monkeypatch.setattr(tables, "new_place", lambda *a: "file:///proc/nowhere/x")
+    with pytest.raises(tables.LoadFailedError):
+        tables.load_batch(df, root, "documents", "other")
+    assert tables.read_table(spark, root, "documents").count() == 1
+
+
+def test_one_load_a_key_whoever_is_first(spark, tmp_path, monkeypatch):
+    """Drivers that race for one key give one load; one that dies between its files and its manifest leaves nothing to be read."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from test_flow import frame
+
+    root = f"file://{tmp_path}"
+    one = lambda i: frame(spark, "documents", [{"document_id": f"d{i}"}])
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda i: tables.load_batch(one(i), root, "documents", "s/ö'1.x", "s"), range(4)))
+    assert sum(won) == 1 and tables.read_table(spark, root, "documents").count() == 1
+    with ThreadPoolExecutor(8) as pool:
+        assert sum(pool.map(lambda i: tables.create_if_absent(spark, f"{root}/race", str(i)), range(40))) == 1
+    commit = tables.commit
+    monkeypatch.setattr(tables, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tables.load_batch(one(9), root, "documents", "t", "t")
+    monkeypatch.setattr(tables, "commit", commit)
+    assert tables.read_table(spark, root, "documents").count() == 1 and tables.sweep(spark, root, "documents", 3600) == 0
+    assert tables.sweep(spark, root, "documents", -10) == 1 and tables.read_table(spark, root, "documents").count() == 1
+    # A manifest without content is a dead writer's: the next name is taken, and every name may be.
+    for attempt in range(2):
+        tables.create_if_absent(spark, tables._manifest_path(root, "documents", "u", attempt), "")
+    assert tables.load_batch(one(3), root, "documents", "u", "u", wait=0.1) and not tables.load_batch(one(3), root, "documents", "u", "u", wait=0.1)
+    assert tables.read_table(spark, root, "documents", "u").first().document_id == "d3"
+    for attempt in range(tables.ATTEMPTS + 1):
+        tables.create_if_absent(spark, tables._manifest_path(root, "documents", "v", attempt), "{")
+    with pytest.raises(tables.LoadFailedError):
+        tables.load_batch(one(4), root, "documents", "v", "v", wait=0.01)
+
+
+def test_purge_takes_one_source_exactly(spark, tmp_path):
+    from test_flow import frame
+
+    root = f"file://{tmp_path}"
+    for source in ("day", "day-", "day-extra", "o'day"):
+        tables.load_batch(frame(spark, "documents", [{"document_id": source}] * 2), root, "documents", f"{source}-1", source)
+    assert tables.counted(spark, root, "documents", "day-") == {"rows": 2.0} and tables.counted(spark, root, "documents", "none") == {}
+    assert tables.purge(spark, root, "documents", "day-") == 1 == tables.purge(spark, root, "documents", "o'day")
+    assert {r.document_id for r in tables.read_table(spark, root, "documents").collect()} == {"day", "day-extra"}
+    assert tables.purge(spark, root, "facts", "day") == 0
+
+
+def test_a_source_with_an_apostrophe(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    archive(tmp_path / "raw", "it's.zip", range(2))
+    root = f"file://{tmp_path}/lake"
+    assert jobs.parse_source(spark, root, str(tmp_path / "raw"), "it's.zip") == "succeeded"
+    assert jobs.parse_source(spark, root, str(tmp_path / "raw"), "it's.zip") == "skipped_existing" and count(spark, root, "documents") == 2
+
+
+class Dear(Model):
+    """Keeps a file for every call; some calls may end the process that makes them."""
+
+    def __init__(self, folder, deadly=()):
+        self.folder, self.deadly = str(folder), deadly
+
+    def answer(self, prompt):
+        import os
+        import uuid
+
+        from factloom.operators.extract import FakeModel
+
+        open(f"{self.folder}/{prompt.split()[1]}.{uuid.uuid4().hex}", "w").close()
+        if prompt.split()[1] in self.deadly:
+            os._exit(1)
+        return FakeModel().answer(prompt)
+
+
+def test_a_crash_pays_no_stored_call_again(spark, tmp_path):
+    root = f"file://{tmp_path}/lake"
+    (tmp_path / "calls").mkdir()
+    ids = [f"d{i}" for i in range(12)]
+    documents(spark, root, ids, "s")
+    parts = {r.document_id: r.p for r in spark.createDataFrame([(i,) for i in ids], "document_id string").withColumn("p", jobs._part_of(4)).collect()}
+    last = max(ids, key=lambda i: (parts[i], i))
+    assert jobs.extract_documents(spark, root, Dear(tmp_path / "calls", {last}), PROMPT, 20, flush=3) == "failed"
+    before = {f.name.split(".")[0] for f in (tmp_path / "calls").iterdir()}
+    stored = {r.document_id for r in tables.read_table(spark, root, "answers").collect()}
+    assert stored == {i for i in ids if parts[i] < parts[last]} and last in before and count(spark, root, "extractions") == 0
+    for f in (tmp_path / "calls").iterdir():
+        f.unlink()
+    assert jobs.extract_documents(spark, root, Dear(tmp_path / "calls"), PROMPT, 20, flush=3) == "succeeded"
+    assert sorted(f.name.split(".")[0] for f in (tmp_path / "calls").iterdir()) == sorted(set(ids) - stored)
+    row = tables.read_table(spark, root, "extract_runs").where("status = 'succeeded'").first()
+    assert (row.selected, row.extracted) == (12, 12) == (12, count(spark, root, "extractions"))
+
+
+def test_calls_run_together_and_are_tried_again(spark):
+    import time
+
+    from factloom.operators import calls, extract
+
+    docs = spark.createDataFrame([(f"d{i}", "s", "x") for i in range(24)], "document_id string, source_key string, text string").coalesce(1)
+
+    def took(threads):
+        began = time.time()
+        said = extract.ask(docs, extract.FakeModel(seconds=0.1), PROMPT, threads).collect()
+        assert [r.document_id for r in said] == [f"d{i}" for i in range(24)]  # in order
+        return time.time() - began
+
+    took(8)  # workers are up
+    assert took(8) < took(1) / 2
+    waits, tries = [], []
+
+    def busy():
+        tries.append(1)
+        if len(tries) < 4:
+            raise calls.ServiceError(429 if len(tries) < 3 else 503, "later")
+        return "now"
+
+    assert calls.with_patience(busy, 4, 2.0, waits.append) == "now" and waits == [2.0, 4.0, 8.0]
+    tries.clear()
+    with pytest.raises(calls.ServiceError):
+        calls.with_patience(busy, 3, 0.0, waits.append)
+    with pytest.raises(calls.ServiceError):
+        calls.with_patience(lambda: (_ for _ in ()).throw(calls.ServiceError(400, "never")), 9, 1.0, lambda s: 1 / 0)
 
 
 def test_failed_jobs_are_delivered_five_times(spark, tmp_path):

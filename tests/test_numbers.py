@@ -40,6 +40,7 @@ def test_normalise_number(spark):
     got = {r["raw"]: r["n"] for r in df.select("raw", X.normalise_number(F.col("raw")).alias("n")).collect()}
     assert {k: got[k]["value"] for k in GOOD} == GOOD
     assert all(got[k]["value"] is None and got[k]["error"] for k in NOT)
+    assert {k: X.written_number(k) for k in got} == {k: v["value"] for k, v in got.items()}
 
 
 def test_safe_casts(spark):

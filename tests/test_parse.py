@@ -1,7 +1,7 @@
-import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.operators import parse
 from factloom.sources import archives
@@ -60,29 +60,60 @@ def test_nil_is_kept_without_a_value(spark):
     assert len(f) == 1 and f[0].value is None and f[0].is_numeric
 
 
-def test_archives(spark, tmp_path):
+@pytest.fixture
+def raw(tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("d/", b"")
         for i in range(6):
-            z.writestr(f"Prod1_1_0000000{i}_20240331.html", synthetic(FACT))
+            z.writestr(f"Prod1_1_0000000{i}_20240331.html", synthetic(FACT), zipfile.ZIP_DEFLATED if i % 2 else zipfile.ZIP_STORED)
         z.writestr("z.txt", b"")
         z.writestr("a.txt", b"")
     (tmp_path / "broken.zip").write_bytes(b"PK no archive")
-    files = archives.archives(spark, str(tmp_path))
-    ok = {r.source_key: (r.members, r.error) for r in archives.validated(files).collect()}
-    assert ok["a.zip"] == (9, None) and ok["broken.zip"][0] is None and ok["broken.zip"][1]
-    m = archives.members(files).where("error is null")
-    assert m.count() == 8
-    few, more = ({r.member_name for r in archives.select_members(m, n).collect()} for n in (2, 4))
-    assert few < more and "a.txt" in few and len(few) == 4
-    out = parse.parse_members(m)
-    assert out.where("reason is null").count() == 6
+    return tmp_path
 
 
-def test_create_only(tmp_path):
-    path = str(tmp_path / "x" / "a.zip")
-    first, again = archives.store_once(path, io.BytesIO(b"1").getvalue()), archives.store_once(path, b"2")
+def test_archives(spark, raw):
+    ok = {r.source_key: (r.members, r.error) for r in archives.validated(spark, str(raw)).collect()}
+    assert ok["a.zip"] == (8, None) and ok["broken.zip"][0] is None and ok["broken.zip"][1]
+    assert "larger" in {r.error for r in archives.validated(spark, str(raw), "a.zip", max_bytes=10).collect()}.pop()
+    m = archives.members(spark, str(raw), partition_bytes=1000).where("error is null").cache()
+    assert m.count() == 8 and {r.source_key for r in m.collect()} == {"a.zip"} and m.where("byte_count = octet_length(content)").count() == 8
+    few, more = ({r.member_name for r in archives.select_members(m, n).collect()} for n in (2, 4))
+    assert few < more and "a.txt" in few and len(few) == 4
+    assert parse.parse_members(m).where("reason is null").count() == 6
+    names = archives.members(spark, f"file://{raw}", "a.zip", with_content=False)
+    assert names.where("content is null").count() == 8 and archives.members(spark, str(raw), "none.zip").count() == 0
+
+
+def test_members_that_cannot_be_read(spark, raw):
+    """A damaged byte costs one member, a lost end the whole archive."""
+    whole = (raw / "a.zip").read_bytes()
+    entry = {m[1]: m for m in archives.directory(str(raw / "a.zip"))}["Prod1_1_00000003_20240331.html"]
+    at = entry[2] + 30 + len(entry[1]) + entry[3] // 2
+    (raw / "a.zip").write_bytes(whole[:at] + bytes([whole[at] ^ 255]) + whole[at + 1 :])
+    bad = archives.members(spark, str(raw), "a.zip").where("error is not null").collect()
+    assert [r.member_name for r in bad] == [entry[1]] and bad[0].content is None and bad[0].error.startswith("Truncated")
+    assert [(r.members, r.error) for r in archives.validated(spark, str(raw), "a.zip").collect()] == [(8, bad[0].error)]
+    (raw / "a.zip").write_bytes(whole[: len(whole) // 2])
+    assert [r.place for r in archives.members(spark, str(raw), "a.zip").collect()] == [None]
+
+
+def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("concat('big', id div 20000, '.zip') as source_key", "concat('m', id, '.html') as member_name", "cast(repeat(cast(id as string), 20) as binary) as content")
+    assert [tuple(r) for r in archives.write_archives(rows, f"file://{tmp_path}/zips").collect()] == [("big0.zip", 20_000)]
+    m = archives.members(spark, f"{tmp_path}/zips", partition_bytes=20_000)
+    assert m.rdd.getNumPartitions() == 10
+    same = m.withColumn("n", F.regexp_extract("member_name", r"m(\d+)", 1)).where(F.col("content").cast("string") == F.repeat("n", 20))
+    assert same.count() == m.count() == 20_000 and same.select("place").distinct().count() == 20_000
+
+
+def test_create_only(spark, tmp_path):
+    root = f"file://{tmp_path}/lake"
+    for name, body in (("one", b"1"), ("two", b"2")):
+        (tmp_path / name).write_bytes(body)
+    first, again = (archives.store_once(spark, root, "a b'c.zip", str(tmp_path / name)) for name in ("one", "two"))
     assert first[0] and not again[0] and first[1] == again[1]
+    place = archives.raw_place(spark, root, "a b'c.zip")
+    assert open(place.removeprefix("file://"), "rb").read() == b"1" and archives.raw_place(spark, root, "other.zip") is None
     assert archives.ingest_status(False, again[1], "other", False) == "failed"
     assert archives.ingest_status(False, again[1], again[1], False) == "succeeded"
-
