@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import document_key, safe_date, transform_numeric
+from ..functions.exprs import document_key, once, safe_date, transform_numeric
 from ..schemas import PARSER_VERSION
 
 #: The two inline-tag namespaces and what goes with them.
@@ -209,7 +209,8 @@ def parse_members(rows: DataFrame) -> DataFrame:
     d = rows.select("source_key", "member_name", "content", *[c.alias(n) for n, c in k.items()])
     early = F.when(F.col("document_id").isNull(), "UnknownDocumentNameError").when(F.col("is_archive"), "nested_archive")
     d = d.withColumn("early", early)
-    p = F.pandas_udf(_parse_series, PARSED)(F.when(F.col("early").isNull(), F.col("content")))
+    # Not deterministic as far as the optimizer knows, so that no filter on what it gives has a copy of it.
+    p = F.pandas_udf(_parse_series, PARSED).asNondeterministic()(F.when(F.col("early").isNull(), F.col("content")))
     d = d.withColumn("p", p).select(
         "source_key", "member_name", "document_id", "company_number", "period_end", F.length("content").cast("long").alias("byte_count"),
         F.sha2("content", 256).alias("sha256"), F.coalesce("early", "p.reason").alias("reason"), F.coalesce("p.error", "early").alias("error"),
@@ -218,7 +219,7 @@ def parse_members(rows: DataFrame) -> DataFrame:
     values = F.transform(
         "facts", lambda f: F.when(f["is_numeric"] & ~f["nil"], transform_numeric(f["text"], f["format"], f["scale"].try_cast("int"), f["sign"]))
     )
-    d = d.withColumn("values", values)
+    d = once(d, "values", values)
     bad = F.exists("values", lambda v: F.coalesce(v["error"].isNotNull(), F.lit(False)))
     d = d.withColumn("reason", F.coalesce("reason", F.when(bad, "UnsupportedFormatError")))
     return d.withColumn("error", F.coalesce("error", F.when(bad, "unsupported number format")))

@@ -36,7 +36,7 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared_path(spark: SparkSession, name: str) -> str:
+def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share; in a local session without one, in a temporary folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
@@ -48,7 +48,7 @@ def _shared_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """df as a written table."""
-    path = _shared_path(df.sparkSession, "stored")
+    path = shared_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -749,7 +749,7 @@ def _streamed(spark, sf_dir):
 def _drained(df: DataFrame, mode: str) -> DataFrame:
     """All results of a stream over what is there, written by the executors to a table in the folder they share."""
     spark = df.sparkSession
-    path = _shared_path(spark, "drained")
+    path = shared_path(spark, "drained")
     spark.createDataFrame([], df.schema).write.parquet(path)  # what a stream without input leaves
     w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
     if mode == "append":

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import once
 from ..operators import evaluate, extract, parse, staging
 from ..schemas import CONCEPTS, CREDITORS_WITHIN_ONE_YEAR, HEADERS, PERIODS
-from .catalogue import query, stored, t
+from ..sources import archives
+from .catalogue import query, shared_path, stored, t
 
 NAMESPACE = "http://example.test/2025-01-01/own"
 AT = "2025-01-01"
@@ -75,7 +76,7 @@ def tagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         """case kind when 3 then concat('notes/README_', o_orderkey, '.txt') when 4 then concat('Prod1_2_', number, '_', day, '_CIC.zip')
         else concat('x/Prod1_2_', number, '_', day, '.html') end"""
     )
-    return o.select(F.concat(F.lit("day-"), F.col("o_orderkey") % 10, F.lit(".zip")).alias("source_key"), name.alias("member_name"), content.cast("binary").alias("content"))
+    return o.select(F.concat(F.lit("day-"), F.col("o_orderkey") % 10, F.lit(".zip")).alias("source_key"), name.alias("member_name"), content.cast("binary").alias("content"), "o_orderkey")
 
 
 LINES_SQL = f"""l as (select l_orderkey as k, l_linenumber as n, {_CONCEPT} as concept, {_LINE.format(day="strftime(l_shipdate, '%Y%m%d')")} as context_id, l_shipdate::date as day,
@@ -140,6 +141,28 @@ def parse_quarantine(spark, sf_dir):
     return q.select("source_key", "member_name", "document_id", "stage", "reason")
 
 
+ARCHIVE_ORDERS = 1000  # of one archive
+
+
+@query(
+    f"""with {LINES_SQL}, c as (select document_id, count(*) as facts from f group by 1)
+    select 'orders-' || (k // {ARCHIVE_ORDERS}) || '.zip' as source_key, count(*)::bigint as members, count(*) filter (where o.kind not between 1 and 6)::bigint as documents,
+    count(*) filter (where o.kind between 1 and 6)::bigint as quarantined, coalesce(sum(facts), 0)::bigint as facts, min(c.document_id) as first_document
+    from o left join d using (k) left join c using (document_id) group by 1"""
+)
+def archives_parsed(spark, sf_dir):
+    """The documents written as archives of up to ARCHIVE_ORDERS members, read from them by ranges of bytes and parsed."""
+    path = shared_path(spark, "archives")
+    docs = tagged_documents(spark, sf_dir).withColumn("source_key", F.expr(f"concat('orders-', o_orderkey div {ARCHIVE_ORDERS}, '.zip')"))
+    archives.write_archives(docs, path).write.format("noop").mode("overwrite").save()
+    p = parse.parse_members(archives.members(spark, path))
+    good = F.col("reason").isNull()
+    return p.groupBy("source_key").agg(
+        F.count("*").alias("members"), F.count_if(good).alias("documents"), F.count_if(~good).alias("quarantined"),
+        F.coalesce(F.sum(F.when(good, F.size("facts").cast("long"))), F.lit(0)).alias("facts"), F.min(F.when(good, F.col("document_id"))).alias("first_document"),
+    )
+
+
 TAG_TRUTH_SQL = f"""{LINES_SQL}, g as (select document_id, concept, context_id, min(value) as value, bool_or(dimensional) as dimensional, min(dimensions) as dimensions, min(coalesce(instant, period_end)) as fact_date
   from f where is_numeric group by all having count(distinct value) = 1 and count(value) = count(*)),
 p as (select g.*, case when fact_date = d.period_end then 'current' when fact_date < d.period_end then 'prior' end as period from g join d using (document_id)
@@ -149,7 +172,7 @@ truth as (select document_id, concept, period, value, ambiguous from m where con
 
 
 def _tag_truth(spark, sf_dir):
-    p = _parsed(spark, sf_dir)
+    p = stored(_parsed(spark, sf_dir))  # read twice, as the job's is
     facts = staging.stg_facts(staging.stg_fact_occurrences(parse.fact_rows(p, "b")))
     concepts = spark.createDataFrame([(c,) for c in CONCEPTS.values()], "concept string")
     return evaluate.ground_truth(facts, parse.document_rows(p, "b", AT), concepts)

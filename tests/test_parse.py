@@ -117,3 +117,10 @@ def test_create_only(spark, tmp_path):
     assert open(place.removeprefix("file://"), "rb").read() == b"1" and archives.raw_place(spark, root, "other.zip") is None
     assert archives.ingest_status(False, again[1], "other", False) == "failed"
     assert archives.ingest_status(False, again[1], again[1], False) == "succeeded"
+
+
+def test_every_document_is_parsed_once(spark, raw):
+    p = parse.parse_members(archives.members(spark, str(raw)))
+    for rows in (parse.fact_rows(p, "b"), parse.document_rows(p, "b", "2023-04-01"), parse.quarantine_rows(p, "b", "2023-04-01")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.count("transform(") <= 3
