@@ -655,13 +655,16 @@ def html_render_text(spark, sf_dir):
 # ---------------------------------------------------------------- retrieval
 
 
-@query(
-    """with recursive l as (select doc_id, line, row_number() over (partition by doc_id order by pos) as ln, length(line) + 1 as w from
+CHUNKS_SQL = """with recursive l as (select doc_id, line, row_number() over (partition by doc_id order by pos) as ln, length(line) + 1 as w from
       (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents) where trim(line, ' ' || chr(9)) <> ''),
     c as (select *, sum(w) over (partition by doc_id order by ln) as cum, count(*) over (partition by doc_id) as n from l),
     nx as (select a.doc_id, a.ln as s, a.n, max(b.ln) as e from c a join c b on a.doc_id = b.doc_id and b.ln >= a.ln and (b.ln = a.ln or b.cum - a.cum + a.w <= 1500) group by all),
     r as (select doc_id, s, e, n, 0 as i from nx where s = 1 union all
-          select nx.doc_id, nx.s, nx.e, nx.n, r.i + 1 from r join nx on r.doc_id = nx.doc_id and nx.s = greatest(r.e - 3 + 1, r.s + 1) where r.e < r.n)
+          select nx.doc_id, nx.s, nx.e, nx.n, r.i + 1 from r join nx on r.doc_id = nx.doc_id and nx.s = greatest(r.e - 3 + 1, r.s + 1) where r.e < r.n)"""
+
+
+@query(
+    f"""{CHUNKS_SQL}
     select r.doc_id, r.i::int as chunk_index, sum(length(c.line) + 1)::bigint - 1 as chars from r join c on r.doc_id = c.doc_id and c.ln between r.s and r.e group by r.doc_id, r.i"""
 )
 def chunk_documents(spark, sf_dir):
@@ -739,14 +742,14 @@ def events_valid_deadletter(spark, sf_dir):
     return d.select("event_id", "error", stream.planned_job().alias("job"))
 
 
-def _streamed(spark, sf_dir):
+def streamed(spark, sf_dir):
     """events as a stream of files."""
     schema = t(spark, sf_dir, "events").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     return files.parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drained(df: DataFrame, mode: str) -> DataFrame:
+def drained(df: DataFrame, mode: str) -> DataFrame:
     """All results of a stream over what is there, written by the executors to a table in the folder they share."""
     spark = df.sparkSession
     path = shared_path(spark, "drained")
@@ -763,8 +766,8 @@ def _drained(df: DataFrame, mode: str) -> DataFrame:
 @query("select distinct event_id, event_type from events")
 def event_dedupe(spark, sf_dir):
     """Each event delivered twice, taken once, in a stream."""
-    e = _streamed(spark, sf_dir).select("event_id", "event_type", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
-    return _drained(stream.deduplicated(e, "event_id", "ts").select("event_id", "event_type"), "append")
+    e = streamed(spark, sf_dir).select("event_id", "event_type", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    return drained(stream.deduplicated(e, "event_id", "ts").select("event_id", "event_type"), "append")
 
 
 WINDOW_SQL = """select strftime(time_bucket(interval '10 minutes', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*)::bigint as n, round(sum(value), 4) as total, round(max(value), 4) as most
@@ -784,7 +787,7 @@ def window_metrics_10m(spark, sf_dir):
 @query(WINDOW_SQL)
 def stream_events_available_now(spark, sf_dir):
     """The same windows from a stream, in complete mode, so that the last window is closed as well."""
-    return _shown(_drained(stream.window_metrics(_streamed(spark, sf_dir), "ts", "event_type", "value"), "complete"))
+    return _shown(drained(stream.window_metrics(streamed(spark, sf_dir), "ts", "event_type", "value"), "complete"))
 
 
 def queries() -> dict:
@@ -796,4 +799,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 
-from . import tagged  # noqa: E402, F401  (registers its queries)
+from . import searched, tagged  # noqa: E402, F401  (they register their queries)

@@ -240,3 +240,68 @@ def test_streams_end_in_files_and_not_in_the_driver(spark, tiny, name):
 
     out = catalogue.queries()[name](spark, tiny)
     assert len(out.inputFiles()) and all(f.endswith(".parquet") for f in out.inputFiles()) and out.count()
+
+
+class PickyEmbedder(retrieval.FakeEmbedder):
+    """Turns requests down that hold a certain text, is busy at first, or answers too little."""
+
+    def __init__(self, folder, fault=""):
+        super().__init__(dims=16)
+        self.folder, self.fault = str(folder), fault
+
+    def embed(self, texts, task):
+        import os
+        import uuid
+
+        seen = len(os.listdir(self.folder))
+        open(f"{self.folder}/{len(texts)}.{uuid.uuid4().hex}", "w").close()
+        if self.fault == "busy" and seen == 0:
+            raise calls.ServiceError(429, "later")
+        if self.fault == "refuses" and any("bad" in t for t in texts) and (len(texts) > 1 or task == "always"):
+            raise calls.ServiceError(400, "no")
+        out = super().embed(texts, task)
+        return out[:-1] if self.fault == "few" else [(v[:-1], n) for v, n in out] if self.fault == "short" else out
+
+
+def test_embedding_requests(spark, tmp_path):
+    texts = [f"text {i} of some words" for i in range(20)] + ["bad one", None, "long " * 100]
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, text string").coalesce(1)
+
+    def made(fault, **more):
+        folder = tmp_path / f"{fault}{len(more)}"
+        folder.mkdir()
+        got = retrieval.embed_with(df, PickyEmbedder(folder, fault), threads=2, first_wait=0.01, request_texts=8, request_tokens=40, **more).collect()
+        return got, sorted(int(f.name.split(".")[0]) for f in folder.iterdir())
+
+    got, sizes = made("")
+    want = df.withColumn("e", retrieval.fake_embedding(F.coalesce("text", F.lit("")), 16)).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(23)) and [r.text for r in got] == texts  # in order
+    assert all(r.embedding == pytest.approx(w.e) and r.tokens == max(1, len(w.text or "") // 4) for r, w in zip(got, want, strict=True))
+    assert max(sizes) <= 8 and sum(sizes) == 23 and len(sizes) < 10
+    assert made("busy")[0] == got and sum(made("refuses")[1]) > 23
+    for fault, more in (("few", {}), ("short", {}), ("refuses", {"task": "always"})):
+        with pytest.raises(Exception, match="expected|400"):
+            made(fault, **more)
+
+
+def test_many_questions_at_once(spark, monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    v = r.normal(size=(300, 8)).round(1)
+    rows = [(f"d{i % 40:02}", i // 40, v[i].tolist(), "x") for i in range(300)] + [("z", 0, None, "x"), ("z", 1, [0.0] * 8, "x"), ("z", 2, [1.0, 2.0], "x"), ("same", 0, v[0].tolist(), "x")]
+    chunks = spark.createDataFrame(rows, "document_id string, chunk_index long, embedding array<double>, label string").repartition(4)
+    asked = [(i, v[i].tolist()) for i in range(0, 300, 7)] + [(1000, [0.0] * 8), (1001, [1.0, 2.0]), (1002, None)]
+    questions = spark.createDataFrame(asked, "question_id long, embedding array<double>")
+    want = {}
+    for q, x in asked:
+        x = np.array([] if x is None else x)
+        n = lambda a: np.linalg.norm(a) or 1.0
+        near = sorted((round(1 - float(x @ np.array(e)) / (n(x) * n(np.array(e))), 9), d, c) for d, c, e, _ in rows if e is not None and len(e) == len(x))
+        want |= {(q, p + 1): near[p] for p in range(min(5, len(near)))}
+    for block in (2048, 10):
+        monkeypatch.setattr(retrieval, "QUESTIONS", block)
+        got = retrieval.nearest_all(chunks, questions, 5, "document_id", "chunk_index", keep=("label",))
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert {(g.question_id, g.place): (pytest.approx(g.distance, abs=2e-9), g.document_id, g.chunk_index) for g in got.collect()} == want
+    assert retrieval.nearest_all(chunks, questions.where("false"), 5, "document_id").count() == 0
