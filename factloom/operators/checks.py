@@ -24,6 +24,29 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, key: str) -> Da
     return c.join(parent.select(F.col(key).alias("p_")), c[col] == F.col("p_"), "left_anti")
 
 
+def table_checks(
+    df: DataFrame, not_null_: tuple[str, ...] = (), accepted: dict[str, list[str]] | None = None, unique_: tuple[tuple[str, ...], ...] = (),
+    parents: dict[str, tuple[DataFrame, str]] | None = None,
+) -> DataFrame:
+    """check, columns, failures (rows that break it; of rows with one key all but one) for all generic checks of a table, from one scan.
+
+    Parents are joined by their distinct keys; keys that are null break neither uniqueness nor a relationship.
+    """
+    rules = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_]
+    rules += [("accepted_values", c, F.count_if(~F.col(c).isin(v))) for c, v in (accepted or {}).items()]
+    for cols in unique_:
+        given = F.lit(True)
+        for c in cols:
+            given = given & F.col(c).isNotNull()
+        rules.append(("unique", ",".join(cols), F.count_if(given) - F.count_distinct(F.when(given, F.struct(*cols)))))
+    for i, (c, (parent, key)) in enumerate((parents or {}).items()):
+        p = parent.select(F.col(key).alias(f"parent_{i}")).where(F.col(f"parent_{i}").isNotNull()).distinct()
+        df = df.join(p, F.col(c) == F.col(f"parent_{i}"), "left")
+        rules.append(("relationships", c, F.count_if(F.col(c).isNotNull() & F.col(f"parent_{i}").isNull())))
+    sums = df.agg(*[r[2].cast("long").alias(f"r{i}") for i, r in enumerate(rules)])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(k).alias("check"), F.lit(c).alias("columns"), F.col(f"r{i}").alias("failures")) for i, (k, c, _) in enumerate(rules)])))
+
+
 def documents_reconcile(documents: DataFrame, quarantine: DataFrame, parse_runs: DataFrame) -> DataFrame:
     """Sources whose documents and quarantine rows differ from what the ledger says since the last reparse."""
     ok = parse_runs.where("status = 'succeeded'")

@@ -799,4 +799,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 
-from . import searched, tagged  # noqa: E402, F401  (they register their queries)
+from . import ledgers, searched, tagged  # noqa: E402, F401  (they register their queries)

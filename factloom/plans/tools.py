@@ -62,15 +62,14 @@ def compare_models(metrics: DataFrame) -> DataFrame:
 def status(tables: dict[str, DataFrame]) -> DataFrame:
     """One row on the whole pipeline."""
     t = tables
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    last = lambda df, name: df.where("status = 'succeeded'").agg(F.max("finished_at").cast("string").alias(name))
-    spend = lambda df, name: df.agg(F.round(F.sum("cost_usd"), 2).alias(name))
+    count = lambda name: F.count("*").alias(name)
+    last = lambda name: F.max(F.when(F.col("status") == "succeeded", F.col("finished_at"))).cast("string").alias(name)
+    spend = lambda name: F.round(F.sum("cost_usd"), 2).alias(name)
     parts = [
-        count(t["documents"], "documents"), count(t["stg_facts"], "facts"), count(t["extractions"], "extractions"),
-        t["chunks"].agg(F.count_distinct("document_id").alias("indexed_docs"), F.count("*").alias("chunks")),
-        count(t["quarantine"].where("released_at is null"), "quarantined"),
-        last(t["parse_runs"], "last_parse"), last(t["extract_runs"], "last_extract"), last(t["index_runs"], "last_index"),
-        spend(t["extract_runs"], "extract_spend_usd"), spend(t["index_runs"], "index_spend_usd"),
+        t["documents"].agg(count("documents")), t["stg_facts"].agg(count("facts")), t["extractions"].agg(count("extractions")),
+        t["chunks"].agg(F.count_distinct("document_id").alias("indexed_docs"), count("chunks")),
+        t["quarantine"].where("released_at is null").agg(count("quarantined")), t["parse_runs"].agg(last("last_parse")),
+        t["extract_runs"].agg(last("last_extract"), spend("extract_spend_usd")), t["index_runs"].agg(last("last_index"), spend("index_spend_usd")),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -204,6 +204,12 @@ def test_checks(spark):
     assert checks.unique(df, "k").count() == 1 and checks.not_null(df, "k").count() == 1
     assert checks.accepted_values(df, "v", ["a", "b"]).count() == 1
     assert checks.relationships(df, "k", spark.createDataFrame([(2,)], "p int"), "p").count() == 2
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "p int")
+    rows = checks.table_checks(df, ("k", "v"), {"v": ["a", "b"]}, (("k",), ("k", "v")), {"k": (parent, "p"), "v": (df, "v")})
+    assert [tuple(r) for r in rows.collect()] == [
+        ("not_null", "k", 1), ("not_null", "v", 0), ("accepted_values", "v", 1), ("unique", "k", 1), ("unique", "k,v", 0), ("relationships", "k", 0), ("relationships", "v", 0)
+    ]
+    assert checks.table_checks(df, parents={"k": (spark.createDataFrame([(2,)], "p int"), "p")}).first().failures == 2
     ok = {"source_key": "s", "status": "succeeded", "started_at": datetime(2025, 1, 1), "parsed": 9, "quarantined": 9}
     redo = ok | {"started_at": datetime(2025, 2, 1), "reparse": True, "parsed": 1, "quarantined": 0}
     docs, none = frame(spark, "documents", [{"source_key": "s"}]), frame(spark, "quarantine", [])
