@@ -287,3 +287,32 @@ def test_failed_jobs_are_delivered_five_times(spark, tmp_path):
 def test_running_cost(spark):
     usage = spark.createDataFrame([("compute", 100, 40, 0.5), ("compute", 10, 40, 9.0), ("storage", 3, 0, 2.0)], "component string, units long, free long, price double")
     assert {r.component: r.usd for r in report.running_cost(usage).collect()} == {"compute": 30.0, "storage": 6.0, "Total": 36.0}
+
+
+def test_point_lookups_read_few_rows(spark, tmp_path):
+    """Of many loads with overlapping keys, a look-up of one document's facts reads the pages that hold it."""
+    from factloom.plans import tools
+
+    root = f"file://{tmp_path}"
+    names = [f.name for f in tables.TABLES["facts"]]
+    for i in range(4):
+        f = spark.range(40_000).selectExpr(
+            f"lpad(cast((id * 7919 % 10000) * 4 + {i} as string), 8, '0') as document_id", "concat('C', id div 10000) as concept", "'n' as namespace", "'c' as context_id", "true as is_numeric",
+            "cast(id as decimal(38,9)) as value", "'t' as text", *[f"cast(null as {t.dataType.simpleString()}) as {t.name}" for t in tables.TABLES["facts"][7:12]], "false as in_hidden",
+            "cast(null as date) as period_start", "cast(null as date) as period_end", "cast(null as date) as instant", "false as dimensional", "'b' as batch_id", "cast(null as string) as dimensions",
+        )
+        assert tables.load_batch(f.select(*names), root, "facts", f"s{i}", f"s{i}")
+    found = tools.get_facts(tables.read_table(spark, root, "facts").withColumn("hidden_everywhere", F.lit(False)), "00020002")
+    assert [r.concept for r in found.collect()] == ["C0", "C1", "C2", "C3"]
+    scan = [n for n in _nodes(found._jdf.queryExecution().executedPlan()) if "Scan" in n.nodeName()]
+    assert len(scan) == 1 and scan[0].metrics().apply("numOutputRows").value() <= 4000  # a page of each of four files, of 160,000 rows
+
+
+def _nodes(plan):
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    if plan.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage")):
+        plan = plan.plan()
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
