@@ -4,11 +4,11 @@ A table's hash turns a unit vector by three rounds of random signs and a fast Ha
 signed axis; two such turns (more in bands of millions) are strung together to one bucket, so that buckets do not grow with
 the table. The index is cut into norm bands, each with tables and a scale of its own: its vectors are scaled by the
 band's largest norm and get one more coordinate, a short one, that makes them unit vectors, so that the order of angles
-is the order of inner products. A query probes the PROBES nearest buckets, by the sum of its coordinates along their axes,
+is the order of inner products. A query probes the nearest buckets (`probes_for`), by the sum of its coordinates along their axes,
 in each of TABLES tables of every band; what it meets there is ranked exactly, by the inner product of the original vectors
-in double precision, summed in one order whatever the batch. A band of at most SMALL_BAND different vectors is scanned
-whole, which costs less than its tables; queries that meet fewer rows than there are to give are answered by an exact scan,
-block by block.
+in double precision, summed in one order whatever the batch. Bands of every size are hashed alike (`small_band`, off by default,
+scans smaller ones whole). Queries that meet fewer rows than there are to give are answered by an exact scan of the index, which
+SCAN_QUERIES or so of them share.
 
 How it is spread out: a table's axes fall into groups of axes, and each group into SALTS parts by id, so that a crowded
 axis is many cells. Each cell is streamed (queries first, then candidates, in Arrow batches), keeps K best a query, and
@@ -34,15 +34,15 @@ from .common import table, written
 
 TABLES = 20
 PROBES = 300
+SPARSE = 3500  # rows of a band at which twice as many buckets are probed
 SALTS = 2
 GROUP_ROWS = 20_000
 CROWDED = 64  # rows a bucket from which one more turn is strung on
 NEAREST_AXES = 48  # of each turn that probes are made of
 PAIRS = 60_000  # scored at a time
 BAND = 1.2  # the longest of a band's vectors by its shortest
-SMALL_BAND = 20_000
-SCAN_QUERIES = 500
-SCAN_ROWS = 10_000
+SMALL_BAND = 0
+SCAN_QUERIES = 2000
 SEED = 20
 
 
@@ -75,6 +75,12 @@ def turns_for(rows: int, dims: int) -> int:
     return turns
 
 
+def probes_for(rows: int, probes: int = PROBES) -> int:
+    """How many buckets a query probes in a table of a band of so many rows. The k nearest of few rows are a larger share of them and
+    lie farther off, so that more buckets may hold them; the number falls towards `probes` as the band grows."""
+    return int(probes * (1 + (SPARSE / rows) ** 0.5))
+
+
 def buckets_of(turned: list[np.ndarray], dims: int) -> np.ndarray:
     """The bucket of each row: its nearest signed axes, as digits of one number."""
     out = np.zeros(len(turned[0]), np.int64)
@@ -190,7 +196,7 @@ def search(
     for b in found:
         few_rows = b["n"] <= small_band
         t_, g_ = (1, 1) if few_rows else (tables, int(np.clip(b["n"] // GROUP_ROWS, 2, 2 * dims)))
-        plan[b["band"]] = (float(np.exp(b["longest"])) * (1 + 1e-12), t_, g_, cells, 0 if few_rows else turns_for(b["n"], dims))
+        plan[b["band"]] = (float(np.exp(b["longest"])) * (1 + 1e-12), t_, g_, cells, 0 if few_rows else turns_for(b["n"], dims), probes_for(b["n"], probes))
         cells += t_ * g_ * salts
     turns = max((p[4] for p in plan.values()), default=0)
     need = min(k, sum(b["ids"] for b in found) - 1)
@@ -209,7 +215,7 @@ def search(
             query = lifted(v[asks], None, dims, True)
             own = {b: np.flatnonzero(band == b) for b in np.unique(band).tolist()}
             for t in range(tables):
-                for b, (_, b_tables, groups, start, strung) in plan.items():
+                for b, (_, b_tables, groups, start, strung, b_probes) in plan.items():
                     if t >= b_tables:
                         continue
                     if b in own:
@@ -221,7 +227,7 @@ def search(
                         })
                     for lo in range(0, len(asks), 256):  # some queries at a time
                         some = asks[lo : lo + 256]
-                        near = nearest_buckets([rotated(query[lo : lo + 256], x) for x in signs[t][:strung]], dims, probes) if strung else np.zeros((len(some), 1), np.int64)
+                        near = nearest_buckets([rotated(query[lo : lo + 256], x) for x in signs[t][:strung]], dims, b_probes) if strung else np.zeros((len(some), 1), np.int64)
                         group = _group(near, groups)
                         for g in range(groups):
                             probed = [row[of == g].tolist() for row, of in zip(near, group, strict=True)]
@@ -313,8 +319,8 @@ def search(
     near = written(_lists(mine, dealt.mapInPandas(scan, answer), k), "ann-lists")
     short = F.size("near") < need
     missed = near.where(short).select("q").distinct()
-    if near.where(short).limit(1).count():
-        exact = _lists(mine.join(missed, "q", "left_semi"), _scanned(index, missed, k), k)
+    if n_missed := missed.count():
+        exact = _lists(mine.join(missed, "q", "left_semi"), _scanned(index, missed, n_missed, k), k)
         near = near.join(missed, "q", "left_anti").select("vec_id", "q", "near").union(exact)
     return near.select(F.col("vec_id").alias("query_id"), F.posexplode("near").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.neg")).alias("score")
@@ -333,35 +339,40 @@ def _lists(mine: DataFrame, found: DataFrame, k: int) -> DataFrame:
     return mine.join(lists, "q", "left").select("vec_id", "q", F.coalesce(near, none).alias("near"))
 
 
-def _scanned(index: DataFrame, missed: DataFrame, k: int) -> DataFrame:
-    """q, scores, ids: the exact lists of the queries `missed` (q), from blocks of them against blocks of the index."""
+def _scanned(index: DataFrame, missed: DataFrame, n_missed: int, k: int) -> DataFrame:
+    """q, scores, ids: partial exact lists of the queries `missed` (q). About SCAN_QUERIES of them go to the tasks that read the index,
+    and each task gives its best of every query; the index is neither joined nor shuffled."""
+    queries = index.where("asks").withColumn("q", F.col("ids")[0]).join(missed, "q", "left_semi").select("q", "v")
+    blocks = -(-n_missed // SCAN_QUERIES)
+    found = None
+    for b in range(blocks):
+        block = queries.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).orderBy("q").collect()  # about SCAN_QUERIES rows
+        if block:
+            part = index.select("v", "ids").mapInPandas(_scan_of([r["q"] for r in block], np.array([r["v"] for r in block], np.float64), k), "q long, scores array<double>, ids array<array<long>>")
+            found = part if found is None else found.union(part)
+    return found
 
-    def packed(f: pd.DataFrame) -> pd.DataFrame:
-        v = np.stack(f["v"].to_numpy()).astype(np.float64)
-        return pd.DataFrame([{"v": v.tobytes(), "ids": [np.asarray(i, np.int64).tolist() for i in f["ids"]]}])
 
-    def blocks(df: DataFrame, rows: int) -> DataFrame:
-        n = max(1, -(-df.count() // rows))
-        dealt = df.select("v", "ids", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(n)).alias("b"))
-        return written(dealt.groupBy("b").applyInPandas(packed, "v binary, ids array<array<long>>"), "ann-blocks")
-
-    queries = index.where("asks").withColumn("q", F.col("ids")[0]).join(missed, "q", "left_semi")
-    pairs = blocks(queries, SCAN_QUERIES).select(F.col("v").alias("q_v"), F.transform("ids", lambda i: i[0]).alias("q")).crossJoin(blocks(index, SCAN_ROWS))
+def _scan_of(asked: list[int], queries: np.ndarray, k: int):
+    """The function of a task: its k + 1 best index rows of each query."""
 
     def scan(frames):
+        rows, scores, first, ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, object)
         for f in frames:
-            for r in f.itertuples():
-                c = np.frombuffer(r.v).reshape(len(r.ids), -1)
-                first = np.array([i[0] for i in r.ids], np.int64)
-                row, col, s = _best(np.frombuffer(r.q_v).reshape(len(r.q), -1), c, k + 1)
-                col, row, s, _ = _topk(col, row, s, first[col], k + 1)
-                cut = np.searchsorted(row, np.arange(len(r.q) + 1))
-                yield pd.DataFrame({
-                    "q": r.q, "scores": [s[a:b].tolist() for a, b in zip(cut, cut[1:], strict=False)],
-                    "ids": [[r.ids[x].tolist() for x in col[a:b]] for a, b in zip(cut, cut[1:], strict=False)],
-                })
-
-    return pairs.mapInPandas(scan, "q long, scores array<double>, ids array<array<long>>")
+            if not len(f):
+                continue
+            own = f["ids"].to_numpy()
+            c = np.stack(f["v"].to_numpy()).astype(np.float64)
+            row, col, s = _best(queries, c, k + 1)
+            least = np.array([i[0] for i in own], np.int64)
+            ids, rows, scores, first = _topk(np.concatenate([ids, own[col]]), np.concatenate([rows, row]), np.concatenate([scores, s]), np.concatenate([first, least[col]]), k + 1)
+        cut = np.searchsorted(rows, np.arange(len(asked) + 1))
+        yield pd.DataFrame({
+            "q": asked, "scores": [scores[a:b].tolist() for a, b in zip(cut, cut[1:], strict=False)],
+            "ids": [[np.asarray(x, np.int64).tolist() for x in ids[a:b]] for a, b in zip(cut, cut[1:], strict=False)],
+        })
+
+    return scan
 
 
 def op2_cross_polytope(spark, sf_dir):

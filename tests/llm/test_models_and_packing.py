@@ -108,6 +108,33 @@ def test_little_of_the_table_is_scored_for_good_recall(spark, monkeypatch):
     assert scored / len(asked) / len(v) <= 0.18
 
 
+def test_the_query_finds_neighbours_by_its_tables(spark, monkeypatch):
+    """The registered query on a given table: every band is hashed, and recall is 0.9."""
+    path = "/root/testdata/sf0.1"
+    if not os.path.exists(path):
+        pytest.skip("the given tables are not here")
+    met = spark.sparkContext.accumulator(0)
+    whole, products = cross_polytope._best, cross_polytope._products
+    monkeypatch.setattr(cross_polytope, "_products", lambda a, b: (met.add(len(a)), products(a, b))[1])
+    monkeypatch.setattr(cross_polytope, "_best", lambda *a: 1 / 0 if cross_polytope.SMALL_BAND else whole(*a))
+    from factloom.llm.queries import queries
+
+    e = spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    v = np.array([r.embedding for r in e], np.float64)
+    ids = np.array([r.vec_id for r in e])
+    asked = np.flatnonzero(ids % 20 == 0)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = [set(ids[w].tolist()) for w in np.argsort(-score, axis=1)[:, :20]]
+    got = {}
+    for r in queries()["op2_cross_polytope"](spark, path).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = np.mean([len(got[q] & w) / 20 for q, w in zip(ids[asked].tolist(), want, strict=True)])
+    share = met.value / len(asked) / len(v)
+    print("recall", recall, "share", share)
+    assert cross_polytope.SMALL_BAND == 0 and recall >= 0.9 and share <= 0.4
+
+
 @pytest.mark.parametrize("small_band", [0, 2000])
 def test_tiny_tables_are_answered_whole(spark, small_band):
     r = np.random.default_rng(8)
