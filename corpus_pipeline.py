@@ -1,6 +1,14 @@
 """The corpus pipeline: documents in, packed token sequences out.
 
 Every stage works on all documents that the one before it kept; all but the last return the columns of documents.
+
+Defined results, of each stage on its own input
+* quality classifier: null and blank texts are rejected; rows that repeat an id are judged one by one.
+* line dedup: null text counts as one empty line and comes back as empty text; rows that repeat an id never drop each other's lines.
+* near duplicates: of a component the rows with the least id stay; documents without words or id link with nothing and stay.
+* passage dedup: null, empty and short texts lose nothing; rows that repeat an id are one document.
+* packing: null and empty texts are one end token; rows that repeat an id are packed one by one.
+Long texts are whole in all of them, ties go to smaller ids, an empty table gives an empty result, and other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
