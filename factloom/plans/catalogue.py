@@ -593,8 +593,8 @@ def numeric_transform(spark, sf_dir):
         "case when l_partkey % 3 = 0 then '-' end as sign",
     )
     w = w.select("*", F.expr(FORMAT).alias("fmt"), F.expr(SHOWN).alias("text"))
-    n = X.transform_numeric(F.col("text"), F.col("fmt"), F.col("scale"), F.col("sign"))
-    return w.select("l_orderkey", "l_linenumber", n["error"].isNotNull().alias("failed"), n["value"].cast("double").alias("value"))
+    w = X.once(w, "n", X.transform_numeric(F.col("text"), F.col("fmt"), F.col("scale"), F.col("sign")))
+    return w.select("l_orderkey", "l_linenumber", F.col("n.error").isNotNull().alias("failed"), F.col("n.value").cast("double").alias("value"))
 
 
 NAME = """case o_orderkey % 5 when 0 then 'x/Prod223_' || o_custkey || '_' || lpad(o_orderkey::varchar, 8, '0') || '_' || d || '.html' when 1 then 'Prod1_2_SC123456_' || d || '_CIC.zip'

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import retrieval
 from ..streaming import delivery
-from .catalogue import CHUNKS_SQL, drained, query, streamed, t
+from .catalogue import CHUNKS_SQL, drained, query, shared_path, streamed, t
 
 
 @query(
@@ -56,3 +56,30 @@ def stuck_messages(spark, sf_dir):
     e = e.where("kind <> 'clock' or message_id % 1000 = 0")
     delivery.with_state_store(spark)
     return drained(delivery.stuck(e), "append").select("subscription", "message_id", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("alert_at"))
+
+
+#: Seconds that a user's first job runs, by the user's id.
+_RUNS = (3, 10, 30, 60, 100, 1000)
+
+
+@query(
+    f"""with u as (select user_id, min(ts) as t0, list_value{_RUNS}[user_id % 6 + 1] as runs from events group by user_id),
+    o as (select *, unnest([5, 15, 35, 75, 155]) as off, unnest([1, 2, 3, 4, 5]) as delivery from u),
+    b as (select user_id, t0, off, delivery, case when off > runs then 'start' when delivery = 5 then 'dead_letter' else 'retry' end as action from o
+      qualify count(*) filter (where off > runs) over (partition by user_id order by delivery rows between unbounded preceding and 1 preceding) = 0)
+    select user_id::varchar as job, 'first' as message_id, 'start' as action, 1 as delivery, strftime(t0, '%Y-%m-%d %H:%M:%S') as at from u
+    union all select user_id::varchar, 'second', action, delivery, strftime(t0 + to_seconds(off), '%Y-%m-%d %H:%M:%S') from b"""
+)
+def deliveries(spark, sf_dir):
+    """Two messages a user, five seconds apart: the second finds the first's job busy until that has run, or is dead after five deliveries."""
+    u = t(spark, sf_dir, "events").groupBy("user_id").agg(F.min(F.col("ts").cast("timestamp")).alias("t0"))
+    u = u.withColumn("runs", F.element_at(F.array(*[F.lit(x) for x in _RUNS]), (F.col("user_id") % 6 + 1).cast("int")))
+    after = lambda s: F.col("t0") + F.make_dt_interval(secs=s.cast("decimal(18,6)"))
+    row = lambda kind, message, at, job=None: F.struct(F.coalesce(F.lit(job), F.col("user_id").cast("string")).alias("job"), F.lit(kind).alias("kind"), F.lit(message).alias("message_id"), at.alias("at"))
+    rows = F.array(row("message", "first", F.col("t0")), row("finished", "first", after(F.col("runs"))), row("message", "second", after(F.lit(5))), row("message", "tick", after(F.lit(9_000_000)), "clock"))
+    e = u.select(F.explode(rows).alias("x")).select("x.*", F.lit("").alias("argument"), F.lit(None).cast("string").alias("error"))
+    path = shared_path(spark, "deliveries")
+    e.write.parquet(path)
+    delivery.with_state_store(spark)
+    done = drained(delivery.dispatched(spark.readStream.schema(e.schema).parquet(path)), "append")
+    return done.where("job <> 'clock'").select("job", "message_id", "action", "delivery", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
