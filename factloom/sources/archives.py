@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as stores
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -250,3 +252,8 @@ def ingest_status(written: bool, stored: str, fetched: str, recorded: bool) -> s
     if written or (not recorded and stored == fetched):
         return "succeeded"
     return "skipped_existing" if stored == fetched else "failed"
+
+
+# Spark starts Python processes beside the driver for this, which do not have the files that are sent to executors: what they need
+# is sent by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

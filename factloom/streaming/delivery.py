@@ -9,9 +9,11 @@ decided does not hang on where batches are cut; the source's rate bounds them. A
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -158,3 +160,8 @@ def stuck(events: DataFrame, late: str = "0 seconds") -> DataFrame:
     """Messages of a stream (subscription, kind, message_id, at) that were open for longer than STUCK_SECONDS, when they were."""
     e = events.select("subscription", "kind", "message_id", "at").withWatermark("at", late)
     return e.groupBy("subscription").transformWithStateInPandas(OpenMessages(), outputStructType=STUCK, outputMode="append", timeMode="eventTime")
+
+
+# Spark starts Python processes beside the driver for this, which do not have the files that are sent to executors: what they need
+# is sent by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
