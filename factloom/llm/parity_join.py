@@ -10,6 +10,11 @@ joining on single segments finds every linked pair. Segments without shingles sa
 them, and a set with more of them is sketched again under other seeds, like every set that it could meet on empty
 segments alone, which keeps the search exact. Segments that only one set has go no farther than their shard.
 
+A passage that many documents share makes hot segments. Each sketch has some segments more than it needs (its slack: the
+spare ones that are not empty): linked sets agree in one more of them than the slack of either. So each sketch gives up as many
+of its hottest segments as its slack; in one order of all segments by their number of sets, the rarest that two linked sets
+share is given up by neither.
+
 Pairs are then decided, never whole groups:
 
 1. each set is paired with the one leader (the least set of a segment) that it shares most segments with; a folded sketch
@@ -48,6 +53,8 @@ BATCH = 2048
 STAR = 256  # pairs of one leader that are verified in one bin
 CELL = 8192  # sets of one segment in a cell
 SMALL_CELL = 64
+GIVE_UP = 16  # one more segment to be given up for as many tolerated differences
+HOT = 32  # sets of a segment from which on it is given up where slack allows
 MORE = 8  # times as many of the nearest sets in each next round
 BITS_PER_DIFFERENCE = 16
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -55,32 +62,33 @@ KEY_BYTES = 6
 
 
 class Bands:
-    """Size bands, and for each the words of a sketch and how many of them may be empty."""
+    """Size bands, and for each the words of a sketch, how many of them may be empty, and how many are there to be given up."""
 
     def __init__(self, percent: int, ratio_steps: int = 2):
         self.similar = percent / 100
         self.ratio = (1 / self.similar) ** ratio_steps if percent < 100 else 2.0
-        self.made: dict[int, tuple[int, int]] = {}
+        self.made: dict[int, tuple[int, int, int]] = {}
 
     def of(self, n: int) -> list[int]:
         """The bands in which a set of n meets its partners: its own, and the next if a larger partner can be there."""
         own = int(log(n) / log(self.ratio) + 1e-9)
         return [own, own + 1] if n / self.similar >= self.ratio ** (own + 1) * (1 - 1e-9) else [own]
 
-    def sketch(self, band: int) -> tuple[int, int]:
+    def sketch(self, band: int) -> tuple[int, int, int]:
         if band not in self.made:
             most = self.ratio ** (band + 1) * (1 + 1e-9)
             differ = int((1 - self.similar) / (1 + self.similar) * 2 * most + 1e-9)
             least = self.ratio**band * self.similar  # the smallest set that meets a partner in this band
+            extra = 1 + differ // GIVE_UP if differ else 0
             spare = 0
             while differ and spare < 3 + differ // 6:
-                words = differ + 1 + spare
+                words = differ + 1 + spare + extra
                 share = least / words
                 empty = words * exp(-share)
                 if spare >= empty + 1.5 * sqrt(empty * (1 - (1 + share) * exp(-share))):
                     break
                 spare += 1
-            self.made[band] = (differ + 1 + spare, spare)
+            self.made[band] = (differ + 1 + spare + extra, spare, extra)
         return self.made[band]
 
 
@@ -125,23 +133,45 @@ def sketch_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
     """
     keys = []
     for band in bands.of(len(s)):
-        words, spare = bands.sketch(band)
+        words, spare, _ = bands.sketch(band)
         for seed in range(SEEDS):
-            own = mixed(s + np.uint64(seed * int(MIX) % (1 << 64))) if seed else s
+            own = _seeded(s, seed)
             at = (own % np.uint64(words)).astype(np.int64)
             order = np.argsort(at, kind="stable")
             sorted_at = at[order]
             head = np.flatnonzero(np.concatenate([[True], sorted_at[1:] != sorted_at[:-1]]))
             xor = np.bitwise_xor.reduceat(own[order], head)
             tag = np.uint64(((band * SEEDS + seed + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
-            keys.append(mixed(mixed(xor + tag) + sorted_at[head].astype(np.uint64) * MIX))
+            keys.append(_of_sketch(mixed(mixed(xor + tag) + sorted_at[head].astype(np.uint64) * MIX), band, seed))
             if len(head) >= words - spare:
                 break
         else:
-            keys.append(mixed(np.array([tag], np.uint64)))
+            keys.append(_of_sketch(mixed(np.array([tag], np.uint64)), band, seed))
     return np.concatenate(keys)
 
 
+def slacks(s: np.ndarray, bands: Bands) -> list[int]:
+    """For each sketch of a set how many of its segments may be given up, below the sketch's number (bits 16 to 23)."""
+    out = []
+    for band in bands.of(len(s)) if len(s) else []:
+        words, spare, extra = bands.sketch(band)
+        for seed in range(SEEDS):
+            empty = words - np.count_nonzero(np.bincount((_seeded(s, seed) % np.uint64(words)).astype(np.int64), minlength=words))
+            out.append((band * SEEDS + seed) % 256 << 16 | min(max(0, spare + extra - int(empty)), 0xFFFF))
+            if empty <= spare:
+                break
+    return out
+
+
+def _seeded(s: np.ndarray, seed: int) -> np.ndarray:
+    return mixed(s + np.uint64(seed * int(MIX) % (1 << 64))) if seed else s
+
+
+def _of_sketch(key: np.ndarray, band: int, seed: int) -> np.ndarray:
+    """Keys whose bits 16 to 23 tell the sketches of one set apart (its bands are neighbours)."""
+    return (key & ~np.uint64(0xFF0000)) | np.uint64((band * SEEDS + seed) % 256 << 16)
+
+
 def differ_at_most(a, b, percent: int):
     """The largest symmetric difference of linked sets of sizes a and b."""
     return (a + b) * (100 - percent) // (100 + percent)
@@ -168,9 +198,11 @@ def hamming(a: bytes, b: bytes) -> int:
 
 
 def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, row_hash, n, d1, d2 (size and digests of the set) and its folded sketch, for every row of (doc_id, text)."""
+    """doc_id, row_hash, n, d1, d2 (size and digests of the set), its folded sketch and the slack of its segments, for every
+    row of (doc_id, text)."""
 
     def measure(frames):
+        bands = Bands(percent)
         for f in frames:
             for lo, hi in portions(f["text"].tolist()):
                 part = f.iloc[lo:hi]
@@ -181,9 +213,10 @@ def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     "d1": np.array([total(x) for x in sets], np.uint64).astype(np.int64),
                     "d2": np.array([total(mixed(x)) for x in sets], np.uint64).astype(np.int64),
                     "sketch": [folded_sketch(x, percent).tobytes() if len(x) else None for x in sets],
+                    "slack": [slacks(x, bands) for x in sets],
                 })
 
-    return docs.mapInPandas(measure, "doc_id long, row_hash long, n long, d1 long, d2 long, sketch binary")
+    return docs.mapInPandas(measure, "doc_id long, row_hash long, n long, d1 long, d2 long, sketch binary, slack array<int>")
 
 
 def shared_segments(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -257,6 +290,20 @@ def _named(key: np.ndarray, shard: np.ndarray) -> np.ndarray:
     return ((key & ~np.uint64(0xFFFF)) | shard.astype(np.uint64)).view(np.int64)
 
 
+def without_hot(segments: DataFrame, slack: DataFrame) -> DataFrame:
+    """The segments (key, cid) without those that each sketch gives up: of its hot ones the hottest, as many as its slack (cid, slack).
+
+    Only rows of hot segments are joined and ranked, those of one sketch at a time.
+    """
+    hot = segments.groupBy("key").agg(F.count("*").alias("sets")).where(F.col("sets") >= HOT)
+    sketch = F.shiftright("key", 16).bitwiseAND(F.lit(0xFF)).cast("int")
+    rows = segments.join(hot, "key").join(slack, "cid").withColumn("sketch", sketch)
+    rows = rows.withColumn("slack", F.expr("get(filter(slack, t -> shiftright(t, 16) = sketch), 0)").bitwiseAND(F.lit(0xFFFF)))
+    rank = F.row_number().over(Window.partitionBy("cid", "sketch").orderBy(F.desc("sets"), "key"))
+    up = rows.where("slack > 0").withColumn("rank", rank).where("rank <= slack").select("key", "cid")
+    return segments.join(up, ["key", "cid"], "left_anti")
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, label (least node reachable) for the nodes of the edges a, b: least labels of neighbours, then a jump to
     the label's label, until nothing changes; each round is a written table, of which only the last is left."""
@@ -478,11 +525,13 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = held.groupBy(*same).agg(first).select(F.monotonically_increasing_id().alias("cid"), *same, F.col("least.doc_id").alias("rep_doc"), F.col("least.row_hash").alias("rep_row"))
     classes = written(classes, "join-classes")
     reps = classes.select("cid", "rep_doc", "rep_row")
-    chosen = held.join(reps, (held.doc_id == reps.rep_doc) & (held.row_hash == reps.rep_row)).select("cid", "n", "sketch").dropDuplicates(["cid"])
+    chosen = held.join(reps, (held.doc_id == reps.rep_doc) & (held.row_hash == reps.rep_row)).select("cid", "n", "sketch", "slack").dropDuplicates(["cid"])
     texts = d.join(reps, (d.doc_id == reps.rep_doc) & (d.row_hash == reps.rep_row)).select("cid", "text")
-    segments = written(shared_segments(texts, shingle, percent), "join-segments")
-    members = segments.select("cid").distinct()
+    shared = written(shared_segments(texts, shingle, percent), "join-shared")
+    members = shared.select("cid").distinct()
     sketches = written(chosen.join(members, "cid", "left_semi"), "join-sketches")
+    segments = written(without_hot(shared, sketches.select("cid", "slack")), "join-segments")
+    discard(shared)
 
     # Each set with the leader that it shares most segments with.
     leaders = segments.groupBy("key").agg(F.min("cid").alias("a"))

@@ -156,6 +156,61 @@ def test_every_linked_pair_shares_a_key():
                         assert len(np.intersect1d(parity_join.sketch_keys(x, bands), parity_join.sketch_keys(y, bands)))
 
 
+def test_every_linked_pair_shares_a_key_that_neither_gives_up():
+    """Whatever the order of segments is, as long as it is one."""
+    rng = np.random.default_rng(6)
+    for percent in (60, 80, 85, 95):
+        bands = parity_join.Bands(percent)
+        for n in (1, 2, 5, 8, 12, 20, 50, 133, 400):
+            for trial in range(20):
+                a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+                drop = int(n * (100 - percent) / 100)
+                b = np.concatenate([a[drop - drop // 2 :], rng.integers(0, 1 << 63, drop // 2, dtype=np.uint64)])
+                x, y = np.unique(a), np.unique(b)
+                if 100 * len(np.intersect1d(x, y)) < percent * len(np.union1d(x, y)):
+                    continue
+                left = []
+                for s in (x, y):
+                    keys = parity_join.sketch_keys(s, bands)
+                    sketch = (keys >> np.uint64(16)).astype(np.int64) & 0xFF
+                    kept = []
+                    for t in parity_join.slacks(s, bands):
+                        own = keys[sketch == t >> 16]
+                        order = np.argsort(parity_join.mixed(own + np.uint64(trial)))
+                        kept.append(own[order][: len(own) - min(len(own), t & 0xFFFF)])
+                    assert sum(map(len, kept)) <= len(keys) and set(sketch.tolist()) == {t >> 16 for t in parity_join.slacks(s, bands)}
+                    left.append(np.concatenate(kept))
+                assert len(np.intersect1d(*left))
+
+
+def test_a_passage_of_many_documents_makes_no_hot_segment(spark, monkeypatch):
+    """A third of the documents share a passage; a few are linked on top of it. No link is lost, and what is hot is given up."""
+    r = np.random.default_rng(12)
+    passage = [f"p{i}" for i in range(24)]
+    rows = []
+    for i in range(300):
+        own = [f"w{r.integers(1 << 40)}" for _ in range(int(r.integers(80, 160)))]
+        w = own[:40] + passage + own[40:] if i % 3 == 0 else own
+        rows.append((i, " ".join(w)))
+        if i % 10 == 0:
+            w = list(w)
+            w[int(r.integers(len(w)))] = f"y{i}"
+            rows.append((1000 + i, " ".join(w)))
+    sizes = []
+    whole = parity_join.without_hot
+
+    def looked_at(segments, slack):
+        out = whole(segments, slack)
+        sizes.extend(max(x["count"] for x in t.groupBy("key").count().collect()) for t in (segments, out))
+        return out
+
+    monkeypatch.setattr(parity_join, "without_hot", looked_at)
+    monkeypatch.setattr(parity_join, "HOT", 8)
+    got = parity_join.join_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == brute_components(rows, 4, 85)
+    assert sizes[0] >= 8 > sizes[1], sizes
+
+
 def test_exact_verification():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 40, 80, dtype=np.uint64)
