@@ -6,7 +6,8 @@ shard holds a compact box of the metadata space, and min/max statistics of its f
 texts are one group: all have the cell of the least id among them and lie side by side, so that only the end of a run can
 part them.
 
-Only ids, metadata and numbers are shuffled, never texts. The global order is a range partitioning plus counts per partition
+Only ids, metadata and numbers are shuffled, never texts. Groups of more than a HOT-th of all rows, fewer than HOT of them, are
+broadcast to their rows, so that no join brings a hot group into one task. The global order is a range partitioning plus counts per partition
 (one row a partition on the driver); no key has to be in one task, since the sort key ends with the id.
 
 Defined results
@@ -22,9 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import table, written
 
 BITS = 6
+HOT = 1024
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -72,8 +74,11 @@ def curve_rows(docs: DataFrame) -> DataFrame:
     d = written(d.select("*", F.pandas_udf(_curve, "long")(bucket("lang"), bucket("source"), level).alias("hilbert")), "curve-rows")
     same = ["text_hash", "text_crc32", "size"]
     groups = d.groupBy(*same).agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "hilbert")).alias("least")).where("copies > 1")
-    groups = groups.select(*same, F.col("least.hilbert").alias("of_group"))
-    return d.join(groups, same, "left").withColumn("hilbert", F.coalesce("of_group", "hilbert")).drop("of_group")
+    groups = written(groups.select(*same, "copies", F.col("least.hilbert").alias("of_group")), "curve-groups")
+    hot = F.col("copies") * HOT > d.count()
+    d = d.join(F.broadcast(groups.where(hot).drop("copies")), same, "left")
+    rest = d.where("of_group is null").drop("of_group").join(groups.where(~hot).drop("copies"), same, "left")
+    return d.where("of_group is not null").unionByName(rest).withColumn("hilbert", F.coalesce("of_group", "hilbert")).drop("of_group")
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:

@@ -206,6 +206,17 @@ def test_equal_texts_are_torn_only_at_the_end_of_a_run(spark, tiny):
             assert after == (s, i + 1) or (i == last[s] - 1 and after == (s + 1, 0))
 
 
+@pytest.mark.parametrize("hot", [1, 1 << 40])
+def test_hot_groups_are_placed_as_others_are(spark, monkeypatch, hot):
+    """A text in a third of all rows: the same places whether its group is broadcast or joined."""
+    rows = [(i, "" if i % 3 == 0 else f"text {i // 2}", "en" if i % 2 else "de", f"s{i % 5}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    want = sorted((r.doc_id, r.hilbert, r.shard, r.slot) for r in hilbert_shards.shard(docs).collect())
+    monkeypatch.setattr(hilbert_shards, "HOT", hot)
+    assert sorted((r.doc_id, r.hilbert, r.shard, r.slot) for r in hilbert_shards.shard(docs).collect()) == want
+    assert len({h for i, h, *_ in want if i % 3 == 0}) == 1
+
+
 def test_files_of_shards_prune_on_metadata(spark, tiny, tmp_path):
     import glob
 
