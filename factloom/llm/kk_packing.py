@@ -7,7 +7,7 @@ imbalances, largest sums against smallest, which gives near-equal windows. The n
 that could hold the block and rises while one of them exceeds the capacity, as long as at most MAX_PADDING is padding;
 what exceeds the capacity at that number is cut off and goes where there is room (documents may be cut freely). Without
 a bound on the padding nothing is cut. Items of a few to a window leave differencing too little choice to come within 2 %:
-blocks of documents like those of the given tables always reach the bound and end in cuts.
+blocks of documents like those of the given tables reach the bound and end in cuts.
 
 Defined results
 * null or empty text: only the end id; every document, repeated ids and null ids included, is packed as its own.
