@@ -28,11 +28,20 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as a table in the shared folder and read it back."""
+#: Whether a query's shuffle files go when it ends, or when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """Cut the lineage: write df as a table in the shared folder and read it back. tidy: its shuffle files go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    try:
+        spark.conf.set(CLEANUP, "true" if tidy else before)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out

@@ -96,15 +96,24 @@ def _unpacked(f: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=COLUMNS)
 
 
-def _count(f: pd.DataFrame, trusted: pd.DataFrame) -> pd.DataFrame:
-    """The n-gram counts of the block's trusted documents, for the models of their half."""
-    out = [pd.DataFrame({"lang": pd.Series([], dtype=object), "gram": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})]
+def _models_of(docs: pd.DataFrame):
+    """The documents by the model that scores them: the other half's, of their language or of all."""
+    return _by(docs.assign(model=(1 - docs["half"].astype(int)).astype(str) + docs["scale"]), "model") if len(docs) else ()
+
+
+def _count_and_ask(f: pd.DataFrame, trusted: pd.DataFrame) -> pd.DataFrame:
+    """The n-gram counts of the block's trusted documents, for the models of their half (no block), and the n-grams that
+    the block asks for (no count)."""
     docs = _unpacked(f)
-    docs = docs[docs["doc_id"].isin(trusted["doc_id"])]
-    for half, of_half in _by(docs, "half"):
+    out = [pd.DataFrame({"block": pd.array([], "Int32"), "lang": pd.Series([], dtype=object), "gram": np.zeros(0, np.int64), "n": pd.array([], "Int64")})]
+    for half, of_half in _by(docs[docs["doc_id"].isin(trusted["doc_id"])], "half"):
         for lang, part in [*_by(of_half, "lang"), ("*", of_half)]:
             gram, n = _distinct(part["text"].tolist())
-            out.append(pd.DataFrame({"lang": f"{half}{lang}", "gram": gram, "n": n}))
+            out.append(pd.DataFrame({"block": pd.array([pd.NA] * len(gram), "Int32"), "lang": f"{half}{lang}", "gram": gram, "n": pd.array(n, "Int64")}))
+    for name, part in _models_of(docs):
+        gram, _ = _distinct(part["text"].tolist())
+        asked = pd.array([int(f["block"].iloc[0])] * len(gram), "Int32")
+        out.append(pd.DataFrame({"block": asked, "lang": name, "gram": gram, "n": pd.array([pd.NA] * len(gram), "Int64")}))
     return pd.concat(out[1:] or out)
 
 
@@ -127,15 +136,15 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS else df
 
 
-def train(counts: DataFrame, few=lambda df: df) -> list[tuple[DataFrame, DataFrame]]:
+def train(counts: DataFrame, few=lambda df: df, keep=lambda df, name: df) -> list[tuple[DataFrame, DataFrame]]:
     """From counts of n-grams of the highest order (lang, gram, n), for each order from 1 up: (n-grams with probability `p`, without the lower orders' share; contexts with `back`,
     the weight of the lower order). Probabilities of order n: p, or nothing, plus back times order n - 1. `few` marks tables of
-    one row a model for broadcasting if there are few models."""
+    one row a model for broadcasting if there are few models; `keep` writes a table that several others are made from."""
     out = []
     for order in range(ORDER, 0, -1):
         if order < ORDER:  # continuation counts: how many n-grams of the next order end in this one
             mask = (1 << (BITS * order)) - 1
-            counts = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n"))
+            counts = keep(counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n")), "lm-counts")
         k = lambda i: F.count_if(F.col("n") == i).cast("double")
         spread = counts.groupBy("lang").agg(k(1).alias("k1"), k(2).alias("k2"), k(3).alias("k3"), k(4).alias("k4"))
         y = F.col("k1") / F.greatest(F.lit(1.0), F.col("k1") + 2 * F.col("k2"))
@@ -150,10 +159,11 @@ def train(counts: DataFrame, few=lambda df: df) -> list[tuple[DataFrame, DataFra
             contexts = contexts.withColumn("back", back / (F.col("kinds") + 1))
         else:
             contexts = contexts.withColumn("back", back)
+        contexts = keep(contexts, "lm-contexts")
         grams = with_d.join(contexts.select("lang", "context", "total"), ["lang", "context"]).select(
             "lang", "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("p")
         )
-        out.append((grams, contexts.select("lang", "context", "back")))
+        out.append((keep(grams, "lm-grams"), contexts.select("lang", "context", "back")))
     return out[::-1]
 
 
@@ -173,8 +183,9 @@ def log_probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, row_hash, lang, scale, n_chars, log_perplexity (a character; null without text or model), log_variety, blank.
 
-    Documents of one `scale` were scored by one model. Counting, asking and scoring are one plan
-    over one shuffle of the texts by block.
+    Documents of one `scale` were scored by one model. The texts are shuffled by block twice: one pass counts and asks,
+    the other scores; between them every table of the model is written once. As one plan, the counting would stand in it
+    once for each path from the counts to an answer (18 times).
     """
     lang = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("?"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -188,28 +199,18 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     d = d.join(few(known), ["half", "lang"], "left").withColumn("scale", F.coalesce("scale", F.lit("*")))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
     d = d.select("doc_id", "lang", "scale", "half", "text", F.xxhash64("text").alias("row_hash"), block).mapInPandas(_packed, "block int, blob binary")
-    counts = d.groupBy("block").cogroup(t.select("doc_id", block).groupBy("block")).applyInPandas(_count, "lang string, gram long, n long")
-    # No filter or column pruning gets past a Python map: every branch of the model reads the same shuffle of the counts.
-    summed = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).mapInPandas(lambda frames: frames, "lang string, gram long, n long")
-    model = train(summed, few)
-
-    def models_of(docs: pd.DataFrame):
-        return _by(docs.assign(model=(1 - docs["half"].astype(int)).astype(str) + docs["scale"]), "model") if len(docs) else ()
-
-    def ask(f: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"block": np.zeros(0, np.int32), "lang": [], "gram": np.zeros(0, np.int64)})]
-        for name, part in models_of(_unpacked(f)):
-            gram, _ = _distinct(part["text"].tolist())
-            out.append(pd.DataFrame({"block": f["block"].iloc[0], "lang": name, "gram": gram}))
-        return pd.concat(out[1:] or out)
-
-    asked = d.groupBy("block").applyInPandas(ask, "block int, lang string, gram long")
-    answers = asked.select("block", "lang", "gram").join(log_probabilities(asked.select("lang", "gram").distinct(), model), ["lang", "gram"])
+    both = d.groupBy("block").cogroup(t.select("doc_id", block).groupBy("block")).applyInPandas(_count_and_ask, "block int, lang string, gram long, n long")
+    both = written(both, "lm-blocks", tidy=True)
+    counts = both.where("block is null").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    model = train(written(counts, "lm-counts"), few, written)
+    asked = both.where("block is not null").select("block", "lang", "gram")
+    told = written(log_probabilities(asked.select("lang", "gram").distinct(), model), "lm-answers")
+    answers = asked.join(told, ["lang", "gram"])
 
     def score(f: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
         out = []
         tables = {name: part.sort_values("gram") for name, part in a.groupby("lang")} if len(a) else {}
-        for name, part in models_of(_unpacked(f)):
+        for name, part in _models_of(_unpacked(f)):
             texts = part["text"].tolist()
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             value, variety = np.full(len(texts), np.nan), np.zeros(len(texts))

@@ -461,3 +461,10 @@ def test_classifier_edges(docs, empty, spark):
     assert good.columns == docs.columns and {80, 81, 82}.isdisjoint({r.doc_id for r in good.collect()})
     assert quality_lm.keep_good(empty, labels).count() == 0
     assert quality_lm.keep_good(docs, labels.limit(0)).count() == docs.count() - 3
+
+
+def test_quality_plan_reads_the_texts_once_a_pass(spark):
+    """The model's tables are written between counting and scoring: the scoring plan has one grouped pass, not one for each path to an answer."""
+    docs = spark.createDataFrame([(i, f"some text {i} of words", "en") for i in range(8)], "doc_id long, text string, lang string")
+    plan = quality_lm.perplexities(docs, docs.select("doc_id").where("doc_id < 4"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsIn") == 1 and plan.count("Exchange") < 20
