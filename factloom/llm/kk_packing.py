@@ -23,6 +23,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -37,9 +39,11 @@ ENTRY_BYTES = 160
 RUN_WORDS = 512
 RUN_CHARS = 64
 WORD_END = "</w>"
-# str.split() and \s of `re` also count U+001C to U+001F as white space, which the tokenizer does not.
+# Arrow and \s of `re` also count U+001C to U+001F as white space, which the tokenizer does not.
 _NOT_WHITE = re.compile(r"[\x1c-\x1f]")
 _WORD = re.compile(r"[\S\x1c-\x1f]+")
+# Letters of Latin-1 and symbols of ASCII after them (no apostrophe): the tokenizer parts them there, whatever they are.
+_PARTED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 def default_tokenizer() -> str:
@@ -158,25 +162,38 @@ class _Words:
         self.index.update(zip(words, range(first, first + len(words)), strict=True))
         self.size += ENTRY_BYTES * len(words) + 4 * len(flat) + sum(map(len, words))
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
+        """Take up the words (distinct ones) that are new."""
         new = [w for w in words if w not in self.index]
-        # A word of letters is one token run, which ends with an end-of-word id; a full stop or comma after it is another.
-        # Such words are encoded many at a time, and the ends say which ids are whose.
-        plain = [w for w in new if w.isalpha() and len(w) <= RUN_CHARS]
-        ended = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and w.isascii() and len(w) <= RUN_CHARS]
-        kept = plain + ended
-        runs = np.ones(len(kept), np.int64)
-        runs[len(plain) :] = 2
+        parted = [m for m in map(_PARTED.fullmatch, new) if m]
+        if parted:  # what is put together from known parts needs no tokenizer
+            heads, tails = [m[1] for m in parted], [m[2] for m in parted]
+            whole = [m[0] for m in parted]
+            self._encode(set(new).difference(whole).union(heads, tails).difference(self.index))
+            number = lambda of: np.fromiter(map(self.index.__getitem__, of), np.int64, len(of))
+            at = np.stack([number(heads), number(tails)], axis=1).ravel()
+            lengths = self.start[at + 1] - self.start[at]
+            self._append(whole, self._ids_of(at, lengths), lengths.reshape(-1, 2).sum(axis=1))
+        else:
+            self._encode(set(new))
+
+    def _ids_of(self, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after another."""
+        return self.ids[np.repeat(self.start[at] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+
+    def _encode(self, new: set[str]) -> None:
+        # A word of letters is one token run, which ends with an end-of-word id. Such words are encoded many at a time,
+        # and the ends say which ids are whose.
+        kept = [w for w in new if w.isalpha() and len(w) <= RUN_CHARS]
         parts = [kept[lo : lo + RUN_WORDS] for lo in range(0, len(kept), RUN_WORDS)]
-        odd = set(new).difference(kept)
+        odd = new.difference(kept)
         for i, e in enumerate(self.tokenizer.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False)):
             flat = np.array(e.ids, np.uint32)
             ends = np.flatnonzero(self.ends[flat])
-            last = np.cumsum(runs[i * RUN_WORDS : i * RUN_WORDS + len(parts[i])])
-            if len(ends) != last[-1]:  # a letter that the tokenizer takes apart: word by word
+            if len(ends) != len(parts[i]):  # a letter that the tokenizer takes apart: word by word
                 odd.update(parts[i])
                 continue
-            self._append(parts[i], flat, np.diff(ends[last - 1] + 1, prepend=0))
+            self._append(parts[i], flat, np.diff(ends + 1, prepend=0))
         if odd:
             odd = list(odd)
             ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
@@ -184,25 +201,26 @@ class _Words:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by END_ID, and where each text's ids begin (and the end of all)."""
-        split = [_split(self._fold(t)) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = [w for s in split for w in s]
-        del split
+        split = _split([self._fold(t) for t in texts])
+        counts = pc.list_value_length(split).to_numpy()
         if self.size > CACHED_BYTES:
             self.clear()
-        self.learn(set(words))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        del words
+        # Only a batch's distinct words are looked up one by one.
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del split
+        self.learn(distinct)
+        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        del words, distinct
         lengths = self.start[at + 1] - self.start[at]
         # The words' ids lie text after text, with one place after each text for the end id.
         ends = np.cumsum(counts)
         text_of_end = np.concatenate([[0], np.cumsum(lengths)])[ends] + np.arange(1, len(texts) + 1)
         total = int(text_of_end[-1]) if len(texts) else 0
-        source = np.repeat(self.start[at] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
         out = np.full(total, END_ID, np.uint32)
         body = np.ones(total, bool)
         body[text_of_end - 1] = False
-        out[body] = self.ids[source]
+        out[body] = self._ids_of(at, lengths)
         return out, np.concatenate([[0], text_of_end])
 
     def _fold(self, text: str) -> str:
@@ -216,8 +234,11 @@ class _Words:
         return text if any(t in folded for t in self.added) else folded
 
 
-def _split(text: str) -> list[str]:
-    return _WORD.findall(text) if _NOT_WHITE.search(text) else text.split()
+def _split(texts: list[str]) -> pa.Array:
+    """The words of each text; a text without any may have an empty one."""
+    if any(map(_NOT_WHITE.search, texts)):
+        return pa.array([_WORD.findall(t) for t in texts], pa.list_(pa.large_string()))
+    return pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pa.array(texts, pa.large_string())))
 
 
 _words: dict[str, _Words] = {}

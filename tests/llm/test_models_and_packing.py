@@ -468,3 +468,31 @@ def test_quality_plan_reads_the_texts_once_a_pass(spark):
     docs = spark.createDataFrame([(i, f"some text {i} of words", "en") for i in range(8)], "doc_id long, text string, lang string")
     plan = quality_lm.perplexities(docs, docs.select("doc_id").where("doc_id < 4"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FlatMapCoGroupsIn") == 1 and plan.count("Exchange") < 20
+
+
+def test_packing_looks_words_up_once_a_batch_and_puts_known_parts_together():
+    """Repeated words cost no look-up each, and letters with symbols after them are no new word for the tokenizer."""
+    from tokenizers import Tokenizer
+
+    path = kk_packing.default_tokenizer()
+    w, plain = kk_packing._Words(path), Tokenizer.from_file(path)
+    texts = ["Größe. größe&&& the,the the's the. it's!! x$$$ ß. \u0130. \u0130&& a\u0301. e\u0301&& \u00b5! 12. a1. don't.", "größe$$$ . , the...", "", "\x1cthe. \u2028the!"]
+    looked, tokenized = [], []
+
+    class Index(dict):
+        def __getitem__(self, key):
+            looked.append(key)
+            return super().__getitem__(key)
+
+    class Counting:
+        def encode_batch_fast(self, batch, **options):
+            tokenized.extend(x for b in batch for x in b.split(" "))
+            return plain.encode_batch_fast(batch, **options)
+
+    w.index, w.tokenizer = Index(), Counting()
+    ids, begin = w.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [[*plain.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert "größe&&&" not in tokenized and tokenized.count("größe") == 1
+    looked.clear()
+    w.encode(["the the. " * 1000])
+    assert len(looked) == 2
