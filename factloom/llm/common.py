@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,20 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: By operator, how to give up what it has kept in this Python worker for its next tasks.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def at_work(operator: str, give_up: Callable[[], None] | None = None) -> None:
+    """Called by an operator's tasks: Spark hands a Python worker on from query to query, so what other operators have kept
+    in it is given up here, with the memory that Arrow holds unused; give_up: how to do that with what this one keeps."""
+    for other in [x for x in _kept if x != operator]:
+        _kept.pop(other)()
+        pa.default_memory_pool().release_unused()
+    if give_up:
+        _kept[operator] = give_up
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

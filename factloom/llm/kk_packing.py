@@ -28,13 +28,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import table
+from .common import at_work, table
 
 CAPACITY = 2048
 END_ID = 1
 BLOCK = 1024
 MAX_PADDING = 0.02
-CACHED_BYTES = 450_000_000
+CACHED_BYTES = 250_000_000
 ENTRY_BYTES = 160
 RUN_WORDS = 512
 RUN_CHARS = 64
@@ -254,6 +254,7 @@ def _packer(path: str, capacity: int, max_padding: float | None, with_ids: bool)
         if path not in _words:
             _words[path] = _Words(path)
         w = _words[path]
+        at_work("packing", _words.clear)
         task = TaskContext.get()
         sequence = (task.partitionId() if task else 0) << 40
         for frame in frames:

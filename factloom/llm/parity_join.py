@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, discard, portions, table, written
+from .common import at_work, blocks_for, discard, portions, table, written
 from .suffix_dedup import Prefixes, mixed
 
 SHINGLE = 4
@@ -202,6 +202,7 @@ def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     row of (doc_id, text)."""
 
     def measure(frames):
+        at_work("join")
         bands = Bands(percent)
         for f in frames:
             for lo, hi in portions(f["text"].tolist()):
@@ -224,6 +225,7 @@ def shared_segments(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     shards = min(1 << 15, blocks_for(texts, F.octet_length("text"), SHARD_BYTES, 8))
 
     def sketch(frames):
+        at_work("join")
         bands = Bands(percent)
         for whole in frames:
             for lo in range(0, len(whole), BATCH):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, portions, table, written
+from .common import at_work, blocks_for, portions, table, written
 
 ORDER = 3
 BLOCK_BYTES = 10_000_000
@@ -81,6 +81,7 @@ COLUMNS = ["doc_id", "lang", "scale", "half", "text", "row_hash"]
 
 def _packed(frames):
     """A batch's documents by block, each block's as one compressed blob: what the one shuffle of the texts carries."""
+    at_work("quality")
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     for f in frames:
         t = pa.Table.from_pandas(f[COLUMNS].astype({"doc_id": "Int64"}), preserve_index=False)

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import table
+from .common import at_work, table
 
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -208,6 +208,7 @@ _models: dict[str, Model] = {}
 
 
 def model(path: str) -> Model:
+    at_work("sentencepiece", _models.clear)
     if path not in _models:
         _models[path] = Model(path)
     return _models[path]

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, table
+from .common import at_work, blocks_for, table
 
 MIN_BYTES = 50
 SEED_BYTES = 20
@@ -208,6 +208,7 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 def _read_block(f: pd.DataFrame):
     """The block's rows in a fixed order: raw texts, their bytes one after another, begins, lengths, ids."""
+    at_work("suffixes", _powers.clear)
     raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in f["text"]]
     length = np.fromiter(map(len, raw), np.int64, len(raw))
     data = np.frombuffer(b"".join(raw), np.uint8)

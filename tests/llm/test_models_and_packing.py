@@ -496,3 +496,20 @@ def test_packing_looks_words_up_once_a_batch_and_puts_known_parts_together():
     looked.clear()
     w.encode(["the the. " * 1000])
     assert len(looked) == 2
+
+
+def test_packing_words_are_given_up_to_the_next_operator():
+    """A Python worker that has packed is handed on without the words, which would count for its memory in every later stage."""
+    import pandas as pd
+
+    path = kk_packing.default_tokenizer()
+    pack = kk_packing._packer(path, 2048, None, False)
+    frame = pd.DataFrame({"doc_id": [1, 2], "text": ["some text of words", "more text"]})
+    first = pd.concat(pack(iter([frame])))
+    words = kk_packing._words[path]
+    assert len(words.index) >= 5
+    assert pd.concat(pack(iter([frame]))).equals(first) and kk_packing._words[path] is words  # kept between its own tasks
+    blocks = frame.assign(lang="en", scale="en", half="0", row_hash=1, block=0)
+    assert len(list(quality_lm._packed(iter([blocks])))) == 1
+    assert not kk_packing._words
+    assert pd.concat(pack(iter([frame]))).equals(first)
