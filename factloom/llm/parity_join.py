@@ -21,9 +21,10 @@ Pairs are then decided, never whole groups:
    of about 16 bits a tolerated difference tests the Hamming distance, and what passes is verified on the sets. Most
    copies of a large group end in one family here.
 2. segments whose sets are not all of one family yet are searched for pairs across families that pass the Hamming test.
-   The nearest one of each set is verified first, which joins most families; then MORE times as many of what is across
-   families still, and so on, until no pair is left. A segment that many sets share is dealt into cells: its largest
-   family stays in place, once in all, and only the others meet it.
+   The FIRST nearest ones of each set are verified first, which joins most families; then MORE times as many of what is
+   across families still, and so on, until no pair is left. Rounds are few, since each one costs some shuffles however few
+   pairs it has. A segment that many sets share is dealt into cells: its largest family stays in place, once in all, and
+   only the others meet it.
 
 A set travels once for all its pairs in a bin, and a pair that fails the Hamming test moves no set.
 
@@ -35,6 +36,7 @@ Defined results
 
 from __future__ import annotations
 
+from functools import reduce
 from math import exp, log, sqrt
 
 import numpy as np
@@ -55,7 +57,8 @@ CELL = 8192  # sets of one segment in a cell
 SMALL_CELL = 64
 GIVE_UP = 16  # one more segment to be given up for as many tolerated differences
 HOT = 32  # sets of a segment from which on it is given up where slack allows
-MORE = 8  # times as many of the nearest sets in each next round
+FIRST = 8  # of the nearest sets of each set in the first round
+MORE = 64  # times as many in each next round
 BITS_PER_DIFFERENCE = 16
 MIX = np.uint64(0xD6E8FEB86659FD93)
 KEY_BYTES = 6
@@ -198,8 +201,8 @@ def hamming(a: bytes, b: bytes) -> int:
 
 
 def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, row_hash, n, d1, d2 (size and digests of the set), its folded sketch and the slack of its segments, for every
-    row of (doc_id, text)."""
+    """doc_id, row_hash, bytes, n, d1, d2 (size and digests of the set), its folded sketch and the slack of its segments, for
+    every row of (doc_id, text, row_hash)."""
 
     def measure(frames):
         at_work("join")
@@ -210,19 +213,19 @@ def measured(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 sets = shingle_sets(part["text"].tolist(), shingle)
                 total = lambda x: int(np.sum(x, dtype=np.uint64)) if len(x) else 0
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "n": [len(x) for x in sets],
+                    "doc_id": part["doc_id"].astype("Int64").array, "row_hash": part["row_hash"].array, "bytes": part["bytes"].array, "n": [len(x) for x in sets],
                     "d1": np.array([total(x) for x in sets], np.uint64).astype(np.int64),
                     "d2": np.array([total(mixed(x)) for x in sets], np.uint64).astype(np.int64),
                     "sketch": [folded_sketch(x, percent).tobytes() if len(x) else None for x in sets],
                     "slack": [slacks(x, bands) for x in sets],
                 })
 
-    return docs.mapInPandas(measure, "doc_id long, row_hash long, n long, d1 long, d2 long, sketch binary, slack array<int>")
+    docs = docs.withColumn("bytes", F.octet_length("text"))
+    return docs.mapInPandas(measure, "doc_id long, row_hash long, bytes int, n long, d1 long, d2 long, sketch binary, slack array<int>")
 
 
-def shared_segments(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def shared_segments(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFrame:
     """key, cid: the segments that more than one class has, and the classes that have them, of (cid, text)."""
-    shards = min(1 << 15, blocks_for(texts, F.octet_length("text"), SHARD_BYTES, 8))
 
     def sketch(frames):
         at_work("join")
@@ -306,12 +309,14 @@ def without_hot(segments: DataFrame, slack: DataFrame) -> DataFrame:
     return segments.join(up, ["key", "cid"], "left_anti")
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
-    """node, label (least node reachable) for the nodes of the edges a, b: least labels of neighbours, then a jump to
-    the label's label, until nothing changes; each round is a written table, of which only the last is left."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b")).distinct()
-    e = written(both, f"{name}-edges")
-    labels = written(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), f"{name}-labels")
+def components(edges: DataFrame, name: str, known: DataFrame | None = None) -> DataFrame:
+    """node, label (least node reachable) for the nodes of the edges a, b (of written tables): least labels of neighbours, then
+    a jump to the label's label, until nothing changes; each round is a written table, of which only the last is left.
+    known: labels that some of these edges gave, to start from."""
+    e = edges.select("a", "b").union(edges.select("b", "a")).where(F.col("a") != F.col("b"))
+    start = e.union(known.select("node", "label")) if known else e
+    labels = start.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label"))
+    labels = written(labels, f"{name}-labels")
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("label").alias("m"))
         near = e.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("m").alias("m"))
@@ -322,7 +327,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         discard(labels)
         labels = new
         if not changed:
-            discard(e)
             out = labels.select("node", "label")
             out.written_at = labels.written_at
             return out
@@ -342,16 +346,17 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 
 def linked_pairs(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """a, b: the pairs (a, b, n_a, n_b; a written table) that are linked, by exact sizes of intersections.
+    """a, b, linked: whether the pairs (a, b, n_a, n_b; of a written table) are linked, by exact sizes of intersections.
 
-    A leader's pairs are dealt into bins some at a time; each set goes once to each bin that needs it.
+    A leader's pairs are dealt into bins some at a time; each set goes once to each bin that needs it. Repeated pairs meet in
+    one bin and count once.
     """
     bins = blocks_for(pairs, (F.col("n_a") + F.col("n_b")) * 8, SHARD_BYTES, 8)
     stars = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).alias("parts"))
     part = F.pmod(F.xxhash64("b"), F.col("parts"))
     binned = pairs.join(stars, "a").select(F.pmod(F.xxhash64("a", part), F.lit(bins)).cast("int").alias("bin"), "a", "b")
-    ask = binned.select("bin", F.col("a").alias("cid")).union(binned.select("bin", F.col("b").alias("cid")))
-    ask = ask.groupBy("cid").agg(F.collect_set("bin").alias("bins"))
+    binned = written(binned, "join-binned")
+    ask = binned.select("bin", F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.collect_set("bin").alias("bins"))
     ask = written(rows.join(ask, "cid").select("cid", "rep_doc", "rep_row", "bins"), "join-asks")
 
     def ship(frames):
@@ -366,13 +371,13 @@ def linked_pairs(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: in
 
     def verify(p: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
         held = {c: np.frombuffer(s, "<u8") for c, s in zip(sets["cid"].tolist(), sets["shingles"], strict=True)}
-        keep = []
-        for a, g in p.groupby("a", sort=False):
-            keep.append(g[linked_with(held[a], [held[b] for b in g["b"].tolist()], percent)])
-        return pd.concat(keep)[["a", "b"]] if keep else pd.DataFrame({"a": [], "b": []})
+        done = [pd.DataFrame({"a": [], "b": [], "linked": []})]
+        for a, g in p.drop_duplicates(["a", "b"]).groupby("a", sort=False):
+            done.append(g[["a", "b"]].assign(linked=linked_with(held[a], [held[b] for b in g["b"].tolist()], percent)))
+        return pd.concat(done[1:] or done)
 
-    found = written(binned.groupBy("bin").cogroup(sent.groupBy("bin")).applyInPandas(verify, "a long, b long"), "join-links")
-    discard(ask)
+    found = written(binned.groupBy("bin").cogroup(sent.groupBy("bin")).applyInPandas(verify, "a long, b long, linked boolean"), "join-links")
+    discard(ask, binned)
     return found
 
 
@@ -385,9 +390,10 @@ def linked_with(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.n
     return 100 * both >= percent * (len(one) + n - both)
 
 
-def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """a, b, n_a, n_b: pairs of different families (key, cid, family) in one segment that pass the Hamming test and are not among
-    the tried ones, the `nearest` of each set; and cid: the sets that have more such pairs. Both are written tables."""
+def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, nearest: int, percent: int) -> DataFrame:
+    """r, a, b, n_a, n_b, new, more: pairs of different families (key, cid, family) in one segment that pass the Hamming test; new:
+    among the `nearest` of the set r, and not a tried one (a pair can come once for either set); more: r has more such pairs,
+    which one row of each set says. A written table."""
     sizes = members.groupBy("key", "family").agg(F.count("*").alias("k"))
     keys = sizes.groupBy("key").agg(F.count("*").alias("families"), F.sum("k").alias("all"), F.max(F.struct("k", "family")).alias("largest"))
     keys = keys.where("families > 1")
@@ -434,17 +440,20 @@ def across_families(members: DataFrame, classes: DataFrame, tried: DataFrame, ne
 
     schema = "r long, f long, n_r long, n_f long, apart long, more boolean"
     found = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInPandas(search, schema)
-    found = written(found.groupBy("r", "f", "n_r", "n_f", "apart").agg(F.bool_or("more").alias("more")), "join-near")
-    pair = [F.least("r", "f").alias("a"), F.greatest("r", "f").alias("b")]
+    found = written(found, "join-near")
     size = lambda x, y: F.when(F.col("r") < F.col("f"), F.col(x)).otherwise(F.col(y))
-    new = found.select("r", *pair, size("n_r", "n_f").alias("n_a"), size("n_f", "n_r").alias("n_b"), "apart").join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    place = F.row_number().over(Window.partitionBy("r").orderBy("apart", "a", "b"))
-    new = written(new.withColumn("place", place).where(F.col("place") <= nearest + 1), "join-ranked")
-    more = found.where("more").select(F.col("r").alias("cid")).union(new.where(F.col("place") > nearest).select("r")).distinct()
-    more = written(more, "join-more")
-    pairs = written(new.where(F.col("place") <= nearest).select("a", "b", "n_a", "n_b").distinct(), "join-new")
-    discard(cells, found, new)
-    return pairs, more
+    pair = [F.least("r", "f").alias("a"), F.greatest("r", "f").alias("b"), size("n_r", "n_f").alias("n_a"), size("n_f", "n_r").alias("n_b")]
+    ranked = found.select("r", *pair, "apart", "more").join(tried.select("a", "b", F.lit(True).alias("old")), ["a", "b"], "left")
+    # All that follows is of one set at a time: dealt out by it once. A pair that several bins have counts once.
+    ranked = ranked.repartition("r").groupBy("r", "a", "b", "n_a", "n_b", "apart").agg(F.bool_or("more").alias("more"), F.coalesce(F.bool_or("old"), F.lit(False)).alias("old"))
+    of_set = Window.partitionBy("r")
+    ranked = ranked.withColumn("place", F.row_number().over(of_set.orderBy("old", "apart", "a", "b")))
+    ranked = ranked.withColumn("more", F.bool_or("more").over(of_set) | (F.count_if(~F.col("old")).over(of_set) > nearest))
+    new = ~F.col("old") & (F.col("place") <= nearest)
+    ranked = ranked.select("r", "a", "b", "n_a", "n_b", new.alias("new"), (F.col("more") & (F.col("place") == 1)).alias("more"))
+    ranked = written(ranked.where("new or more"), "join-ranked")
+    discard(cells, found)
+    return ranked
 
 
 def a_family(nearest: int) -> int:
@@ -523,13 +532,14 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows = written(measured(d, shingle, percent), "join-rows")
     held = rows.where("n > 0 and doc_id is not null")
     same = ["n", "d1", "d2"]
-    first = F.min(F.struct("doc_id", "row_hash")).alias("least")
-    classes = held.groupBy(*same).agg(first).select(F.monotonically_increasing_id().alias("cid"), *same, F.col("least.doc_id").alias("rep_doc"), F.col("least.row_hash").alias("rep_row"))
-    classes = written(classes, "join-classes")
+    first = F.min(F.struct("doc_id", "row_hash", "bytes")).alias("least")
+    rep = [F.col("least.doc_id").alias("rep_doc"), F.col("least.row_hash").alias("rep_row"), F.col("least.bytes").alias("bytes")]
+    classes = written(held.groupBy(*same).agg(first).select(F.monotonically_increasing_id().alias("cid"), *same, *rep), "join-classes")
     reps = classes.select("cid", "rep_doc", "rep_row")
     chosen = held.join(reps, (held.doc_id == reps.rep_doc) & (held.row_hash == reps.rep_row)).select("cid", "n", "sketch", "slack").dropDuplicates(["cid"])
     texts = d.join(reps, (d.doc_id == reps.rep_doc) & (d.row_hash == reps.rep_row)).select("cid", "text")
-    shared = written(shared_segments(texts, shingle, percent), "join-shared")
+    shards = min(1 << 15, blocks_for(classes, F.col("bytes"), SHARD_BYTES, 8))
+    shared = written(shared_segments(texts, shards, shingle, percent), "join-shared")
     members = shared.select("cid").distinct()
     sketches = written(chosen.join(members, "cid", "left_semi"), "join-sketches")
     segments = written(without_hot(shared, sketches.select("cid", "slack")), "join-segments")
@@ -537,42 +547,45 @@ def join_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     # Each set with the leader that it shares most segments with.
     leaders = segments.groupBy("key").agg(F.min("cid").alias("a"))
-    led = segments.withColumnRenamed("cid", "b").join(leaders, "key").where("a < b").groupBy("a", "b").agg(F.count("*").alias("k"))
+    led = segments.withColumnRenamed("cid", "b").join(leaders, "key").where("a < b").repartition("b").groupBy("a", "b").agg(F.count("*").alias("k"))
     led = led.groupBy("b").agg(F.max(F.struct("k", -F.col("a"))).alias("m")).select((-F.col("m.col2")).alias("a"), "b")
-    tried = written(close_pairs(led, sketches, percent), "join-led")
-    links = linked_pairs(tried, reps, d, shingle, percent)
-    families, nearest, live = components(links, "join-families"), 1, segments
+    led = written(close_pairs(led, sketches, percent), "join-led")
+    verified = [linked_pairs(led, reps, d, shingle, percent)]
+    discard(led)
+
+    def pairs(linked: bool) -> DataFrame:
+        """Of the pairs verified so far those that are linked, or those that are not."""
+        return reduce(DataFrame.union, verified).where(F.col("linked") == linked).select("a", "b")
+
+    families, nearest, live = components(pairs(True), "join-families"), FIRST, segments
     while True:
         now = live.join(families, live.cid == families.node, "left").select("key", "cid", F.coalesce("label", "cid").alias("family"))
-        new, more = across_families(now, sketches, tried, nearest, percent)
+        ranked = across_families(now, sketches, pairs(False), nearest, percent)
+        new, more = ranked.where("new").select("a", "b", "n_a", "n_b"), ranked.where("more").select(F.col("r").alias("cid"))
         if new.limit(1).count():
-            found = linked_pairs(new, reps, d, shingle, percent)
-            seen = written(tried.union(new), "join-tried")
-            if found.limit(1).count():
-                merged = written(links.union(found), "join-links")
-                discard(links, families)
-                links, families = merged, components(merged, "join-families")
-            discard(found, tried)
-            tried = seen
+            verified.append(linked_pairs(new, reps, d, shingle, percent))
+            if verified[-1].where("linked").limit(1).count():
+                families, known = components(pairs(True), "join-families", families), families
+                discard(known)
         left = more.limit(1).count()
         if left:  # only segments of sets that have more pairs can hold any
             open_ = written(live.join(live.join(more, "cid").select("key").distinct(), "key", "left_semi"), "join-open")
-        discard(new, more, live)
+        discard(ranked, live)
         if not left:
             break
         live, nearest = open_, nearest * MORE
     # Rows of one id are one document.
-    of_doc = held.join(classes.select("cid", *same), same).select("doc_id", "cid")
+    of_doc = written(held.join(classes.select("cid", *same), same).select("doc_id", "cid"), "join-docs")
     several = of_doc.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("doc_id", "a")
     several = written(of_doc.join(several, "doc_id").where("a < cid").select("a", F.col("cid").alias("b")), "join-several")
     if several.limit(1).count():
-        discard(families)
-        families = components(links.union(several), "join-families")
+        families, known = components(pairs(True).union(several), "join-families", families), families
+        discard(known)
     named = of_doc.join(families, of_doc.cid == families.node, "left").select("doc_id", F.coalesce("label", "cid").alias("family")).distinct()
     least = named.groupBy("family").agg(F.min("doc_id").alias("component_id"))
     least = written(named.join(least, "family").select(F.col("doc_id").alias("l_doc"), "component_id"), "join-components")
     slim = written(rows.select("doc_id", "row_hash", F.col("n").alias("n_shingles")), "join-sizes")
-    discard(rows, classes, sketches, links, tried, families, several)
+    discard(rows, classes, sketches, families, several, of_doc, *verified)
     out = slim.join(least, F.col("doc_id") == least.l_doc, "left")
     return out.select("doc_id", "row_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -125,6 +125,35 @@ def test_grey_group(spark, monkeypatch, small):
     assert len({c for *_, c in want}) > 3
 
 
+@pytest.mark.parametrize("first", [1, None])
+def test_rounds_and_tables_are_few(spark, monkeypatch, first):
+    """Each round costs its shuffles however few pairs it has. From one pair of each set on, with many tried ones, none is lost."""
+    if first:
+        monkeypatch.setattr(parity_join, "FIRST", first)
+        monkeypatch.setattr(parity_join, "MORE", 2)
+    r = np.random.default_rng(13)
+    rows = []
+    for group in range(3):
+        base = [f"w{group}-{i}" for i in range(150)]
+        for i in range(80):
+            w = list(base)
+            for at in r.choice(150, int(r.integers(1, 9)), replace=False):
+                w[at] = f"x{r.integers(1 << 40)}"
+            rows.append((100 * i + group, " ".join(w)))
+    names = []
+    whole = parity_join.written
+
+    def noted(df, name, *more):
+        names.append(name)
+        return whole(df, name, *more)
+
+    monkeypatch.setattr(parity_join, "written", noted)
+    got = parity_join.join_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == brute_components(rows, 4, 85)
+    rounds = names.count("join-near")
+    assert rounds > 2 if first else rounds <= 2 and len(names) <= 40, names
+
+
 def test_long_sets_are_verified_in_whole_numbers():
     """At 671,089 common shingles and more, single precision gets the bound wrong."""
     rng = np.random.default_rng(2)
