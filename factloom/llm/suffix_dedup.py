@@ -41,6 +41,8 @@ SEED_BYTES = 20
 BLOCK_BYTES = 3_000_000
 SHARD_BYTES = 12_000_000
 SLAB = 1 << 15
+LEAD = 8  # bytes of a suffix that are one number
+VERIFIED = 200_000  # suffixes at a time whose bytes are compared
 NO_ID = -(1 << 63)
 
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -95,17 +97,22 @@ def common_extension(p: Prefixes, a: np.ndarray, b: np.ndarray, most: np.ndarray
 def suffix_sort(data: np.ndarray, starts: np.ndarray, group: np.ndarray, limit: int | None = None, p: Prefixes | None = None) -> np.ndarray:
     """Order of the suffixes (indexes into starts) by group, then by their bytes up to limit; ties keep their order.
 
-    A bottom-up mergesort: at each level every element finds its place among the run beside its own by binary search,
-    for all runs of all groups at once.
+    A bottom-up mergesort of those that share their first LEAD bytes: at each level every element finds its place among
+    the run beside its own by binary search, for all runs of all groups at once.
     """
     p = p or Prefixes(data)
-    order = np.argsort(group, kind="stable")
-    g = group[order]
-    first = np.concatenate([[True], g[1:] != g[:-1]]) if len(g) else np.zeros(0, bool)
+    reach = len(data) - starts if limit is None else np.minimum(limit, len(data) - starts)
+    lead = np.zeros(len(starts), np.uint64)  # what ends before is less, or the same and then shorter
+    for i in range(LEAD):
+        there = i < reach
+        lead <<= np.uint64(8)
+        lead[there] |= data[starts[there] + i]
+    order = np.lexsort((lead, group))
+    g, lead = group[order], lead[order]
+    first = np.concatenate([[True], (g[1:] != g[:-1]) | (lead[1:] != lead[:-1])]) if len(g) else np.zeros(0, bool)
     begin = np.flatnonzero(first)
     sizes = np.diff(np.concatenate([begin, [len(g)]]))
     g_begin, g_size = np.repeat(begin, sizes), np.repeat(sizes, sizes)
-    reach = len(data) - starts if limit is None else np.minimum(limit, len(data) - starts)
 
     def less(a, b, or_equal):
         x, y = starts[a], starts[b]
@@ -229,46 +236,65 @@ def _least_doc(key: np.ndarray, doc: np.ndarray):
     return k[first], order[first], doc[order[first]], doc[order[last]] if len(k) else doc[:0], which
 
 
-def _window_minima(data, begin, count, offset, seed, doc, min_bytes):
+def _dealt(to: np.ndarray):
+    """(receiver, the places of what goes there, in their order) for each receiver: one sort, not a pass for each."""
+    order = np.argsort(to, kind="stable")
+    first = np.flatnonzero(np.diff(to[order], prepend=-1))
+    return zip(to[order[first]].tolist(), np.split(order, first[1:]) if len(first) else [], strict=True)
+
+
+def _agreements(view: np.ndarray, at: np.ndarray, order: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How many bytes each suffix shares with the one before it in order, read from the bytes themselves; -1 where a group begins."""
+    out = np.full(len(order), -1)
+    near = np.flatnonzero(group[order[1:]] == group[order[:-1]]) + 1
+    for lo in range(0, len(near), VERIFIED):
+        part = near[lo : lo + VERIFIED]
+        differ = view[at[order[part]]] != view[at[order[part - 1]]]
+        out[part] = np.where(differ.any(axis=1), differ.argmax(axis=1), view.shape[1])
+    return out
+
+
+def _window_minima(data, begin, count, offset, seed, doc, min_bytes, seed_bytes):
     """For distinct contexts: the least document of each of their windows, context after context.
 
-    Windows of contexts whose seed no other context has belong to their own document; the others are suffixes that are
-    sorted by place around the seed and by bytes, and equal neighbours share their least document.
+    Windows of contexts whose seed no other context has belong to their own document. Of the others two suffixes a context
+    are sorted, whatever its windows: the bytes after its seed, and those before it, backwards. Windows are equal where
+    they begin as far before one seed and their contexts agree that far backwards and for the rest of the window forwards;
+    contexts that agree so far lie together in both orders, between neighbours whose bytes, compared, agree so far.
     """
     start = np.cumsum(count) - count
     out = np.repeat(doc, count)
-    seeds, n = np.unique(seed, return_counts=True)
-    shared = n[np.searchsorted(seeds, seed)] > 1
-    pick = np.flatnonzero(shared)
+    seeds, which, n = np.unique(seed, return_inverse=True, return_counts=True)
+    pick = np.flatnonzero(n[which] > 1)
     if not len(pick):
         return out
-    owner = np.repeat(pick, count[pick])
-    t = np.arange(len(owner)) - np.repeat(np.cumsum(count[pick]) - count[pick], count[pick])
-    at = begin[owner] + t
-    place = mixed(seed[owner] + (t - offset[owner]).astype(np.uint64) * np.uint64(0x94D049BB133111EB))
-    group = np.unique(place, return_inverse=True)[1]
-    p = Prefixes(data)
-    order = suffix_sort(data, at, group, min_bytes, p)
-    a, b = order[:-1], order[1:]
-    same = (group[a] == group[b]) & p.equal(at[a], at[b], np.full(len(a), min_bytes))
-    near = np.flatnonzero(same)
-    view = np.lib.stride_tricks.sliding_window_view(data, min_bytes)
-    for lo in range(0, len(near), 200_000):  # what the hashes call equal must be equal
-        part = near[lo : lo + 200_000]
-        same[part] = (view[at[a[part]]] == view[at[b[part]]]).all(axis=1)
-    head = np.concatenate([[0], np.flatnonzero(~same) + 1])
-    least = np.minimum.reduceat(doc[owner][order], head)
-    sizes = np.diff(np.concatenate([head, [len(order)]]))
-    out[start[owner[order]] + t[order]] = np.repeat(least, sizes)
+    group, doc, offset, least_back = which[pick], doc[pick], offset[pick], (offset - count)[pick] + 1
+    padded = np.concatenate([np.zeros(min_bytes, np.uint8), data, np.zeros(min_bytes, np.uint8)])
+    at = begin[pick] + offset + min_bytes
+    places, agreed = [], []
+    for side, starts, limit, same in ((padded, at, min_bytes, seed_bytes), (padded[::-1].copy(), len(padded) - at, int(offset.max()), 0)):
+        order = suffix_sort(side, starts + same, group, limit - same)
+        view = np.lib.stride_tricks.sliding_window_view(np.concatenate([side, side[:limit]]), max(1, limit))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        places.append(place)
+        agreed.append(_agreements(view, starts, order, group))
+    for back in range(int(least_back.min()), int(offset.max()) + 1):
+        m = np.flatnonzero((least_back <= back) & (back <= offset))
+        forward_class, back_class = (np.cumsum(g < far)[p[m]] for g, far, p in zip(agreed, (min_bytes - back, back), places, strict=True))
+        window = back_class * (len(pick) + 1) + forward_class
+        order = np.argsort(window)
+        head = np.flatnonzero(np.diff(window[order], prepend=-1))
+        least = np.minimum.reduceat(doc[m][order], head) if len(m) else doc[m]
+        out[start[pick[m[order]]] + offset[m[order]] - back] = np.repeat(least, np.diff(head, append=len(m)))
     return out
 
 
 def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    size = F.octet_length("text")
-    blocks = blocks_for(d, size, BLOCK_BYTES, 4)
-    shards = blocks_for(d, size, SHARD_BYTES, 4)
+    blocks = blocks_for(d, F.octet_length("text"), BLOCK_BYTES, 4)
+    shards = max(4, -(-blocks * BLOCK_BYTES // SHARD_BYTES))
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
 
     def seeds(f: pd.DataFrame) -> pd.DataFrame:
@@ -277,7 +303,7 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
         seed, _, least, most, _ = _least_doc(c.seed, c.doc)
         value = ((seed >> np.uint64(33)) << np.uint64(1)) | (least != most)
         shard = (seed % np.uint64(shards)).astype(np.int64)
-        rows = [(s, value[shard == s].astype("<u4").tobytes()) for s in np.unique(shard).tolist()]
+        rows = [(s, value[own].astype("<u4").tobytes()) for s, own in _dealt(shard)]
         return pd.DataFrame({"shard": [r[0] for r in rows], "block": f["block"].iloc[0] if len(f) else 0, "seeds": [r[1] for r in rows]})
 
     def shared(f: pd.DataFrame) -> pd.DataFrame:
@@ -300,20 +326,20 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
         _, data, begin, length, ids = _read_block(f)
         c = Contexts(data, begin, length, ids, min_bytes, seed_bytes)
         seed, _, _, _, which = _least_doc(c.seed, c.doc)
-        shard = (seed % np.uint64(shards)).astype(np.int64)
         told = np.zeros(len(seed), bool)
+        places = dict(_dealt((seed % np.uint64(shards)).astype(np.int64)))
         for s, b in zip(bits["shard"], bits["bits"], strict=True):
-            own = np.flatnonzero(shard == s)
+            own = places[s]
             told[own] = np.unpackbits(np.frombuffer(b, np.uint8), count=len(own)).astype(bool)
         live = np.flatnonzero(told[which])
         key, first, least, _, _ = _least_doc(c.key[live], c.doc[live])
         at = live[first]
         to = (c.seed[at] % np.uint64(shards)).astype(np.int64)
         rows = []
-        for s in np.unique(to).tolist():
-            m = at[to == s]
+        for s, own in _dealt(to):
+            m = at[own]
             head = np.zeros(len(m), HEAD)
-            head["seed"], head["key"], head["doc"] = c.seed[m], key[to == s], least[to == s]
+            head["seed"], head["key"], head["doc"] = c.seed[m], key[own], least[own]
             head["count"], head["offset"] = c.count[m], c.seed_at[m] - c.begin[m]
             rows.append((s, head.tobytes()))
         return pd.DataFrame({"shard": [r[0] for r in rows], "block": f["block"].iloc[0], "head": [r[1] for r in rows]})
@@ -327,7 +353,7 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
         key, first = np.unique(head["key"], return_index=True)
         seeds, n = np.unique(head["seed"][first], return_counts=True)
         pick = first[n[np.searchsorted(seeds, head["seed"][first])] > 1]
-        rows = [(f["block"].iloc[b], head["key"][pick[source[pick] == b]].tobytes()) for b in np.unique(source[pick]).tolist()]
+        rows = [(f["block"].iloc[b], head["key"][pick[own]].tobytes()) for b, own in _dealt(source[pick])]
         return pd.DataFrame({"block": [r[0] for r in rows], "shard": f["shard"].iloc[0], "keys": [r[1] for r in rows]})
 
     def gives(f: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -356,14 +382,14 @@ def _flow(docs: DataFrame, min_bytes: int, seed_bytes: int, with_text: bool) ->
         n = count[there] + min_bytes - 1
         begin = np.full(len(key), -1)
         begin[there] = np.cumsum(n) - n
-        windows = _window_minima(data, begin, count, head["offset"][first].astype(np.int64), head["seed"][first], least, min_bytes)
+        windows = _window_minima(data, begin, count, head["offset"][first].astype(np.int64), head["seed"][first], least, min_bytes, seed_bytes)
         start = np.cumsum(count) - count
         lowest = np.minimum.reduceat(windows, start) if len(count) else windows
         source = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
         need = np.flatnonzero(lowest[which] < head["doc"])
         out = []
-        for b in np.unique(source[need]).tolist():
-            w = which[need[source[need] == b]]
+        for b, own in _dealt(source[need]):
+            w = which[need[own]]
             c = count[w]
             flat = windows[np.repeat(start[w] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))]
             # Runs of windows with one document: most contexts are a single run.

@@ -65,6 +65,42 @@ def test_common_extension():
     assert suffix_dedup.common_extension(p, a, b, np.array([6, 12, 2])).tolist() == [3, 12, 2]
 
 
+def test_minima_sort_two_suffixes_a_context(monkeypatch):
+    """A passage and its near copies in every document: their edges are contexts of one seed, a window each place."""
+    r = np.random.default_rng(3)
+    for min_bytes, seed_bytes in ((50, 20), (100, 20), (24, 20)):
+        passage = bytes(r.integers(97, 105, 300).astype(np.uint8))
+        parts = []
+        for i in range(120):
+            lo, hi = sorted(r.integers(0, 300, 2).tolist())
+            own = bytearray(passage[lo:hi])
+            if i % 3 == 0 and own:
+                own[len(own) // 2] = 120
+            parts.append(bytes(r.integers(0, 5, int(r.integers(0, 60))).astype(np.uint8)) + bytes(own) + b"\0" * int(r.integers(0, 40)))
+        length = np.array([len(x) for x in parts])
+        data, docs = np.frombuffer(b"".join(parts), np.uint8), r.permutation(len(parts))
+        c = suffix_dedup.Contexts(data, np.cumsum(length) - length, length, docs, min_bytes, seed_bytes)
+        key, first, least, _, _ = suffix_dedup._least_doc(c.key, c.doc)
+        begin, count = c.begin[first], c.count[first]
+        least_of: dict[bytes, int] = {}
+        windows = [(data[b + t : b + t + min_bytes].tobytes(), d) for b, n, d in zip(begin, count, least, strict=True) for t in range(n)]
+        for w, d in windows:
+            least_of[w] = min(d, least_of.get(w, d))
+        sorted_ = []
+        sort = suffix_dedup.suffix_sort
+        with monkeypatch.context() as m:
+            m.setattr(suffix_dedup, "suffix_sort", lambda data, starts, *a, s=sorted_: (s.append(len(starts)), sort(data, starts, *a))[1])
+            got = suffix_dedup._window_minima(data, begin, count, c.seed_at[first] - begin, c.seed[first], least, min_bytes, seed_bytes)
+        assert got.tolist() == [least_of[w] for w, _ in windows]
+        assert 0 < sum(sorted_) <= 2 * len(key) and (min_bytes < 50 or len(windows) > 2 * len(key))
+
+
+def test_what_goes_to_each_receiver():
+    to = np.array([5, 2, 5, 0, 2, 2])
+    assert [(s, own.tolist()) for s, own in suffix_dedup._dealt(to)] == [(0, [3]), (2, [1, 4, 5]), (5, [0, 2])]
+    assert list(suffix_dedup._dealt(to[:0])) == []
+
+
 def sets_of(rows, k):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = []
