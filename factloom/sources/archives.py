@@ -1,13 +1,15 @@
 """Archives of tagged documents: members of ZIP files as a data source, validation, a sink, and create-only storage of raw files.
 
-The data source reads the central directory of each archive and plans one partition a run of members that lie together in the
-file, so that a large archive is read by many tasks, each from its own range of bytes, and no row holds more than a member.
+A partition is several small archives, whose directories its task reads, or a run of members of a large one. Of a large archive the
+central directory is read while partitions are planned, piece by piece, and what is planned is where a run's piece of it lies: many
+tasks read such an archive, each from its own ranges of bytes. No row holds more than a member, and no member's name is in a plan.
 What can't be read is a row with an error: an archive without a directory, a member whose bytes don't give its checksum.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import struct
 import sys
 import zipfile
@@ -31,7 +33,15 @@ MEMBERS = "source_key string, place long, member_name string, byte_count long, c
 PARTITION_BYTES = 16_000_000
 BATCH_BYTES = 4_000_000
 DIRECTORIES = 16  # read at a time while partitions are planned
+TASKS_PER_CORE = 4  # at least, as long as there are archives enough
 LOCAL_HEADER = 30  # fixed value: bytes of a member's own header before its name
+#: The end of a directory (its last record, with that of large archives before it) and a member's record in it.
+END, END64, ENTRY, ENTRY_MARK = "<4s4H2LH", "<4sQ2H2L4Q", 46, b"PK\x01\x02"
+END_BYTES, END64_BYTES, LOCATOR64_BYTES, MOST_COMMENT = 22, 56, 20, 65_535
+PIECE = 1 << 20  # bytes of a directory that are read at a time
+
+
+UNREADABLE = (zipfile.BadZipFile, NotImplementedError, ValueError, OSError)  # what an archive without a good directory raises
 
 
 def _open(path: str):
@@ -51,39 +61,112 @@ def _listed(path: str, name: str | None) -> list[tuple[str, int]]:
 
 
 @dataclass
-class Run(InputPartition):
-    """Members of one archive that lie together: (place, name, offset, compressed size, size, checksum, method, flags)."""
+class Part:
+    """A whole archive, or a piece of its directory: begin and end there, the place of its first member, and how far the archive lies
+    from the beginning of its file."""
 
     path: str
     key: str
-    members: list[tuple]
+    begin: int | None = None
+    end: int = 0
+    place: int = 0
+    shift: int = 0
     error: str | None = None
 
+    def members(self) -> list[tuple]:
+        """(place, name, offset, compressed size, size, checksum, method, flags) of each member but folders, in the order of their bytes."""
+        if self.begin is None:
+            return directory(self.path)
+        store, inner = _open(self.path)
+        with store.open_input_file(inner) as f:
+            f.seek(self.begin)
+            return _entries(io.BytesIO(_alone(f.read(self.end - self.begin))), self.place, self.shift)
 
-def directory(path: str) -> list[tuple]:
-    """What the central directory says of each member but folders, in the order of their bytes."""
-    store, inner = _open(path)
-    with store.open_input_file(inner) as f, zipfile.ZipFile(f) as z:
-        entries = [(i, m.filename, m.header_offset, m.compress_size, m.file_size, m.CRC, m.compress_type, m.flag_bits) for i, m in enumerate(z.infolist()) if not m.is_dir()]
+
+@dataclass
+class Run(InputPartition):
+    parts: list[Part]
+
+
+def _entries(f, place: int = 0, shift: int = 0) -> list[tuple]:
+    with zipfile.ZipFile(f) as z:
+        entries = [(i, m.filename, m.header_offset + shift, m.compress_size, m.file_size, m.CRC, m.compress_type, m.flag_bits) for i, m in enumerate(z.infolist(), place) if not m.is_dir()]
     return sorted(entries, key=lambda m: m[2])
 
 
-def runs(path: str, size: int, most: int, limit: int) -> list[Run]:
+def _alone(records: bytes) -> bytes:
+    """A piece of a directory as the directory of an archive without bytes of its own."""
+    end = struct.pack(END, b"PK\x05\x06", 0, 0, 0, 0, len(records), 0, 0)
+    return records + end
+
+
+def directory(path: str) -> list[tuple]:
+    """What the central directory says of each member but folders, in the order of their bytes."""
+    store, inner = _open(path)
+    with store.open_input_file(inner) as f:
+        return _entries(f)
+
+
+def _directory_place(f) -> tuple[int, int, int]:
+    """Where the central directory begins and ends, and how far the archive lies from the beginning of its file."""
+    size = f.size()
+    f.seek(max(0, size - END_BYTES - MOST_COMMENT))
+    tail = f.read()
+    last = tail.rfind(b"PK\x05\x06", 0, len(tail) - END_BYTES + 4)
+    if last < 0:
+        raise zipfile.BadZipFile("File is not a zip file")
+    _, _, _, _, _, length, offset, _ = struct.unpack_from(END, tail, last)
+    end = size - len(tail) + last
+    if end >= LOCATOR64_BYTES + END64_BYTES:
+        f.seek(end - LOCATOR64_BYTES - END64_BYTES)
+        large, locator = f.read(END64_BYTES), f.read(4)
+        if locator == b"PK\x06\x07" and large[:4] == b"PK\x06\x06":
+            length, offset = struct.unpack(END64, large)[-2:]
+            end -= LOCATOR64_BYTES + END64_BYTES
+    if end - length < 0 or end - length - offset < 0:
+        raise zipfile.BadZipFile("Bad offset for central directory")
+    return end - length, end, end - length - offset
+
+
+def _pieces(path: str, key: str, most: int) -> Iterator[Part]:
+    """The parts of a large archive: runs of records of its directory whose members have about `most` compressed bytes."""
+    store, inner = _open(path)
+    with store.open_input_file(inner) as f:
+        begin, end, shift = _directory_place(f)
+        at, held, place, first, data, to, piece = begin, 0, 0, 0, b"", 0, b""
+        f.seek(begin)
+        while at < end:
+            if len(data) - to < ENTRY or len(data) - to < ENTRY + sum(struct.unpack_from("<3H", data, to + 28)):
+                more = f.read(min(PIECE, end - at - (len(data) - to)))
+                if not more:
+                    raise zipfile.BadZipFile("Truncated central directory")
+                piece += data[:to]
+                data, to = data[to:] + more, 0
+                continue
+            if data[to : to + 4] != ENTRY_MARK:
+                raise zipfile.BadZipFile("Bad magic number for central directory")
+            compressed = struct.unpack_from("<L", data, to + 20)[0]
+            if place > first and held + compressed > most:
+                piece += data[:to]
+                _entries(io.BytesIO(_alone(piece)))  # what can't be read is the whole archive's error
+                yield Part(path, key, begin, at, first, shift)
+                data, to, piece, begin, first, held = data[to:], 0, b"", at, place, 0
+            record = ENTRY + sum(struct.unpack_from("<3H", data, to + 28))
+            to, at, place, held = to + record, at + record, place + 1, held + compressed
+        _entries(io.BytesIO(_alone(piece + data[:to])))
+        yield Part(path, key, begin, at, first, shift)
+
+
+def parts(path: str, size: int, most: int, limit: int) -> list[Part]:
     key = path.rpartition("/")[2]
+    if size > limit:
+        return [Part(path, key, error="Truncated: larger than the limit")]
+    if size <= most:
+        return [Part(path, key)]
     try:
-        if size > limit:
-            raise ValueError("Truncated: larger than the limit")
-        members = directory(path)
-    except (zipfile.BadZipFile, ValueError, OSError) as e:
-        return [Run(path, key, [], str(e) or type(e).__name__)]
-    out, held = [Run(path, key, [])], 0
-    for m in members:
-        if out[-1].members and held + m[3] > most:
-            out.append(Run(path, key, []))
-            held = 0
-        out[-1].members.append(m)
-        held += m[3]
-    return out if members else []
+        return list(_pieces(path, key, most))
+    except UNREADABLE as e:
+        return [Part(path, key, error=str(e) or type(e).__name__)]
 
 
 def read_member(f, member: tuple) -> tuple[bytes | None, str | None]:
@@ -109,27 +192,44 @@ class ZipReader(DataSourceReader):
         self.name = options.get("sourcekey")
         self.content = options.get("content", "true").lower() == "true"
         self.most, self.limit = int(options.get("partitionbytes", PARTITION_BYTES)), int(options.get("maxbytes", MAX_BYTES))
+        self.least = int(options.get("partitions", 1))
 
     def partitions(self) -> list[Run]:
         files = _listed(self.path, self.name)
+        # Small archives share a partition, as long as there are partitions enough.
+        share = min(self.most, sum(size for _, size in files) // self.least)
+        out, held = [], self.most
         with ThreadPoolExecutor(DIRECTORIES) as pool:
-            found = [r for of_file in pool.map(lambda f: runs(*f, self.most, self.limit), files) for r in of_file]
-        return found or [Run("", "", [])]
+            for (_, size), found in zip(files, pool.map(lambda f: parts(*f, self.most, self.limit), files), strict=True):
+                if len(found) > 1 or held + size > share:
+                    out += [Run([p]) for p in found]
+                    held = size if len(found) == 1 else self.most
+                else:
+                    out[-1].parts += found
+                    held += size
+        return out or [Run([])]
 
     def read(self, run: Run) -> Iterator[pa.RecordBatch]:
-        if run.error is not None:
-            yield _batch([(run.key, None, None, None, None, run.error)])
-        if not run.members:
-            return
-        if not self.content:
-            yield _batch([(run.key, m[0], m[1], m[4], None, None) for m in run.members])
-            return
-        store, inner = _open(run.path)
+        for part in run.parts:
+            try:
+                if part.error is not None:
+                    raise ValueError(part.error)
+                members = part.members()
+            except UNREADABLE as e:
+                yield _batch([(part.key, None, None, None, None, str(e) or type(e).__name__)])
+                continue
+            if self.content:
+                yield from self.contents(part, members)
+            elif members:
+                yield _batch([(part.key, m[0], m[1], m[4], None, None) for m in members])
+
+    def contents(self, part: Part, members: list[tuple]) -> Iterator[pa.RecordBatch]:
+        store, inner = _open(part.path)
         rows, held = [], 0
         with store.open_input_file(inner) as f:
-            for m in run.members:
+            for m in members:
                 data, error = read_member(f, m)
-                rows.append((run.key, m[0], m[1], m[4], data, error))
+                rows.append((part.key, m[0], m[1], m[4], data, error))
                 held += len(data or b"")
                 if held >= BATCH_BYTES:
                     yield _batch(rows)
@@ -144,7 +244,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class ZipMembers(DataSource):
-    """spark.read.format("zipmembers").load(path): options sourceKey (one archive), content (false: names alone), partitionBytes, maxBytes."""
+    """spark.read.format("zipmembers").load(path): options sourceKey (one archive), content (false: names alone), partitionBytes, partitions (at least), maxBytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -164,6 +264,7 @@ def members(spark: SparkSession, path: str, source_key: str | None = None, with_
     """
     spark.dataSource.register(ZipMembers)
     r = spark.read.format("zipmembers").option("content", str(with_content).lower()).option("partitionBytes", partition_bytes).option("maxBytes", max_bytes)
+    r = r.option("partitions", TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     return (r if source_key is None else r.option("sourceKey", source_key)).load(path)
 
 

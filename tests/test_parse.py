@@ -107,6 +107,47 @@ def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
     assert same.count() == m.count() == 20_000 and same.select("place").distinct().count() == 20_000
 
 
+def test_plans_hold_no_members(tmp_path):
+    """What is planned of an archive is as large as its runs, not as its members; small archives share partitions."""
+    import pickle
+
+    with zipfile.ZipFile(tmp_path / "big.zip", "w") as z:
+        for i in range(5000):
+            z.writestr("d/" if i == 17 else f"{'a long name ' * 8}{i}.html", b"" if i == 17 else str(i).encode() * 20, zipfile.ZIP_DEFLATED)
+    (tmp_path / "after.zip").write_bytes(b"something before it" + (tmp_path / "big.zip").read_bytes())
+    with zipfile.ZipFile(tmp_path / "after.zip", "a") as z:
+        z.comment = b"a comment"
+    whole = archives.directory(str(tmp_path / "big.zip"))
+    reader = lambda most, **o: archives.ZipReader({"path": str(tmp_path), "partitionbytes": str(most), **o})
+    for key, moved in (("big.zip", 0), ("after.zip", len(b"something before it"))):
+        plan = reader(10_000, sourcekey=key).partitions()
+        found = [m for r in plan for p in r.parts for m in p.members()]
+        assert found == [(*m[:2], m[2] + moved, *m[3:]) for m in whole] and len(plan) > 3
+        assert len(pickle.dumps(plan)) < 300 * len(plan) + 1000
+        assert [m[2] for m in found] == [m[2] for m in archives.directory(str(tmp_path / key))]
+    for i in range(40):
+        with zipfile.ZipFile(tmp_path / f"small{i:02}.zip", "w") as z:
+            z.writestr("a", b"1")
+    small = [r for r in reader(1_000_000_000).partitions() if len(r.parts) > 1]
+    assert sum(len(r.parts) for r in small) >= 40 and 40 <= sum(b.num_rows for r in small for b in reader(1_000_000_000).read(r) if b["byte_count"][0].as_py() == 1)
+    assert len(reader(1_000_000_000, partitions="8").partitions()) >= 3
+
+
+def test_a_large_archive_beyond_zip64(tmp_path):
+    with zipfile.ZipFile(tmp_path / "many.zip", "w") as z:
+        for i in range(66_000):  # more than the old record can count
+            z.writestr(zipfile.ZipInfo(f"{i}"), b"")
+        z.writestr(zipfile.ZipInfo("last"), b"x" * 500)
+    plan = archives.ZipReader({"path": str(tmp_path), "partitionbytes": "400"}).partitions()
+    assert [m for r in plan for p in r.parts for m in p.members()] == archives.directory(str(tmp_path / "many.zip")) and len(plan) == 2
+    data = bytearray((tmp_path / "many.zip").read_bytes())
+    at = data.rindex(archives.ENTRY_MARK)
+    data[at : at + 4] = b"junk"
+    (tmp_path / "many.zip").write_bytes(data)
+    (run,) = archives.ZipReader({"path": str(tmp_path), "partitionbytes": "400"}).partitions()
+    assert run.parts[0].error
+
+
 def test_create_only(spark, tmp_path):
     root = f"file://{tmp_path}/lake"
     for name, body in (("one", b"1"), ("two", b"2")):
