@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +90,25 @@ def transform_numeric(text: Column, fmt: Column, scale: Column, sign: Column) ->
     return let(F.struct(clean.alias("clean"), local.alias("local")), digits)
 
 
+_PLAIN = re.compile(r"[0-9]{1,15}(?:\.[0-9]{0,4})?", re.ASCII)
+
+
+def plain_number(text: str, fmt: str | None, scale: str | None, sign: str | None) -> Decimal | None:
+    """What transform_numeric gives, for code that has a text in hand: of digits, commas and a point (or the other way round) in a
+    known format with a scale of one digit; null for all else, which is left to it."""
+    local = None if fmt is None else fmt.partition(":")[2] if ":" in fmt else fmt
+    if local is None or local in DOT_FORMATS:
+        digits = text.replace(",", "")
+    elif local in COMMA_FORMATS:
+        digits = text.replace(".", "").replace(",", ".")
+    else:
+        return None
+    if not _PLAIN.fullmatch(digits) or not (scale is None or (len(scale) == 1 and scale in "0123456789")):
+        return None
+    value = Decimal(digits).scaleb(int(scale or 0))
+    return -value if sign == "-" else value
+
+
 #: White space as text tools strip it, and what may follow a number's sign.
 _BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _AMOUNT = rf"[£$€]?{_BLANK}?(?:[0-9]+|[0-9]{{1,3}}(?:(?:,|{_BLANK})[0-9]{{3}})+)(?:\.[0-9]+)?"

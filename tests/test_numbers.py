@@ -66,3 +66,14 @@ def test_document_key(spark):
     assert got[0]["document_id"] == "SC123456_20251231" and not got[0]["is_archive"]
     assert [r["document_id"] for r in got[1:4]] == [None] * 3
     assert got[4]["is_archive"]
+
+
+def test_plain_numbers_are_what_the_expression_gives(spark):
+    texts = ["0", "007", "1,234", "1,2,3", "12.5", "1.234,5", "1.", ".5", "", "-", "-3", "1 000", "123456789012345", "1234567890123456", "1.00001", "1.0001", "2e3", "٣", "1,234.56", "(5)"]
+    formats = [None, "numdotdecimal", "ixt:numcommadot", "ixt:num-dot-decimal", "a:b:numdotdecimal", "ixt:numdotcomma", "numcommadecimal", "ixt:zerodash", "ixt:nosuch", "", ":numdotdecimal"]
+    cases = [(t, f, s, g) for t in texts for f in formats for s in (None, "0", "9", "-1", "12", " 3") for g in (None, "-", "+")]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, f string, s string, g string")
+    got = df.select("i", X.transform_numeric(F.col("t"), F.col("f"), F.col("s").try_cast("int"), F.col("g")).alias("x")).collect()
+    plain = {i: n for i, c in enumerate(cases) if (n := X.plain_number(*c)) is not None}
+    assert len(plain) > 300
+    assert all(r.x.error is None and r.x.value == plain[r.i] for r in got if r.i in plain)

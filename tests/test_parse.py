@@ -54,6 +54,40 @@ def test_quarantine(spark, name, body, reason):
     assert [r.reason for r in q] == [reason] and parse.fact_rows(p, "b").count() == 0
 
 
+def test_one_event_an_element_only_where_prefixes_are_declared_below_the_root(monkeypatch):
+    """Most documents are read without it; both ways give the same."""
+    root = synthetic("").partition(b"<head>")[0]
+    deep = synthetic('<p xmlns:own="deep">' + FACT + "</p>" + FACT)
+    odd = [
+        b"<!-- <b> -->" + synthetic(FACT), synthetic(FACT).decode().encode("utf-16"), synthetic(FACT).replace(b"2023-04-01/own", b"a>b"), deep,
+        b"<!DOCTYPE html [<!ENTITY e '<p xmlns:own=\"deep\">x</p>'>]>" + synthetic("&e;" + FACT), b"\xef\xbb\xbf" + synthetic(FACT), synthetic(FACT + "<!-- xmlns -->"),
+    ]
+    whole = parse.tree_with_prefixes
+    gone = []
+    monkeypatch.setattr(parse, "tree_with_prefixes", lambda data: (gone.append(data), whole(data))[1])
+    plain = [synthetic(FACT), synthetic("<ix:hidden>" + FACT + "</ix:hidden>" + FACT), root + FACT.encode() + b"</html>"]
+    tagged = lambda t: [(e.attrib, scope, hidden) for e, scope, hidden in t[1]]
+    for data in plain:
+        assert tagged(parse.tree(data)) == tagged(whole(data)) and len(whole(data)[1]) > 0
+    assert not gone
+    for data in odd:
+        assert tagged(parse.tree(data)) == tagged(whole(data)) and len(whole(data)[1]) > 0
+    assert [s["own"] for _, s, _ in parse.tree(deep)[1]][1:] == ["deep", "http://example.test/2023-04-01/own"]
+    assert len(gone) >= 4
+
+
+def test_numbers_and_text_left_out(spark):
+    """Plain numbers come from the parser, others from the expression; text that nothing reads is not made."""
+    body = FACT + FACT.replace("7,005", "1 2").replace("own:Equity", "own:Odd")
+    rows = spark.createDataFrame([("k.zip", NAME, synthetic(body))], "source_key string, member_name string, content binary")
+    for with_text in (True, False):
+        p = parse.parse_members(rows, with_text)
+        row = p.first()
+        assert (row.text is not None) == with_text and row.reason is None
+        assert {f.concept: f.number for f in row.facts} == {"Name": None, "Equity": -7005000, "Odd": None}
+        assert {r.concept: r.value for r in parse.fact_rows(p, "b").collect()} == {"Name": None, "Equity": -7005000, "Odd": -12000}
+
+
 def test_nil_is_kept_without_a_value(spark):
     body = '<ix:nonFraction name="own:Equity" contextRef="c1" unitRef="u" xsi:nil="true">n/a</ix:nonFraction>'
     f = [r for r in parse.fact_rows(parsed(spark, synthetic(body)), "b").collect() if r.concept == "Equity"]
