@@ -11,8 +11,8 @@ seed form a context of at most 2 * MIN_BYTES bytes:
 1. each block of documents (bounded bytes, dealt by id) sends its distinct seeds, four bytes each, to seed shards, which
    answer with the bits of the seeds that more than one document holds;
 2. the block names the distinct contexts of these seeds, each with its smallest document; where several contexts share
-   a seed, the shard asks one block for the bytes of each, sorts their windows, and tells every block that holds them
-   the smallest document of each window;
+   a seed, the shard asks one block for the bytes of each, sorts two suffixes of each (what follows the seed, and what
+   is before it, backwards), and tells every block that holds them the smallest document of each window;
 3. the block covers the windows that a smaller document holds and digests what is left.
 
 All steps read one shuffle of the texts, and no context's bytes are sent twice. A line or a document that a third of all rows hold is one request a
